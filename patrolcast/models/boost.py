@@ -12,7 +12,7 @@ Data plan
   touched; ``groupBy(tree, node, feat)`` sums them (map-side combine), and
   ``groupBy(tree, node).applyInPandas`` scans the bins for the best split, so
   the driver receives one split per node, never histograms. Open nodes are
-  processed in chunks (``max_nodes_per_pass``) to bound each pass.
+  processed in chunks (``max_cells_per_pass``) to bound each pass.
 * After a round the margins are advanced by a narrow ``mapInArrow`` over the
   cached table; every ``checkpoint_every`` rounds the table is checkpointed to
   the shared checkpoint folder, so lineage stays short and survives lost
@@ -59,8 +59,9 @@ class BoostParams:
     max_bins: int = 32
     seed: int = 2019
     early_stopping_rounds: int | None = None
+    min_child_samples: int = 0
     checkpoint_every: int = 10
-    max_nodes_per_pass: int = 256
+    max_cells_per_pass: int = 8_000_000
 
 
 @dataclass
@@ -181,13 +182,15 @@ def _score(G, H, p: BoostParams):
 
 
 def _node_split(tree: int, node: int, hist: np.ndarray, mask: np.ndarray, p: BoostParams) -> list:
-    """Best (feat, bin) of one node; ``hist`` is (d, 2 nb) = gradient | hessian sums per bin."""
-    nb = hist.shape[1] // 2
-    g, h = hist[:, :nb], hist[:, nb:]
-    G, H = g[0].sum(), h[0].sum()
+    """Best (feat, bin) of one node; ``hist`` is (d, 3 nb) = gradient | hessian | row count per bin."""
+    nb = hist.shape[1] // 3
+    g, h, c = hist[:, :nb], hist[:, nb:2 * nb], hist[:, 2 * nb:]
+    G, H, N = g[0].sum(), h[0].sum(), c[0].sum()
     GL, HL = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+    CL = np.cumsum(c, axis=1)[:, :-1]
     gain = 0.5 * (_score(GL, HL, p) + _score(G - GL, H - HL, p) - _score(G, H, p)) - p.gamma
-    ok = (HL >= p.min_child_weight) & (H - HL >= p.min_child_weight) & mask[:, None]
+    ok = ((HL >= p.min_child_weight) & (H - HL >= p.min_child_weight) & (CL >= p.min_child_samples)
+          & (N - CL >= p.min_child_samples) & mask[:, None])
     gain = np.where(ok, gain, -np.inf)
     best = int(np.argmax(gain)) if gain.size else 0
     if gain.size == 0 or not np.isfinite(gain.flat[best]) or gain.flat[best] <= 0:
@@ -200,12 +203,14 @@ def _tree_split(tree: int, nodes: list, hists: list, mask: np.ndarray, p: BoostP
     """Symmetric growth: one (feat, bin) shared by every open node of the tree."""
     total, valid, stats = None, None, []
     for hist in hists:
-        nb = hist.shape[1] // 2
-        g, h = hist[:, :nb], hist[:, nb:]
-        G, H = g[0].sum(), h[0].sum()
+        nb = hist.shape[1] // 3
+        g, h, c = hist[:, :nb], hist[:, nb:2 * nb], hist[:, 2 * nb:]
+        G, H, N = g[0].sum(), h[0].sum(), c[0].sum()
         GL, HL = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+        CL = np.cumsum(c, axis=1)[:, :-1]
         gain = 0.5 * (_score(GL, HL, p) + _score(G - GL, H - HL, p) - _score(G, H, p))
-        ok = (HL >= p.min_child_weight) & (H - HL >= p.min_child_weight)
+        ok = ((HL >= p.min_child_weight) & (H - HL >= p.min_child_weight) & (CL >= p.min_child_samples)
+              & (N - CL >= p.min_child_samples))
         total = gain if total is None else total + gain
         valid = ok if valid is None else valid & ok
         stats.append((G, H, GL, HL))
@@ -326,13 +331,14 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
             # chunk the open nodes so one pass holds a bounded number of cells
             flat = [(t, n) for t, ns in open_nodes.items() for n in ns]
             decided: dict = {}
-            for c0 in range(0, len(flat), p.max_nodes_per_pass):
-                chunk = flat[c0:c0 + p.max_nodes_per_pass]
+            per_pass = max(1, p.max_cells_per_pass // (d * 3 * nb))
+            for c0 in range(0, len(flat), per_pass):
+                chunk = flat[c0:c0 + per_pass]
                 slot = {}
                 for t, n in chunk:
                     slot.setdefault(t, {})[n] = len(slot.get(t, {}))
                 tree_arrs = {t: trees[t].arrays() for t in slot}
-                cells = len(chunk) * d * 2 * nb
+                cells = len(chunk) * d * 3 * nb
                 res = _best_splits(_hist_pass(data, bcols, K, M, nb, rnd, p, slot, tree_arrs, cv),
                                    p, d, colmask, p.growth == "symmetric", n_parts * cells)
                 for r in res.itertuples(index=False):
@@ -381,7 +387,7 @@ def _hist_pass(data: DataFrame, bcols, K, M, nb, rnd, p: BoostParams, slot: dict
     d = len(bcols)
 
     def run(batches):
-        acc = {t: np.zeros((len(s), d, 2 * nb)) for t, s in slot.items()}
+        acc = {t: np.zeros((len(s), d, 3 * nb)) for t, s in slot.items()}
         for b in batches:
             if not b.num_rows:
                 continue
@@ -413,13 +419,15 @@ def _hist_pass(data: DataFrame, bcols, K, M, nb, rnd, p: BoostParams, slot: dict
                 for f in range(d):
                     idx = base + B[rows, f]
                     acc[t][:, f, :nb] += np.bincount(idx, weights=g[rows], minlength=len(s) * nb).reshape(len(s), nb)
-                    acc[t][:, f, nb:] += np.bincount(idx, weights=h[rows], minlength=len(s) * nb).reshape(len(s), nb)
+                    acc[t][:, f, nb:2 * nb] += np.bincount(idx, weights=h[rows],
+                                                           minlength=len(s) * nb).reshape(len(s), nb)
+                    acc[t][:, f, 2 * nb:] += np.bincount(idx, minlength=len(s) * nb).reshape(len(s), nb)
         tl, nl, vl = [], [], []
         for t, sl_ in slot.items():
             inv = {v: n for n, v in sl_.items()}
             for si in range(len(sl_)):
                 hist = acc[t][si]
-                if hist[:, nb:].any():
+                if hist[:, 2 * nb:].any():
                     tl.append(t); nl.append(inv[si]); vl.append(hist.reshape(-1))
         if tl:
             yield pa.RecordBatch.from_arrays(

@@ -86,13 +86,18 @@ class GroupStats:
 
 
 def group_stats(df: DataFrame, cols: list[str], n_classes: int, n_groups: int, label="label",
-                grp="grp") -> GroupStats:
-    d, K, G = len(cols), n_classes, n_groups
-    shift = np.nan_to_num(np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(),
-                                   dtype=float))
+                grp="grp", featurize=None, dim: int | None = None) -> GroupStats:
+    """Per-group moments of the (optionally featurized) inputs; ``dim`` = output width of ``featurize``."""
+    d, K, G = (dim or len(cols)), n_classes, n_groups
+    if featurize is None:
+        shift = np.nan_to_num(np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(),
+                                       dtype=float))
+    else:
+        shift = np.zeros(d)
 
     def part(b):
-        X = np.nan_to_num(arrow_matrix(b, cols) - shift)
+        raw = arrow_matrix(b, cols)
+        X = np.nan_to_num((featurize(raw) if featurize else raw) - shift)
         y = arrow_vector(b, label, np.int64)
         g = arrow_vector(b, grp, np.int64)
         out = np.zeros(G * (1 + K + d + d * d))
@@ -126,8 +131,11 @@ class FittedTask:
     b: np.ndarray        # (K,)
     n_iter: int = 0
     calib: np.ndarray | None = None   # (K, 2) Platt (a, b) when calibrated
+    featurize: object = None          # raw inputs -> model inputs (e.g. Nystroem map)
 
     def decision(self, X: np.ndarray) -> np.ndarray:
+        if self.featurize is not None:
+            X = self.featurize(X)
         Xs = np.nan_to_num((X - self.mean) / self.scale)
         return Xs @ self.W.T + self.b
 
@@ -148,11 +156,16 @@ class FittedTask:
 
 def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[LinearTask], n_groups: int = 1,
               label: str = "label", grp: str = "grp", max_iter: int = 100, tol: float = 1e-4,
-              stats: GroupStats | None = None) -> list[FittedTask]:
-    """Fit every task; ``df`` must hold ``cols``, ``label`` (0..K-1) and ``grp`` (0..G-1)."""
-    K, d, T = n_classes, len(cols), len(tasks)
+              stats: GroupStats | None = None, featurize=None, dim: int | None = None,
+              standardize: bool = True) -> list[FittedTask]:
+    """Fit every task; ``df`` must hold ``cols``, ``label`` (0..K-1) and ``grp`` (0..G-1).
+
+    ``featurize`` maps raw input rows to model inputs inside each pass (recomputed,
+    never materialised); ``standardize=False`` skips the per-task scaler.
+    """
+    K, d, T = n_classes, (dim or len(cols)), len(tasks)
     data = df.select(*[F.col(f"`{c}`") for c in cols], label, grp)
-    st = stats or group_stats(data, cols, K, n_groups, label, grp)
+    st = stats or group_stats(data, cols, K, n_groups, label, grp, featurize, dim)
     means, scales, lams, Ls, cws, masks = [], [], [], [], [], []
     for t in tasks:
         n, nk, sx, sxx = st.select(t.train_groups)
@@ -160,10 +173,16 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
         cov = sxx / max(n, 1) - np.outer(mu_s, mu_s)
         sd = np.sqrt(np.maximum(np.diag(cov), 0))
         scale = np.where(sd > 0, sd, 1.0)
+        if standardize:
+            corr = cov / np.outer(scale, scale)
+            # centred, unit-variance inputs: the intercept direction is orthogonal
+            lam_max = max(np.linalg.eigvalsh(corr).max(), 1.0 if t.fit_intercept else 0.0)
+        else:
+            # raw inputs (featurize=... gives shift 0): bound the augmented second-moment matrix
+            mu_s, scale = -st.shift, np.ones(d)
+            lam_max = np.linalg.eigvalsh(sxx / max(n, 1)).max() + (1.0 if t.fit_intercept else 0.0)
         means.append(mu_s + st.shift)
         scales.append(scale)
-        corr = cov / np.outer(scale, scale)
-        lam_max = max(np.linalg.eigvalsh(corr).max(), 1.0 if t.fit_intercept else 0.0)
         cw = np.ones(K)
         if t.class_weight == "balanced":
             cw = np.where(nk > 0, n / (K * np.maximum(nk, 1)), 0.0)
@@ -192,6 +211,8 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
 
         def part(b, act=act, pts=pts):
             X = arrow_matrix(b, cols)
+            if featurize is not None:
+                X = featurize(X)
             y = arrow_vector(b, label, np.int64)
             g = arrow_vector(b, grp, np.int64)
             out = np.zeros((len(act), K, d + 1))
@@ -230,8 +251,8 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
             if np.abs(step).max() > tol * max(1.0, np.abs(new).max()):
                 still.append(t)
         active = still
-    return [FittedTask(t, means[i], scales[i], theta[i][:, :d].copy(), theta[i][:, d].copy(), iters[i])
-            for i, t in enumerate(tasks)]
+    return [FittedTask(t, means[i], scales[i], theta[i][:, :d].copy(), theta[i][:, d].copy(), iters[i],
+                       featurize=featurize) for i, t in enumerate(tasks)]
 
 
 @dataclass

@@ -1 +1,533 @@
-REGISTERED = True
+"""Registered queries for learned transforms, model selection, classifiers and
+reports (SURVEY 2.E E3/E4/E7, 2.F, 2.I I2, 2.J, 2.K, 2.L).
+
+Fits are iterative, so most of these have no SQL twin and get the rows-only
+check; where the result is a closed form over the data (class weights, class
+moments, folds, the class-prior model and its cross-validation) a DuckDB twin
+is given. Query-level settings (rounds, trees) are kept small so every query
+runs over the whole tables in seconds; the library functions take the
+scripts' final settings as arguments.
+"""
+
+from __future__ import annotations
+
+import contextlib
+import json
+import math
+import time
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..fixed import LINEAR_DROP, QUADRATIC_DROP, SEED
+from ..models.base import cached
+from ..models.boost import BoostModel, BoostParams, fit_boost
+from ..models.calibration import calibrated_fit
+from ..models.forest import fit_forest, oob_votes
+from ..models.gaussian import LDA, QDA, ClassMoments
+from ..models.kernel import Nystroem
+from ..models.linear import LinearTask, fit_ova, fit_softmax
+from ..models.prior import ClassPrior
+from ..models.search import Chain, boost_cv, cross_val_score, grid_search_linear, linear_grid, random_search
+from ..operators.encode import Vocabulary, balanced_weight, class_counts, feature_set
+from ..operators.features import feature_columns
+from ..operators.selection import (best_round, key_hash_sql, log_loss, rank_trials, repeated_folds,
+                                   stratified_folds, train_test_split)
+from ..sources.incidents import train_rows
+from ..sources.sinks import read_trials, to_wide
+from . import sqlparts as S
+from .common import featured, finish, raw, register, staging_dir
+
+N_REPEATS = 5
+PRIOR_ALPHAS = [0.0, 1.0, 10.0, 100.0]
+
+
+@contextlib.contextmanager
+def _labelled(spark, sf):
+    """Train rows with integer labels (cached for the fit), test rows, fit, vocabulary."""
+    tr, te, fit = featured(spark, sf)
+    voc = Vocabulary.fit(tr, "Category")
+    trl = cached(voc.transform(tr))
+    try:
+        yield trl, te, fit, voc
+    finally:
+        trl.unpersist()
+
+
+def _wide(model, te, voc):
+    return finish(to_wide(model.transform(te, keep=("Id",)), voc.levels))
+
+
+def _sets(fit):
+    allf = feature_columns(fit)
+    return feature_set(allf, "linear"), feature_set(allf, "quadratic"), allf
+
+
+# ---------------------------------------------------------------- closed forms with SQL twins
+
+@register("k16_class_weight", S.rounded(S.with_ctes() + (
+    "SELECT Category, count(*) AS n, (SELECT count(*) FROM train) / "
+    "((SELECT count(DISTINCT Category) FROM train) * count(*)) AS weight FROM train GROUP BY Category"), ["weight"]))
+def k16_class_weight(spark, sf):
+    tr = train_rows(raw(spark, sf))
+    voc = Vocabulary.fit(tr, "Category")
+    lab = voc.transform(tr)
+    counts = class_counts(lab)
+    w = balanced_weight(counts)
+    names = F.array(*[F.lit(v) for v in voc.levels])
+    return finish(lab.groupBy("label").agg(F.count("*").alias("n"), F.first(w).alias("weight"))
+                  .select(names[F.col("label")].alias("Category"), "n", "weight"))
+
+
+_MOM_COLS = ["X", "Y", "Hour_X", "Nearest_Station"]
+_MOM_PAIRS = [("X", "Y"), ("Hour_X", "Nearest_Station"), ("X", "X")]
+
+
+def _moments_sql():
+    means = ", ".join(f"avg({c}) AS mean_{c}" for c in _MOM_COLS)
+    covs = ", ".join(f"covar_samp({a}, {b}) AS cov_{a}_{b}" for a, b in _MOM_PAIRS)
+    return S.rounded(S.with_ctes(*S.featured_ctes()) + f"SELECT Category, count(*) AS n, {means}, {covs} "
+                     "FROM tr_feat GROUP BY Category",
+                     [f"mean_{c}" for c in _MOM_COLS] + [f"cov_{a}_{b}" for a, b in _MOM_PAIRS])
+
+
+@register("e7_class_moments", _moments_sql())
+def e7_class_moments(spark, sf):
+    with _labelled(spark, sf) as (trl, _, _, voc):
+        m = ClassMoments.compute(trl, _MOM_COLS, voc.size)
+    idx = {c: i for i, c in enumerate(_MOM_COLS)}
+    rows = []
+    for k, cat in enumerate(voc.levels):
+        cov = m.covariance(k)
+        rows.append(tuple([cat, int(m.n[k])] + [float(m.mean[k, idx[c]]) for c in _MOM_COLS]
+                          + [float(cov[idx[a], idx[b]]) for a, b in _MOM_PAIRS]))
+    schema = ("Category string, n long, " + ", ".join(f"mean_{c} double" for c in _MOM_COLS) + ", "
+              + ", ".join(f"cov_{a}_{b} double" for a, b in _MOM_PAIRS))
+    return finish(spark.createDataFrame(rows, schema))
+
+
+def _fold_sql(seed_expr: str, part: str = "Category") -> str:
+    h = key_hash_sql("Id", seed_expr)
+    return f"CAST((row_number() OVER (PARTITION BY {part} ORDER BY {h}, Id) - 1) % 2 AS INTEGER)"
+
+
+@register("f2_stratified_folds", S.with_ctes() + f"SELECT Id, Category, {_fold_sql(str(SEED))} AS fold FROM train")
+def f2_stratified_folds(spark, sf):
+    tr = train_rows(raw(spark, sf))
+    return stratified_folds(tr, 2, SEED, "Category").select("Id", "Category", "fold")
+
+
+@register("j6_train_test_split", S.with_ctes() + (
+    f"SELECT Id, (row_number() OVER (ORDER BY {key_hash_sql('Id', SEED)}, Id) - 1) < "
+    "ceil(0.2 * (SELECT count(*) FROM train)) AS is_holdout FROM train"))
+def j6_train_test_split(spark, sf):
+    tr = train_rows(raw(spark, sf)).select("Id")
+    return train_test_split(tr, 0.2, SEED)
+
+
+@register("j1_log_loss", S.rounded(S.with_ctes(
+    "pr AS (SELECT Category, count(*) / (SELECT count(*) FROM train) AS p FROM train GROUP BY Category)")
+    + "SELECT -avg(ln(greatest(least(pr.p, 1 - 1e-15), 1e-15))) AS log_loss FROM train JOIN pr USING (Category)",
+    ["log_loss"]))
+def j1_log_loss(spark, sf):
+    tr = train_rows(raw(spark, sf))
+    voc = Vocabulary.fit(tr, "Category")
+    lab = voc.transform(tr)
+    prior = ClassPrior.fit(lab, voc.size)
+    return finish(spark.createDataFrame([(log_loss(prior.transform(lab)),)], "log_loss double"))
+
+
+def _prior_cv_sql(alpha_list, repeats: int) -> str:
+    """CV of the smoothed class prior: 2 folds x ``repeats`` (fold seeds as in ``repeated_folds``)."""
+    k = "(SELECT count(DISTINCT Category) FROM train)"
+    return S.with_ctes(
+        f"reps AS (SELECT unnest(range({repeats})) AS r)",
+        f"folds AS (SELECT t.Id, t.Category, reps.r, {_fold_sql(f'({SEED} + 7919 * reps.r)', 'reps.r, t.Category')} "
+        "AS fold FROM train t JOIN reps ON true)",
+        "cnt AS (SELECT r, fold, Category, count(*) AS n FROM folds GROUP BY r, fold, Category)",
+        "tot AS (SELECT r, fold, count(*) AS n FROM folds GROUP BY r, fold)",
+        f"alphas AS (SELECT unnest([{', '.join(repr(a) for a in alpha_list)}]) AS alpha)",
+        "scores AS (SELECT a.alpha, f.r, f.fold, avg(ln(greatest(least((coalesce(c.n, 0) + a.alpha) / "
+        f"(t.n + a.alpha * {k}), 1 - 1e-15), 1e-15))) AS score FROM folds f JOIN alphas a ON true "
+        "JOIN tot t ON t.r = f.r AND t.fold = 1 - f.fold "
+        "LEFT JOIN cnt c ON c.r = f.r AND c.fold = 1 - f.fold AND c.Category = f.Category "
+        "GROUP BY a.alpha, f.r, f.fold)")
+
+
+def _prior_cv_spark(spark, sf, alphas, repeats):
+    tr = train_rows(raw(spark, sf))
+    voc = Vocabulary.fit(tr, "Category")
+    data = cached(repeated_folds(voc.transform(tr), 2, repeats, SEED, "Category"))
+    out = {}
+    try:
+        for a in alphas:
+            scores = []
+            for r in range(repeats):
+                for f in range(2):
+                    prior = ClassPrior.fit(data.filter(F.col(f"fold_{r}") != f), voc.size, alpha=a)
+                    scores.append(-log_loss(prior.transform(data.filter(F.col(f"fold_{r}") == f))))
+            out[a] = scores
+    finally:
+        data.unpersist()
+    return out
+
+
+@register("e3_mean_score", S.rounded(_prior_cv_sql([0.0], N_REPEATS)
+                                     + "SELECT -avg(score) AS mean_log_loss FROM scores", ["mean_log_loss"]))
+def e3_mean_score(spark, sf):
+    scores = _prior_cv_spark(spark, sf, [0.0], N_REPEATS)[0.0]
+    return finish(spark.createDataFrame([(-float(np.mean(scores)),)], "mean_log_loss double"))
+
+
+def _params_sql(alpha_list):
+    return "CASE alpha " + " ".join(f"WHEN {a!r} THEN '{json.dumps({'alpha': a})}'" for a in alpha_list) + " END"
+
+
+@register("f1_rank_trials", S.rounded(_prior_cv_sql(PRIOR_ALPHAS, 1) + (
+    f"SELECT {_params_sql(PRIOR_ALPHAS)} AS params, avg(score) AS mean_test_score, "
+    "CAST(rank() OVER (ORDER BY avg(score) DESC) AS INTEGER) AS rank_test_score FROM scores GROUP BY alpha"),
+    ["mean_test_score"]))
+def f1_rank_trials(spark, sf):
+    res = _prior_cv_spark(spark, sf, PRIOR_ALPHAS, 1)
+    rows = [(json.dumps({"alpha": a}), float(np.mean(s))) for a, s in res.items()]
+    return finish(rank_trials(spark.createDataFrame(rows, "params string, mean_test_score double")))
+
+
+# ---------------------------------------------------------------- classifiers (rows check)
+
+@register("k1_lda")
+def k1_lda(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        model = Chain.fit(trl, lin, lambda d: LDA.fit(d, lin, voc.size))
+        return _wide(model, te, voc)
+
+
+@register("k2_qda")
+def k2_qda(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, quad, _ = _sets(fit)
+        model = Chain.fit(trl, quad, lambda d: QDA.fit(d, quad, voc.size))
+        return _wide(model, te, voc)
+
+
+@register("k3_logistic_multinomial")
+def k3_logistic_multinomial(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        return _wide(fit_softmax(trl, allf, voc.size, C=0.1), te, voc)
+
+
+@register("k4_logistic_ova")
+def k4_logistic_ova(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        return _wide(fit_ova(trl, lin, voc.size, LinearTask("log", alpha=0.1)), te, voc)
+
+
+@register("k5_modified_huber_ova")
+def k5_modified_huber_ova(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        return _wide(fit_ova(trl, lin, voc.size, LinearTask("modified_huber", alpha=0.01, fit_intercept=False)),
+                     te, voc)
+
+
+@register("k6_hinge_ova")
+def k6_hinge_ova(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        return _wide(calibrated_fit(trl, lin, voc.size, LinearTask("hinge", alpha=1.0)), te, voc)
+
+
+@register("k7_linear_svc_hinge")
+def k7_linear_svc_hinge(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        task = LinearTask("hinge", C=0.1, fit_intercept=False, class_weight="balanced")
+        return _wide(calibrated_fit(trl, lin, voc.size, task), te, voc)
+
+
+@register("k8_linear_svc_squared_hinge")
+def k8_linear_svc_squared_hinge(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        return _wide(calibrated_fit(trl, lin, voc.size, LinearTask("squared_hinge", C=0.01)), te, voc)
+
+
+def _nystroem(trl, lin, m=1000):
+    return Nystroem.fit(trl, lin, gamma=1e-4, n_components=m)
+
+
+@register("k9_rbf_svm")
+def k9_rbf_svm(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        ny = _nystroem(trl, lin)
+        model = calibrated_fit(trl, lin, voc.size, LinearTask("hinge", alpha=1e-3), featurize=ny, dim=ny.dim,
+                               standardize=False)
+        return _wide(model, te, voc)
+
+
+@register("k10_calibrate_sigmoid")
+def k10_calibrate_sigmoid(spark, sf):
+    """Platt parameters (a, b) per calibration member and class of the K6 model."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        model = calibrated_fit(trl, lin, voc.size, LinearTask("hinge", alpha=1.0))
+    rows = [(i, voc.levels[k], float(m.calib[k, 0]), float(m.calib[k, 1]))
+            for i, m in enumerate(model.members) for k in range(voc.size)]
+    return finish(spark.createDataFrame(rows, "member int, Category string, a double, b double"))
+
+
+@register("k11_random_forest")
+def k11_random_forest(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        return _wide(fit_forest(trl, allf, voc.size, n_trees=20, max_depth=12, min_leaf=7), te, voc)
+
+
+XGB = dict(max_depth=12, eta=0.05, gamma=0.75, min_child_weight=3, subsample=0.75, colsample=0.8,
+           reg_alpha=5, reg_lambda=1.8, seed=SEED)
+LGBM = dict(growth="leafwise", num_leaves=150, max_depth=64, eta=0.19994, min_child_samples=25,
+            reg_alpha=0.616, reg_lambda=0.664, colsample=0.873, min_child_weight=1e-3, seed=SEED)
+CATB = dict(growth="symmetric", max_depth=6, eta=0.01, reg_lambda=5, seed=SEED)
+
+
+@register("k12_boosted_trees_depthwise")
+def k12_boosted_trees_depthwise(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=1, **XGB))[0], te, voc)
+
+
+@register("k13_boosted_trees_leafwise")
+def k13_boosted_trees_leafwise(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, **LGBM))[0], te, voc)
+
+
+@register("k14_boosted_trees_symmetric")
+def k14_boosted_trees_symmetric(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=3, **CATB))[0], te, voc)
+
+
+@register("k15_predict_outputs")
+def k15_predict_outputs(spark, sf):
+    """Probability, class and raw score (margins) of a boosted model per test row."""
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        model = fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]
+        from ..models.base import map_probabilities
+        raw_scores = map_probabilities(te, allf, ["Id"], model.margins, output="rawPrediction")
+        top = F.array_max("rawPrediction")
+        expd = F.transform("rawPrediction", lambda x: F.exp(x - top))
+        total = F.aggregate(expd, F.lit(0.0), lambda acc, x: acc + x)
+        names = F.array(*[F.lit(v) for v in voc.levels])
+        best = F.array_position(F.col("rawPrediction"), top) - 1
+        return raw_scores.select("Id", F.transform(expd, lambda x: x / total).alias("probability"),
+                                 names[best.cast("int")].alias("prediction"), "rawPrediction")
+
+
+# ---------------------------------------------------------------- learned transform I2
+
+@register("i2_nystroem")
+def i2_nystroem(spark, sf):
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        ny = _nystroem(trl, lin)
+    from ..models.base import map_probabilities
+    return map_probabilities(te, lin, ["Id"], ny, output="components")
+
+
+# ---------------------------------------------------------------- selection (rows check)
+
+@register("j2_cross_val_score")
+def j2_cross_val_score(spark, sf):
+    """LDA chain (scaler refitted inside each fold), 2 folds x 5 repeats."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        data = cached(repeated_folds(trl, 2, N_REPEATS, SEED, "label"))
+        try:
+            res = cross_val_score(data, [f"fold_{r}" for r in range(N_REPEATS)],
+                                  lambda d: Chain.fit(d, lin, lambda s: LDA.fit(s, lin, voc.size)))
+        finally:
+            data.unpersist()
+    return finish(spark.createDataFrame(res, "repeat int, fold int, score double"))
+
+
+@register("j3_grid_search")
+def j3_grid_search(spark, sf):
+    """Logistic one-vs-rest grid: penalty x intercept x alpha (16 settings x 2 folds in shared passes)."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("log", penalty=["l2", "l1"], fit_intercept=[True, False], alpha=[1e-4, 1e-3, 1e-2, 1e-1])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, max_iter=60))
+
+
+@register("j3b_grid_search_calibrated")
+def j3b_grid_search_calibrated(spark, sf):
+    """Calibrated linear SVC grid: C x class_weight x intercept (8 settings x 2 folds x 2 inner folds)."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("hinge", C=[1e-2, 1e-1], class_weight=[None, "balanced"], fit_intercept=[True, False])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True, max_iter=60))
+
+
+def _boost_cv(spark, trl, allf, voc):
+    return boost_cv(spark, trl, allf, voc.size, BoostParams(n_rounds=4, max_depth=4, eta=0.3,
+                                                             early_stopping_rounds=2))
+
+
+@register("j4_boost_cv")
+def j4_boost_cv(spark, sf):
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        return finish(cached(_boost_cv(spark, trl, allf, voc)))
+
+
+@register("e4_best_round")
+def e4_best_round(spark, sf):
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        return finish(best_round(cached(_boost_cv(spark, trl, allf, voc))))
+
+
+XGB_SPACE = {
+    "max_depth": ("choice", [2, 3, 4]),
+    "subsample": ("quniform", 0.6, 0.8, 0.05),
+    "colsample": ("quniform", 0.7, 0.9, 0.05),
+    "eta": ("quniform", 0.2, 0.4, 0.05),
+    "min_child_weight": ("quniform", 2, 4, 1),
+    "reg_alpha": ("quniform", 0, 1, 0.5),
+    "gamma": ("quniform", 0.0, 0.5, 0.05),
+    "reg_lambda": ("quniform", 1.5, 2, 0.1),
+}
+
+
+def _search(spark, sf, log_path):
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        data = cached(stratified_folds(trl, 2, SEED, "label"))
+
+        def objective(params):
+            log = []
+            fit_boost(data, allf, voc.size, BoostParams(n_rounds=3, early_stopping_rounds=2, **params),
+                      grp="fold", n_models=2, round_log=log)
+            per_round = {}
+            for _, r, l in log:
+                per_round.setdefault(r, []).append(l)
+            means = {r: float(np.mean(v)) for r, v in per_round.items()}
+            r_best = min(means, key=means.get)
+            return means[r_best], r_best + 1
+
+        try:
+            return random_search(spark, XGB_SPACE, 2, objective, log_path)
+        finally:
+            data.unpersist()
+
+
+@register("j5_random_search")
+def j5_random_search(spark, sf):
+    path = staging_dir(spark, "trials")
+    best = _search(spark, sf, path)
+    return spark.createDataFrame([(json.dumps(best, sort_keys=True),)], "best_params string")
+
+
+@register("a4_trial_log")
+def a4_trial_log(spark, sf):
+    path = staging_dir(spark, "trials")
+    _search(spark, sf, path)
+    return read_trials(spark, path)
+
+
+@register("j7_oob_log_loss")
+def j7_oob_log_loss(spark, sf):
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        votes = cached(oob_votes(trl, allf, voc.size, n_trees=6, max_depth=10, min_leaf=7))
+        loss = log_loss(votes)
+        n = votes.count()
+        votes.unpersist()
+    return finish(spark.createDataFrame([(float(loss), int(n))], "log_loss double, rows long"))
+
+
+@register("c10_not_nan_rows")
+def c10_not_nan_rows(spark, sf):
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        votes = cached(oob_votes(trl, allf, voc.size, n_trees=4, max_depth=8, min_leaf=7))
+        return votes.filter(F.col("votes") > 0).select("Id").distinct()
+
+
+@register("j8_best_score")
+def j8_best_score(spark, sf):
+    """Training log loss of the boosted model (the 'best score' report)."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        model = fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]
+        loss = log_loss(model.transform(trl, keep=("Id", "label")))
+    return finish(spark.createDataFrame([("train", "MultiClass", float(loss))], "split string, metric string, value double"))
+
+
+@register("j9_chained_fit")
+def j9_chained_fit(spark, sf):
+    """Scaler + QDA chain fitted on fold 0 rows only, scored on fold 1 rows."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, quad, _ = _sets(fit)
+        data = stratified_folds(trl, 2, SEED, "label")
+        model = Chain.fit(data.filter("fold = 0"), quad, lambda d: QDA.fit(d, quad, voc.size))
+        return finish(to_wide(model.transform(data.filter("fold = 1"), keep=("Id",)), voc.levels))
+
+
+@register("a5_save_load")
+def a5_save_load(spark, sf):
+    """Boosted model persisted as JSON in the shared folder, reloaded, used to score."""
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        _, _, allf = _sets(fit)
+        model = fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, max_depth=3, eta=0.3))[0]
+    path = staging_dir(spark, "model")
+    spark.createDataFrame([(json.dumps(model.to_json()),)], "model string").coalesce(1).write.mode("overwrite").text(path)
+    text = spark.read.text(path).first()[0]
+    again = BoostModel.from_json(json.loads(text))
+    return _wide(again, te, voc)
+
+
+# ---------------------------------------------------------------- reports
+
+def _model_scores(spark, sf):
+    """Measured validation log loss and fit time of several models on fold 1 (trained on fold 0)."""
+    out = []
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, quad, allf = _sets(fit)
+        data = cached(stratified_folds(trl, 2, SEED, "label"))
+        trn, val = data.filter("fold = 0"), data.filter("fold = 1")
+        fits = [
+            ("Class prior", lambda: ClassPrior.fit(trn, voc.size)),
+            ("LDA", lambda: Chain.fit(trn, lin, lambda d: LDA.fit(d, lin, voc.size))),
+            ("QDA", lambda: Chain.fit(trn, quad, lambda d: QDA.fit(d, quad, voc.size))),
+            ("Boosted trees", lambda: fit_boost(trn, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]),
+        ]
+        for name, fn in fits:
+            t0 = time.time()
+            m = fn()
+            secs = time.time() - t0
+            p = m.transform(val) if isinstance(m, ClassPrior) else m.transform(val, keep=("Id", "label"))
+            out.append((name, float(log_loss(p)), float(secs)))
+        data.unpersist()
+    return out
+
+
+@register("f4_order_models")
+def f4_order_models(spark, sf):
+    df = spark.createDataFrame(_model_scores(spark, sf), "model string, log_loss double, time double")
+    return finish(df.orderBy(F.desc("log_loss")))
+
+
+@register("l1_model_report")
+def l1_model_report(spark, sf):
+    df = spark.createDataFrame(_model_scores(spark, sf), "model string, log_loss double, time double")
+    return finish(df.withColumn("log_time", F.log("time")).orderBy(F.desc("log_loss")))
