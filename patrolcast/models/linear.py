@@ -14,9 +14,10 @@ semantics: the scaler never sees held-out rows).
 Objective per class k: (1/n) sum_i w_i L(y_ik z_ik) + lambda R(w_k), with
 y_ik = +-1, z = w.x + b, R = 1/2 ||w||^2 (l2) or ||w||_1 (l1); the intercept
 is not penalised. ``alpha`` (SGD) maps to lambda directly, ``C`` (SVC) to
-lambda = 1/(C n). Minimised by FISTA (accelerated proximal gradient) with step
-1/L, where L comes from the exact largest eigenvalue of the task's
-standardised Gram matrix (one pre-pass). The hinge is smoothed over a margin
+lambda = 1/(C n). L2 tasks are minimised by L-BFGS with Armijo backtracking; L1
+tasks by FISTA (accelerated proximal gradient) with step 1/L, where L comes
+from the exact largest eigenvalue of the task's standardised Gram matrix (one
+pre-pass). The hinge is smoothed over a margin
 band of width ``mu`` (Nesterov smoothing) so the same solver applies; the
 optimum's loss moves by at most mu/2 per row.
 """
@@ -195,11 +196,9 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
         m[list(range(n_groups)) if t.train_groups is None else list(t.train_groups)] = True
         masks.append(m)
         t._n = n  # rows used for the mean
-    theta = [np.zeros((K, d + 1)) for _ in tasks]
-    ymom = [th.copy() for th in theta]
-    tk = [1.0] * T
+    solvers = [(_Lbfgs if t.penalty == "l2" else _Fista)((K, d + 1), Ls[i], lams[i], t.penalty, t.fit_intercept, tol)
+               for i, t in enumerate(tasks)]
     active = list(range(T))
-    iters = [0] * T
     means_a, scales_a, cws_a, masks_a = np.array(means), np.array(scales), np.array(cws), np.array(masks)
     losses = [t.loss for t in tasks]
     mus = [t.mu for t in tasks]
@@ -207,7 +206,8 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
         if not active:
             break
         act = list(active)
-        pts = np.array([ymom[t] for t in act])   # (A, K, d+1)
+        pts = np.array([solvers[t].point() for t in act])   # (A, K, d+1)
+        width = K * (d + 2)
 
         def part(b, act=act, pts=pts):
             X = arrow_matrix(b, cols)
@@ -215,7 +215,7 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
                 X = featurize(X)
             y = arrow_vector(b, label, np.int64)
             g = arrow_vector(b, grp, np.int64)
-            out = np.zeros((len(act), K, d + 1))
+            out = np.zeros((len(act), K, d + 2))
             for a, t in enumerate(act):
                 rows = masks_a[t][g]
                 if not rows.any():
@@ -224,35 +224,142 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
                 ys = y[rows]
                 Y = np.where(ys[:, None] == np.arange(K)[None, :], 1.0, -1.0)
                 Z = Xs @ pts[a, :, :d].T + pts[a, :, d]
-                _, dl = loss_grad(losses[t], Y * Z, mus[t])
-                G = Y * dl * cws_a[t][ys][:, None]
+                lv, dl = loss_grad(losses[t], Y * Z, mus[t])
+                w = cws_a[t][ys][:, None]
+                G = Y * dl * w
                 out[a, :, :d] = G.T @ Xs
                 out[a, :, d] = G.sum(axis=0)
+                out[a, :, d + 1] = (lv * w).sum(axis=0)
             return out.ravel()
 
-        grads = partial_sums(data, len(act) * K * (d + 1), part).reshape(len(act), K, d + 1)
+        res = partial_sums(data, len(act) * width, part).reshape(len(act), K, d + 2)
         still = []
         for a, t in enumerate(act):
-            task, L, lam = tasks[t], Ls[t], lams[t]
-            g = grads[a] / max(task._n, 1)
-            if task.penalty == "l2":
-                g[:, :d] += lam * ymom[t][:, :d]
-            new = ymom[t] - g / L
-            if task.penalty == "l1":
-                w = new[:, :d]
-                new[:, :d] = np.sign(w) * np.maximum(np.abs(w) - lam / L, 0.0)
-            if not task.fit_intercept:
-                new[:, d] = 0.0
-            t_new = (1 + math.sqrt(1 + 4 * tk[t] ** 2)) / 2
-            step = new - theta[t]
-            ymom[t] = new + ((tk[t] - 1) / t_new) * step
-            theta[t], tk[t] = new, t_new
-            iters[t] = it + 1
-            if np.abs(step).max() > tol * max(1.0, np.abs(new).max()):
+            n = max(tasks[t]._n, 1)
+            if not solvers[t].update(res[a, :, -1].sum() / n, res[a, :, :d + 1] / n, it):
                 still.append(t)
         active = still
-    return [FittedTask(t, means[i], scales[i], theta[i][:, :d].copy(), theta[i][:, d].copy(), iters[i],
-                       featurize=featurize) for i, t in enumerate(tasks)]
+    return [FittedTask(t, means[i], scales[i], solvers[i].x[:, :d].copy(), solvers[i].x[:, d].copy(),
+                       solvers[i].n_iter, featurize=featurize) for i, t in enumerate(tasks)]
+
+
+class _Solver:
+    """Per-task optimiser state; ``update(f, g)`` takes the data loss and gradient
+    at ``point()`` (penalty excluded) and returns True when converged."""
+
+    def __init__(self, shape, L, lam, penalty, fit_intercept, tol):
+        self.x = np.zeros(shape)
+        self.L, self.lam, self.penalty, self.fit_intercept, self.tol = L, lam, penalty, fit_intercept, tol
+        self.n_iter = 0
+        self.free = np.ones(shape, dtype=bool)
+        if not fit_intercept:
+            self.free[:, -1] = False
+
+    def _penalised(self, x, f, g):
+        w = x[:, :-1]
+        if self.penalty == "l2":
+            f = f + 0.5 * self.lam * float((w * w).sum())
+            g = g.copy()
+            g[:, :-1] += self.lam * w
+        return f, np.where(self.free, g, 0.0)
+
+
+class _Fista(_Solver):
+    """Accelerated proximal gradient, step 1/L (used for the L1 penalty)."""
+
+    def __init__(self, *a):
+        super().__init__(*a)
+        self.y = self.x.copy()
+        self.t = 1.0
+
+    def point(self):
+        return self.y
+
+    def update(self, f, g, it):
+        _, g = self._penalised(self.y, f, g)
+        new = self.y - g / self.L
+        if self.penalty == "l1":
+            w = new[:, :-1]
+            new[:, :-1] = np.sign(w) * np.maximum(np.abs(w) - self.lam / self.L, 0.0)
+        new = np.where(self.free, new, 0.0)
+        t_new = (1 + math.sqrt(1 + 4 * self.t ** 2)) / 2
+        step = new - self.x
+        self.y = new + ((self.t - 1) / t_new) * step
+        self.x, self.t = new, t_new
+        self.n_iter = it + 1
+        return np.abs(step).max() <= self.tol * max(1.0, np.abs(new).max())
+
+
+class _Lbfgs(_Solver):
+    """Limited-memory BFGS with Armijo backtracking (smooth L2 objectives).
+
+    Every evaluation is one shared data pass; a rejected trial point costs one
+    more pass at a shorter step."""
+
+    def __init__(self, *a, memory: int = 10):
+        super().__init__(*a)
+        self.m = memory
+        self.S, self.Y = [], []
+        self.trial = self.x.copy()
+        self.f = None
+        self.g = None
+        self.p = None
+        self.alpha = 1.0
+
+    def point(self):
+        return self.trial
+
+    def _direction(self, g):
+        q = g.ravel().copy()
+        alphas = []
+        for s, y in reversed(list(zip(self.S, self.Y))):
+            rho = 1.0 / float(y @ s)
+            a = rho * float(s @ q)
+            alphas.append((rho, a, s, y))
+            q -= a * y
+        if self.S:
+            s, y = self.S[-1], self.Y[-1]
+            q *= float(s @ y) / float(y @ y)
+        else:
+            q /= self.L
+        for rho, a, s, y in reversed(alphas):
+            b = rho * float(y @ q)
+            q += (a - b) * s
+        return -q.reshape(g.shape)
+
+    def update(self, f, g, it):
+        f, g = self._penalised(self.trial, f, g)
+        self.n_iter = it + 1
+        if self.f is None:
+            self.f, self.g = f, g
+            self.p = self._direction(g)
+            self.alpha = 1.0
+            self.trial = self.x + self.alpha * self.p
+            return float(np.abs(g).max()) == 0.0
+        slope = float((self.g * self.p).sum())
+        if f <= self.f + 1e-4 * self.alpha * slope or self.alpha < 1e-10:
+            s = (self.trial - self.x).ravel()
+            y = (g - self.g).ravel()
+            done = abs(self.f - f) <= self.tol * max(1.0, abs(f)) or float(np.abs(g).max()) <= self.tol * 1e-2
+            if float(y @ s) > 1e-12:
+                self.S.append(s)
+                self.Y.append(y)
+                if len(self.S) > self.m:
+                    self.S.pop(0)
+                    self.Y.pop(0)
+            self.x, self.f, self.g = self.trial, f, g
+            if done or self.alpha < 1e-10:
+                return True
+            self.p = self._direction(g)
+            if float((g * self.p).sum()) >= 0:  # not a descent direction: restart
+                self.S.clear()
+                self.Y.clear()
+                self.p = self._direction(g)
+            self.alpha = 1.0
+        else:
+            self.alpha *= 0.5
+        self.trial = self.x + self.alpha * self.p
+        return False
 
 
 @dataclass

@@ -3,9 +3,9 @@
 test rows (trap T5).
 
 ``main_clean`` applies all of them in one ``select`` so Catalyst sees a single
-narrow projection (one whole-stage-codegen span, no shuffle). The only data
-pass of the fit is one global aggregate (means, variances, covariance) plus one
-distinct over the district column.
+narrow projection (one whole-stage-codegen span, no shuffle). The fit is one
+grouped aggregate (per district: shifted moments of X and Y), whose keys give
+the vocabulary and whose sums give the PCA moments.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import PATROL_DIVISION, PERIOD_COLUMNS, ROTATION_ANGLES, YEAR_GROUP_COLUMNS
+from ..fixed import MAX_X, MAX_Y, MIN_X, MIN_Y, PATROL_DIVISION, PERIOD_COLUMNS, ROTATION_ANGLES, YEAR_GROUP_COLUMNS
 from ..functions.calendar import encode_cyclic, fractional_hour, period_flags, weekday, year_group_flags
 from ..functions.geo import bearing, nearest_point
 from ..functions.scalar import atan_ratio, contains_flag, rotate
@@ -107,14 +107,27 @@ class FeatureFit:
 
     @classmethod
     def fit(cls, train: DataFrame) -> "FeatureFit":
-        vocab = [r[0] for r in train.select("PdDistrict").where(F.col("PdDistrict").isNotNull())
-                 .distinct().limit(MAX_VOCAB + 1).collect()]
+        """One grouped aggregate: per district, the (shifted) first and second
+        moments of X, Y. The district keys are the vocabulary; the moments add
+        up to the global PCA moments (shift = centre of the city box, so the
+        sums of squares keep their precision)."""
+        cx, cy = (MIN_X + MAX_X) / 2, (MIN_Y + MAX_Y) / 2
+        ok = F.col("X").isNotNull() & F.col("Y").isNotNull()
+        dx = F.when(ok, F.col("X") - cx)
+        dy = F.when(ok, F.col("Y") - cy)
+        rows = (train.groupBy("PdDistrict").agg(
+            F.count(dx).alias("n"), F.sum(dx).alias("sx"), F.sum(dy).alias("sy"), F.sum(dx * dx).alias("sxx"),
+            F.sum(dy * dy).alias("syy"), F.sum(dx * dy).alias("sxy")).limit(MAX_VOCAB + 2).collect())
+        vocab = [r["PdDistrict"] for r in rows if r["PdDistrict"] is not None]
         if len(vocab) > MAX_VOCAB:
             raise ValueError("district vocabulary too large")
-        m = train.where(F.col("X").isNotNull() & F.col("Y").isNotNull()).agg(
-            F.avg("X").alias("mx"), F.avg("Y").alias("my"), F.var_samp("X").alias("vx"),
-            F.var_samp("Y").alias("vy"), F.covar_samp("X", "Y").alias("cxy")).first()
-        pca = PcaFit(m["mx"], m["my"], PcaFit.axes(m["vx"], m["vy"], m["cxy"]))
+        tot = {k: sum((r[k] or 0.0) for r in rows) for k in ("n", "sx", "sy", "sxx", "syy", "sxy")}
+        n = tot["n"]
+        mx, my = tot["sx"] / n, tot["sy"] / n
+        vx = (tot["sxx"] - n * mx * mx) / (n - 1)
+        vy = (tot["syy"] - n * my * my) / (n - 1)
+        cxy = (tot["sxy"] - n * mx * my) / (n - 1)
+        pca = PcaFit(cx + mx, cy + my, PcaFit.axes(vx, vy, cxy))
         return cls(sorted(vocab), pca)
 
     def to_dict(self) -> dict:
