@@ -48,9 +48,10 @@ def exact_ranks(df: DataFrame, strata: list[str], key: str = "Id", seed: int = S
         return df.withColumn("_h", h).withColumn(out, F.row_number().over(w) - 1).drop("_h")
     # bucket count per stratum as a literal map keyed by the stratum struct
     kv = []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for k, v in buckets.items():
-        kv += [F.struct(*[F.lit(x) for x in k]), F.lit(v)]
-    nb = F.create_map(*kv)[F.struct(*[F.col(s) for s in strata])]
+        kv += [F.struct(*[F.lit(x).cast(types[s]).alias(s) for x, s in zip(k, strata)]), F.lit(v)]
+    nb = F.create_map(*kv)[F.struct(*[F.col(s).alias(s) for s in strata])]
     salted = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), nb))
     w = Window.partitionBy(*strata, "_b").orderBy(F.col("_h"), F.col(key))
     local = salted.withColumn("_r", F.row_number().over(w) - 1)

@@ -82,7 +82,9 @@ def read_zipped_csv(spark: SparkSession, path_glob: str, member: str,
                                 if isinstance(t, (T.LongType, T.IntegerType)):
                                     out[n] = pd.to_numeric(out[n]).astype("Int64")
                                 elif isinstance(t, T.DoubleType):
-                                    out[n] = pd.to_numeric(out[n]).astype("float64")
+                                    txt = out[n].astype("string")
+                                    nan = txt.str.lower().isin(["nan", "-nan"]).fillna(False)
+                                    out[n] = pd.to_numeric(txt.mask(nan, None)).astype("float64")
                                 elif isinstance(t, (T.TimestampNTZType, T.TimestampType)):
                                     out[n] = pd.to_datetime(out[n])
                             yield out
