@@ -52,16 +52,5 @@ QUADRATIC_DROP = ["2003-2005", "2013-2016", "0000-0559", "1800-2359", "0600-1759
                   "PdDistrict_NORTHERN", "PdDistrict_PARK", "PdDistrict_RICHMOND", "PdDistrict_SOUTHERN",
                   "PdDistrict_TARAVAL", "PdDistrict_TENDERLOIN"]
 
-# --- fixed values: published scores (model, test log loss, validation log loss, time) ---
-MODEL_SCORES = [
-    ("Logistic SGD", 2.63452, 2.62686, 18.36),
-    ("Logistic SAG", 2.51241, 2.51170, 72.44),
-    ("Huber SGD", 3.62403, 3.62533, 18.39),
-    ("LDA", 2.53357, 2.53265, 25.0),
-    ("XGBoost", 2.24266, 2.23738, 16648.21),
-    ("CatBoost", 2.27116, 2.19239, 16200.0),
-    ("LightGBM", 2.27000, 2.25000, 10000.0),
-]
-
 # --- fixed values: seed used throughout the scripts ---
 SEED = 2019

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_matrix, arrow_vector, map_probabilities, partial_sums
+from .base import arrow_matrix, arrow_vector, cached, map_probabilities, partial_sums
 
 CURVATURE = {"log": 0.25, "modified_huber": 2.0, "squared_hinge": 2.0}
 
@@ -158,14 +158,28 @@ class FittedTask:
 def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[LinearTask], n_groups: int = 1,
               label: str = "label", grp: str = "grp", max_iter: int = 100, tol: float = 1e-4,
               stats: GroupStats | None = None, featurize=None, dim: int | None = None,
-              standardize: bool = True) -> list[FittedTask]:
+              standardize: bool = True, persist: bool = True) -> list[FittedTask]:
     """Fit every task; ``df`` must hold ``cols``, ``label`` (0..K-1) and ``grp`` (0..G-1).
 
     ``featurize`` maps raw input rows to model inputs inside each pass (recomputed,
-    never materialised); ``standardize=False`` skips the per-task scaler.
+    never materialised); ``standardize=False`` skips the per-task scaler;
+    ``persist`` caches the projected input for the iterations (off when the
+    caller already holds it cached).
     """
     K, d, T = n_classes, (dim or len(cols)), len(tasks)
     data = df.select(*[F.col(f"`{c}`") for c in cols], label, grp)
+    if persist:
+        data = cached(data)
+    try:
+        return _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol, stats, featurize, dim,
+                          standardize)
+    finally:
+        if persist:
+            data.unpersist()
+
+
+def _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol, stats, featurize, dim,
+               standardize) -> list[FittedTask]:
     st = stats or group_stats(data, cols, K, n_groups, label, grp, featurize, dim)
     means, scales, lams, Ls, cws, masks = [], [], [], [], [], []
     for t in tasks:
@@ -409,7 +423,7 @@ def fit_softmax(df: DataFrame, cols: list[str], n_classes: int, C: float = 0.1,
                 max_iter: int = 100, tol: float = 1e-4) -> SoftmaxModel:
     """K3: MLlib multinomial LogisticRegression on standardised features.
 
-    sklearn's C maps to ``regParam = 1 / (C n)`` (L2, ``elasticNetParam=0``);
+    The SVC-style C maps to ``regParam = 1 / (C n)`` (L2, ``elasticNetParam=0``);
     the scaler is our own population-std scaler, so MLlib's internal
     standardisation is switched off.
     """

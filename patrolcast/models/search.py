@@ -84,7 +84,7 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
                 else:
                     tasks.append(dataclasses.replace(base, train_groups=[fo for fo in range(n_splits) if fo != f]))
                     index.append((p, f, 0))
-        fitted = fit_tasks(data, cols, n_classes, tasks, G, label, "grp", max_iter, tol, stats)
+        fitted = fit_tasks(data, cols, n_classes, tasks, G, label, "grp", max_iter, tol, stats, persist=False)
         if calibrated:
             calib = [[fo * cv_inner + i for fo in range(n_splits) if fo != f] for (_, f, i) in index]
             platt(data, cols, n_classes, fitted, calib, G, stats, label, "grp")

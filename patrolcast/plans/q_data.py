@@ -80,6 +80,12 @@ def a3_write_probabilities(spark, sf):
     return finish(read_probabilities(spark, path, CLASSES))
 
 
+@register("c8_insert_and_rename", S.rounded(_prior_wide_sql(), CLASSES))
+def c8_insert_and_rename(spark, sf):
+    """Class-prior probabilities of every test row: Id first, one column per class name."""
+    return finish(_prior_wide(spark, sf))
+
+
 @register("a6_preview", _sql("SELECT * FROM incidents ORDER BY Id LIMIT 10", ["X", "Y"]))
 def a6_preview(spark, sf):
     return finish(raw(spark, sf).orderBy("Id").limit(10))

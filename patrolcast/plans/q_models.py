@@ -287,32 +287,32 @@ def k11_random_forest(spark, sf):
         return _wide(fit_forest(trl, allf, voc.size, n_trees=20, max_depth=12, min_leaf=7), te, voc)
 
 
-XGB = dict(max_depth=12, eta=0.05, gamma=0.75, min_child_weight=3, subsample=0.75, colsample=0.8,
+DEPTHWISE = dict(max_depth=12, eta=0.05, gamma=0.75, min_child_weight=3, subsample=0.75, colsample=0.8,
            reg_alpha=5, reg_lambda=1.8, seed=SEED)
-LGBM = dict(growth="leafwise", num_leaves=150, max_depth=64, eta=0.19994, min_child_samples=25,
+LEAFWISE = dict(growth="leafwise", num_leaves=150, max_depth=64, eta=0.19994, min_child_samples=25,
             reg_alpha=0.616, reg_lambda=0.664, colsample=0.873, min_child_weight=1e-3, seed=SEED)
-CATB = dict(growth="symmetric", max_depth=6, eta=0.01, reg_lambda=5, seed=SEED)
+SYMMETRIC = dict(growth="symmetric", max_depth=6, eta=0.01, reg_lambda=5, seed=SEED)
 
 
 @register("k12_boosted_trees_depthwise")
 def k12_boosted_trees_depthwise(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=1, **XGB))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=1, **DEPTHWISE))[0], te, voc)
 
 
 @register("k13_boosted_trees_leafwise")
 def k13_boosted_trees_leafwise(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, **LGBM))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, **LEAFWISE))[0], te, voc)
 
 
 @register("k14_boosted_trees_symmetric")
 def k14_boosted_trees_symmetric(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=3, **CATB))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=3, **SYMMETRIC))[0], te, voc)
 
 
 @register("k15_predict_outputs")
@@ -396,7 +396,7 @@ def e4_best_round(spark, sf):
         return finish(best_round(cached(_boost_cv(spark, trl, allf, voc))))
 
 
-XGB_SPACE = {
+DEPTHWISE_SPACE = {
     "max_depth": ("choice", [2, 3, 4]),
     "subsample": ("quniform", 0.6, 0.8, 0.05),
     "colsample": ("quniform", 0.7, 0.9, 0.05),
@@ -425,7 +425,7 @@ def _search(spark, sf, log_path):
             return means[r_best], r_best + 1
 
         try:
-            return random_search(spark, XGB_SPACE, 2, objective, log_path)
+            return random_search(spark, DEPTHWISE_SPACE, 2, objective, log_path)
         finally:
             data.unpersist()
 
