@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 
 BLOCK = 8192
 # Direct collection of per-task partials is allowed up to this many doubles
-# (partitions x vector length); above it the blocks are reduced by a shuffle.
-DIRECT_LIMIT = 4_000_000
+# (partitions x vector length, 128 MB); above it the blocks are reduced by a
+# shuffle and only the reduced vector reaches the driver.
+DIRECT_LIMIT = 16_000_000
 
 
 def arrow_matrix(batch: pa.RecordBatch, cols: list[str]) -> np.ndarray:
@@ -84,9 +85,11 @@ def partial_sums(df: DataFrame, size: int, fn: Callable[[pa.RecordBatch], np.nda
     out = np.zeros(size)
     if df.rdd.getNumPartitions() * size <= DIRECT_LIMIT:
         # few partitions: one stage, the driver adds at most DIRECT_LIMIT numbers
-        for r in partials.collect():
-            i = r["block"]
-            v = np.asarray(r["vec"])
+        tbl = partials.toArrow()
+        blocks = tbl.column("block").to_numpy()
+        vecs = tbl.column("vec").combine_chunks()
+        for j, i in enumerate(blocks.tolist()):
+            v = vecs[j].values.to_numpy()
             out[i * block:i * block + len(v)] += v
         return out
     rows = partials.groupBy("block").agg(Summarizer.sum(array_to_vector("vec")).alias("s")).collect()
@@ -123,10 +126,22 @@ def softmax(Z: np.ndarray) -> np.ndarray:
     return E / E.sum(axis=1, keepdims=True)
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Materialised in memory (and disk on pressure) for iterative passes."""
+def spread(df: DataFrame, key: str = "Id") -> DataFrame:
+    """At least ``defaultParallelism`` partitions for a matrix that iterative fits
+    scan many times: small inputs (few file splits, partitions coalesced by AQE)
+    would otherwise keep most cores idle in every pass. Hash partitioning on the
+    key is deterministic, so a recomputed partition after executor loss holds
+    the same rows. Inputs that already have enough partitions are left as is."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if key in df.columns and df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
+def cached(df: DataFrame, key: str = "Id") -> DataFrame:
+    """Spread (see ``spread``) and materialised in memory, spilling to disk, for iterative passes."""
     from pyspark import StorageLevel
 
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = spread(df, key).persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out

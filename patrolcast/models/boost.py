@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .base import DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, list_array, map_probabilities, partial_sums, softmax
+from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, list_array, map_probabilities,
+                   partial_sums, softmax, spread)
 
 
 @dataclass
@@ -233,10 +234,13 @@ def _best_splits(hist: DataFrame, p: BoostParams, d: int, colmask: np.ndarray, s
     """
     if partial_doubles <= DIRECT_LIMIT:
         acc: dict = {}
-        for r in hist.collect():
-            key = (r["tree"], r["node"])
-            v = np.asarray(r["vec"])
-            acc[key] = acc[key] + v if key in acc else v
+        tbl = hist.toArrow()
+        if tbl.num_rows:
+            trees = tbl.column("tree").to_numpy()
+            nodes = tbl.column("node").to_numpy()
+            vecs = tbl.column("vec").combine_chunks().flatten().to_numpy().reshape(tbl.num_rows, -1)
+            for i, key in enumerate(zip(trees.tolist(), nodes.tolist())):
+                acc[key] = acc[key] + vecs[i] if key in acc else vecs[i].copy()
         rows = []
         if symmetric:
             by_tree: dict = {}
@@ -308,8 +312,7 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
     K, d, M, p = n_classes, len(cols), n_models, params
     binner = binner or Binner.fit(df, cols, p.max_bins)
     nb = binner.n_bins
-    data = _prepare(df, cols, binner, M, K, label, grp).cache()
-    data.count()
+    data = cached(_prepare(spread(df), cols, binner, M, K, label, grp))
     n_parts = data.rdd.getNumPartitions()
     bcols = [f"b{i}" for i in range(d)]
     models = [BoostModel(list(cols), binner, K, p) for _ in range(M)]
@@ -414,14 +417,16 @@ def _hist_pass(data: DataFrame, bcols, K, M, nb, rnd, p: BoostParams, slot: dict
                 if not use.any():
                     continue
                 rows = np.nonzero(use)[0]
-                sr = sl[rows]
-                base = sr * nb
-                for f in range(d):
-                    idx = base + B[rows, f]
-                    acc[t][:, f, :nb] += np.bincount(idx, weights=g[rows], minlength=len(s) * nb).reshape(len(s), nb)
-                    acc[t][:, f, nb:2 * nb] += np.bincount(idx, weights=h[rows],
-                                                           minlength=len(s) * nb).reshape(len(s), nb)
-                    acc[t][:, f, 2 * nb:] += np.bincount(idx, minlength=len(s) * nb).reshape(len(s), nb)
+                ns = len(s)
+                # one bincount per channel over the combined (feature, node, bin) index
+                idx = (np.arange(d)[None, :] * (ns * nb) + (sl[rows] * nb)[:, None] + B[rows]).ravel()
+                size = d * ns * nb
+                gh = np.empty((3, size))
+                gh[0] = np.bincount(idx, weights=np.repeat(g[rows], d), minlength=size)
+                gh[1] = np.bincount(idx, weights=np.repeat(h[rows], d), minlength=size)
+                gh[2] = np.bincount(idx, minlength=size)
+                # (3, d, ns, nb) -> (ns, d, 3 * nb)
+                acc[t] += gh.reshape(3, d, ns, nb).transpose(2, 1, 0, 3).reshape(ns, d, 3 * nb)
         tl, nl, vl = [], [], []
         for t, sl_ in slot.items():
             inv = {v: n for n, v in sl_.items()}

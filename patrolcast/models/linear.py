@@ -167,7 +167,7 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
     caller already holds it cached).
     """
     K, d, T = n_classes, (dim or len(cols)), len(tasks)
-    data = df.select(*[F.col(f"`{c}`") for c in cols], label, grp)
+    data = df.select(*[F.col(f"`{c}`") for c in cols], label, grp, *(["Id"] if "Id" in df.columns else []))
     if persist:
         data = cached(data)
     try:

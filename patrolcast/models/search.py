@@ -18,7 +18,7 @@ from ..fixed import SEED
 from ..operators.encode import StandardScaler
 from ..operators.selection import log_loss, rank_trials, stratified_folds
 from ..sources.sinks import append_trial
-from .base import arrow_matrix, arrow_vector, partial_sums
+from .base import arrow_matrix, arrow_vector, cached, partial_sums
 from .boost import BoostParams, fit_boost
 from .calibration import platt
 from .linear import LinearTask, fit_tasks, group_stats
@@ -69,7 +69,7 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
         G = n_splits * cv_inner
     else:
         data = data.withColumn("grp", F.col("fold"))
-    data = data.select(*[F.col(f"`{c}`") for c in cols], label, "grp").cache()
+    data = cached(data.select(*[F.col(f"`{c}`") for c in cols], label, "grp", key), key)
     try:
         stats = group_stats(data, cols, n_classes, G, label, "grp")
         tasks, index = [], []
