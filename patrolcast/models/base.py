@@ -126,22 +126,25 @@ def softmax(Z: np.ndarray) -> np.ndarray:
     return E / E.sum(axis=1, keepdims=True)
 
 
-def spread(df: DataFrame, key: str = "Id") -> DataFrame:
-    """At least ``defaultParallelism`` partitions for a matrix that iterative fits
-    scan many times: small inputs (few file splits, partitions coalesced by AQE)
-    would otherwise keep most cores idle in every pass. Hash partitioning on the
-    key is deterministic, so a recomputed partition after executor loss holds
-    the same rows. Inputs that already have enough partitions are left as is."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if key in df.columns and df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
-    return df
-
-
 def cached(df: DataFrame, key: str = "Id") -> DataFrame:
-    """Spread (see ``spread``) and materialised in memory, spilling to disk, for iterative passes."""
+    """Materialised in memory (spilling to disk) for iterative passes, with at
+    least ``defaultParallelism`` partitions.
+
+    Small inputs (few file splits, partitions coalesced by AQE) would otherwise
+    keep most cores idle in every pass. The partition count is read from the
+    materialised cache (asking an un-executed adaptive plan for it would run its
+    shuffles); if it is too low the cache is re-spread by a hash of the key,
+    which is deterministic, so a partition recomputed after executor loss holds
+    the same rows. Inputs with enough partitions (any large input) are cached
+    as they are."""
     from pyspark import StorageLevel
 
-    out = spread(df, key).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if key in out.columns and out.rdd.getNumPartitions() < want:
+        wide = out.repartition(want, key).persist(StorageLevel.MEMORY_AND_DISK)
+        wide.count()
+        out.unpersist()
+        return wide
     return out

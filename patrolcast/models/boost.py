@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, list_array, map_probabilities,
-                   partial_sums, softmax, spread)
+                   partial_sums, softmax)
 
 
 @dataclass
@@ -312,7 +312,7 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
     K, d, M, p = n_classes, len(cols), n_models, params
     binner = binner or Binner.fit(df, cols, p.max_bins)
     nb = binner.n_bins
-    data = cached(_prepare(spread(df), cols, binner, M, K, label, grp))
+    data = cached(_prepare(df, cols, binner, M, K, label, grp))
     n_parts = data.rdd.getNumPartitions()
     bcols = [f"b{i}" for i in range(d)]
     models = [BoostModel(list(cols), binner, K, p) for _ in range(M)]

