@@ -23,6 +23,8 @@ from ..fixed import MAX_X, MAX_Y, MIN_X, MIN_Y
 
 # Upper bound on distinct districts collected as fitted state.
 MAX_DISTRICTS = 100_000
+# Largest set of outlier addresses that is broadcast to filter rows map-side.
+MAX_BROADCAST_ADDRESSES = 2_000_000
 
 
 def out_of_bounds(x="X", y="Y") -> Column:
@@ -43,15 +45,23 @@ def conditional_update(df: DataFrame, mask: Column, values: dict[str, Column]) -
 def address_replacements(df: DataFrame) -> DataFrame:
     """Per address, the coordinates of its in-bounds row with the lowest ``Id`` (D2 intent).
 
-    Restricted (left semi join) to addresses that have at least one outlier.
+    When the distinct outlier addresses are few (counted first, bounded by
+    ``MAX_BROADCAST_ADDRESSES``) they are broadcast and the optimizer applies
+    the semi join map-side, before the aggregate, so only rows of those
+    addresses are aggregated. Otherwise the aggregate runs over every in-bounds
+    address (map-side combine: one row per address per task) and the later
+    left join keeps only what outliers need; in-bounds rows are never shuffled
+    raw.
     """
     inb = df.filter(~out_of_bounds() & F.col("Address").isNotNull())
+    outlier_addr = df.filter(out_of_bounds() & F.col("Address").isNotNull()).select("Address").distinct()
+    n_addr = outlier_addr.limit(MAX_BROADCAST_ADDRESSES + 1).count()
+    if n_addr <= MAX_BROADCAST_ADDRESSES:
+        inb = inb.join(F.broadcast(outlier_addr), "Address", "left_semi")
     # two scalar min_by keep fixed-width buffers -> partial/final HashAggregate
     # (a struct buffer would force a sort-based aggregate); Id is unique, so
     # both pick the same row.
-    best = inb.groupBy("Address").agg(F.min_by("X", "Id").alias("_fx"), F.min_by("Y", "Id").alias("_fy"))
-    outlier_addr = df.filter(out_of_bounds()).select("Address")
-    return best.join(outlier_addr, "Address", "left_semi")
+    return inb.groupBy("Address").agg(F.min_by("X", "Id").alias("_fx"), F.min_by("Y", "Id").alias("_fy"))
 
 
 def repair_by_address(df: DataFrame) -> DataFrame:

@@ -76,3 +76,23 @@ def test_booster_distributed_split_search_equals_direct(spark, monkeypatch):
             mp.setattr(boost, "DIRECT_LIMIT", 0)
             m2 = boost.fit_boost(df, cols, 3, p, binner=m1.binner)[0]
         assert np.allclose(m1.predict_proba(X), m2.predict_proba(X), atol=1e-9)
+
+
+def test_repair_without_address_broadcast_equals_default(spark, monkeypatch):
+    import patrolcast.operators.repair as repair
+    from patrolcast.sources.incidents import incidents, train_rows
+    from conftest import SF_MID
+    tr = train_rows(incidents(spark, SF_MID)).select("Id", "PdDistrict", "Address", "X", "Y")
+    a = repair.repair_by_address(tr)
+    monkeypatch.setattr(repair, "MAX_BROADCAST_ADDRESSES", 0)
+    b = repair.repair_by_address(tr)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_landmarks_equal_global_ordered_limit(spark):
+    from patrolcast.models.kernel import _smallest_by_hash
+    from patrolcast.operators.selection import key_hash
+    df = spark.range(0, 20000).withColumnRenamed("id", "Id").withColumn("a", F.col("Id") * 0.5)
+    got = [r["Id"] for r in _smallest_by_hash(df, ["a"], "Id", 2019, 300)]
+    want = [r["Id"] for r in df.select("Id", key_hash("Id", 2019).alias("_h")).orderBy("_h", "Id").limit(300).collect()]
+    assert got == want
