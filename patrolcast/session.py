@@ -38,13 +38,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable by Python workers (once per application).
+
+    Batch maps and model closures reference this package's functions; workers do
+    not see the driver's ``sys.path``, so the package is zipped and added with
+    ``addPyFile`` (what ``--py-files`` does at submit time)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="patrolcast-pyfiles-"), "patrolcast.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library needs to an existing session."""
+    """Apply the settings the library needs to an existing session and ship the package."""
     for k, v in _REQUIRED.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
