@@ -28,10 +28,15 @@ HEADLINE = [
     ("qda", "k2_qda"),
     ("logistic_multinomial", "k3_logistic_multinomial"),
     ("logistic_ova", "k4_logistic_ova"),
+    ("modified_huber_ova", "k5_modified_huber_ova"),
     ("hinge_calibrated", "k6_hinge_ova"),
+    ("svc_hinge_calibrated", "k7_linear_svc_hinge"),
+    ("svc_squared_hinge_calibrated", "k8_linear_svc_squared_hinge"),
     ("grid_search", "j3_grid_search"),
     ("random_forest", "k11_random_forest"),
     ("boost_depthwise", "k12_boosted_trees_depthwise"),
+    ("boost_leafwise", "k13_boosted_trees_leafwise"),
+    ("boost_symmetric", "k14_boosted_trees_symmetric"),
     ("boost_cv", "j4_boost_cv"),
 ]
 
