@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import FeatureFit, main_clean
-from ..operators.repair import OutlierFit, handle_outliers
+from ..operators.fitting import fit_repair_and_features
+from ..operators.repair import OutlierFit, handle_outliers, repair_by_address, repair_by_district
 from ..session import checkpoint_dir, prepare
 from ..sources.incidents import incidents, test_rows, train_rows
 
@@ -59,8 +60,15 @@ def repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Ou
 
 
 def featured(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, FeatureFit]:
-    """Train (Id, Category, 37 features) and test (Id, 37 features); fits on train only."""
-    tr, te, _ = repaired(spark, sf_dir)
-    ftr, ffit = main_clean(tr)
+    """Train (Id, Category, 37 features) and test (Id, 37 features); fits on train only.
+
+    The repair and feature fits come from one fused aggregate over pass-1 output.
+    """
+    df = raw(spark, sf_dir)
+    passed = repair_by_address(train_rows(df).drop("Descript", "Resolution"))
+    ofit, ffit = fit_repair_and_features(passed)
+    tr = repair_by_district(passed, ofit)
+    te, _ = handle_outliers(test_rows(df), ofit)
+    ftr, _ = main_clean(tr, ffit)
     fte, _ = main_clean(te, ffit)
     return ftr, fte, ffit

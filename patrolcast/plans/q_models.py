@@ -46,12 +46,12 @@ PRIOR_ALPHAS = [0.0, 1.0, 10.0, 100.0]
 def _labelled(spark, sf):
     """Train rows with integer labels (cached for the fit), test rows, fit, vocabulary."""
     tr, te, fit = featured(spark, sf)
-    voc = Vocabulary.fit(tr, "Category")
-    trl = cached(voc.transform(tr))
+    feats = cached(tr)                       # the pipeline runs once; everything below reads the cache
     try:
-        yield trl, te, fit, voc
+        voc = Vocabulary.fit(feats, "Category")
+        yield voc.transform(feats), te, fit, voc
     finally:
-        trl.unpersist()
+        feats.unpersist()
 
 
 def _wide(model, te, voc):

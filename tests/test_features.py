@@ -118,3 +118,24 @@ def test_pca_fit_matches_numpy(spark):
     v1 = V[:, 1] * np.sign(V[np.argmax(np.abs(V[:, 1])), 1])
     assert fit.pca.components[0] == pytest.approx(list(v1), abs=1e-9)
     assert fit.pca.mean_x == pytest.approx(xs.mean())
+
+
+def test_fused_fit_equals_separate_fits(spark):
+    from patrolcast.operators.fitting import fit_repair_and_features
+    from patrolcast.sources.incidents import incidents, train_rows
+    from conftest import SF_MID
+    extra = [(900001, ts("2010-01-01 00:00:00"), "A", None, "zz", -120.5, 90.0),
+             (900002, ts("2010-01-01 00:00:00"), "A", "NOWHERE", "zz", -120.5, 90.0)]
+    base = train_rows(incidents(spark, SF_MID)).select("Id", "Dates", "Category", "PdDistrict", "Address", "X", "Y")
+    df = base.unionByName(frame(spark, extra))
+    passed = repair_by_address(df)
+    ofit, ffit = fit_repair_and_features(passed)
+    o2 = OutlierFit.fit(passed)
+    from patrolcast.operators.repair import repair_by_district
+    f2 = FeatureFit.fit(repair_by_district(passed, o2))
+    assert set(ofit.means) == set(o2.means)
+    for k in o2.means:
+        assert ofit.means[k] == pytest.approx(o2.means[k], rel=1e-12)
+    assert ffit.districts == f2.districts
+    assert ffit.pca.mean_x == pytest.approx(f2.pca.mean_x, rel=1e-12)
+    assert sum(ffit.pca.components, []) == pytest.approx(sum(f2.pca.components, []), abs=1e-9)
