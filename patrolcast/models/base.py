@@ -126,22 +126,25 @@ def softmax(Z: np.ndarray) -> np.ndarray:
     return E / E.sum(axis=1, keepdims=True)
 
 
-def cached(df: DataFrame, key: str = "Id") -> DataFrame:
-    """Materialised in memory (spilling to disk) for iterative passes, with at
-    least ``defaultParallelism`` partitions.
+def cached(df: DataFrame, key: str = "Id", max_factor: int = 4) -> DataFrame:
+    """Materialised in memory (spilling to disk) for iterative passes, with
+    between ``defaultParallelism`` and ``max_factor`` x that many partitions.
+
+    Every pass of an iterative fit returns one partial (gradient, histogram) per
+    task, so the per-pass traffic grows with the partition count: large inputs
+    are merged down (narrow ``coalesce``, no shuffle) to a few tasks per core.
 
     Small inputs (few file splits, partitions coalesced by AQE) would otherwise
     keep most cores idle in every pass. The partition count is read from the
     materialised cache (asking an un-executed adaptive plan for it would run its
     shuffles); if it is too low the cache is re-spread by a hash of the key,
     which is deterministic, so a partition recomputed after executor loss holds
-    the same rows. Inputs with enough partitions (any large input) are cached
-    as they are."""
+    the same rows."""
     from pyspark import StorageLevel
 
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
     want = df.sparkSession.sparkContext.defaultParallelism
+    out = df.coalesce(max_factor * want).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
     if key in out.columns and out.rdd.getNumPartitions() < want:
         wide = out.repartition(want, key).persist(StorageLevel.MEMORY_AND_DISK)
         wide.count()
