@@ -127,3 +127,37 @@ def test_nystroem_reproduces_kernel_on_landmarks(blobs):
     Phi = ny(L)
     Kmm = np.exp(-0.1 * ((ny.landmarks[:, None, :] - ny.landmarks[None, :, :]) ** 2).sum(-1))
     assert np.allclose(Phi @ Phi.T, Kmm, atol=1e-6)
+
+
+def test_same_seed_same_boosted_model(blobs):
+    df, X, y, cols, K = blobs
+    p = BoostParams(n_rounds=2, max_depth=3, subsample=0.7, colsample=0.5, seed=11)
+    a = fit_boost(df, cols, K, p)[0]
+    b = fit_boost(df.repartition(3), cols, K, p, binner=a.binner)[0]
+    assert np.allclose(a.predict_proba(X), b.predict_proba(X), atol=1e-12)
+
+
+def test_platt_on_separable_toy_is_monotone_and_sharp(spark):
+    rng = np.random.RandomState(5)
+    n = 600
+    y = rng.randint(0, 2, n)
+    X = np.c_[np.where(y == 1, 2.0, -2.0) + 0.3 * rng.randn(n), rng.randn(n)]
+    rows = [(i, int(y[i]), *map(float, X[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "Id long, label int, a double, b double")
+    model = calibrated_fit(df, ["a", "b"], 2, LinearTask("hinge", alpha=1e-2))
+    for m in model.members:
+        assert m.calib[1, 0] > 0          # larger margin -> larger probability of the class
+    P = model.predict_proba(X)
+    assert (P.argmax(1) == y).mean() > 0.99
+    assert log_loss(model.transform(df, keep=("Id", "label"))) < 0.1
+
+
+def test_fitted_state_ignores_scored_rows(spark):
+    from patrolcast.operators.encode import StandardScaler, Vocabulary
+    train = spark.createDataFrame([(1, "A", 1.0), (2, "B", 3.0)], "Id long, c string, x double")
+    test = spark.createDataFrame([(3, "C", 100.0)], "Id long, c string, x double")
+    sc = StandardScaler.fit(train, ["x"])
+    voc = Vocabulary.fit(train, "c")
+    out = voc.transform(sc.transform(test)).first()
+    assert sc.mean == [2.0] and sc.std == [1.0]
+    assert out.x == pytest.approx(98.0) and out.label == -1   # unseen level -> -1
