@@ -9,9 +9,12 @@ Data plan
 * One round grows one tree per class (softmax objective, g = p - y,
   h = max(2p(1-p), 1e-16)). Each tree **level** is one pass: every task emits
   partial gradient histograms only for the (tree, open node, feature) cells it
-  touched; ``groupBy(tree, node, feat)`` sums them (map-side combine), and
-  ``groupBy(tree, node).applyInPandas`` scans the bins for the best split, so
-  the driver receives one split per node, never histograms. Open nodes are
+  touched; ``groupBy(tree, node)`` sums them (map-side combine) and a batch
+  scan next to the data picks the best split, so the driver receives one split
+  per node, never histograms (small volumes are summed on the driver instead).
+  Only the smaller child of each split is histogrammed; its sibling is
+  ``parent - small`` (subtraction on the driver or by a join on the cluster),
+  which halves the histogram work and traffic per level. Open nodes are
   processed in chunks (``max_cells_per_pass``) to bound each pass.
 * After a round the margins are advanced by a narrow ``mapInArrow`` over the
   cached table; every ``checkpoint_every`` rounds the table is checkpointed to
@@ -173,9 +176,9 @@ class BoostModel:
         return m
 
 
-_SPLIT_COLS = ["tree", "node", "G", "H", "feat", "bin", "gain", "GL", "HL"]
+_SPLIT_COLS = ["tree", "node", "G", "H", "feat", "bin", "gain", "GL", "HL", "N", "CL"]
 _SPLIT_SCHEMA = ("tree int, node int, G double, H double, feat int, bin int, gain double, "
-                 "GL double, HL double")
+                 "GL double, HL double, N double, CL double")
 
 
 def _score(G, H, p: BoostParams):
@@ -195,9 +198,9 @@ def _node_split(tree: int, node: int, hist: np.ndarray, mask: np.ndarray, p: Boo
     gain = np.where(ok, gain, -np.inf)
     best = int(np.argmax(gain)) if gain.size else 0
     if gain.size == 0 or not np.isfinite(gain.flat[best]) or gain.flat[best] <= 0:
-        return [tree, node, G, H, -1, 0, 0.0, 0.0, 0.0]
+        return [tree, node, G, H, -1, 0, 0.0, 0.0, 0.0, N, 0.0]
     fi, bi = divmod(best, gain.shape[1])
-    return [tree, node, G, H, fi, bi, float(gain[fi, bi]), GL[fi, bi], HL[fi, bi]]
+    return [tree, node, G, H, fi, bi, float(gain[fi, bi]), GL[fi, bi], HL[fi, bi], N, CL[fi, bi]]
 
 
 def _tree_split(tree: int, nodes: list, hists: list, mask: np.ndarray, p: BoostParams) -> list:
@@ -214,45 +217,71 @@ def _tree_split(tree: int, nodes: list, hists: list, mask: np.ndarray, p: BoostP
               & (N - CL >= p.min_child_samples))
         total = gain if total is None else total + gain
         valid = ok if valid is None else valid & ok
-        stats.append((G, H, GL, HL))
+        stats.append((G, H, GL, HL, N, CL))
     total = np.where(valid & mask[:, None], total - p.gamma * len(nodes), -np.inf)
     best = int(np.argmax(total))
     fi, bi = divmod(best, total.shape[1])
     good = np.isfinite(total[fi, bi]) and total[fi, bi] > 0
     return [[tree, n, G, H, fi if good else -1, bi if good else 0, float(total[fi, bi]) if good else 0.0,
-             GL[fi, bi] if good else 0.0, HL[fi, bi] if good else 0.0] for n, (G, H, GL, HL) in zip(nodes, stats)]
-
+             GL[fi, bi] if good else 0.0, HL[fi, bi] if good else 0.0, N, CL[fi, bi] if good else 0.0]
+            for n, (G, H, GL, HL, N, CL) in zip(nodes, stats)]
+
+
+def _sum_direct(hist: DataFrame) -> dict:
+    """Collect per-task partial histograms (Arrow) and add them up: (tree, node) -> vector."""
+    acc: dict = {}
+    tbl = hist.toArrow()
+    if tbl.num_rows:
+        trees = tbl.column("tree").to_numpy()
+        nodes = tbl.column("node").to_numpy()
+        vecs = tbl.column("vec").combine_chunks().flatten().to_numpy().reshape(tbl.num_rows, -1)
+        for i, key in enumerate(zip(trees.tolist(), nodes.tolist())):
+            acc[key] = acc[key] + vecs[i] if key in acc else vecs[i].copy()
+    return acc
+
+
+def _sum_cluster(hist: DataFrame) -> DataFrame:
+    """Partial histograms summed on the cluster (map-side combine): ``(tree, node, vec)``."""
+    return hist.groupBy("tree", "node").agg(vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("vec"))
+
+
+def _derive_direct(acc: dict, prev: dict, pairs: list, width: int) -> None:
+    """Sibling histograms by subtraction: big = parent - small (in place)."""
+    for t, parent, small, big in pairs:
+        acc[(t, big)] = prev[(t, parent)] - acc.get((t, small), np.zeros(width))
+
+
+def _derive_cluster(spark, summed: DataFrame, prev: DataFrame, pairs: list) -> DataFrame:
+    """Sibling histograms by subtraction on the cluster; ``pairs`` is a small driver list."""
+    if not pairs:
+        return summed
+    rel = spark.createDataFrame([(int(t), int(pa_), int(sm), int(bg)) for t, pa_, sm, bg in pairs],
+                                "tree int, parent int, small int, big int")
+    par = prev.select("tree", F.col("node").alias("parent"), F.col("vec").alias("pv"))
+    sm = summed.select("tree", F.col("node").alias("small"), F.col("vec").alias("sv"))
+    big = (rel.join(par, ["tree", "parent"]).join(sm, ["tree", "small"], "left")
+           .select("tree", F.col("big").alias("node"),
+                   F.when(F.col("sv").isNull(), F.col("pv"))
+                   .otherwise(F.zip_with("pv", "sv", lambda a, b: a - b)).alias("vec")))
+    return summed.unionByName(big)
+
+
+def _scan_direct(acc: dict, p: BoostParams, d: int, colmask: np.ndarray, symmetric: bool) -> pd.DataFrame:
+    rows = []
+    if symmetric:
+        by_tree: dict = {}
+        for (t, n), v in sorted(acc.items()):
+            by_tree.setdefault(t, []).append((n, v.reshape(d, -1)))
+        for t, items in by_tree.items():
+            rows += _tree_split(t, [n for n, _ in items], [v for _, v in items], colmask[t], p)
+    else:
+        for (t, n), v in sorted(acc.items()):
+            rows.append(_node_split(t, n, v.reshape(d, -1), colmask[t], p))
+    return pd.DataFrame(rows, columns=_SPLIT_COLS)
 
-def _best_splits(hist: DataFrame, p: BoostParams, d: int, colmask: np.ndarray, symmetric: bool,
-                 partial_doubles: int) -> pd.DataFrame:
-    """Best split per open node from per-task partial histograms ``(tree, node, vec)``.
 
-    Small volumes (partitions x cells <= ``DIRECT_LIMIT``) are collected and
-    scanned on the driver in one stage. Otherwise ``groupBy(tree, node)`` sums the
-    partials on the cluster and a ``mapInArrow`` scans each summed node (symmetric
-    trees are scanned per tree with ``applyInPandas``); only splits come back.
-    """
-    if partial_doubles <= DIRECT_LIMIT:
-        acc: dict = {}
-        tbl = hist.toArrow()
-        if tbl.num_rows:
-            trees = tbl.column("tree").to_numpy()
-            nodes = tbl.column("node").to_numpy()
-            vecs = tbl.column("vec").combine_chunks().flatten().to_numpy().reshape(tbl.num_rows, -1)
-            for i, key in enumerate(zip(trees.tolist(), nodes.tolist())):
-                acc[key] = acc[key] + vecs[i] if key in acc else vecs[i].copy()
-        rows = []
-        if symmetric:
-            by_tree: dict = {}
-            for (t, n), v in sorted(acc.items()):
-                by_tree.setdefault(t, []).append((n, v.reshape(d, -1)))
-            for t, items in by_tree.items():
-                rows += _tree_split(t, [n for n, _ in items], [v for _, v in items], colmask[t], p)
-        else:
-            for (t, n), v in sorted(acc.items()):
-                rows.append(_node_split(t, n, v.reshape(d, -1), colmask[t], p))
-        return pd.DataFrame(rows, columns=_SPLIT_COLS)
-    summed = hist.groupBy("tree", "node").agg(vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("vec"))
+def _scan_cluster(summed: DataFrame, p: BoostParams, d: int, colmask: np.ndarray, symmetric: bool) -> pd.DataFrame:
+    """Split search next to the data: only one split row per node reaches the driver."""
     if symmetric:
         def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("node")
@@ -330,23 +359,50 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
         trees = [Tree() for _ in range(ntree)]
         open_nodes = {t: [0] for t in range(ntree)}
         leaves = {t: 1 for t in range(ntree)}
+        pairs: list = []            # (tree, parent, small child, big child) of the last level's splits
+        prev = None                 # ("direct", dict) or ("cluster", cached DataFrame) of the last level
+        width = d * 3 * nb
         while any(open_nodes.values()):
-            # chunk the open nodes so one pass holds a bounded number of cells
             flat = [(t, n) for t, ns in open_nodes.items() for n in ns]
-            decided: dict = {}
-            per_pass = max(1, p.max_cells_per_pass // (d * 3 * nb))
-            for c0 in range(0, len(flat), per_pass):
-                chunk = flat[c0:c0 + per_pass]
-                slot = {}
+            derived = {(t, big) for t, _, _, big in pairs}
+            todo = [tn for tn in flat if tn not in derived]
+            mode = "direct" if n_parts * len(todo) * width <= DIRECT_LIMIT else "cluster"
+            if prev is None or prev[0] != mode:
+                todo, use_pairs = flat, []          # no stored parents in this mode: histogram every node
+            else:
+                use_pairs = pairs
+            # chunk the histogrammed nodes so one pass holds a bounded number of cells
+            per_pass = max(1, p.max_cells_per_pass // width)
+            parts = []
+            for c0 in range(0, len(todo), per_pass):
+                chunk = todo[c0:c0 + per_pass]
+                slot: dict = {}
                 for t, n in chunk:
                     slot.setdefault(t, {})[n] = len(slot.get(t, {}))
                 tree_arrs = {t: trees[t].arrays() for t in slot}
-                cells = len(chunk) * d * 3 * nb
-                res = _best_splits(_hist_pass(data, bcols, K, M, nb, rnd, p, slot, tree_arrs, cv),
-                                   p, d, colmask, p.growth == "symmetric", n_parts * cells)
-                for r in res.itertuples(index=False):
-                    decided[(int(r.tree), int(r.node))] = r
+                hist = _hist_pass(data, bcols, K, M, nb, rnd, p, slot, tree_arrs, cv)
+                parts.append(_sum_direct(hist) if mode == "direct" else _sum_cluster(hist))
+            if mode == "direct":
+                acc: dict = {}
+                for part in parts:
+                    acc.update(part)
+                _derive_direct(acc, prev[1] if use_pairs else {}, use_pairs, width)
+                res = _scan_direct(acc, p, d, colmask, p.growth == "symmetric")
+                store = ("direct", acc)
+            else:
+                summed = parts[0]
+                for part in parts[1:]:
+                    summed = summed.unionByName(part)
+                summed = _derive_cluster(data.sparkSession, summed, prev[1] if use_pairs else None, use_pairs)
+                summed = summed.persist()
+                res = _scan_cluster(summed, p, d, colmask, p.growth == "symmetric")
+                store = ("cluster", summed)
+            if prev is not None and prev[0] == "cluster":
+                prev[1].unpersist()
+            prev = store
+            decided = {(int(r.tree), int(r.node)): r for r in res.itertuples(index=False)}
             new_open = {t: [] for t in range(ntree)}
+            pairs = []
             cand = sorted(decided.items(), key=lambda kv: (-kv[1].gain, kv[0]))
             for (t, n), r in cand:
                 tr = trees[t]
@@ -364,7 +420,11 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
                 tr.value[rid] = float(-p.eta * _soft(G - GL, p.reg_alpha) / (H - HL + p.reg_lambda))
                 if tr.depth[lid] < p.max_depth:
                     new_open[t] += [lid, rid]
+                    small, big = (lid, rid) if r.CL <= r.N - r.CL else (rid, lid)
+                    pairs.append((t, n, small, big))
             open_nodes = new_open
+        if prev is not None and prev[0] == "cluster":
+            prev[1].unpersist()
         for m in range(M):
             models[m].rounds.append(trees[m * K:(m + 1) * K])
         data = _advance(data, bcols, K, M, trees, rnd, p)
