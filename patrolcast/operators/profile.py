@@ -80,13 +80,17 @@ def _order_statistics(df: DataFrame, targets: dict[str, list[int]], stats: dict[
     return answers
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict[str, list]:
-    """Linear-interpolated quantiles (pandas/numpy default) per column."""
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c), F.min(c), F.max(c)]
-    row = df.agg(*aggs).first()
-    stats = {c: (row[3 * i], row[3 * i + 1], row[3 * i + 2]) for i, c in enumerate(cols)}
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], stats: dict | None = None,
+                    **kw) -> dict[str, list]:
+    """Linear-interpolated quantiles (pandas/numpy default) per column.
+
+    ``stats`` (column -> (count, min, max)) skips the first aggregate when known."""
+    if stats is None:
+        aggs = []
+        for c in cols:
+            aggs += [F.count(c), F.min(c), F.max(c)]
+        row = df.agg(*aggs).first()
+        stats = {c: (row[3 * i], row[3 * i + 1], row[3 * i + 2]) for i, c in enumerate(cols)}
     targets: dict[str, list[int]] = {}
     for c in cols:
         n = stats[c][0]
@@ -117,15 +121,25 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) ->
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """B1 as a long table: one row per column with count, mean, std, min, 25%, 50%, 75%, max."""
+    from ..models.base import cached
+
     spark = df.sparkSession
     if cols is None:
         cols = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float", "integer", "long")]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x), F.avg(x), F.stddev_samp(x)]
-    row = df.agg(*aggs).first()
-    qs = exact_quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols, [0.0, 0.25, 0.5, 0.75, 1.0])
+    # the profiled columns are materialised once: the summary and every
+    # refinement pass read them instead of re-running the upstream plan
+    narrow = cached(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    try:
+        aggs = []
+        for c in cols:
+            x = F.col(c)
+            aggs += [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
+        row = narrow.agg(*aggs).first()
+        stats = {c: (row[5 * i], row[5 * i + 3], row[5 * i + 4]) for i, c in enumerate(cols)}
+        qs = exact_quantiles(narrow, cols, [0.0, 0.25, 0.5, 0.75, 1.0], stats=stats)
+    finally:
+        narrow.unpersist()
+    row = [v for i in range(len(cols)) for v in (row[5 * i], row[5 * i + 1], row[5 * i + 2])]
     data = []
     for i, c in enumerate(cols):
         q0, q25, q50, q75, q100 = qs[c]

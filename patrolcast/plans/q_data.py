@@ -106,6 +106,14 @@ def b1_describe(spark, sf):
     return finish(describe(train_rows(raw(spark, sf)), ["X", "Y"]))
 
 
+@register("b1b_describe_repaired", _sql(_describe_sql("tr_rep", ["X", "Y"]),
+                                      ["mean", "std", "min", "p25", "p50", "p75", "max"], REP))
+def b1b_describe_repaired(spark, sf):
+    """The same profile after the coordinate repair (the driver script profiles both)."""
+    tr, _, _ = repaired(spark, sf)
+    return finish(describe(tr, ["X", "Y"]))
+
+
 # ---------------------------------------------------------------- 2.C projection / filter
 
 @register("c1_drop_columns", _sql("SELECT * EXCLUDE (Descript, Resolution) FROM train", ["X", "Y"]))

@@ -496,6 +496,13 @@ def a5_save_load(spark, sf):
     return _wide(again, te, voc)
 
 
+@register("m1_train_and_score")
+def m1_train_and_score(spark, sf):
+    """The driver script end to end: repair, features, depth-12 boosted trees, wide probabilities."""
+    from .flagship import flagship
+    return finish(flagship(spark, sf))
+
+
 # ---------------------------------------------------------------- reports
 
 def _model_scores(spark, sf):
