@@ -6,18 +6,17 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..fixed import (DISTRICTS, LINEAR_DROP, PERIOD_COLUMNS, ROTATION_ANGLES, STATIONS, YEAR_GROUP_COLUMNS)
-from ..functions.calendar import date_parts, encode_cyclic, weekday
+from ..functions.calendar import encode_cyclic, weekday
 from ..functions.geo import bearing, haversine, nearest_point
 from ..functions.scalar import atan_ratio, contains_flag
 from ..operators.encode import StandardScaler, Vocabulary, columns_by_type, feature_set
-from ..operators.features import (date_parts_matrix, feature_columns, main_clean)
+from ..operators.features import date_parts_matrix, feature_columns
 from ..operators.profile import describe
-from ..operators.repair import (OutlierFit, address_replacements, district_means, out_of_bounds,
-                                repair_by_address, repair_by_district)
-from ..sources.files import INCIDENT_SCHEMA, read_incidents, write_csv
+from ..operators.repair import (OutlierFit, district_means, out_of_bounds, repair_by_address,
+                                repair_by_district)
+from ..sources.files import read_incidents, write_csv
 from ..sources.incidents import test_rows, train_rows
 from . import sqlparts as S
 from .common import featured, finish, raw, register, repaired, staging_dir

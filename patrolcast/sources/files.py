@@ -7,7 +7,6 @@ import io
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .incidents import nan_to_null

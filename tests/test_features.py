@@ -3,9 +3,8 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
-from patrolcast.fixed import MAX_X, MAX_Y, MIN_X, MIN_Y, STATIONS
+from patrolcast.fixed import MAX_Y, MIN_X, STATIONS
 from patrolcast.operators.features import FeatureFit, PcaFit, main_clean
 from patrolcast.operators.repair import OutlierFit, handle_outliers, out_of_bounds, repair_by_address
 from patrolcast.sources.incidents import nan_to_null

@@ -4,7 +4,6 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import functions as F
 
 from patrolcast.sources.files import read_incidents, read_zipped_csv, write_csv
 from patrolcast.sources.incidents import incidents

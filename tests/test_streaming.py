@@ -2,7 +2,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from patrolcast.models.boost import BoostParams, fit_boost
 from patrolcast.operators.encode import Vocabulary
