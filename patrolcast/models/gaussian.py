@@ -26,10 +26,15 @@ class ClassMoments:
     scatter: np.ndarray  # (K, d, d) centred scatter sum_i (x - mu_k)(x - mu_k)^T
 
     @classmethod
-    def compute(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label") -> "ClassMoments":
+    def compute(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label",
+                centered: bool = False) -> "ClassMoments":
+        """``centered=True`` (inputs already standardised) skips the job that finds the shift."""
         d, K = len(cols), n_classes
-        shift = np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(), dtype=float)
-        shift = np.nan_to_num(shift)
+        if centered:
+            shift = np.zeros(d)
+        else:
+            shift = np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(), dtype=float)
+            shift = np.nan_to_num(shift)
         size = K * (1 + d + d * d)
 
         def part(b):
@@ -67,8 +72,9 @@ class LDA:
     intercept: np.ndarray
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4) -> "LDA":
-        m = ClassMoments.compute(df, cols, n_classes, label)
+    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4,
+            centered: bool = False) -> "LDA":
+        m = ClassMoments.compute(df, cols, n_classes, label, centered)
         n, K = m.n.sum(), n_classes
         pooled = m.scatter.sum(axis=0) / max(n - K, 1)
         # rank tolerance in correlation space (features on any scale)
@@ -105,8 +111,9 @@ class QDA:
     log_prior: np.ndarray  # (K,)
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4) -> "QDA":
-        m = ClassMoments.compute(df, cols, n_classes, label)
+    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4,
+            centered: bool = False) -> "QDA":
+        m = ClassMoments.compute(df, cols, n_classes, label, centered)
         K, d = n_classes, len(cols)
         rots, scales = np.zeros((K, d, d)), np.ones((K, d))
         for k in range(K):

@@ -512,7 +512,7 @@ def fit_softmax(df: DataFrame, cols: list[str], n_classes: int, C: float = 0.1,
     safe = [f"f{i}" for i in range(len(cols))]
     renamed = scaled.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(cols, safe)], "label")
     vec = VectorAssembler(inputCols=safe, outputCol="features", handleInvalid="keep").transform(renamed)
-    n = vec.count()
+    n = sc.n
     lr = LogisticRegression(family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=tol, fitIntercept=True)
     model = lr.fit(vec)

@@ -78,22 +78,23 @@ class StandardScaler:
     columns: list
     mean: list
     std: list
+    n: int = 0          # rows seen by the fit
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str]) -> "StandardScaler":
         aggs = []
         for c in columns:
-            aggs += [F.avg(F.col(c).cast("double")), F.stddev_pop(F.col(c).cast("double"))]
-        row = df.agg(*aggs).first()
+            aggs += [F.avg(F.col(f"`{c}`").cast("double")), F.stddev_pop(F.col(f"`{c}`").cast("double"))]
+        row = df.agg(*aggs, F.count(F.lit(1))).first()
         mean = [row[2 * i] for i in range(len(columns))]
         std = [row[2 * i + 1] for i in range(len(columns))]
-        return cls(list(columns), mean, std)
+        return cls(list(columns), mean, std, int(row[-1]))
 
     def exprs(self) -> dict[str, Column]:
         out = {}
         for c, m, s in zip(self.columns, self.mean, self.std):
             scale = s if (s is not None and s > 0) else 1.0
-            out[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(scale)
+            out[c] = (F.col(f"`{c}`").cast("double") - F.lit(m)) / F.lit(scale)
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -198,7 +198,7 @@ def f1_rank_trials(spark, sf):
 def k1_lda(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         lin, _, _ = _sets(fit)
-        model = Chain.fit(trl, lin, lambda d: LDA.fit(d, lin, voc.size))
+        model = Chain.fit(trl, lin, lambda d: LDA.fit(d, lin, voc.size, centered=True))
         return _wide(model, te, voc)
 
 
@@ -206,7 +206,7 @@ def k1_lda(spark, sf):
 def k2_qda(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, quad, _ = _sets(fit)
-        model = Chain.fit(trl, quad, lambda d: QDA.fit(d, quad, voc.size))
+        model = Chain.fit(trl, quad, lambda d: QDA.fit(d, quad, voc.size, centered=True))
         return _wide(model, te, voc)
 
 
@@ -352,7 +352,7 @@ def j2_cross_val_score(spark, sf):
         data = cached(repeated_folds(trl, 2, N_REPEATS, SEED, "label"))
         try:
             res = cross_val_score(data, [f"fold_{r}" for r in range(N_REPEATS)],
-                                  lambda d: Chain.fit(d, lin, lambda s: LDA.fit(s, lin, voc.size)))
+                                  lambda d: Chain.fit(d, lin, lambda s: LDA.fit(s, lin, voc.size, centered=True)))
         finally:
             data.unpersist()
     return finish(spark.createDataFrame(res, "repeat int, fold int, score double"))
@@ -478,7 +478,7 @@ def j9_chained_fit(spark, sf):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         _, quad, _ = _sets(fit)
         data = stratified_folds(trl, 2, SEED, "label")
-        model = Chain.fit(data.filter("fold = 0"), quad, lambda d: QDA.fit(d, quad, voc.size))
+        model = Chain.fit(data.filter("fold = 0"), quad, lambda d: QDA.fit(d, quad, voc.size, centered=True))
         return finish(to_wide(model.transform(data.filter("fold = 1"), keep=("Id",)), voc.levels))
 
 
@@ -513,8 +513,8 @@ def _model_scores(spark, sf):
         trn, val = data.filter("fold = 0"), data.filter("fold = 1")
         fits = [
             ("Class prior", lambda: ClassPrior.fit(trn, voc.size)),
-            ("LDA", lambda: Chain.fit(trn, lin, lambda d: LDA.fit(d, lin, voc.size))),
-            ("QDA", lambda: Chain.fit(trn, quad, lambda d: QDA.fit(d, quad, voc.size))),
+            ("LDA", lambda: Chain.fit(trn, lin, lambda d: LDA.fit(d, lin, voc.size, centered=True))),
+            ("QDA", lambda: Chain.fit(trn, quad, lambda d: QDA.fit(d, quad, voc.size, centered=True))),
             ("Boosted trees", lambda: fit_boost(trn, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]),
         ]
         for name, fn in fits:
