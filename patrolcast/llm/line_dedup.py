@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROW, keep, packed, register, table, text_key, unpacked
+from .common import ROW, keep, key_bitmap, materialise, packed, register, table, text_key, unpacked
 
 DEPTH = 3
 SIMILARITY = 0.6
@@ -66,8 +66,10 @@ def _utf8(col: pa.Array) -> list:
     return col.cast(pa.binary()).to_pylist()
 
 
-def lines_of(docs: DataFrame, with_text: bool) -> DataFrame:
-    """The distinct masked lines of every text: keys, leaf and line hash (and the line itself)."""
+def lines_of(docs: DataFrame, leaves: tuple | None = None) -> DataFrame:
+    """The distinct masked lines of every text: leaf and line hash with the text's keys, or, given a bitmap
+    (a broadcast) and mask of leaves, with the line itself where its leaf may be among them."""
+    with_text = leaves is not None
     src = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"),
                       F.col("text"), *text_key(F.col("text")))
     fields = [T.StructField(c, T.LongType()) for c in (["leaf", "line"] if with_text else ["leaf", "line", "k1", "k2", "d"])]
@@ -76,6 +78,7 @@ def lines_of(docs: DataFrame, with_text: bool) -> DataFrame:
     names = [f.name for f in fields]
 
     def run(batches):
+        bitmap, mask = (leaves[0].value, leaves[1]) if with_text else (b"", 0)
         for b in batches:
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             leaf, line, row, said = [], [], [], []
@@ -87,11 +90,15 @@ def lines_of(docs: DataFrame, with_text: bool) -> DataFrame:
                     m = masked(raw)
                     if m and (h := line_hash(m)) not in seen:
                         seen.add(h)
-                        leaf.append(leaf_hash(m))
-                        line.append(h)
-                        row.append(i)
+                        at_leaf = leaf_hash(m)
                         if with_text:
+                            pos = at_leaf & mask
+                            if not bitmap[pos >> 3] >> (pos & 7) & 1:
+                                continue
                             said.append(m)
+                        leaf.append(at_leaf)
+                        line.append(h)
+                        row.append(i)
             out = [pa.array(leaf, pa.int64()), pa.array(line, pa.int64())]
             if with_text:
                 out.append(pa.array(said, pa.binary()).cast(pa.string()))
@@ -106,25 +113,26 @@ def lines_of(docs: DataFrame, with_text: bool) -> DataFrame:
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(occurrences, recurring): ``leaf, line, k1, k2, d`` of every distinct line of every distinct text;
     ``line, first`` of the recurring lines, ``first`` the smallest doc_id holding the template."""
-    occ = keep(lines_of(docs, False).groupBy("leaf", "line", "k1", "k2").agg(F.min("d").alias("d")))
+    occ = keep(lines_of(docs).groupBy("leaf", "line", "k1", "k2").agg(F.min("d").alias("d")))
     per_line = keep(occ.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("d").alias("d")))
-    leaves = per_line.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")) \
-        .where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf", "total")
-    said = lines_of(docs, True).join(leaves.select("leaf"), "leaf", "left_semi").dropDuplicates(["line"])
-    tokens = said.join(per_line, ["leaf", "line"]).select(
-        "leaf", "line", "n", F.posexplode(F.split("words", " ")).alias("pos", "token")).where(F.col("pos") >= DEPTH)
-    votes = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("votes"))
-    major = votes.join(leaves, "leaf").where(F.col("votes") * 2 > F.col("total")).select("leaf", "pos", "token")
-    equal = tokens.join(major, ["leaf", "pos", "token"]).groupBy("leaf", "line").agg(F.count("*").alias("equal"))
-    size = tokens.groupBy("leaf", "line").agg(F.count("*").alias("tail"))
-    member = equal.join(size, ["leaf", "line"]).where(
-        (F.col("equal") + DEPTH >= similarity * (F.col("tail") + DEPTH)) & (F.col("equal") * 2 >= F.col("tail")))
-    family = per_line.join(member.select("leaf", "line"), ["leaf", "line"], "left_semi") \
-        .groupBy("leaf").agg(F.sum("n").alias("of_all"), F.min("d").alias("first")).where(F.col("of_all") >= min_docs)
+    leaves = materialise(per_line.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+                         .where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf", "total"))
+    bitmap, mask = key_bitmap(leaves, "leaf")
+    said = lines_of(docs, (docs.sparkSession.sparkContext.broadcast(bitmap), mask)).dropDuplicates(["line"])
+    tokens = materialise(said.join(leaves, "leaf").join(per_line, ["leaf", "line"])).select(
+        "leaf", "line", "total", "n", "d", F.size(F.split("words", " ")).alias("size"),
+        F.posexplode(F.split("words", " ")).alias("pos", "token")).where(F.col("pos") >= DEPTH)
+    major = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("votes"), F.first("total").alias("total")) \
+        .where(F.col("votes") * 2 > F.col("total")).select("leaf", "pos", "token")
+    member = materialise(
+        tokens.join(major, ["leaf", "pos", "token"]).groupBy("leaf", "line", "n", "d", "size")
+        .agg(F.count("*").alias("equal"))
+        .where((F.col("equal") + DEPTH >= similarity * F.col("size")) & (F.col("equal") * 2 >= F.col("size") - DEPTH)))
+    family = member.groupBy("leaf").agg(F.sum("n").alias("of_all"), F.min("d").alias("first")) \
+        .where(F.col("of_all") >= min_docs)
     by_template = member.join(family, "leaf").select("line", "first")
     exact = per_line.where(F.col("n") >= min_docs).select("line", F.col("d").alias("first"))
-    both = by_template.unionByName(exact).groupBy("line").agg(F.min("first").alias("first"))
-    return occ, both
+    return occ, materialise(by_template.unionByName(exact).groupBy("line").agg(F.min("first").alias("first")))
 
 
 def dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
