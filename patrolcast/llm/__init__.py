@@ -3,6 +3,6 @@
 
 def load_all() -> dict:
     """Import every operator module; each registers its query."""
-    from . import decontaminate, language_id, line_dedup, mixing, quality, simhash  # noqa: F401
+    from . import decontaminate, language_id, line_dedup, mixing, quality, simhash, suffix_dedup  # noqa: F401
     from .common import QUERIES
     return QUERIES
