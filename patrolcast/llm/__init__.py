@@ -3,6 +3,6 @@
 
 def load_all() -> dict:
     """Import every operator module; each registers its query."""
-    from . import decontaminate, language_id, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, warc  # noqa: F401
+    from . import decontaminate, language_id, licenses, line_dedup, lm_score, mixing, quality, simhash, suffix_dedup, warc  # noqa: F401
     from .common import QUERIES
     return QUERIES
