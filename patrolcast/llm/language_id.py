@@ -76,15 +76,16 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        root = np.full(width, MISS, dtype=np.int32)
+        self.fresh = len(nxt)  # before a phrase: nothing matched yet, or an unknown character just passed
+        root = np.full(width, MISS | self.fresh, dtype=np.int32)
         for c, s in nxt[0].items():
             root[c] = s | MISS
-        tab = np.tile(root, (len(nxt), 1))
+        tab = np.tile(root, (len(nxt) + 1, 1))
         for s, edges in enumerate(nxt):
             if edges:
                 tab[s, list(edges)] = list(edges.values())
-        tab[:, 0] = MISS  # an unknown character is a phrase of its own
-        tab[:, width - 1] = np.arange(len(nxt), dtype=np.int32)
+        tab[:, 0] = MISS | self.fresh  # an unknown character is a phrase of its own
+        tab[:, width - 1] = np.arange(len(nxt) + 1, dtype=np.int32)
         self.flat = np.ascontiguousarray(tab.reshape(-1))
         self.bits = float(np.log2(len(symbols) + 2))
 
@@ -134,8 +135,8 @@ class CrossParser:
         for lane, (a, n) in enumerate(zip(start.tolist(), size.tolist())):
             grid[:n, lane] = codes[a:a + n]
         for j, auto in enumerate(self.automata):
-            state = np.zeros(len(owner), dtype=np.int32)
-            count = np.ones(len(owner), dtype=np.int32)
+            state = np.full(len(owner), auto.fresh, dtype=np.int32)
+            count = np.zeros(len(owner), dtype=np.int32)
             for t in range(steps):
                 k = active[t]
                 v = auto.flat[state[:k] * self.width + grid[t, :k]]
