@@ -5,7 +5,7 @@ lower case. The classifier is a multinomial logistic regression with L1 weights
 1- to 3-grams, one class per licence family and one for unknown text.
 
 Features: the templates' n-grams that hold a key term, a template word that is rare in
-ordinary text (in at most ``RARE`` of a bounded paragraph sample). A paragraph without a key
+ordinary text (in at most ``RARE`` of a bounded paragraph sample, of 1,000 at least). A paragraph without a key
 term has no feature, and the fit is refused unless the empty vector is unknown, so such
 paragraphs are settled by the array test that looks for key terms, without a score.
 
@@ -146,7 +146,7 @@ class Classifier:
         of_templates = sorted({w for _, said in TEMPLATES for w in template_words(said)})
         seen = {r["word"]: r["count"] for r in ordinary.select(F.explode(F.array_distinct("w")).alias("word")).where(
             F.col("word").isin(of_templates)).groupBy("word").count().collect()}  # words of the templates only
-        self.key_terms = [w for w in of_templates if seen.get(w, 0) <= RARE * n and not re.fullmatch(r"[0-9.]+", w)]
+        self.key_terms = [w for w in of_templates if seen.get(w, 0) <= RARE * max(n, 1000) and not re.fullmatch(r"[0-9.]+", w)]
         keys = set(self.key_terms)
         self.vocabulary = sorted({g for _, said in TEMPLATES for k in (1, 2, 3) for g in runs(template_words(said), k)
                                   if keys.intersection(g.split(" "))})
@@ -178,7 +178,7 @@ class Classifier:
             raise ValueError("the classifier does not call an empty paragraph unknown")
 
     def _fit(self, data: DataFrame):
-        return LogisticRegression(family="multinomial", weightCol="weight", elasticNetParam=1.0, regParam=1e-4,
+        return LogisticRegression(family="multinomial", weightCol="weight", elasticNetParam=1.0, regParam=1e-3,
                                   maxIter=60, standardization=False).fit(data)
 
     def _odds(self, raw: Column) -> Column:
