@@ -39,9 +39,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: Rows reach Python in batches of at most this size, however long the texts (a session setting).
+BATCH_BYTES = "16m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by Spark (any file system it can open)."""
     prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

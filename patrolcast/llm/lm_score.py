@@ -52,9 +52,10 @@ MIN_COUNT = 2
 K = 5
 PSEUDO = 0.5
 HOT = 1 << 16
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_200_000
 BLOCK_DOCS = 60_000
-CHUNK = 1 << 21
+PARTS_PER_TASK = 2
+CHUNK = 1 << 19
 START, END = 0, 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -145,7 +146,7 @@ def blocks(batches, text: str = "text"):
     size = 0
     for whole in batches:
         sizes = pa.compute.binary_length(whole.column(whole.schema.get_field_index(text))).fill_null(0).to_numpy(zero_copy_only=False)
-        cut = np.cumsum(sizes) // (CHUNK * 2)
+        cut = np.cumsum(sizes) // (CHUNK * 4)
         at = np.concatenate([[0], np.flatnonzero(np.diff(cut)) + 1, [len(sizes)]])
         for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
             held.append(whole.slice(a, z - a))
@@ -153,6 +154,7 @@ def blocks(batches, text: str = "text"):
             if size > BLOCK_TOKENS * 6 or sum(b.num_rows for b in held) >= BLOCK_DOCS - 10_000:
                 yield base + number, *_joined(held, text)
                 number, held, size = number + 1, [], 0
+                pa.default_memory_pool().release_unused()
     if sum(b.num_rows for b in held):
         yield base + number, *_joined(held, text)
 
@@ -633,7 +635,7 @@ def _dense(size: int, doc: np.ndarray, values: list[np.ndarray]) -> bytes:
 def katz(docs: DataFrame) -> DataFrame:
     """Train on the rows that are not ``held`` and score all, for (doc_id, text, held)."""
     spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = PARTS_PER_TASK * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     path = f"{checkpoint_dir(spark)}/katz-{uuid.uuid4().hex}"
     return score(docs, Model(docs.select("text", "held"), path, parts))
 
