@@ -11,10 +11,11 @@ those strings.
 2. Records with equal text are collapsed into one with a count: all strings of a record
    that occurs twice or more are repeated. Large groups of copies become one row per task.
 3. What is left are different records around one gram. Their suffixes, from the anchor on, are
-   range-partitioned by leading bytes (sampled splitters; ties split by the record's hash, so
-   a passage in a third of all documents spreads over many buckets). A bucket sorts its
-   suffixes by multikey sort, eight bytes at a time, and compares the strings of neighbours that
-   share the gram. Groups at a bucket's edge are compared across buckets by the strings' hashes.
+   range-partitioned by leading bytes (sampled splitters). A bucket sorts its suffixes by
+   multikey sort, eight bytes at a time, and compares the strings of neighbours that share the
+   gram. A gram with over ``GROUP`` different records (a passage in a third of all documents) is
+   split by the records' hashes, so that it spreads over buckets, and its strings are compared
+   across the bucket boundaries by their hashes, each once per bucket.
 4. Repeated starts turn into byte ranges per text, and the texts are cut.
 
 Grams, records and strings are compared by polynomial hashes over random byte values: two
@@ -38,7 +39,8 @@ from .common import ROW, keep, key_bitmap, materialise, packed, register, table,
 
 LENGTH = 400
 GRAM = 200
-SHARD = 1 << 21  # bytes worked on together; longer texts are worked through in pieces of this size
+SHARD = 1 << 19  # bytes worked on together; longer texts are worked through in pieces of this size
+GROUP = 10_000  # different records around one gram that a bucket takes; larger groups are split
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 _VALUES = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64)
 
@@ -208,15 +210,33 @@ def multikey_sort(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, same
 
 
-def repeated_starts(texts: list[bytes], g: np.ndarray, off: np.ndarray, n: np.ndarray, alone: np.ndarray,
+def start_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray, part: np.ndarray, length: int) -> list[np.ndarray]:
+    """Both hashes of every string of the records in ``part``, some records at a time (they do not depend on place)."""
+    out: list[list] = [[], []]
+    upto = np.cumsum(size[part])
+    at = 0
+    while at < len(part):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SHARD, side="right")))
+        some = np.concatenate([data[begin[r]:begin[r] + size[r]] for r in part[at:to]])
+        n = size[part[at:to]]
+        ok = np.ones(len(some), dtype=bool)
+        end = np.cumsum(n)
+        ok[(end[:, None] - np.arange(1, length)).reshape(-1)] = False  # no string of ``length`` begins there
+        p = np.flatnonzero(ok)
+        for i in (0, 1):
+            out[i].append(string_hash(prefix_sums(some, i), i, p, p + length))
+        at = to
+    return [np.concatenate(x) for x in out]
+
+
+def repeated_starts(texts: list[bytes], split: np.ndarray, off: np.ndarray, n: np.ndarray, alone: np.ndarray,
                     length: int = LENGTH, gram: int = GRAM):
     """Bucket-local comparison. Returns (record, first, last) runs of repeated starts of the records that occur
-    alone, and the strings of the groups at the bucket's edges: (h0, h1, offset from anchor, record, start), record
-    -1 where the string is settled already."""
+    alone, and the strings of groups that go on in other buckets (``split``): (h0, h1, offset from anchor, record,
+    start), record -1 where the string is settled already."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     size = np.array([len(t) for t in texts])
     begin = np.cumsum(size) - size
-    sums = [prefix_sums(data, i) for i in (0, 1)]
     words = np.empty((len(texts), gram // 8), dtype=np.uint64)
     lead = begin + off
     for j in range(gram // 8):
@@ -225,24 +245,21 @@ def repeated_starts(texts: list[bytes], g: np.ndarray, off: np.ndarray, n: np.nd
     group = np.empty(len(texts), dtype=np.int64)
     group[order] = np.cumsum(~same) - 1
     members = np.bincount(group)
-    dealt = np.lexsort((g, words[:, 1], words[:, 0]))  # the order in which the splitters cut
-    edge = (group == group[dealt[0]]) | (group == group[dealt[-1]])
     del words
-    use = np.flatnonzero((members[group] > 1) | edge)
+    use = np.flatnonzero((members[group] > 1) | split)
     use = use[np.argsort(group[use], kind="stable")]
     runs, edges, at = [], [], 0
     upto = np.cumsum(n[use])
     while at < len(use):
         base = upto[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(upto, base + (1 << 20), side="right")))
+        to = max(at + 1, int(np.searchsorted(upto, base + (1 << 19), side="right")))
         while to < len(use) and group[use[to]] == group[use[to - 1]]:  # a group stays whole
             to += 1
         part = use[at:to]
         at = to
         rec = np.repeat(part, n[part])
         s = np.arange(len(rec)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
-        p = begin[rec] + s
-        h = [string_hash(sums[i], i, p, p + length) for i in (0, 1)]
+        h = start_hashes(data, begin, size, part, length)
         o = off[rec] - s
         by = np.lexsort((h[1], h[0], o, group[rec]))
         equal = np.zeros(len(rec), dtype=bool)
@@ -257,7 +274,7 @@ def repeated_starts(texts: list[bytes], g: np.ndarray, off: np.ndarray, n: np.nd
             gap = np.flatnonzero((np.diff(rec[mark]) != 0) | (np.diff(s[mark]) != 1)) + 1
             head, tail = np.concatenate([[0], gap]), np.concatenate([gap, [len(mark)]]) - 1
             runs.append((rec[mark[head]], s[mark[head]], s[mark[tail]]))
-        far = np.flatnonzero(edge[rec] & first_of)
+        far = np.flatnonzero(split[rec] & first_of)
         if far.size:
             edges.append((h[0][far], h[1][far], o[far], np.where(equal[far] | ~alone[rec[far]], -1, rec[far]), s[far]))
     join = lambda parts, k: [np.concatenate([p[i] for p in parts]) for i in range(k)] if parts else None
@@ -268,17 +285,19 @@ _OUT = ["kind", "k1", "k2", "first", "last", "h0", "h1", "o"]
 
 
 def bucket_rows(found: DataFrame) -> DataFrame:
-    """Range-partitioned suffixes to runs of repeated starts (kind 0) and edge strings (kind 1)."""
+    """Range-partitioned suffixes to runs of repeated starts (kind 0) and strings of split groups (kind 1)."""
     suffix = F.substring("bytes", F.col("off").cast("int") + 1, F.lit(16))
-    dealt = found.withColumn("lead", suffix).repartitionByRange("lead", "g", "c")
+    tie = F.when(F.col("split"), F.col("c")).otherwise(F.lit(0))
+    dealt = found.withColumn("lead", suffix).withColumn("tie", tie).repartitionByRange("lead", "g", "tie")
 
     def run(batches):
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         t = pa.Table.from_batches(held)
-        col = {c: t.column(c).to_numpy() for c in ("g", "off", "n", "m", "k1", "k2", "lo")}
-        runs, edges = repeated_starts(t.column("bytes").to_pylist(), col["g"], col["off"], col["n"], col["m"] == 1)
+        col = {c: t.column(c).to_numpy() for c in ("off", "n", "m", "k1", "k2", "lo")}
+        col["split"] = t.column("split").to_numpy()
+        runs, edges = repeated_starts(t.column("bytes").to_pylist(), col["split"], col["off"], col["n"], col["m"] == 1)
         if runs:
             r, a, z = runs
             zero = np.zeros(len(r), dtype=np.int64)
@@ -292,7 +311,7 @@ def bucket_rows(found: DataFrame) -> DataFrame:
                 np.ones(len(r), dtype=np.int64), np.where(own, col["k1"][r], 0), np.where(own, col["k2"][r], 0),
                 place, place, h0, h1, o)], names=_OUT)
 
-    return dealt.select("g", "off", "n", "m", "k1", "k2", "lo", "bytes").mapInArrow(run, _schema(_OUT))
+    return dealt.select("split", "off", "n", "m", "k1", "k2", "lo", "bytes").mapInArrow(run, _schema(_OUT))
 
 
 def repeated_ranges(src: DataFrame) -> DataFrame:
@@ -306,8 +325,9 @@ def repeated_ranges(src: DataFrame) -> DataFrame:
     whole = distinct.where(F.col("m") > 1).select("g", "off", "n", "c")
     full = rec.join(whole, ["g", "off", "n", "c"], "left_semi") \
         .select("k1", "k2", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1).alias("last"))
-    mixed = distinct.groupBy("g").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1).select("g")
-    wanted = materialise(distinct.join(mixed, "g", "left_semi").select("g", "off", "n", "c", "m", "at.k1", "at.k2", "at.lo"))
+    mixed = distinct.groupBy("g").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1) \
+        .select("g", (F.col("kinds") > GROUP).alias("split"))
+    wanted = materialise(distinct.join(mixed, "g").select("g", "split", "off", "n", "c", "m", "at.k1", "at.k2", "at.lo"))
     spots, spot_mask = key_bitmap(wanted.select(place_column().alias("place")), "place")
     got = record_rows(src, sc.broadcast(spots), spot_mask, True).dropDuplicates(["k1", "k2", "lo"])
     compared = materialise(bucket_rows(wanted.join(got, ["k1", "k2", "lo"])))

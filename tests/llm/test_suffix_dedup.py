@@ -71,9 +71,10 @@ def test_matches_brute_force(spark, rows):
     assert digest(spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows)
 
 
-def test_many_buckets_and_pieces(spark, rows, monkeypatch):
-    """Groups of one gram cross bucket edges, texts cross piece edges."""
-    monkeypatch.setattr(S, "SHARD", 1 << 19)
+@pytest.mark.parametrize("group", [1, 5, 10_000])
+def test_groups_over_many_buckets(spark, rows, monkeypatch, group):
+    """Groups of one gram cross bucket boundaries."""
+    monkeypatch.setattr(S, "GROUP", group)
     keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
