@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.selection import P31, key_hash_np
 from ..session import cut_lineage
 from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, list_array, map_probabilities,
                    partial_sums, softmax)
@@ -137,8 +138,7 @@ def _soft(G, alpha):
 def _row_sample(ids: np.ndarray, seed: int, rnd: int, rate: float) -> np.ndarray:
     if rate >= 1.0:
         return np.ones(ids.shape[0], dtype=bool)
-    h = (ids.astype(np.uint64) * np.uint64(2654435761) + np.uint64(seed * 1000003 + rnd * 97531)) % np.uint64(2 ** 32)
-    return (h.astype(np.float64) / 2 ** 32) < rate
+    return key_hash_np(ids, seed * 1000003 + rnd) < rate * P31
 
 
 @dataclass

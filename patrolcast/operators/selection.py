@@ -1,95 +1,188 @@
 """Model-selection operators: stratified folds (F2), hold-out split (J6),
 log loss (J1), fold-score summaries (E3, E4), trial ranking (F1).
 
-Ranks inside a stratum are computed without a per-class window hotspot: a
-class with a third of all rows is split into ``ceil(n_k / target_rows)`` salt
-buckets by a hash of the key; rows are ranked inside (class, bucket) windows of
-bounded size, and the bucket offsets (a table of sum_k ceil(n_k/target) rows,
-size-checked) turn local ranks into exact class-wide ranks. The result equals
-a global ordering by (bucket, hash, Id) inside each class, so fold sizes per
-class differ by at most one, exactly as a stratified k-fold.
+Folds and hold-out rows follow the order of (key hash, key) inside a stratum: the row with
+rank r of n belongs to fold ``floor(r * n_splits / n)``. No row is ranked for it. The few
+(hash, key) pairs at which a fold begins are found by histogram refinement (each pass is an
+aggregate that returns at most ranges x buckets rows; hashes are uniform, so a range shrinks
+by the number of buckets per pass), and a row's fold is a projection against them. There is
+no shuffle of rows, no window and no other rule for large strata; the result does not depend
+on the number of buckets. Rows that share a key share a fold; a NULL key is refused.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed import SEED
 
-P31 = 2147483647  # 2^31 - 1
-MULT = 48271
-MAX_OFFSET_ROWS = 2_000_000
+P31 = 2147483647  # 2^31 - 1; x -> x^5 is a permutation modulo P31 (5 does not divide P31 - 1)
+_A, _B, _C = 48271, 69621, 40692
+MAX_CUTS = 200_000  # strata x folds x seeds whose cut points the driver holds
+
+
+def _offsets(seed: int) -> tuple[int, int]:
+    return (seed * _A + 11) % P31, (seed * _B + 7) % P31
 
 
 def key_hash(key: str = "Id", seed: int = SEED) -> Column:
-    """Arithmetic hash in [0, 2^31-1) (MINSTD steps); no overflow, same in SQL."""
-    h = (F.pmod(F.col(key), F.lit(P31)) * MULT + F.lit(seed)) % P31
-    return (h * MULT) % P31
+    """Seeded hash in [0, 2^31-1): two rounds of shift and fifth power, a permutation of the keys below
+    2^31-1 for every seed; larger keys enter with their high part. BIGINT arithmetic only, same in SQL."""
+    def fifth(x: Column) -> Column:
+        two = x * x % P31
+        return two * two % P31 * x % P31
+
+    a, b = _offsets(seed)
+    low = F.pmod(F.col(key), F.lit(P31))
+    high = F.pmod(F.round((F.col(key) - low) / P31).cast("long"), F.lit(P31))
+    return fifth((fifth((low + a) % P31) + b + high * _C % P31) % P31)
+
+
+def key_hash_sql(key: str = "Id", seed: int | str = SEED) -> str:
+    """The same hash for DuckDB (non-negative keys below 2^62); ``seed`` may be an SQL expression."""
+    a, b = (f"{x}" for x in _offsets(seed)) if isinstance(seed, int) else (
+        f"((CAST({seed} AS BIGINT) * {_A} + 11) % {P31})", f"((CAST({seed} AS BIGINT) * {_B} + 7) % {P31})")
+    fifth = lambda x: (f"list_transform([{x}], lambda x: ((((x * x % {P31}) * (x * x % {P31})) % {P31}) * x) % {P31})[1]")
+    first = fifth(f"CAST(({key} % {P31} + {a}) % {P31} AS BIGINT)")
+    return fifth(f"CAST(({first} + {b} + ({key} // {P31}) % {P31} * {_C} % {P31}) % {P31} AS BIGINT)")
+
+
+def key_hash_np(ids: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """The same hash of an integer array."""
+    p = np.int64(P31)
 
+    def fifth(x):
+        two = x * x % p
+        return two * two % p * x % p
 
-def key_hash_sql(key: str = "Id", seed: int = SEED) -> str:
-    return f"(((({key} % {P31}) * {MULT} + {seed}) % {P31}) * {MULT}) % {P31}"
+    a, b = _offsets(seed)
+    ids = ids.astype(np.int64)
+    low = ids % p
+    return fifth((fifth((low + a) % p) + b + (ids - low) // p % p * _C % p) % p)
 
 
-def exact_ranks(df: DataFrame, strata: list[str], key: str = "Id", seed: int = SEED,
-                target_rows: int = 1_000_000, out: str = "_rank") -> DataFrame:
-    """0-based rank of each row inside its stratum, ordered by (bucket, hash, key)."""
+def _cut_points(df: DataFrame, strata: list[str], key: str, seeds: list[int], ranks, buckets: int,
+                collect_limit: int) -> dict:
+    """{(seed number, stratum): [(hash, key) at each of the ``ranks(n)``, in their order]}."""
     spark = df.sparkSession
-    h = key_hash(key, seed)
-    counts = df.groupBy(*strata).count().limit(MAX_OFFSET_ROWS + 1).collect()
-    if len(counts) > MAX_OFFSET_ROWS:
+    counts = df.groupBy(*strata).agg(F.count("*").alias("n"), F.count(key).alias("keys")).limit(MAX_CUTS + 1).collect()
+    if any(r["n"] != r["keys"] for r in counts):
+        raise ValueError(f"NULL {key}: rows need a key before they can be split")
+    state, answers, rank = {}, {}, {}
+    for r in counts:
+        for s in range(len(seeds)):
+            for j, at in enumerate(ranks(r["n"]) if r["n"] else []):
+                state[s, tuple(r[c] for c in strata), j] = (0, P31, 0)
+                rank[s, tuple(r[c] for c in strata), j] = at
+    if len(state) > MAX_CUTS:
         raise ValueError("too many strata")
-    buckets = {tuple(r[s] for s in strata): max(1, math.ceil(r["count"] / target_rows)) for r in counts}
-    if max(buckets.values(), default=1) == 1:
-        w = Window.partitionBy(*strata).orderBy(F.col("_h"), F.col(key))
-        return df.withColumn("_h", h).withColumn(out, F.row_number().over(w) - 1).drop("_h")
-    # bucket count per stratum as a literal map keyed by the stratum struct
-    kv = []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for k, v in buckets.items():
-        kv += [F.struct(*[F.lit(x).cast(types[s]).alias(s) for x, s in zip(k, strata)]), F.lit(v)]
-    nb = F.create_map(*kv)[F.struct(*[F.col(s).alias(s) for s in strata])]
-    salted = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), nb))
-    w = Window.partitionBy(*strata, "_b").orderBy(F.col("_h"), F.col(key))
-    local = salted.withColumn("_r", F.row_number().over(w) - 1)
-    sizes = salted.groupBy(*strata, "_b").count()
-    wo = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("count").over(wo), F.lit(0))).drop("count")
-    n_off = sum(buckets.values())
-    if n_off > MAX_OFFSET_ROWS:
-        raise ValueError("offset table too large to broadcast")
-    ranked = local.join(F.broadcast(offsets), [*strata, "_b"])  # size-checked above
-    return ranked.withColumn(out, F.col("_off") + F.col("_r")).drop("_h", "_b", "_r", "_off")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType([T.StructField("_rid", T.LongType()), T.StructField("_s", T.IntegerType()),
+                           *[T.StructField(f"_k{i}", kinds[c]) for i, c in enumerate(strata)],
+                           T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType())])
+    hashes = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), key_hash(key, s).alias("h")) for i, s in enumerate(seeds)]))
+    rows = df.select(*strata, F.col(key).cast("long").alias("_key"), hashes.alias("_e")).select("*", "_e.s", "_e.h").drop("_e")
+
+    def inside(ranges: list) -> DataFrame:
+        table = spark.createDataFrame([(i, s, *k, lo, hi) for i, (s, k, lo, hi) in enumerate(ranges)], schema)
+        on = (F.col("s") == F.col("_s")) & (F.col("h") >= F.col("_lo")) & (F.col("h") < F.col("_hi"))
+        for i, c in enumerate(strata):
+            on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        return rows.join(F.broadcast(table), on)  # at most MAX_CUTS rows
+
+    while len(answers) < len(state):
+        active = {t: v for t, v in state.items() if t not in answers}
+        ranges = sorted({(t[0], t[1], v[0], v[1]) for t, v in active.items()}, key=repr)
+        rid = {r: i for i, r in enumerate(ranges)}
+        width = F.col("_hi") - F.col("_lo")
+        hist: dict[int, list] = {}
+        for r in inside(ranges).groupBy("_rid", F.floor((F.col("h") - F.col("_lo")) * buckets / width).cast("long").alias("b")) \
+                .agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).collect():
+            hist.setdefault(r["_rid"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
+        small = {}
+        for t, (lo, hi, below) in active.items():
+            for _, n, first, last in sorted(hist[rid[t[0], t[1], lo, hi]]):
+                if below + n > rank[t]:
+                    state[t] = (first, last + 1, below)
+                    if n <= collect_limit or first == last:
+                        small[t] = state[t]
+                    break
+                below += n
+        if small:
+            ranges = sorted({(t[0], t[1], v[0], v[1]) for t, v in small.items()}, key=repr)
+            rid = {r: i for i, r in enumerate(ranges)}
+            found: dict[int, list] = {}
+            for r in inside(ranges).groupBy("_rid", "h", "_key").count().collect():
+                found.setdefault(r["_rid"], []).append((r["h"], r["_key"], r["count"]))
+            for t, (lo, hi, below) in small.items():
+                for h, k, n in sorted(found[rid[t[0], t[1], lo, hi]]):
+                    if below + n > rank[t]:
+                        answers[t] = (h, k)
+                        break
+                    below += n
+    out: dict = {}
+    for t in sorted(state, key=lambda t: t[2]):
+        out.setdefault((t[0], t[1]), []).append(answers[t])
+    return out
+
+
+def _with_folds(df: DataFrame, strata: list[str], key: str, seeds: list[int], names: list[str], n_splits: int,
+                buckets: int, collect_limit: int) -> DataFrame:
+    """One fold column per seed."""
+    begins = lambda n: [-(-j * n // n_splits) for j in range(1, n_splits) if -(-j * n // n_splits) < n]
+    cuts = _cut_points(df, strata, key, seeds, begins, buckets, collect_limit)
+    by: dict = {}
+    for (s, k), points in cuts.items():
+        by.setdefault(k, {})[s] = points
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    pair = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("k", T.LongType())]))
+    schema = T.StructType([*[T.StructField(f"_k{i}", kinds[c]) for i, c in enumerate(strata)],
+                           *[T.StructField(f"_c{s}", pair) for s in range(len(seeds))]])
+    table = df.sparkSession.createDataFrame([(*k, *[v.get(s, []) for s in range(len(seeds))]) for k, v in by.items()], schema)
+    on = F.lit(True)
+    for i, c in enumerate(strata):
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    joined = df.join(F.broadcast(table), on, "left")  # one row per stratum, at most MAX_CUTS cut points
+    own = F.col(key).cast("long")
+
+    def fold(s: int) -> Column:
+        h = key_hash(key, seeds[s])
+        begun = F.filter(F.coalesce(F.col(f"_c{s}"), F.array().cast(pair)),
+                         lambda c: (c["h"] < h) | ((c["h"] == h) & (c["k"] <= own)))
+        return F.size(begun)
+
+    return joined.select(*df.columns, *[fold(s).alias(name) for s, name in enumerate(names)])
 
 
 def stratified_folds(df: DataFrame, n_splits: int = 2, seed: int = SEED, label: str = "Category",
                      extra_strata: list[str] | None = None, key: str = "Id", out: str = "fold",
-                     target_rows: int = 1_000_000) -> DataFrame:
+                     buckets: int = 1024, collect_limit: int = 4096) -> DataFrame:
     """fold id balanced within each class (sizes differ by at most one)."""
-    strata = [label] + list(extra_strata or [])
-    ranked = exact_ranks(df, strata, key, seed, target_rows, "_rank")
-    return ranked.withColumn(out, (F.col("_rank") % n_splits).cast("int")).drop("_rank")
+    return _with_folds(df, [label] + list(extra_strata or []), key, [seed], [out], n_splits, buckets, collect_limit)
 
 
 def repeated_folds(df: DataFrame, n_splits: int, n_repeats: int, seed: int = SEED, label: str = "Category",
                    key: str = "Id") -> DataFrame:
-    """One fold column ``fold_r`` per repeat, each with its own seed."""
-    out = df
-    for r in range(n_repeats):
-        out = stratified_folds(out, n_splits, seed + 7919 * r, label, key=key, out=f"fold_{r}")
-    return out
+    """One fold column ``fold_r`` per repeat, each with its own seed; all repeats share the passes."""
+    return _with_folds(df, [label], key, [seed + 7919 * r for r in range(n_repeats)],
+                       [f"fold_{r}" for r in range(n_repeats)], n_splits, 1024, 4096)
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = SEED, key: str = "Id",
-                     out: str = "is_holdout") -> DataFrame:
-    """Exactly ceil(test_size * n) rows flagged as hold-out, chosen by key hash."""
-    n = df.count()
-    n_test = math.ceil(test_size * n)
-    ranked = exact_ranks(df.withColumn("_all", F.lit(0)), ["_all"], key, seed, out="_rank")
-    return ranked.withColumn(out, F.col("_rank") < n_test).drop("_rank", "_all")
+                     out: str = "is_holdout", buckets: int = 1024, collect_limit: int = 4096) -> DataFrame:
+    """Exactly ceil(test_size * n) rows flagged as hold-out, those with the smallest (hash, key)."""
+    last = lambda n: [max(0, math.ceil(test_size * n) - 1)]
+    cuts = list(_cut_points(df, [], key, [seed], last, buckets, collect_limit).values())
+    if not cuts:
+        return df.withColumn(out, F.lit(False))
+    ((h0, k0),) = cuts[0]
+    h = key_hash(key, seed)
+    return df.withColumn(out, (h < h0) | ((h == h0) & (F.col(key) <= k0)))
 
 
 def log_loss_col(prob: str = "probability", label: str = "label", eps: float = 1e-15) -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import contextlib
 import json
+import math
 import time
 
 import numpy as np
@@ -22,7 +23,7 @@ from ..fixed import SEED
 from ..models.base import cached
 from ..models.boost import BoostModel, BoostParams, fit_boost
 from ..models.calibration import calibrated_fit
-from ..models.forest import fit_forest, oob_votes
+from ..models.forest import bootstrap_seed, fit_forest, oob_votes
 from ..models.gaussian import LDA, QDA, ClassMoments
 from ..models.kernel import Nystroem
 from ..models.linear import LinearTask, fit_ova, fit_softmax
@@ -30,7 +31,7 @@ from ..models.prior import ClassPrior
 from ..models.search import Chain, boost_cv, cross_val_score, grid_search_linear, linear_grid, random_search
 from ..operators.encode import Vocabulary, balanced_weight, class_counts, feature_set
 from ..operators.features import feature_columns
-from ..operators.selection import (best_round, key_hash_sql, log_loss, rank_trials, repeated_folds,
+from ..operators.selection import (P31, best_round, key_hash_sql, log_loss, rank_trials, repeated_folds,
                                    stratified_folds, train_test_split)
 from ..sources.incidents import train_rows
 from ..sources.sinks import read_trials, to_wide
@@ -107,7 +108,8 @@ def e7_class_moments(spark, sf):
 
 def _fold_sql(seed_expr: str, part: str = "Category") -> str:
     h = key_hash_sql("Id", seed_expr)
-    return f"CAST((row_number() OVER (PARTITION BY {part} ORDER BY {h}, Id) - 1) % 2 AS INTEGER)"
+    return (f"CAST((row_number() OVER (PARTITION BY {part} ORDER BY {h}, Id) - 1) * 2 // "
+            f"count(*) OVER (PARTITION BY {part}) AS INTEGER)")
 
 
 @register("f2_stratified_folds", S.with_ctes() + f"SELECT Id, Category, {_fold_sql(str(SEED))} AS fold FROM train")
@@ -454,7 +456,12 @@ def j7_oob_log_loss(spark, sf):
     return finish(spark.createDataFrame([(float(loss), int(n))], "log_loss double, rows long"))
 
 
-@register("c10_not_nan_rows")
+def _oob_sql(trees: int) -> str:
+    u = [f"{key_hash_sql('Id', bootstrap_seed(SEED, t))} / {float(P31)!r} < {math.exp(-1)!r}" for t in range(trees)]
+    return S.with_ctes() + f"SELECT Id FROM train WHERE {' OR '.join(u)}"
+
+
+@register("c10_not_nan_rows", _oob_sql(4))
 def c10_not_nan_rows(spark, sf):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         _, _, allf = _sets(fit)

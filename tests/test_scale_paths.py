@@ -6,34 +6,87 @@ from pyspark.sql import functions as F
 
 import patrolcast.models.base as base
 from patrolcast.operators.profile import describe, exact_quantiles
-from patrolcast.operators.selection import exact_ranks, stratified_folds, train_test_split
+from patrolcast.operators.selection import (P31, key_hash, key_hash_np, key_hash_sql, stratified_folds,
+                                            train_test_split)
 
 
-def test_salted_ranks_equal_single_bucket(spark):
-    df = spark.range(0, 5000).withColumnRenamed("id", "Id").withColumn("c", (F.col("Id") * 7 % 3).cast("string"))
-    a = {r.Id: r._rank for r in exact_ranks(df, ["c"]).collect()}
-    b = {r.Id: r._rank for r in exact_ranks(df, ["c"], target_rows=100).collect()}
-    # both are exact ranks: same multiset per stratum, a permutation of 0..n_c-1
-    for c in ("0", "1", "2"):
-        ids = [r.Id for r in df.filter(F.col("c") == c).collect()]
-        assert sorted(a[i] for i in ids) == list(range(len(ids)))
-        assert sorted(b[i] for i in ids) == list(range(len(ids)))
+def _folds_by_sorting(rows, n_splits, seed):
+    """(class, Id) rows to folds by ranking each class in the order of (hash, Id)."""
+    out, by = {}, {}
+    for c, i in rows:
+        by.setdefault(c, []).append(i)
+    for c, ids in by.items():
+        ids = np.array(ids)
+        order = ids[np.lexsort((ids, key_hash_np(ids, seed)))]
+        out.update({(c, int(i)): r * n_splits // len(ids) for r, i in enumerate(order)})
+    return out
+
+
+@pytest.mark.parametrize("n_splits", [2, 3, 7])
+def test_folds_equal_ranking_for_every_bucket_setting(spark, n_splits):
+    ids = [*range(3001), *range(P31 - 5, P31 + 5), *range(2 * P31, 2 * P31 + 40)]
+    rows = [(None if i % 11 == 0 else str(i * 7 % 5), i) for i in ids] + [("rare", 10**12), ("pair", 5 * 10**12), ("pair", 6 * 10**12)]
+    df = spark.createDataFrame(rows, "c string, Id long")
+    want = _folds_by_sorting(rows, n_splits, 2019)
+    for kw in ({}, {"buckets": 2, "collect_limit": 1}, {"buckets": 16, "collect_limit": 8}):
+        got = {(r.c, r.Id): r.fold for r in stratified_folds(df, n_splits, 2019, "c", **kw).collect()}
+        assert got == want
 
 
 def test_folds_balanced_within_class(spark):
     df = spark.range(0, 3001).withColumnRenamed("id", "Id").withColumn("Category", (F.col("Id") % 7).cast("string"))
-    for target in (1_000_000, 50):
-        f = stratified_folds(df, 3, target_rows=target)
-        counts = f.groupBy("Category", "fold").count().collect()
-        by = {}
-        for r in counts:
-            by.setdefault(r.Category, []).append(r["count"])
-        assert all(max(v) - min(v) <= 1 and len(v) == 3 for v in by.values())
+    by = {}
+    for r in stratified_folds(df, 3).groupBy("Category", "fold").count().collect():
+        by.setdefault(r.Category, []).append(r["count"])
+    assert all(max(v) - min(v) <= 1 and len(v) == 3 for v in by.values())
+    plan = stratified_folds(df, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
 
 
-def test_train_test_split_exact_size(spark):
+@pytest.mark.parametrize("kw", [{}, {"buckets": 2, "collect_limit": 1}])
+def test_train_test_split_exact_size_and_rows(spark, kw):
     df = spark.range(0, 1234).withColumnRenamed("id", "Id")
-    assert train_test_split(df, 0.2).filter("is_holdout").count() == 247
+    got = {r.Id for r in train_test_split(df, 0.2, **kw).filter("is_holdout").collect()}
+    ids = np.arange(1234)
+    assert got == set(ids[np.argsort(key_hash_np(ids, 2019))][:247].tolist())
+    assert train_test_split(df.limit(0), 0.2).count() == 0
+
+
+def test_null_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "a")], "Id long, Category string")
+    with pytest.raises(ValueError, match="NULL Id"):
+        stratified_folds(df)
+
+
+def test_hash_forms_agree_and_permute(spark):
+    duckdb = pytest.importorskip("duckdb")
+    ids = np.array([0, 1, 2, 77, 10**6, P31 - 1, P31, P31 + 1, 3 * P31 + 9, 2**61], dtype=np.int64)
+    df = spark.createDataFrame([(int(i),) for i in ids], "Id long")
+    for seed in (0, 7, 2019, 10**7):
+        want = key_hash_np(ids, seed).tolist()
+        got = {r.Id: r.h for r in df.select("Id", key_hash("Id", seed).alias("h")).collect()}
+        assert [got[int(i)] for i in ids] == want
+        con = duckdb.connect()
+        for form in (seed, f"{seed} + 0"):
+            sql = f"SELECT {key_hash_sql('Id', form)} FROM (VALUES {','.join(f'({i}::BIGINT)' for i in ids)}) t(Id)"
+            assert [r[0] for r in con.execute(sql).fetchall()] == want
+    few = np.arange(200_000)
+    assert len(np.unique(key_hash_np(few, 5))) == len(few)
+
+
+def test_seeds_are_independent():
+    ids = np.arange(20_000)
+    split = [key_hash_np(ids, 2019 + 7919 * r) < P31 // 2 for r in range(5)]
+    for a in range(5):
+        for b in range(a):
+            assert abs((split[a] == split[b]).mean() - 0.5) < 0.02
+    from patrolcast.models.boost import _row_sample
+    used = sum(_row_sample(ids, 2019, r, 0.75).astype(int) for r in range(50))
+    assert used.min() > 0 and abs(used.mean() / 50 - 0.75) < 0.01
+    from patrolcast.models.forest import bootstrap_seed
+    votes = sum((key_hash_np(ids, bootstrap_seed(2019, t)) / P31 < np.exp(-1)).astype(int) for t in range(100))
+    p = np.exp(-1)
+    assert abs(votes.std() / np.sqrt(100 * p * (1 - p)) - 1) < 0.1 and abs(votes.mean() - 100 * p) < 0.5
 
 
 def test_exact_quantiles_match_numpy(spark):
@@ -91,7 +144,6 @@ def test_repair_without_address_broadcast_equals_default(spark, monkeypatch):
 
 def test_landmarks_equal_global_ordered_limit(spark):
     from patrolcast.models.kernel import _smallest_by_hash
-    from patrolcast.operators.selection import key_hash
     df = spark.range(0, 20000).withColumnRenamed("id", "Id").withColumn("a", F.col("Id") * 0.5)
     got = [r["Id"] for r in _smallest_by_hash(df, ["a"], "Id", 2019, 300)]
     want = [r["Id"] for r in df.select("Id", key_hash("Id", 2019).alias("_h")).orderBy("_h", "Id").limit(300).collect()]
