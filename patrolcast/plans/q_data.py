@@ -16,7 +16,7 @@ from ..operators.features import date_parts_matrix, feature_columns
 from ..operators.profile import describe
 from ..operators.repair import (OutlierFit, district_means, out_of_bounds, repair_by_address,
                                 repair_by_district)
-from ..sources.files import read_incidents, write_csv
+from ..sources.files import read_incidents, stage_incidents, write_csv
 from ..sources.incidents import test_rows, train_rows
 from . import sqlparts as S
 from .common import featured, finish, raw, register, repaired, staging_dir
@@ -46,6 +46,24 @@ def a1_read_incidents(spark, sf):
     return finish(read_incidents(spark, path, fmt="csv"))
 
 
+@register("a1b_stage_incidents", _sql(
+    "SELECT 'train' AS kind, CAST(NULL AS BIGINT) AS given_id, true AS keyed, Dates, Category, Descript, DayOfWeek, PdDistrict, "
+    "Resolution, Address, X, Y FROM train UNION ALL SELECT 'test', Id, true, Dates, NULL, NULL, DayOfWeek, PdDistrict, NULL, "
+    "Address, X, Y FROM test", ["X", "Y"]))
+def a1b_stage_incidents(spark, sf):
+    """The two file layouts: train files without Id, test files without the label columns."""
+    df = raw(spark, sf)
+    path = staging_dir(spark, "layouts")
+    write_csv(train_rows(df).drop("Id"), f"{path}/train-csv")
+    write_csv(test_rows(df), f"{path}/test-csv")
+    train = stage_incidents(spark, f"{path}/train-csv", f"{path}/train")
+    test = stage_incidents(spark, f"{path}/test-csv", f"{path}/test")
+    rest = ["Dates", "Category", "Descript", "DayOfWeek", "PdDistrict", "Resolution", "Address", "X", "Y"]
+    keyed = F.col("Id").isNotNull().alias("keyed")
+    return finish(train.select(F.lit("train").alias("kind"), F.lit(None).cast("long").alias("given_id"), keyed, *rest)
+                  .unionByName(test.select(F.lit("test").alias("kind"), F.col("Id").alias("given_id"), keyed, *rest)))
+
+
 @register("a2_read_features", _sql("SELECT * FROM tr_feat", DOUBLE_FEATURES, FEAT))
 def a2_read_features(spark, sf):
     tr, _, _ = featured(spark, sf)
@@ -162,7 +180,10 @@ def c6_mask_algebra(spark, sf):
     return df.filter(mask).select("Id", "PdDistrict", "Address")
 
 
-@register("c7_columns_by_type")
+@register("c7_columns_by_type", (
+    S.with_ctes(*FEAT) + f"SELECT CAST(i - 1 AS INTEGER) AS position, c AS \"column\" FROM (SELECT unnest(range(1, {len(FEATURES)} + 1)) AS i, "
+    f"unnest({FEATURES!r}) AS c) n JOIN (SELECT * FROM (UNPIVOT (SELECT {', '.join(f'typeof({S.q(c)}) AS {S.q(c)}' for c in FEATURES)} "
+    "FROM tr_feat LIMIT 1) ON COLUMNS(*) INTO NAME name VALUE kind)) k ON k.name = n.c WHERE k.kind <> 'DOUBLE'"))
 def c7_columns_by_type(spark, sf):
     """Positions of the non-double (categorical) feature columns, from the feature table's schema."""
     tr, _, _ = featured(spark, sf)

@@ -7,6 +7,7 @@ import io
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .incidents import nan_to_null
@@ -34,12 +35,25 @@ def write_csv(df: DataFrame, path: str) -> None:
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 
+def header_schema(spark: SparkSession, path: str, schema: T.StructType = INCIDENT_SCHEMA) -> T.StructType:
+    """The columns a CSV's header line names, in their order, with the schema's types (others as strings).
+
+    Only the header is read; every file under ``path`` must have this layout (a file with another one
+    fails the typed scan)."""
+    known = {f.name: f.dataType for f in schema.fields}
+    names = spark.read.option("header", "true").option("escape", '"').csv(path).columns
+    return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+
+
 def read_incidents(spark: SparkSession, path: str, fmt: str = "csv",
                    schema: T.StructType = INCIDENT_SCHEMA) -> DataFrame:
-    """A1: typed scan of incident files; columns missing from a file (test has no
-    Category) come back NULL; NaN coordinates become NULL."""
+    """A1: typed scan of incident files; CSV columns are found by their header names. Columns missing
+    from a file (train files have no Id, test files no Category, Descript and Resolution) come back
+    NULL; NaN coordinates become NULL. Rows without a key go through ``stage_incidents`` first."""
     if fmt == "csv":
-        df = spark.read.schema(schema).options(**_CSV_OPTS).csv(path)
+        df = spark.read.schema(header_schema(spark, path, schema)).options(**_CSV_OPTS, enforceSchema="false").csv(path)
+        df = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in schema.fields])
     elif fmt == "parquet":
         df = spark.read.schema(schema).parquet(path)
     else:
@@ -47,6 +61,21 @@ def read_incidents(spark: SparkSession, path: str, fmt: str = "csv",
     return nan_to_null(df)
 
 
+def stage_incidents(spark: SparkSession, path: str, out: str, fmt: str = "csv") -> DataFrame:
+    """Read incident files once, give rows without an Id a key, store them as Parquet and read them back.
+
+    The key (partition and row number of the scan) is unique and is assigned once: every later job
+    reads the stored one. Files with keys keep them; a file in which some rows lack theirs is refused."""
+    df = read_incidents(spark, path, fmt)
+    if fmt == "csv" and "Id" not in header_schema(spark, path).names:
+        df = df.withColumn("Id", F.monotonically_increasing_id())
+    df.write.mode("overwrite").parquet(out)
+    stored = read_incidents(spark, out, "parquet")
+    if not stored.where(F.col("Id").isNull()).isEmpty():
+        raise ValueError("some incidents have no Id")
+    return stored
+
+
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """A2: the finished feature table (Parquet preferred; CSV needs the schema)."""
     if fmt == "parquet":

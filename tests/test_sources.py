@@ -4,8 +4,9 @@ import os
 import tempfile
 import zipfile
 
+import pytest
 
-from patrolcast.sources.files import read_incidents, read_zipped_csv, write_csv
+from patrolcast.sources.files import read_incidents, read_zipped_csv, stage_incidents, write_csv
 from patrolcast.sources.incidents import incidents
 from patrolcast.sources.sinks import append_trial, long_to_wide, read_trials, to_long, to_wide
 
@@ -21,6 +22,42 @@ def test_csv_round_trip_keeps_values(spark):
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
 
 
+TRAIN_FILE = ("Dates,Category,Descript,DayOfWeek,PdDistrict,Resolution,Address,X,Y\n"
+              '2015-05-13 23:53:00,WARRANTS,"WARRANT, ""ARREST""",Wednesday,NORTHERN,"ARREST, BOOKED",OAK ST / LAGUNA ST,-122.4258,37.7745\n')
+TEST_FILE = ("Id,Dates,DayOfWeek,PdDistrict,Address,X,Y\n"
+             "0,2015-05-10 23:59:00,Sunday,BAYVIEW,2000 Block of THOMAS AV,-122.399588,37.735051\n"
+             "7,2015-05-10 23:51:00,Sunday,BAYVIEW,3RD ST / REVERE AV,NaN,37.732432\n")
+
+
+def test_studied_layouts_are_read_by_name(spark, tmp_path):
+    (tmp_path / "train.csv").write_text(TRAIN_FILE)
+    (tmp_path / "test.csv").write_text(TEST_FILE)
+    (tmp_path / "odd.csv").write_text("Y,Id,extra,X,Dates\n1.5,3,zzz,2.5,2015-01-02 03:04:05\n")
+    (tr,) = read_incidents(spark, str(tmp_path / "train.csv")).collect()
+    assert (tr.Id, tr.Category, tr.Descript, tr.Resolution, tr.X, tr.Y) == (None, "WARRANTS", 'WARRANT, "ARREST"', "ARREST, BOOKED", -122.4258, 37.7745)
+    te = read_incidents(spark, str(tmp_path / "test.csv")).orderBy("Id").collect()
+    assert [(r.Id, r.Category, r.DayOfWeek, r.PdDistrict, r.X, r.Y) for r in te] == [
+        (0, None, "Sunday", "BAYVIEW", -122.399588, 37.735051), (7, None, "Sunday", "BAYVIEW", None, 37.732432)]
+    (odd,) = read_incidents(spark, str(tmp_path / "odd.csv")).collect()
+    assert (odd.Id, odd.X, odd.Y, odd.Address, odd.Dates.isoformat()) == (3, 2.5, 1.5, None, "2015-01-02T03:04:05")
+
+
+def test_staged_keys_are_assigned_once(spark, tmp_path):
+    head, row = TRAIN_FILE.split("\n")[:2]
+    (tmp_path / "train").mkdir()
+    for part in range(3):
+        (tmp_path / "train" / f"{part}.csv").write_text("\n".join([head] + [row] * 4) + "\n")
+    df = stage_incidents(spark, str(tmp_path / "train"), str(tmp_path / "out"))
+    ids = sorted(r.Id for r in df.collect())
+    assert len(set(ids)) == 12 and None not in ids
+    assert ids == sorted(r.Id for r in spark.read.parquet(str(tmp_path / "out")).repartition(2).collect())
+    (tmp_path / "test.csv").write_text(TEST_FILE)
+    assert sorted(r.Id for r in stage_incidents(spark, str(tmp_path / "test.csv"), str(tmp_path / "out2")).collect()) == [0, 7]
+    (tmp_path / "gap.csv").write_text(TEST_FILE + ",2015-05-10 23:51:00,Sunday,BAYVIEW,X,1,2\n")
+    with pytest.raises(ValueError, match="no Id"):
+        stage_incidents(spark, str(tmp_path / "gap.csv"), str(tmp_path / "out3"))
+
+
 def test_zip_member_is_read_by_a_spark_job(spark):
     d = tempfile.mkdtemp(prefix="pc-zip-")
     buf = io.StringIO()
