@@ -30,6 +30,7 @@ Leaf value: -eta T(G)/(H+lambda). Ties go to the lowest feature, then bin.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass, field
 
@@ -110,6 +111,12 @@ class Tree:
         self.feat[node], self.thr[node], self.left[node], self.right[node] = feat, thr, lid, rid
         return lid, rid
 
+    def prune(self, kept: set) -> None:
+        """Make every inner node that is not in ``kept`` a leaf (its value is known)."""
+        for n, f in enumerate(self.feat):
+            if f >= 0 and n not in kept:
+                self.feat[n], self.thr[n], self.left[n], self.right[n] = -1, 0, -1, -1
+
     def arrays(self):
         return (np.array(self.feat, dtype=np.int64), np.array(self.thr, dtype=np.int64),
                 np.array(self.left, dtype=np.int64), np.array(self.right, dtype=np.int64),
@@ -131,6 +138,24 @@ def descend(arrs, B: np.ndarray) -> np.ndarray:
         node[idx] = np.where(go_right, right[node[inner]], left[node[inner]])
 
 
+def best_first(tree: Tree, info: dict, num_leaves: int, max_depth: int) -> list[int]:
+    """Nodes split by best-leaf-first growth, as far as the nodes' best splits (``info``) are known.
+
+    Children that were not examined yet count as closed. Growth repeats this with ever more nodes
+    known until every child of every chosen node is, and then it is the exact order: each step
+    splits the open leaf with the largest gain (ties: the older node)."""
+    heap = [(-info[0].gain, 0)] if 0 in info and info[0].feat >= 0 and max_depth > 0 else []
+    chosen: list[int] = []
+    while heap and len(chosen) + 1 < num_leaves:
+        _, n = heapq.heappop(heap)
+        chosen.append(n)
+        if tree.feat[n] >= 0:
+            for c in (tree.left[n], tree.right[n]):
+                if c in info and info[c].feat >= 0 and tree.depth[c] < max_depth:
+                    heapq.heappush(heap, (-info[c].gain, c))
+    return chosen
+
+
 def _soft(G, alpha):
     return np.sign(G) * np.maximum(np.abs(G) - alpha, 0.0)
 
@@ -358,7 +383,7 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
                 colmask[t, rng.choice(d, keep, replace=False)] = True
         trees = [Tree() for _ in range(ntree)]
         open_nodes = {t: [0] for t in range(ntree)}
-        leaves = {t: 1 for t in range(ntree)}
+        info: list[dict] = [{} for _ in range(ntree)]    # leaf-wise: best split of every node examined
         pairs: list = []            # (tree, parent, small child, big child) of the last level's splits
         prev = None                 # ("direct", dict) or ("cluster", cached DataFrame) of the last level
         width = d * 3 * nb
@@ -403,28 +428,31 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
             decided = {(int(r.tree), int(r.node)): r for r in res.itertuples(index=False)}
             new_open = {t: [] for t in range(ntree)}
             pairs = []
-            cand = sorted(decided.items(), key=lambda kv: (-kv[1].gain, kv[0]))
-            for (t, n), r in cand:
-                tr = trees[t]
-                G, H = r.G, r.H
-                tr.value[n] = float(-p.eta * _soft(G, p.reg_alpha) / (H + p.reg_lambda))
-                can = r.feat >= 0 and tr.depth[n] < p.max_depth
-                if p.growth == "leafwise":
-                    can = can and leaves[t] < p.num_leaves
-                if not can:
-                    continue
+            for (t, n), r in decided.items():
+                trees[t].value[n] = float(-p.eta * _soft(r.G, p.reg_alpha) / (r.H + p.reg_lambda))
+                info[t][n] = r
+            if p.growth == "leafwise":
+                chosen = {t: best_first(trees[t], info[t], p.num_leaves, p.max_depth) for t in {t for t, _ in decided}}
+                to_split = [(t, n) for t, ns in sorted(chosen.items()) for n in ns if trees[t].feat[n] < 0]
+            else:
+                to_split = [(t, n) for (t, n), r in sorted(decided.items(), key=lambda kv: (-kv[1].gain, kv[0]))
+                            if r.feat >= 0 and trees[t].depth[n] < p.max_depth]
+            for t, n in to_split:
+                tr, r = trees[t], info[t][n]
                 lid, rid = tr.split(n, int(r.feat), int(r.bin))
-                leaves[t] += 1
-                GL, HL = r.GL, r.HL
-                tr.value[lid] = float(-p.eta * _soft(GL, p.reg_alpha) / (HL + p.reg_lambda))
-                tr.value[rid] = float(-p.eta * _soft(G - GL, p.reg_alpha) / (H - HL + p.reg_lambda))
+                tr.value[lid] = float(-p.eta * _soft(r.GL, p.reg_alpha) / (r.HL + p.reg_lambda))
+                tr.value[rid] = float(-p.eta * _soft(r.G - r.GL, p.reg_alpha) / (r.H - r.HL + p.reg_lambda))
                 if tr.depth[lid] < p.max_depth:
                     new_open[t] += [lid, rid]
-                    small, big = (lid, rid) if r.CL <= r.N - r.CL else (rid, lid)
-                    pairs.append((t, n, small, big))
+                    if (t, n) in decided:    # the parent's histogram is at hand: sum only the smaller child
+                        small, big = (lid, rid) if r.CL <= r.N - r.CL else (rid, lid)
+                        pairs.append((t, n, small, big))
             open_nodes = new_open
         if prev is not None and prev[0] == "cluster":
             prev[1].unpersist()
+        if p.growth == "leafwise":
+            for t, tr in enumerate(trees):
+                tr.prune(set(best_first(tr, info[t], p.num_leaves, p.max_depth)))
         for m in range(M):
             models[m].rounds.append(trees[m * K:(m + 1) * K])
         data = _advance(data, bcols, K, M, trees, rnd, p)

@@ -161,3 +161,43 @@ def test_fitted_state_ignores_scored_rows(spark):
     out = voc.transform(sc.transform(test)).first()
     assert sc.mean == [2.0] and sc.std == [1.0]
     assert out.x == pytest.approx(98.0) and out.label == -1   # unseen level -> -1
+
+
+def _grow_best_first(X, g, h, num_leaves, lam, min_samples):
+    """Plain best-leaf-first growth on integer features: the row sets of the leaves."""
+    def best(rows):
+        G, H, top = g[rows].sum(), h[rows].sum(), (0.0, None)
+        for f in range(X.shape[1]):
+            for cut in np.unique(X[rows, f])[:-1]:
+                left = X[rows, f] <= cut
+                if min(left.sum(), (~left).sum()) < min_samples:
+                    continue
+                GL, HL = g[rows][left].sum(), h[rows][left].sum()
+                gain = 0.5 * (GL**2 / (HL + lam) + (G - GL)**2 / (H - HL + lam) - G**2 / (H + lam))
+                if gain > top[0] + 1e-9:
+                    top = (gain, (rows[left], rows[~left]))
+        return top
+    open_ = [(*best(np.arange(len(X))), np.arange(len(X)))]
+    while len(open_) < num_leaves:
+        i = max(range(len(open_)), key=lambda j: open_[j][0])
+        if open_[i][1] is None:
+            break
+        _, (a, b), _ = open_.pop(i)
+        open_ += [(*best(a), a), (*best(b), b)]
+    return sorted(tuple(rows.tolist()) for *_, rows in open_)
+
+
+@pytest.mark.parametrize("num_leaves", [2, 4, 7, 12])
+def test_leafwise_growth_splits_the_best_leaf_first(spark, num_leaves):
+    from patrolcast.models.boost import descend
+    rng = np.random.RandomState(11)
+    X = rng.randint(0, 12, size=(400, 3)).astype(float)
+    score = np.where(X[:, 0] > 7, 3.0 * (X[:, 1] > 5) - 1.5 + 2.0 * (X[:, 2] > 9) * (X[:, 1] <= 5), 0.15 * (X[:, 2] > 4))
+    y = (rng.rand(400) < 1 / (1 + np.exp(-score))).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), *map(float, X[i])) for i in range(400)], "Id long, label int, a double, b double, c double")
+    m = fit_boost(df, ["a", "b", "c"], 2, BoostParams(n_rounds=1, growth="leafwise", num_leaves=num_leaves, max_depth=64, eta=1.0,
+                                                      reg_lambda=1.0, reg_alpha=0.0, gamma=0.0, min_child_weight=0.0, min_child_samples=5))[0]
+    tree = m.rounds[0][1]
+    at = descend(tree.arrays(), m.binner.bins(X))
+    got = sorted(tuple(np.flatnonzero(at == n).tolist()) for n in np.unique(at))
+    assert got == _grow_best_first(X, 0.5 - y, np.full(400, 0.5), num_leaves, 1.0, 5)
