@@ -77,11 +77,12 @@ class LDA:
         m = ClassMoments.compute(df, cols, n_classes, label, centered)
         n, K = m.n.sum(), n_classes
         pooled = m.scatter.sum(axis=0) / max(n - K, 1)
-        # rank tolerance in correlation space (features on any scale)
+        # rank tolerance in correlation space (features on any scale): singular values of the
+        # data are cut at ``tol`` of the largest, hence eigenvalues at its square
         sd = np.sqrt(np.maximum(np.diag(pooled), 0))
         sd = np.where(sd > 0, sd, 1.0)
         s, V = np.linalg.eigh(pooled / np.outer(sd, sd))
-        keep = s > tol * s.max()
+        keep = s > tol**2 * s.max()
         inv = ((V[:, keep] / s[keep]) @ V[:, keep].T) / np.outer(sd, sd)
         prior = np.maximum(m.n, 1e-300) / n
         coef = m.mean @ inv
