@@ -17,8 +17,7 @@ is not penalised. ``alpha`` (SGD) maps to lambda directly, ``C`` (SVC) to
 lambda = 1/(C n). L2 tasks are minimised by L-BFGS with Armijo backtracking, L1 tasks
 by OWL-QN (its orthant-wise variant); the first step is scaled by 1/L, where L
 comes from the exact largest eigenvalue of the task's standardised Gram matrix
-(one pre-pass). FISTA (accelerated proximal gradient, step 1/L) is kept as an
-alternative solver. The hinge is smoothed over a margin band of width
+(one pre-pass). The hinge is smoothed over a margin band of width
 ``mu`` (Nesterov smoothing) so the same solver applies; by continuation the
 band shrinks 10x per stage from ``mu`` to ``mu_final``, each stage warm-started,
 so the final objective is within mu_final/2 per row of the hinge.
@@ -26,7 +25,7 @@ so the final objective is within mu_final/2 per row of the hinge.
 
 from __future__ import annotations
 
-import math
+import warnings
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -36,6 +35,8 @@ from pyspark.sql import functions as F
 
 from .base import arrow_matrix, arrow_vector, cached, map_probabilities, partial_sums
 
+# Fits run to their tolerance; this many passes end one that does not get there (flagged, with a warning).
+MAX_PASSES = 2_000
 CURVATURE = {"log": 0.25, "modified_huber": 2.0, "squared_hinge": 2.0}
 
 
@@ -136,6 +137,7 @@ class FittedTask:
     n_iter: int = 0
     calib: np.ndarray | None = None   # (K, 2) Platt (a, b) when calibrated
     featurize: object = None          # raw inputs -> model inputs (e.g. Nystroem map)
+    converged: bool = True            # False if the pass limit ended the fit (a warning says so)
 
     def decision(self, X: np.ndarray) -> np.ndarray:
         if self.featurize is not None:
@@ -159,7 +161,7 @@ class FittedTask:
 
 
 def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[LinearTask], n_groups: int = 1,
-              label: str = "label", grp: str = "grp", max_iter: int = 100, tol: float = 1e-4,
+              label: str = "label", grp: str = "grp", max_iter: int = MAX_PASSES, tol: float = 1e-4,
               stats: GroupStats | None = None, featurize=None, dim: int | None = None,
               standardize: bool = True, persist: bool = True) -> list[FittedTask]:
     """Fit every task; ``df`` must hold ``cols``, ``label`` (0..K-1) and ``grp`` (0..G-1).
@@ -261,8 +263,10 @@ def _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol,
                 solvers[t].restart(Ls[t] * 10.0)
                 still.append(t)
         active = still
+    if active:
+        warnings.warn(f"{len(active)} of {T} linear fits ended at the limit of {max_iter} passes", RuntimeWarning, stacklevel=3)
     return [FittedTask(t, means[i], scales[i], solvers[i].x[:, :d].copy(), solvers[i].x[:, d].copy(),
-                       solvers[i].n_iter, featurize=featurize) for i, t in enumerate(tasks)]
+                       solvers[i].n_iter, featurize=featurize, converged=i not in active) for i, t in enumerate(tasks)]
 
 
 class _Solver:
@@ -286,32 +290,6 @@ class _Solver:
         return f, np.where(self.free, g, 0.0)
 
 
-class _Fista(_Solver):
-    """Accelerated proximal gradient, step 1/L (used for the L1 penalty)."""
-
-    def __init__(self, *a):
-        super().__init__(*a)
-        self.y = self.x.copy()
-        self.t = 1.0
-
-    def point(self):
-        return self.y
-
-    def update(self, f, g, it):
-        _, g = self._penalised(self.y, f, g)
-        new = self.y - g / self.L
-        if self.penalty == "l1":
-            w = new[:, :-1]
-            new[:, :-1] = np.sign(w) * np.maximum(np.abs(w) - self.lam / self.L, 0.0)
-        new = np.where(self.free, new, 0.0)
-        t_new = (1 + math.sqrt(1 + 4 * self.t ** 2)) / 2
-        step = new - self.x
-        self.y = new + ((self.t - 1) / t_new) * step
-        self.x, self.t = new, t_new
-        self.n_iter = it + 1
-        return np.abs(step).max() <= self.tol * max(1.0, np.abs(new).max())
-
-
 class _Lbfgs(_Solver):
     """Limited-memory BFGS with Armijo backtracking (smooth L2 objectives).
 
@@ -483,7 +461,7 @@ class LinearOVA:
 
 
 def fit_ova(df: DataFrame, cols: list[str], n_classes: int, task: LinearTask, label="label",
-            max_iter: int = 100, tol: float = 1e-4) -> LinearOVA:
+            max_iter: int = MAX_PASSES, tol: float = 1e-4) -> LinearOVA:
     """Single fit on all rows of ``df`` (K4, K5 final models)."""
     data = df.withColumn("grp", F.lit(0))
     fitted = fit_tasks(data, cols, n_classes, [task], 1, label, "grp", max_iter, tol)
@@ -510,7 +488,7 @@ class SoftmaxModel:
 
 
 def fit_softmax(df: DataFrame, cols: list[str], n_classes: int, C: float = 0.1, label: str = "label",
-                max_iter: int = 100, tol: float = 1e-4) -> SoftmaxModel:
+                max_iter: int = MAX_PASSES, tol: float = 1e-4) -> SoftmaxModel:
     """K3: MLlib multinomial LogisticRegression on standardised features.
 
     The SVC-style C maps to ``regParam = 1 / (C n)`` (L2, ``elasticNetParam=0``);
@@ -531,6 +509,8 @@ def fit_softmax(df: DataFrame, cols: list[str], n_classes: int, C: float = 0.1,
     lr = LogisticRegression(family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=tol, fitIntercept=True)
     model = lr.fit(vec)
+    if model.summary.totalIterations >= max_iter:
+        warnings.warn(f"the softmax fit ended at the limit of {max_iter} iterations", RuntimeWarning, stacklevel=2)
     coef = model.coefficientMatrix.toArray()
     icpt = model.interceptVector.toArray()
     if coef.shape[0] < n_classes:  # classes never seen at the top of the range

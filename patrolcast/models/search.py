@@ -21,7 +21,7 @@ from ..sources.sinks import append_trial
 from .base import arrow_matrix, arrow_vector, cached, partial_sums
 from .boost import BoostParams, fit_boost
 from .calibration import platt
-from .linear import LinearTask, fit_tasks, group_stats
+from .linear import MAX_PASSES, LinearTask, fit_tasks, group_stats
 
 
 @dataclass
@@ -54,12 +54,13 @@ def cross_val_score(df: DataFrame, fold_cols: list[str], fit: Callable[[DataFram
 
 def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_classes: int,
                        grid: list[LinearTask], n_splits: int = 2, calibrated: bool = False, cv_inner: int = 2,
-                       label: str = "label", key: str = "Id", seed: int = SEED, max_iter: int = 100,
+                       label: str = "label", key: str = "Id", seed: int = SEED, max_iter: int = MAX_PASSES,
                        tol: float = 1e-4) -> DataFrame:
     """Every parameter set x fold (x inner calibration fold) fitted in shared passes.
 
-    Returns ``(params, mean_test_score, rank_test_score)`` with scores = -log loss
-    on the held-out fold, averaged over folds; no refit.
+    Returns ``(params, mean_test_score, passes, converged, rank_test_score)`` with scores =
+    -log loss on the held-out fold, averaged over folds, the passes of the longest fit of the
+    setting, and whether all of its fits reached the tolerance; no refit.
     """
     data = stratified_folds(df, n_splits, seed, label, key=key, out="fold")
     G = n_splits
@@ -117,8 +118,10 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
     rows = []
     for p, base in enumerate(grid):
         scores = [-per[j] for j, k in enumerate(keys) if k[0] == p]
-        rows.append((json.dumps(base.describe(), sort_keys=True), float(np.mean(scores))))
-    trials = spark.createDataFrame(rows, "params string, mean_test_score double")
+        own = [m for (q, _, _), m in zip(index, fitted) if q == p]
+        rows.append((json.dumps(base.describe(), sort_keys=True), float(np.mean(scores)),
+                     max(m.n_iter for m in own), all(m.converged for m in own)))
+    trials = spark.createDataFrame(rows, "params string, mean_test_score double, passes int, converged boolean")
     return rank_trials(trials)
 
 

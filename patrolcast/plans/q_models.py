@@ -368,7 +368,7 @@ def j3_grid_search(spark, sf):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         lin, _, _ = _sets(fit)
         grid = linear_grid("log", penalty=["l2", "l1"], fit_intercept=[True, False], alpha=[1e-4, 1e-3, 1e-2, 1e-1])
-        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, max_iter=60))
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid))
 
 
 @register("j3b_grid_search_calibrated")
@@ -377,7 +377,7 @@ def j3b_grid_search_calibrated(spark, sf):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         lin, _, _ = _sets(fit)
         grid = linear_grid("hinge", C=[1e-2, 1e-1], class_weight=[None, "balanced"], fit_intercept=[True, False])
-        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True, max_iter=60))
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True))
 
 
 def _boost_cv(spark, trl, allf, voc):

@@ -201,3 +201,50 @@ def test_leafwise_growth_splits_the_best_leaf_first(spark, num_leaves):
     at = descend(tree.arrays(), m.binner.bins(X))
     got = sorted(tuple(np.flatnonzero(at == n).tolist()) for n in np.unique(at))
     assert got == _grow_best_first(X, 0.5 - y, np.full(400, 0.5), num_leaves, 1.0, 5)
+
+
+@pytest.mark.parametrize("loss,penalty", [("log", "l2"), ("log", "l1"), ("modified_huber", "l2"), ("squared_hinge", "l2"), ("hinge", "l2")])
+def test_linear_fits_reach_a_stationary_point(blobs, loss, penalty):
+    """No small step lowers the objective of a converged fit by more than the tolerance allows."""
+    from patrolcast.models.linear import LinearTask, fit_tasks, loss_grad
+    df, _, _, cols, K = blobs
+    df = df.withColumn("grp", F.lit(0))
+    (m,) = fit_tasks(df, cols, K, [LinearTask(loss=loss, penalty=penalty, alpha=1e-2)], tol=1e-7)
+    assert m.converged
+    rows = df.select(*cols, "label").collect()
+    X = (np.array([[r[c] for c in cols] for r in rows], dtype=float) - m.mean) / m.scale
+    Y = np.where(np.array([r["label"] for r in rows])[:, None] == np.arange(K), 1.0, -1.0)
+
+    def objective(W, b):
+        v = loss_grad(loss, Y * (X @ W.T + b), m.task.mu_final)[0].sum() / len(X)
+        return v + (0.5 * 1e-2 * (W * W).sum() if penalty == "l2" else 1e-2 * np.abs(W).sum())
+
+    at = objective(m.W, m.b)
+    rng = np.random.RandomState(0)
+    for size in (1e-1, 1e-2, 1e-3):
+        for _ in range(40):
+            assert objective(m.W + size * rng.randn(*m.W.shape), m.b + size * rng.randn(*m.b.shape)) > at - 1e-4 * max(1.0, at)
+
+
+def test_cut_fits_are_flagged(blobs):
+    from patrolcast.models.linear import LinearTask, fit_tasks
+    df, _, _, cols, K = blobs
+    with pytest.warns(RuntimeWarning, match="limit of 2 passes"):
+        (m,) = fit_tasks(df.withColumn("grp", F.lit(0)), cols, K, [LinearTask(loss="log", alpha=1e-4)], max_iter=2)
+    assert not m.converged and m.n_iter == 2
+
+
+def test_models_survive_the_table_form(spark, tmp_path):
+    from patrolcast.models.gaussian import LDA, QDA
+    from patrolcast.models.prior import ClassPrior
+    from patrolcast.models.search import Chain
+    from patrolcast.models.store import load_model, save_model
+    rng = np.random.RandomState(2)
+    rows = [(i, i % 3, *map(float, rng.randn(2) + i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "Id long, label int, a double, b double")
+    for i, m in enumerate((LDA.fit(df, ["a", "b"], 3), QDA.fit(df, ["a", "b"], 3),
+                           Chain.fit(df, ["a", "b"], lambda d: QDA.fit(d, ["a", "b"], 3, centered=True)), ClassPrior.fit(df, 3))):
+        save_model(spark, m, str(tmp_path / str(i)))
+        again = load_model(spark, str(tmp_path / str(i)))
+        p = [[r.probability for r in x.transform(df).orderBy("Id").collect()] for x in (m, again)]
+        assert p[0] == p[1]
