@@ -38,6 +38,11 @@ HEADLINE = [
     ("boost_leafwise", "k13_boosted_trees_leafwise"),
     ("boost_symmetric", "k14_boosted_trees_symmetric"),
     ("boost_cv", "j4_boost_cv"),
+    ("rbf_svm", "k9_rbf_svm"),
+    ("cross_val_score", "j2_cross_val_score"),
+    ("grid_search_calibrated", "j3b_grid_search_calibrated"),
+    ("random_search", "j5_random_search"),
+    ("oob_log_loss", "j7_oob_log_loss"),
 ]
 
 

@@ -120,6 +120,12 @@ def map_probabilities(df: DataFrame, cols: list[str], keep: list[str],
     return src.mapInArrow(run, schema)
 
 
+def labelled(df: DataFrame, label: str = "label") -> DataFrame:
+    """The rows a fit learns from: those with a class. NULL and unseen labels (code -1) are left out of
+    every fit, and of the log loss; scoring keeps all rows."""
+    return df.where(F.col(label) >= 0)
+
+
 def softmax(Z: np.ndarray) -> np.ndarray:
     Z = Z - Z.max(axis=1, keepdims=True)
     E = np.exp(Z)

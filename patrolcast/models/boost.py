@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from ..operators.selection import P31, key_hash_np
 from ..session import cut_lineage
-from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, list_array, map_probabilities,
+from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, labelled, list_array, map_probabilities,
                    partial_sums, softmax)
 
 
@@ -331,7 +331,7 @@ def _scan_cluster(summed: DataFrame, p: BoostParams, d: int, colmask: np.ndarray
 def _prepare(df: DataFrame, cols: list[str], binner: Binner, n_models: int, n_classes: int,
              label: str, grp: str | None) -> DataFrame:
     d = len(cols)
-    src = df.select("Id", F.col(label).cast("int").alias("label"),
+    src = labelled(df, label).select("Id", F.col(label).cast("int").alias("label"),
                     (F.col(grp).cast("int") if grp else F.lit(0)).alias("grp"),
                     *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     fields = [T.StructField("Id", T.LongType()), T.StructField("label", T.IntegerType()),

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_matrix, arrow_vector, cached, map_probabilities, partial_sums
+from .base import arrow_matrix, arrow_vector, cached, labelled, map_probabilities, partial_sums
 
 # Fits run to their tolerance; this many passes end one that does not get there (flagged, with a warning).
 MAX_PASSES = 2_000
@@ -94,6 +94,7 @@ def group_stats(df: DataFrame, cols: list[str], n_classes: int, n_groups: int, l
                 grp="grp", featurize=None, dim: int | None = None) -> GroupStats:
     """Per-group moments of the (optionally featurized) inputs; ``dim`` = output width of ``featurize``."""
     d, K, G = (dim or len(cols)), n_classes, n_groups
+    df = labelled(df, label)
     if featurize is None:
         shift = np.nan_to_num(np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(),
                                        dtype=float))
@@ -172,7 +173,7 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
     caller already holds it cached).
     """
     K, d, T = n_classes, (dim or len(cols)), len(tasks)
-    data = df.select(*[F.col(f"`{c}`") for c in cols], label, grp, *(["Id"] if "Id" in df.columns else []))
+    data = labelled(df, label).select(*[F.col(f"`{c}`") for c in cols], label, grp, *(["Id"] if "Id" in df.columns else []))
     if persist:
         data = cached(data)
     try:
@@ -500,6 +501,7 @@ def fit_softmax(df: DataFrame, cols: list[str], n_classes: int, C: float = 0.1,
 
     from ..operators.encode import StandardScaler
 
+    df = labelled(df, label)
     sc = StandardScaler.fit(df, cols)
     scaled = sc.transform(df.select(*[F.col(f"`{c}`") for c in cols], F.col(label).alias("label")))
     safe = [f"f{i}" for i in range(len(cols))]

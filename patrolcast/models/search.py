@@ -18,7 +18,7 @@ from ..fixed import SEED
 from ..operators.encode import StandardScaler
 from ..operators.selection import log_loss, rank_trials, stratified_folds
 from ..sources.sinks import append_trial
-from .base import arrow_matrix, arrow_vector, cached, partial_sums
+from .base import arrow_matrix, arrow_vector, cached, labelled, partial_sums
 from .boost import BoostParams, fit_boost
 from .calibration import platt
 from .linear import MAX_PASSES, LinearTask, fit_tasks, group_stats
@@ -62,7 +62,7 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
     -log loss on the held-out fold, averaged over folds, the passes of the longest fit of the
     setting, and whether all of its fits reached the tolerance; no refit.
     """
-    data = stratified_folds(df, n_splits, seed, label, key=key, out="fold")
+    data = stratified_folds(labelled(df, label), n_splits, seed, label, key=key, out="fold")
     G = n_splits
     if calibrated:
         data = stratified_folds(data, cv_inner, seed + 1, label, extra_strata=["fold"], key=key, out="inner")

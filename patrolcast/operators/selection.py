@@ -186,9 +186,10 @@ def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = SEED, ke
 
 
 def log_loss_col(prob: str = "probability", label: str = "label", eps: float = 1e-15) -> Column:
-    """-ln p(true class), with p clipped to [eps, 1 - eps]."""
-    p = F.element_at(F.col(prob), F.col(label) + 1)
-    return -F.log(F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps)))
+    """-ln p(true class), with p clipped to [eps, 1 - eps]; NULL for a row without a class (label NULL or -1)."""
+    known = F.col(label) >= 0
+    p = F.element_at(F.col(prob), F.when(known, F.col(label) + 1).otherwise(1))
+    return F.when(known, -F.log(F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))))
 
 
 def log_loss(df: DataFrame, prob: str = "probability", label: str = "label", eps: float = 1e-15) -> float:

@@ -248,3 +248,27 @@ def test_models_survive_the_table_form(spark, tmp_path):
         again = load_model(spark, str(tmp_path / str(i)))
         p = [[r.probability for r in x.transform(df).orderBy("Id").collect()] for x in (m, again)]
         assert p[0] == p[1]
+
+
+def test_rows_without_a_class_do_not_change_a_fit(blobs):
+    """NULL and unseen labels (-1) are left out of every fit and of the loss; scoring keeps the rows."""
+    from patrolcast.models.calibration import calibrated_fit
+    from patrolcast.models.gaussian import LDA
+    from patrolcast.models.linear import LinearTask, fit_ova, fit_softmax
+    from patrolcast.models.prior import ClassPrior
+    from patrolcast.operators.selection import log_loss
+    df, _, _, cols, K = blobs
+    odd = df.limit(40).select((F.col("Id") + 10**6).alias("Id"), F.when(F.col("Id") % 2 == 0, F.lit(-1)).cast("int").alias("label"),
+                              *[(F.col(c) * 5).alias(c) for c in cols])
+    more = df.unionByName(odd)
+    first = fit_boost(df, cols, K, BoostParams(n_rounds=2, max_depth=3))[0]
+    fits = [lambda d: fit_boost(d, cols, K, BoostParams(n_rounds=2, max_depth=3), binner=first.binner)[0],
+            lambda d: fit_ova(d, cols, K, LinearTask(loss="log", alpha=1e-2)), lambda d: fit_softmax(d, cols, K, C=1.0),
+            lambda d: calibrated_fit(d, cols, K, LinearTask(loss="squared_hinge", alpha=1e-2)), lambda d: LDA.fit(d, cols, K)]
+    for fit in fits:
+        a, b = fit(df), fit(more)
+        assert np.allclose(probs(a, df, cols), probs(b, df, cols), atol=1e-6)
+        scored = b.transform(more, keep=("Id", "label"))
+        assert scored.count() == more.count()
+        assert abs(log_loss(scored) - log_loss(a.transform(df, keep=("Id", "label")))) < 1e-6
+    assert ClassPrior.fit(more, K).probs == ClassPrior.fit(df, K).probs
