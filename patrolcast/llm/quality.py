@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROW, packed, register, table
+from .common import ROW, WORD, packed, register, table
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -146,7 +146,41 @@ def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     return src.mapInArrow(run, out)
 
 
-@register("op6_quality_rules")
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+OP6_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+x AS (SELECT rid, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, string_split(text, chr(10)) AS parts FROM d WHERE text IS NOT NULL),
+l AS (SELECT rid, i, parts[i] AS line, regexp_extract_all(parts[i], '{WORD}') AS w FROM x),
+f AS (SELECT *, len(w) AS n, len(list_filter(w, lambda v: v IN ({_sql_list(sorted(_SEPARATORS))}))) AS seps,
+             len(regexp_extract_all(line, '[{SYMBOLS}]')) AS syms, length(array_to_string(w, '')) AS chars FROM l),
+r AS (SELECT *, CASE WHEN n = 0 THEN NULL WHEN seps >= {MIN_SEPARATORS} AND seps > {MAX_SEPARATORS} * n THEN 'navigation'
+             WHEN syms > {MAX_SYMBOLS} * chars THEN 'punctuation'
+             WHEN n >= {LONG_LINE} AND NOT regexp_matches(line, '[{"".join(sorted(_MARKS))}]') THEN 'punctuation'
+             WHEN n <= {BOILERPLATE_WORDS} AND len(list_filter([{_sql_list(BOILERPLATE)}], lambda b: contains(lower(line), b))) > 0
+             THEN 'boilerplate' END AS fault, row_number() OVER (PARTITION BY rid, line ORDER BY i) AS nth FROM f),
+t AS (SELECT rid, count(*) FILTER (WHERE n > 0 AND nth > 1) AS dup, coalesce(sum(n) FILTER (WHERE fault IS NOT NULL), 0) AS lost,
+             count(*) FILTER (WHERE fault = 'punctuation') AS p, count(*) FILTER (WHERE fault = 'navigation') AS v,
+             count(*) FILTER (WHERE fault = 'boilerplate') AS b,
+             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE fault IS NULL), '')) AS sha FROM r GROUP BY rid),
+g AS (SELECT rid, a, array_to_string(w[a:a + {WINDOW} - 1], ' ') AS gram
+      FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW} + 2)) AS a FROM d WHERE len(w) >= {WINDOW})),
+h AS (SELECT rid, a, count(*) OVER (PARTITION BY rid, gram) AS c FROM g),
+k AS (SELECT rid, count(DISTINCT q) AS n_rep FROM (SELECT rid, unnest(range(a, a + {WINDOW})) AS q FROM h WHERE c > 1) GROUP BY rid),
+m AS (SELECT doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(length(array_to_string(d.w, '')) AS BIGINT) AS word_chars,
+             CAST(coalesce(len(regexp_extract_all(text, '[{SYMBOLS}]')), 0) AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_rep, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost, 0) AS BIGINT) AS lost_words,
+             coalesce(p, 0) AS bad_punctuation, coalesce(v, 0) AS bad_navigation, coalesce(b, 0) AS bad_boilerplate, sha AS kept_text_sha256
+      FROM d LEFT JOIN t USING (rid) LEFT JOIN k USING (rid))
+SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words) AND lost_words <= {MAX_LOST} * n_words AS kept
+FROM m
+"""
+
+
+@register("op6_quality_rules", OP6_SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = clean(docs)
