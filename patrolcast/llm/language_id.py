@@ -35,9 +35,10 @@ from .common import ROW, packed, register, table, unpacked
 DOCS_PER_LANG = 200
 CHARS_PER_DOC = 1_000
 CHARS_PER_LANG = 48_000
-ALPHABET = 126
+ALPHABET = 254
+PAD = 255
 LANE = 1_024
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 LETTER = re.compile(r"[^\W\d_]")
 MISS = 1 << 30
 
@@ -47,10 +48,17 @@ class Automaton:
 
     An entry holds the next state; where the sample has no such continuation it holds the
     state after restarting at the root with this symbol, plus the ``MISS`` flag (a new
-    phrase). Symbol 0 is any character outside the alphabet, the last symbol is padding.
+    phrase). The table has columns for the sample's own symbols only (``own`` maps the shared
+    ones to them): column 0 is any other symbol, the last column is padding.
     """
 
-    def __init__(self, symbols: np.ndarray, width: int):
+    def __init__(self, shared: np.ndarray):
+        mine = np.unique(shared[shared > 0])
+        self.own = np.zeros(256, dtype=np.uint8)
+        self.own[mine] = np.arange(1, len(mine) + 1, dtype=np.uint8)
+        self.width = width = len(mine) + 2
+        self.own[PAD] = width - 1
+        symbols = self.own[shared]
         nxt: list[dict] = [{}]
         link, length, last = [-1], [0], 0
         for c in symbols.tolist():
@@ -89,6 +97,16 @@ class Automaton:
         self.flat = np.ascontiguousarray(tab.reshape(-1))
         self.bits = float(np.log2(len(symbols) + 2))
 
+    def count(self, grid: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """Phrases of every lane of a (step x lane) grid of shared symbols; ``active`` lanes reach a step."""
+        state = np.full(grid.shape[1], self.fresh, dtype=np.int32)
+        count = np.zeros(grid.shape[1], dtype=np.int32)
+        for t, k in enumerate(active.tolist()):
+            v = self.flat[state[:k] * self.width + self.own[grid[t, :k]]]
+            count[:k] += v >> 30
+            state[:k] = v & (MISS - 1)
+        return count
+
 
 class CrossParser:
     """All languages' automata over one shared alphabet, built once per Python worker."""
@@ -100,10 +118,9 @@ class CrossParser:
         text = "".join(samples.values())
         pts, n = np.unique(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32), return_counts=True)
         top = pts[np.lexsort((pts, -n))][:ALPHABET]
-        self.width = len(top) + 2
         self.lut = np.zeros(0x110000, dtype=np.uint8)
         self.lut[top] = np.arange(1, len(top) + 1, dtype=np.uint8)
-        self.automata = [Automaton(self.encode(samples[k]), self.width) for k in self.langs]
+        self.automata = [Automaton(self.encode(samples[k])) for k in self.langs]
 
     @classmethod
     def of(cls, samples: dict[str, str]) -> "CrossParser":
@@ -131,18 +148,11 @@ class CrossParser:
         owner, start, size = owner[order], start[order], size[order]
         steps = int(size[0])
         active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than t
-        grid = np.full((steps, len(owner)), self.width - 1, dtype=np.uint8)
+        grid = np.full((steps, len(owner)), PAD, dtype=np.uint8)
         for lane, (a, n) in enumerate(zip(start.tolist(), size.tolist())):
             grid[:n, lane] = codes[a:a + n]
         for j, auto in enumerate(self.automata):
-            state = np.full(len(owner), auto.fresh, dtype=np.int32)
-            count = np.zeros(len(owner), dtype=np.int32)
-            for t in range(steps):
-                k = active[t]
-                v = auto.flat[state[:k] * self.width + grid[t, :k]]
-                count[:k] += v >> 30
-                state[:k] = v & (MISS - 1)
-            np.add.at(out[:, j], owner, count)
+            np.add.at(out[:, j], owner, auto.count(grid, active))
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
