@@ -131,15 +131,30 @@ def confirmed() -> Column:
     return F.expr("CASE family " + " ".join(f"WHEN '{f}' THEN {_confirmed_by(f)}" for f in FAMILIES) + " ELSE false END")
 
 
+def paragraph_sample(paragraphs: DataFrame) -> DataFrame:
+    """The ``SAMPLE`` different paragraphs (cut to ``SAMPLE_CHARS``) with the smallest hashes.
+
+    A hash bound for a few times as many rows comes first, so that what is sorted does not grow with
+    the number of tasks; it is raised until enough pass or all do. Copies collapse in their tasks."""
+    n = max(1, paragraphs.count())
+    cut = paragraphs.select(F.substring("said", 1, SAMPLE_CHARS).alias("said")) \
+        .withColumn("h", F.shiftrightunsigned(F.xxhash64("said"), 1))
+    share = min(1.0, 8 * SAMPLE / n)
+    while True:
+        some = cut if share >= 1 else cut.where(F.col("h") < F.lit(int(share * (1 << 63))))
+        picked = materialise(some.distinct().orderBy("h", "said").limit(SAMPLE))
+        if share >= 1 or picked.count() >= SAMPLE:
+            return picked
+        share = min(1.0, 8 * share)
+
+
 class Classifier:
     """Vocabulary, weights and calibration; all tables are bounded by the templates and the sample."""
 
     def __init__(self, paragraphs: DataFrame):
         """``paragraphs``: (said), the corpus's lines; a bounded sample is taken by hash."""
         spark = paragraphs.sparkSession
-        sample = paragraphs.select(F.substring("said", 1, SAMPLE_CHARS).alias("said")).orderBy(
-            F.xxhash64("said"), "said").limit(SAMPLE).select(words(F.col("said")).alias("w")) \
-            .where(F.size("w") > 0)
+        sample = paragraph_sample(paragraphs).select(words(F.col("said")).alias("w")).where(F.size("w") > 0)
         by_any = " OR ".join(_confirmed_by(f) for f in FAMILIES)
         ordinary = materialise(sample.withColumn("pairs", grams(F.col("w"), 2)).where(f"NOT ({by_any})").select("w"))
         n = max(1, ordinary.count())
