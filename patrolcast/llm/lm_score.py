@@ -1,7 +1,7 @@
 """Katz back-off language model: count, discount, normalise, store, score.
 
 Model (order 2): tokens are a text's words (A-Z lowered) and one end; a text starts in a start
-context. A word pair seen ``MIN_COUNT`` times or more in training has
+context. Every word pair seen in training (``MIN_COUNT`` = 1: none is pruned) has
 ``P(w | u) = d(c) c(u w) / (c(u) + PSEUDO)`` with Good-Turing discounts d for counts up to
 ``K`` (from the corpus-wide numbers of pairs by count; d = 1 where those do not give one
 between 0 and 1). All other words share the rest of u's mass in proportion to the lower order:
@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from .common import checkpoint_dir, key_bitmap, materialise, register, table
 from .suffix_dedup import prefix_sums, string_hash
 
-MIN_COUNT = 2
+MIN_COUNT = 1
 K = 5
 PSEUDO = 0.5
 HOT = 1 << 16

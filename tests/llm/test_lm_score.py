@@ -111,3 +111,9 @@ def test_words_of_one_buffer(monkeypatch):
     assert len(K.word_hashes(b" \n")[0]) == 0
     x = [np.array([3, 5, 1 << 55], dtype=np.uint64), np.array([0.5, -2.0]), np.array([7])]
     assert all((a == b).all() for a, b in zip(K.unpack(K.pack(("sorted", x[0]), x[1], x[2])), x))
+
+
+def test_pairs_seen_once_are_in_the_model(spark):
+    i = next(i for i in range(50) if not held(i))
+    (r,) = run(spark, [(i, "a b")]).collect()  # every pair seen once, no discount, each context seen once
+    assert math.isclose(r.score, 3 * math.log10(1 / (1 + K.PSEUDO)))
