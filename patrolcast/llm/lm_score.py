@@ -12,6 +12,8 @@ mass above zero. The lower order, where the recursion ends, is
 
 Execution: nothing that grows with the corpus reaches the driver or a broadcast.
 
+* The number of parts follows the bytes of text (``PART_BYTES`` a part), so that a part, gathered in one Python
+  group, does not grow with the corpus.
 * Each task sorts the tokens of a block of texts and sends, per part, one packed run of distinct
   keys with counts; parts merge the runs (words first, then pairs).
 * Parts of the pair table ask the parts of the word table for the counts of the second
@@ -55,6 +57,7 @@ HOT = 1 << 16
 BLOCK_TOKENS = 1_200_000
 BLOCK_DOCS = 60_000
 PARTS_PER_TASK = 2
+PART_BYTES = 4 << 20
 CHUNK = 1 << 19
 START, END = 0, 1
 _SPACE = np.zeros(256, dtype=bool)
@@ -632,10 +635,18 @@ def _dense(size: int, doc: np.ndarray, values: list[np.ndarray]) -> bytes:
     return pack(("sorted", some), *[s[some] for s in sums])
 
 
+def parts_of(docs: DataFrame) -> int:
+    """Number of parts: at most ``PART_BYTES`` of text each on average (a token takes two bytes or more, but for
+    the ends), and ``PARTS_PER_TASK`` a reduce task where the input is small."""
+    size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(PARTS_PER_TASK * tasks, -(-size // PART_BYTES))
+
+
 def katz(docs: DataFrame) -> DataFrame:
     """Train on the rows that are not ``held`` and score all, for (doc_id, text, held)."""
     spark = docs.sparkSession
-    parts = PARTS_PER_TASK * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts_of(docs)
     path = f"{checkpoint_dir(spark)}/katz-{uuid.uuid4().hex}"
     return score(docs, Model(docs.select("text", "held"), path, parts))
 

@@ -117,3 +117,12 @@ def test_pairs_seen_once_are_in_the_model(spark):
     i = next(i for i in range(50) if not held(i))
     (r,) = run(spark, [(i, "a b")]).collect()  # every pair seen once, no discount, each context seen once
     assert math.isclose(r.score, 3 * math.log10(1 / (1 + K.PSEUDO)))
+
+
+def test_parts_follow_the_text(spark, monkeypatch):
+    monkeypatch.setattr(K, "PART_BYTES", 100)
+    rows = [(i, f"a b w{i} x{i % 7} a") for i in range(200)]
+    made, before = [], K.Model.__init__
+    monkeypatch.setattr(K.Model, "__init__", lambda self, docs, path, parts: (made.append(parts), before(self, docs, path, parts))[1])
+    check(run(spark, rows), rows)
+    assert made == [-(-sum(len(t) + 1 for _, t in rows) // 100)] and made[0] > 2 * 8  # not the session's setting
