@@ -8,7 +8,9 @@ belongs to the template if at least ``SIMILARITY`` of all its tokens and half of
 behind the leading ones equal it.
 
 A template recurs if at least ``min_docs`` different texts hold one of its lines; so does a
-single line held by that many texts. Recurring lines are dropped everywhere but in the
+masked line held by that many texts. A line that is the same in every token, digits included,
+recurs from ``exact_docs`` texts (two in op2 and the pipeline, whatever its length): lines with
+a digit are therefore counted masked and unmasked. Recurring lines are dropped everywhere but in the
 first text that holds them (the one with the smallest doc_id), so nothing vanishes from the
 corpus altogether. Exact copies of a text count once and lose the same lines.
 
@@ -37,6 +39,7 @@ from .common import ROW, keep, key_bitmap, materialise, packed, register, table,
 DEPTH = 3
 SIMILARITY = 0.6
 MIN_DOCS = 10
+EXACT_DOCS = 2
 _DIGIT = re.compile(rb"[0-9]")
 _VARIABLE = re.compile(rb"[^\x20]*[0-9][^\x20]*")
 _LAST = (1 << 63) - 1
@@ -53,7 +56,14 @@ def signed(h: int) -> int:
 
 
 def line_hash(m: bytes) -> int:
-    return signed(xxhash.xxh3_64_intdigest(m))
+    """Even for masked lines with a variable, odd for lines told by all their tokens."""
+    h = signed(xxhash.xxh3_64_intdigest(m))
+    return h & ~1 if b"<*>" in m else h | 1
+
+
+def exact_hash(raw: bytes) -> int:
+    """Of a line whose masked form has a variable: its unmasked tokens, odd."""
+    return signed(xxhash.xxh3_64_intdigest(b" ".join(raw.split()), seed=1)) | 1
 
 
 def leaf_hash(m: bytes) -> int:
@@ -66,9 +76,10 @@ def _utf8(col: pa.Array) -> list:
     return col.cast(pa.binary()).to_pylist()
 
 
-def lines_of(docs: DataFrame, leaves: tuple | None = None) -> DataFrame:
-    """The distinct masked lines of every text: leaf and line hash with the text's keys, or, given a bitmap
-    (a broadcast) and mask of leaves, with the line itself where its leaf may be among them."""
+def lines_of(docs: DataFrame, leaves: tuple | None = None, exact: bool = False) -> DataFrame:
+    """The distinct masked lines of every text (``exact``: also the distinct unmasked ones of those with a variable):
+    leaf and line hash with the text's keys, or, given a bitmap (a broadcast) and mask of leaves, with the line itself
+    where its leaf may be among them."""
     with_text = leaves is not None
     src = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"),
                       F.col("text"), *text_key(F.col("text")))
@@ -88,7 +99,9 @@ def lines_of(docs: DataFrame, leaves: tuple | None = None) -> DataFrame:
                 seen = set()
                 for raw in text.split(b"\n"):
                     m = masked(raw)
-                    if m and (h := line_hash(m)) not in seen:
+                    if not m:
+                        continue
+                    if (h := line_hash(m)) not in seen:
                         seen.add(h)
                         at_leaf = leaf_hash(m)
                         if with_text:
@@ -99,6 +112,11 @@ def lines_of(docs: DataFrame, leaves: tuple | None = None) -> DataFrame:
                         leaf.append(at_leaf)
                         line.append(h)
                         row.append(i)
+                    if exact and not h & 1 and (h := exact_hash(raw)) not in seen:
+                        seen.add(h)
+                        leaf.append(h)  # a leaf of its own
+                        line.append(h)
+                        row.append(i)
             out = [pa.array(leaf, pa.int64()), pa.array(line, pa.int64())]
             if with_text:
                 out.append(pa.array(said, pa.binary()).cast(pa.string()))
@@ -110,10 +128,12 @@ def lines_of(docs: DataFrame, leaves: tuple | None = None) -> DataFrame:
     return src.mapInArrow(run, T.StructType(fields))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY,
+              exact_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(occurrences, recurring): ``leaf, line, k1, k2, d`` of every distinct line of every distinct text;
     ``line, first`` of the recurring lines, ``first`` the smallest doc_id holding the template."""
-    occ = keep(lines_of(docs).groupBy("leaf", "line", "k1", "k2").agg(F.min("d").alias("d")))
+    exact_docs = exact_docs or min_docs
+    occ = keep(lines_of(docs, exact=exact_docs < min_docs).groupBy("leaf", "line", "k1", "k2").agg(F.min("d").alias("d")))
     per_line = keep(occ.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("d").alias("d")))
     leaves = materialise(per_line.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
                          .where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf", "total"))
@@ -131,13 +151,14 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
     family = member.groupBy("leaf").agg(F.sum("n").alias("of_all"), F.min("d").alias("first")) \
         .where(F.col("of_all") >= min_docs)
     by_template = member.join(family, "leaf").select("line", "first")
-    exact = per_line.where(F.col("n") >= min_docs).select("line", F.col("d").alias("first"))
+    literal = F.col("line").bitwiseAND(F.lit(1)) == 1
+    exact = per_line.where(F.col("n") >= F.when(literal, exact_docs).otherwise(min_docs)).select("line", F.col("d").alias("first"))
     return occ, materialise(by_template.unionByName(exact).groupBy("line").agg(F.min("first").alias("first")))
 
 
-def dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, exact_docs: int | None = None) -> DataFrame:
     """Every row of ``docs`` (columns in ``_row``) with ``kept_text``, ``n_lines``, ``n_dropped``."""
-    occ, rec = recurring(docs, min_docs)
+    occ, rec = recurring(docs, min_docs, exact_docs=exact_docs)
     drop = occ.join(rec, "line").where(F.col("d") != F.col("first")).groupBy("k1", "k2") \
         .agg(F.collect_list("line").alias("drop"))  # at most the lines of one text
     src = packed(docs).select(ROW, *text_key(F.col(f"{ROW}.text"))).join(drop, ["k1", "k2"], "left") \
@@ -157,7 +178,8 @@ def dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                     n_dropped.append(0)
                     continue
                 gone = set(gone)
-                left = [x for x in lines if not ((m := masked(x)) and line_hash(m) in gone)]
+                left = [x for x in lines if not ((m := masked(x)) and ((h := line_hash(m)) in gone or
+                                                                       (not h & 1 and exact_hash(x) in gone)))]
                 kept.append(b"\n".join(left))
                 n_dropped.append(len(lines) - len(left))
             yield pa.RecordBatch.from_arrays(
@@ -170,13 +192,13 @@ def dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 @register("op2_line_dedup")
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(docs).select(F.col(f"{ROW}.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+    return dedup(docs, exact_docs=EXACT_DOCS).select(F.col(f"{ROW}.doc_id").alias("doc_id"), "n_lines", "n_dropped",
                               F.col("kept_text").alias("text"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: recurring lines leave the texts; documents that lose every word go."""
-    done = dedup(docs).where((F.col("n_dropped") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    done = dedup(docs, exact_docs=EXACT_DOCS).where((F.col("n_dropped") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
     row = F.col(ROW)
     lower = {c.lower(): c for c in docs.columns}
     done = done.withColumn(ROW, row.withField(f"`{lower['text']}`", F.col("kept_text")))

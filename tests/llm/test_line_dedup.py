@@ -1,7 +1,7 @@
 import random
 
 import brute
-from cases import SF_SMALL, odd_documents  # noqa: F401
+from cases import SF_SMALL, documents, odd_documents, table_dir  # noqa: F401
 from patrolcast.llm import line_dedup as L
 from patrolcast.llm.common import ROW, table
 
@@ -44,3 +44,14 @@ def test_odd_rows_and_stage(spark, odd_documents):
     df = spark.createDataFrame([(i, f"{t}\nown text number {'abcdefghijkl'[i] * 9}" if i % 2 else t, *r) for i, t, *r in rows], odd_documents.schema.names[:5])
     got = {r.doc_id: r for r in L.stage(spark, df, None).collect()}
     assert set(got) == {0, 1, 3, 5, 7, 9, 11, 2, 4, 6, 8, 10} or all(got[i].text.startswith("own") for i in (1, 3, 5))
+
+
+def test_lines_in_two_texts(spark, table_dir):  # noqa: F811
+    """What recurs in two texts goes from the second; lines that only differ in a number do not."""
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    rows = [(1, f"{long}\nsays one\nin 1998 it rained 3 days"), (2, f"own two\n  {long}\nin 1998  it rained 3 days"),
+            (3, "own three\nin 1997 it rained 4 days\nshort"), (4, "short\nown four")]
+    df = documents(spark, rows)
+    want = {1: rows[0][1], 2: "own two", 3: rows[2][1], 4: "own four"}
+    assert {r.doc_id: r.text for r in L.op2_line_dedup(spark, table_dir(documents=df)).collect()} == want
+    assert {r.doc_id: r.text for r in L.stage(spark, df, None).collect()} == want
