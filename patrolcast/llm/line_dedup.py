@@ -7,6 +7,13 @@ more than half of the leaf's line occurrences share, or ``<*>`` where no token d
 belongs to the template if at least ``SIMILARITY`` of all its tokens and half of those
 behind the leading ones equal it.
 
+A leaf has as many further templates as its lines support: of the (position, token) pairs that
+``min_docs`` or more of the leaf's line occurrences hold, each line takes its most supported ones,
+as many as the two shares above ask for, and lines that take the same pairs form a template. So a
+template needs no majority in its leaf, however many other lines share its start. (A token that
+differs within a template but is more frequent in the leaf than the template's own can divide it;
+each piece then has to recur by itself.)
+
 A template recurs if at least ``min_docs`` different texts hold one of its lines; so does a
 masked line held by that many texts. A line that is the same in every token, digits included,
 recurs from ``exact_docs`` texts (two in op2 and the pipeline, whatever its length): lines with
@@ -142,15 +149,24 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
     tokens = materialise(said.join(leaves, "leaf").join(per_line, ["leaf", "line"])).select(
         "leaf", "line", "total", "n", "d", F.size(F.split("words", " ")).alias("size"),
         F.posexplode(F.split("words", " ")).alias("pos", "token")).where(F.col("pos") >= DEPTH)
-    major = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("votes"), F.first("total").alias("total")) \
-        .where(F.col("votes") * 2 > F.col("total")).select("leaf", "pos", "token")
+    votes = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("votes"), F.first("total").alias("total"))
+    major = F.col("votes") * 2 > F.col("total")
+    shared = votes.where(major | (F.col("votes") >= min_docs)).select(
+        "leaf", "pos", "token", "votes", major.cast("int").alias("major"))
+    pair = F.struct((-F.col("votes")).alias("v"), "pos", F.xxhash64("token").alias("t"))
+    need = F.greatest(F.ceil(similarity * F.col("size")) - DEPTH, F.ceil((F.col("size") - DEPTH) / 2)).cast("int")
     member = materialise(
-        tokens.join(major, ["leaf", "pos", "token"]).groupBy("leaf", "line", "n", "d", "size")
-        .agg(F.count("*").alias("equal"))
-        .where((F.col("equal") + DEPTH >= similarity * F.col("size")) & (F.col("equal") * 2 >= F.col("size") - DEPTH)))
-    family = member.groupBy("leaf").agg(F.sum("n").alias("of_all"), F.min("d").alias("first")) \
-        .where(F.col("of_all") >= min_docs)
-    by_template = member.join(family, "leaf").select("line", "first")
+        tokens.join(shared, ["leaf", "pos", "token"]).groupBy("leaf", "line", "n", "d", "size")
+        .agg(F.sum("major").alias("equal"),
+             F.sort_array(F.collect_list(F.when(F.col("votes") >= min_docs, pair))).alias("pairs"))  # of one line
+        .select("leaf", "line", "n", "d", (F.col("equal") >= need).alias("voted"),
+                F.when(F.size("pairs") >= need, F.xxhash64(F.slice("pairs", F.lit(1), need))).alias("key"))
+        .where(F.col("voted") | F.col("key").isNotNull()))
+    total = [F.sum("n").alias("of_all"), F.min("d").alias("first")]
+    voted, keyed = member.where("voted"), member.where(F.col("key").isNotNull())
+    by_vote = voted.join(voted.groupBy("leaf").agg(*total).where(F.col("of_all") >= min_docs), "leaf")
+    by_key = keyed.join(keyed.groupBy("leaf", "key").agg(*total).where(F.col("of_all") >= min_docs), ["leaf", "key"])
+    by_template = by_vote.select("line", "first").unionByName(by_key.select("line", "first"))
     literal = F.col("line").bitwiseAND(F.lit(1)) == 1
     exact = per_line.where(F.col("n") >= F.when(literal, exact_docs).otherwise(min_docs)).select("line", F.col("d").alias("first"))
     return occ, materialise(by_template.unionByName(exact).groupBy("line").agg(F.min("first").alias("first")))

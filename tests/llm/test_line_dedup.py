@@ -55,3 +55,19 @@ def test_lines_in_two_texts(spark, table_dir):  # noqa: F811
     want = {1: rows[0][1], 2: "own two", 3: rows[2][1], 4: "own four"}
     assert {r.doc_id: r.text for r in L.op2_line_dedup(spark, table_dir(documents=df)).collect()} == want
     assert {r.doc_id: r.text for r in L.stage(spark, df, None).collect()} == want
+
+
+def test_several_templates_in_a_leaf(spark):
+    """Templates of 60 and 40 texts, of a third each, and one among many other lines with its start."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    forms = [("alert from host {} disk space is running low", 60), ("alert from host {} cpu load has been high", 40),
+             *((f"notice to all {{}} {x}", 20) for x in ("we close at noon", "please wash your hands", "bring some own food")),
+             ("posted on forum {} under the common terms", 12)]
+    lines = [(k, f.format(word())) for k, (f, n) in enumerate(forms) for _ in range(n)]
+    lines += [(None, "posted on forum " + " ".join(word() for _ in range(5))) for _ in range(90)]
+    rng.shuffle(lines)
+    df = spark.createDataFrame([(i, f"{line}\n{word()}") for i, (_, line) in enumerate(lines)], "doc_id long, text string")
+    first = {k: i for i, (k, _) in reversed(list(enumerate(lines)))}
+    gone = {r[0].doc_id for r in L.dedup(df).where("n_dropped = 1").select(ROW).collect()}
+    assert gone == {i for i, (k, _) in enumerate(lines) if k is not None and first[k] != i}
