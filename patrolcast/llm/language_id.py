@@ -6,9 +6,10 @@ remains that occurs in the sample is one phrase. With ``c`` phrases over ``n`` c
 ``c * log2(sample length) / n`` is the cross entropy in bits per character; the language
 with the lowest value wins (ties: the smaller language name).
 
-The only bounded part is the training sample (``DOCS_PER_LANG`` rows per language, those
-with the smallest text hash, ``CHARS_PER_DOC`` characters from the start of each,
-``CHARS_PER_LANG`` in all). Prediction reads every character of every text.
+The only bounded part is the training sample (``DOCS_PER_LANG`` pieces per language, those
+with the smallest hash among the different ones, a piece being the first ``CHARS_PER_DOC``
+characters of a text; ``CHARS_PER_LANG`` in all). Copies count once. Every character of a
+sample is a symbol of its automaton. Prediction reads every character of every text.
 
 A parse restarts every ``LANE`` characters, so that long texts become many independent
 lanes stepped together by numpy: one table look-up per character and language, whatever
@@ -35,8 +36,7 @@ from .common import ROW, packed, register, table, unpacked
 DOCS_PER_LANG = 200
 CHARS_PER_DOC = 1_000
 CHARS_PER_LANG = 48_000
-ALPHABET = 254
-PAD = 255
+DENSE = 254
 LANE = 1_024
 BLOCK_CHARS = 1_000_000
 LETTER = re.compile(r"[^\W\d_]")
@@ -48,17 +48,23 @@ class Automaton:
 
     An entry holds the next state; where the sample has no such continuation it holds the
     state after restarting at the root with this symbol, plus the ``MISS`` flag (a new
-    phrase). The table has columns for the sample's own symbols only (``own`` maps the shared
-    ones to them): column 0 is any other symbol, the last column is padding.
+    phrase). The table has columns for the sample's ``DENSE`` most frequent symbols (``column``
+    maps the shared ones to them): column 0 is any other symbol, the last column is padding.
+    The sample's remaining symbols (``rare`` numbers them) have their edges in a sorted list.
     """
 
-    def __init__(self, shared: np.ndarray):
-        mine = np.unique(shared[shared > 0])
-        self.own = np.zeros(256, dtype=np.uint8)
-        self.own[mine] = np.arange(1, len(mine) + 1, dtype=np.uint8)
-        self.width = width = len(mine) + 2
-        self.own[PAD] = width - 1
-        symbols = self.own[shared]
+    def __init__(self, shared: np.ndarray, n_shared: int):
+        mine, n = np.unique(shared[shared > 0], return_counts=True)
+        mine = mine[np.lexsort((mine, -n))]
+        own = np.zeros(n_shared + 2, dtype=np.int32)
+        own[mine] = np.arange(1, len(mine) + 1, dtype=np.int32)
+        dense = min(len(mine), DENSE)
+        self.width = width = dense + 2
+        self.column = np.where(own <= dense, own, 0).astype(np.int32)
+        self.column[n_shared + 1] = width - 1
+        self.rare = np.maximum(own - dense, 0)
+        self.n_rare = len(mine) - dense
+        symbols = own[shared]
         nxt: list[dict] = [{}]
         link, length, last = [-1], [0], 0
         for c in symbols.tolist():
@@ -86,12 +92,19 @@ class Automaton:
             last = cur
         self.fresh = len(nxt)  # before a phrase: nothing matched yet, or an unknown character just passed
         root = np.full(width, MISS | self.fresh, dtype=np.int32)
+        self.restart = np.zeros(self.n_rare + 1, dtype=np.int32)
         for c, s in nxt[0].items():
-            root[c] = s | MISS
+            if c <= dense:
+                root[c] = s | MISS
+            else:
+                self.restart[c - dense] = s | MISS
         tab = np.tile(root, (len(nxt) + 1, 1))
         for s, edges in enumerate(nxt):
-            if edges:
-                tab[s, list(edges)] = list(edges.values())
+            if near := [c for c in edges if c <= dense]:
+                tab[s, near] = [edges[c] for c in near]
+        far = sorted((s * (self.n_rare + 1) + c - dense, to) for s, edges in enumerate(nxt) if self.n_rare
+                     for c, to in edges.items() if c > dense)
+        self.far, self.far_to = np.array([k for k, _ in far], dtype=np.int64), np.array([t for _, t in far], dtype=np.int32)
         tab[:, 0] = MISS | self.fresh  # an unknown character is a phrase of its own
         tab[:, width - 1] = np.arange(len(nxt) + 1, dtype=np.int32)
         self.flat = np.ascontiguousarray(tab.reshape(-1))
@@ -102,25 +115,32 @@ class Automaton:
         state = np.full(grid.shape[1], self.fresh, dtype=np.int32)
         count = np.zeros(grid.shape[1], dtype=np.int32)
         for t, k in enumerate(active.tolist()):
-            v = self.flat[state[:k] * self.width + self.own[grid[t, :k]]]
+            v = self.flat[state[:k] * self.width + self.column[grid[t, :k]]]
+            if self.n_rare:
+                r = self.rare[grid[t, :k]]
+                lane = np.flatnonzero(r)
+                r = r[lane]
+                key = state[lane].astype(np.int64) * (self.n_rare + 1) + r
+                at = np.minimum(np.searchsorted(self.far, key), len(self.far) - 1)
+                v[lane] = np.where(self.far[at] == key, self.far_to[at], self.restart[r])
             count[:k] += v >> 30
             state[:k] = v & (MISS - 1)
         return count
 
 
 class CrossParser:
-    """All languages' automata over one shared alphabet, built once per Python worker."""
+    """All languages' automata over the characters of all samples, built once per Python worker."""
 
     _cache: dict = {}
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        text = "".join(samples.values())
-        pts, n = np.unique(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32), return_counts=True)
-        top = pts[np.lexsort((pts, -n))][:ALPHABET]
-        self.lut = np.zeros(0x110000, dtype=np.uint8)
-        self.lut[top] = np.arange(1, len(top) + 1, dtype=np.uint8)
-        self.automata = [Automaton(self.encode(samples[k])) for k in self.langs]
+        text = fold(" ".join(samples.values()))
+        pts = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+        self.lut = np.zeros(0x110000, dtype=np.uint32)
+        self.lut[pts] = np.arange(1, len(pts) + 1, dtype=np.uint32)
+        self.pad = len(pts) + 1
+        self.automata = [Automaton(self.encode(samples[k]), len(pts)) for k in self.langs]
 
     @classmethod
     def of(cls, samples: dict[str, str]) -> "CrossParser":
@@ -148,7 +168,7 @@ class CrossParser:
         owner, start, size = owner[order], start[order], size[order]
         steps = int(size[0])
         active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than t
-        grid = np.full((steps, len(owner)), PAD, dtype=np.uint8)
+        grid = np.full((steps, len(owner)), self.pad, dtype=np.uint32)
         for lane, (a, n) in enumerate(zip(start.tolist(), size.tolist())):
             grid[:n, lane] = codes[a:a + n]
         for j, auto in enumerate(self.automata):
@@ -186,11 +206,12 @@ def fold(text: str) -> str:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang: int = DOCS_PER_LANG,
           chars_per_doc: int = CHARS_PER_DOC, chars_per_lang: int = CHARS_PER_LANG) -> dict[str, str]:
     """The bounded sample per language (at most ``chars_per_lang`` characters each reach the driver)."""
+    piece = F.substring(F.col(text), 1, chars_per_doc)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h"),
-        F.substring(F.col(text), 1, chars_per_doc).alias("piece"))
-    w = Window.partitionBy("lang").orderBy("h", "piece")
-    picked = rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
+        F.col(lang).alias("lang"), F.xxhash64(piece).alias("h"), piece.alias("piece"))
+    w = Window.partitionBy("lang").orderBy("h")
+    lowest = rows.select("lang", "h").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
+    picked = rows.join(F.broadcast(lowest), ["lang", "h"]).groupBy("lang", "r").agg(F.min("piece").alias("piece"))
     pieces: dict[str, list[str]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
         pieces.setdefault(r["lang"], []).append(fold(r["piece"]))

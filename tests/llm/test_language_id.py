@@ -52,3 +52,23 @@ def test_empty_and_unlabelled(spark, odd_documents, table_dir):
 def test_sample_is_bounded(spark, bound):
     s = L.train(table(spark, SF_MID, "documents"), chars_per_lang=bound)
     assert len(s) == 4 and all(len(v) <= bound for v in s.values())
+
+
+def test_copies_count_once(spark):
+    texts = ["one text of many copies", "a second text", "and a third one"]
+    df = spark.createDataFrame([(t, "en") for t in texts for _ in range(20)], "text string, lang string")
+    assert sorted(L.train(df, docs_per_lang=3)["en"]) == sorted(" ".join(texts))
+    assert len(L.train(df, docs_per_lang=2)["en"]) > max(map(len, texts))  # two different ones, not a text twice
+
+
+def test_every_character_of_a_sample_counts():
+    rng = np.random.default_rng(8)
+    signs = [chr(0x4E00 + i) for i in range(1500)]
+    samples = {"x": "".join(rng.choice(signs, 6000)), "y": "".join(rng.choice(signs[700:], 3000)), "z": "a plain text"}
+    model = L.CrossParser(samples)
+    texts = [samples["x"][100:1900], samples["y"][5:300] + "text " + samples["x"][:50], "".join(signs), "\u7fff a b"]
+    codes = [model.encode(t) for t in texts]
+    n = np.array([len(c) for c in codes])
+    got = model.phrases(np.concatenate(codes), n) * np.array([a.bits for a in model.automata]) / n[:, None]
+    assert np.allclose(got, [[brute.cross_entropy(t, samples[k]) for k in model.langs] for t in texts])
+    assert model.predict(texts[:2])[0] == ["x", "y"]
