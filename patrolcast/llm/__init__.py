@@ -3,6 +3,8 @@
 
 def load_all() -> dict:
     """Import every operator module; each registers its query."""
-    from . import decontaminate, language_id, licenses, line_dedup, lm_score, mixing, quality, simhash, suffix_dedup, warc  # noqa: F401
+    from . import (  # noqa: F401
+        decontaminate, fingerprints, hard_negatives, language_id, licenses, line_dedup, lm_score, mixing, periodic_runs,
+        quality, simhash, suffix_dedup, warc)
     from .common import QUERIES
     return QUERIES
