@@ -147,7 +147,8 @@ def _altered(doc_id: Column, text: Column) -> Column:
     n = F.size(said)
     a = g % n
     p = F.floor((n - a) / (3 + g % 8)) + 1
-    turned = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(said, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")))
+    block = F.slice(said, a.cast("int") + 1, p.cast("int"))  # whole arrays, no lambda: that would split the text for every word
+    turned = F.slice(F.concat(F.slice(said, F.lit(1), a.cast("int")), F.flatten(F.array_repeat(block, (4 + g % 8).cast("int")))), F.lit(1), n)
     return F.when((h % 10 == 0) & text.isNotNull() & (n > 0), F.array_join(turned, " ")).otherwise(text)
 
 
