@@ -149,9 +149,10 @@ def with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
             out.append([*own, {"bucket": (b - 1) % len(cuts), "guard": True}] if cuts[b] == k else own)
         return pd.Series(out)
 
-    at = src.select(ROW, "text", "d", "h", F.explode(places("d", "h")).alias("place"))
-    return at.select(ROW, "text", "d", "h", "place.bucket", "place.guard").repartition(max(1, len(splitters)), "bucket") \
-        .sortWithinPartitions("bucket", "guard", "d", "h").select(ROW, "text", "guard")
+    at = src.select(ROW, "d", "h", F.explode(places("d", "h")).alias("place"))
+    at = at.select(ROW, "d", "h", "place.bucket", "place.guard").repartitionById(max(1, len(splitters)), "bucket") \
+        .sortWithinPartitions("bucket", "guard", "d", "h")
+    return at.select(ROW, F.coalesce(f"{ROW}.text", F.lit("")).alias("text"), "guard")  # the text travels once
 
 
 def half_edited(text: str, following: str) -> str:
