@@ -386,5 +386,6 @@ def cut(docs: DataFrame, text: str = "text") -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return cut(docs).select(F.col(ROW)["doc_id"].alias("doc_id"), "n_bytes", "n_removed", "n_spans",
-                            F.sha2("kept", 256).alias("kept_sha256"))
+                            F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("has_repeats"),
+                            F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 

@@ -23,55 +23,67 @@ def cross_entropy(text, sample):
     return phrases * math.log2(len(sample) + 2) / max(1, len(text))
 
 
-def lines_of(text):
-    from patrolcast.llm.line_dedup import masked
-    out = {}
-    for raw in (text or "").encode().split(b"\n"):
-        if m := masked(raw):
-            out[m] = True
-    return list(out)
-
-
-def line_dedup(rows, min_docs, depth=3, similarity=0.6):
-    """Texts of (doc_id, text) rows without recurring lines."""
-    from patrolcast.llm.line_dedup import masked
+def plain_mask(line):
+    """Tokens (cut at space and \\x09-\\x0D) joined by a space, those with a digit 0-9 as <*>."""
+    tokens, run = [], ""
+    for ch in line + " ":
+        if ch in " \t\n\x0b\x0c\r":
+            tokens += [run] if run else []
+            run = ""
+        else:
+            run += ch
+    return " ".join("<*>" if any(c in "0123456789" for c in t) else t for t in tokens), " ".join(tokens)
+
+
+def line_dedup(rows, min_docs, depth=3, similarity=0.6, exact_docs=None):
+    """Texts of (doc_id, text) rows without recurring lines: majority templates, templates of supported tokens, and lines
+    that are the same in every token (from exact_docs texts on)."""
+    apart = exact_docs is not None and exact_docs < min_docs  # lines with a variable are counted unmasked, too
+    exact_docs = exact_docs or min_docs
     first_id = {}
     for d, t in rows:
         d = (1 << 63) - 1 if d is None else d
         first_id[t or ""] = min(first_id.get(t or "", d), d)
-    n, low, leaf = Counter(), {}, defaultdict(set)
+    n, low, leaf, literal, low_literal = Counter(), {}, defaultdict(set), Counter(), {}
     for t, d in first_id.items():
-        for m in lines_of(t):
+        forms = {plain_mask(x) for x in t.split("\n")} - {("", "")}
+        for m in {m for m, _ in forms}:
             n[m] += 1
             low[m] = min(low.get(m, d), d)
-            tokens = m.split(b" ")
+            tokens = m.split(" ")
             leaf[len(tokens), tuple(tokens[:depth])].add(m)
-    rec = {m: low[m] for m in n if n[m] >= min_docs}
+        for x in {x for m, x in forms if "<*>" in m}:
+            literal[x] += 1
+            low_literal[x] = min(low_literal.get(x, d), d)
+    rec = {m: low[m] for m in n if n[m] >= (min_docs if "<*>" in m else exact_docs)}
+    same = {x: low_literal[x] for x in literal if literal[x] >= exact_docs} if apart else {}
     for (size, _), held in leaf.items():
         total = sum(n[m] for m in held)
-        if len(held) < 2 or total < min_docs:
+        need = max(math.ceil(similarity * size) - depth, math.ceil((size - depth) / 2))
+        if len(held) < 2 or total < min_docs or size <= depth:
             continue
         votes = Counter()
         for m in held:
-            for i, tok in enumerate(m.split(b" ")[depth:]):
+            for i, tok in enumerate(m.split(" ")[depth:]):
                 votes[i, tok] += n[m]
-        member = []
+        groups = defaultdict(list)
         for m in held:
-            tail = m.split(b" ")[depth:]
-            same = sum(votes[i, tok] * 2 > total for i, tok in enumerate(tail))
-            if same and same + depth >= similarity * size and same * 2 >= len(tail):
-                member.append(m)
-        if sum(n[m] for m in member) >= min_docs:
-            first = min(low[m] for m in member)
-            for m in member:
-                rec[m] = min(rec.get(m, first), first)
+            tail = list(enumerate(m.split(" ")[depth:]))
+            if sum(votes[v] * 2 > total for v in tail) >= need:
+                groups["majority"].append(m)
+            best = sorted((-votes[v], v) for v in tail if votes[v] >= min_docs)[:need]
+            if len(best) == need:
+                groups[tuple(best)].append(m)
+        for members in groups.values():
+            if sum(n[m] for m in members) >= min_docs:
+                first = min(low[m] for m in members)
+                for m in members:
+                    rec[m] = min(rec.get(m, first), first)
     out = []
     for d, t in rows:
-        if t is None:
-            out.append((d, t))
-            continue
-        own = first_id[t]
-        out.append((d, "\n".join(x for x in t.split("\n") if not ((m := masked(x.encode())) in rec and m and rec[m] != own))))
+        own = first_id[t or ""]
+        gone = lambda m, x: rec.get(m, own) != own or same.get(x, own) != own
+        out.append((d, t if t is None else "\n".join(x for x in t.split("\n") if not gone(*plain_mask(x)))))
     return out
 
 

@@ -22,16 +22,19 @@ def test_matches_brute_force(spark):
         rows.append((i, "\n".join(lines)))
     rows += [(200, rows[3][1]), (201, rows[3][1]), (None, rows[5][1]), (202, None), (203, ""), (204, " \n \n"), (7, "x\nnew line")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for k in (3, 10, 40):
-        want = brute.line_dedup(rows, k)
-        assert _texts(L.dedup(df, k)) == sorted(want, key=repr)
+    for k, exact in ((3, None), (10, None), (40, None), (10, 2), (40, 5)):
+        want = brute.line_dedup(rows, k, exact_docs=exact)
+        assert _texts(L.dedup(df, k, exact)) == sorted(want, key=repr)
     assert brute.line_dedup(rows, 10) != rows
 
 
 def test_given_documents(spark):
+    """The registered setting."""
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
-    assert _texts(L.dedup(docs)) == sorted(brute.line_dedup(rows, L.MIN_DOCS), key=repr)
+    want = brute.line_dedup(rows, L.MIN_DOCS, exact_docs=L.EXACT_DOCS)
+    assert sorted(((r.doc_id, r.text) for r in L.op2_line_dedup(spark, SF_SMALL).collect()), key=repr) == sorted(want, key=repr)
+    assert want != rows
 
 
 def test_odd_rows_and_stage(spark, odd_documents):
@@ -41,9 +44,24 @@ def test_odd_rows_and_stage(spark, odd_documents):
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count()
     assert L.stage(spark, odd_documents.limit(0), None).count() == 0
     rows = [(i, "always the same line here", "en", "s", 25) for i in range(12)]
-    df = spark.createDataFrame([(i, f"{t}\nown text number {'abcdefghijkl'[i] * 9}" if i % 2 else t, *r) for i, t, *r in rows], odd_documents.schema.names[:5])
-    got = {r.doc_id: r for r in L.stage(spark, df, None).collect()}
-    assert set(got) == {0, 1, 3, 5, 7, 9, 11, 2, 4, 6, 8, 10} or all(got[i].text.startswith("own") for i in (1, 3, 5))
+    own = [f"own text number {'abcdefghijkl'[i] * 9}" for i in range(12)]
+    df = spark.createDataFrame([(i, f"{t}\n{own[i]}" if i % 2 else t, *r) for i, t, *r in rows], odd_documents.schema.names[:5])
+    got = {r.doc_id: r.text for r in L.stage(spark, df, None).collect()}
+    # equal texts 0, 2, 4, ... hold the line first and keep it; the odd ones lose it and are left with their own
+    assert got == {i: own[i] if i % 2 else rows[i][1] for i in range(12)}
+
+
+def test_recall_of_planted_templates_by_number_of_texts(spark):
+    """Lines that differ in one word recur as a template from MIN_DOCS texts on, and stay below; equal lines go from two on."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    lines = [(f"t{k}", f"{lead} reports that {word()} has left the building today") for k in (*range(2, 10), 10, 12)
+             for lead in [word()] for _ in range(k)]
+    lines += [(f"e{k}", same) for k in (2, 3, 9) for same in [f"{word()} is one and the same line"] for _ in range(k)]
+    df = spark.createDataFrame([(i, f"{line}\n{word()}") for i, (_, line) in enumerate(lines)], "doc_id long, text string")
+    gone = {r[0].doc_id for r in L.dedup(df, exact_docs=L.EXACT_DOCS).where("n_dropped = 1").select(ROW).collect()}
+    caught = {k: sum(i in gone for i, (x, _) in enumerate(lines) if x == k) for k in dict(lines)}
+    assert caught == {**{f"t{k}": 0 for k in range(2, 10)}, "t10": 9, "t12": 11, "e2": 1, "e3": 2, "e9": 8}
 
 
 def test_lines_in_two_texts(spark, table_dir):  # noqa: F811

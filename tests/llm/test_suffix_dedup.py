@@ -110,8 +110,31 @@ def test_multikey_sort():
 
 def test_given_and_odd_rows(spark, odd_documents, table_dir):  # noqa: F811
     given = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
-    assert sorted((tuple(r) for r in S.op10_suffix_array_dedup(spark, SF_SMALL).collect()), key=repr) == expected(given)
+    got = S.op10_suffix_array_dedup(spark, SF_SMALL).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == expected(given)
+    assert all(r.has_repeats == (r.n_removed > 0) == (r.n_spans > 0) for r in got) and any(r.has_repeats for r in got)
+    text = dict(given)
+    assert all(r.kept_text == text[r.doc_id] for r in got if not r.has_repeats)
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     d = table_dir(documents=odd_documents)
-    assert sorted((tuple(r) for r in S.op10_suffix_array_dedup(spark, d).collect()), key=repr) == expected(rows)
+    assert sorted((tuple(r)[:5] for r in S.op10_suffix_array_dedup(spark, d).collect()), key=repr) == expected(rows)
     assert S.cut(documents(spark, [(1, "short")]).limit(0)).count() == 0
+
+
+def test_recall_of_passages_by_length(spark):
+    """A passage of 400 bytes or more is cut from both texts whole, a shorter one (of over 50 words, too) stays: the
+    string length decides, not the number of words."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    own = lambda: " ".join(word(6) for _ in range(80))
+    rows, passages = [], {}
+    for k, size in enumerate((300, 399, 400, 401, 500, 2000)):
+        said = ""
+        while len(said) < size:
+            said += word(4) + " "
+        passages[k] = said = said[:size - 1] + "."
+        assert len(said.split()) > 50
+        rows += [(10 * k, own() + "A" + said + "B" + own()), (10 * k + 1, own() + "C" + said + "D")]  # the neighbours differ
+    got = {r[0]: r.n_removed for r in S.cut(documents(spark, rows)).select(F.col(ROW)["doc_id"], "n_removed").collect()}
+    for k, said in passages.items():
+        assert got[10 * k] == got[10 * k + 1] == (len(said) if len(said) >= S.LENGTH else 0)
