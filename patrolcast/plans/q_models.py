@@ -23,7 +23,7 @@ from ..fixed import SEED
 from ..models.base import cached
 from ..models.boost import BoostModel, BoostParams, fit_boost
 from ..models.calibration import calibrated_fit
-from ..models.forest import bootstrap_seed, fit_forest, oob_votes
+from ..models.forest import bootstrap_seed, fit_forest, oob_votes, out_of_bag_rows
 from ..models.gaussian import LDA, QDA, ClassMoments
 from ..models.kernel import Nystroem
 from ..models.linear import LinearTask, fit_ova, fit_softmax
@@ -285,7 +285,7 @@ def k10_calibrate_sigmoid(spark, sf):
 def k11_random_forest(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_forest(trl, allf, voc.size, n_trees=20, max_depth=12, min_leaf=7), te, voc)
+        return _wide(fit_forest(trl, allf, voc.size, n_trees=100, max_depth=14, min_leaf=7), te, voc)
 
 
 # The final settings of the three boosters.
@@ -451,7 +451,7 @@ def a4_trial_log(spark, sf):
 def j7_oob_log_loss(spark, sf):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         _, _, allf = _sets(fit)
-        votes = cached(oob_votes(trl, allf, voc.size, n_trees=6, max_depth=10, min_leaf=7))
+        votes = cached(oob_votes(trl, allf, voc.size, n_trees=100, max_depth=14, min_leaf=7))
         loss = log_loss(votes)
         n = votes.count()
         votes.unpersist()
@@ -465,10 +465,8 @@ def _oob_sql(trees: int) -> str:
 
 @register("c10_not_nan_rows", _oob_sql(4))
 def c10_not_nan_rows(spark, sf):
-    with _labelled(spark, sf) as (trl, _, fit, voc):
-        _, _, allf = _sets(fit)
-        votes = cached(oob_votes(trl, allf, voc.size, n_trees=4, max_depth=8, min_leaf=7))
-        return votes.filter(F.col("votes") > 0).select("Id").distinct()
+    """Rows with an out-of-bag vote: which tree leaves a row out is a matter of hashes alone."""
+    return finish(out_of_bag_rows(train_rows(raw(spark, sf)), 4).select("Id").distinct())
 
 
 @register("j8_best_score")
