@@ -9,11 +9,17 @@ fold x inner-fold for calibration). Every iteration is **one** data pass that
 returns the gradients of every class of every task (``partial_sums``), so a
 grid of 16 settings x 2 folds costs the same number of passes as one fit.
 Each task keeps its own scaler fitted on its own training rows (pipeline
-semantics: the scaler never sees held-out rows).
+semantics: the scaler never sees held-out rows). Tasks with the same training
+rows share the scaled rows of a batch, and their weights are stacked into one product.
+
+A feature map with a ``basis`` (cheap columns) and a ``root`` (features = basis x root') is never applied in
+a pass: its root is folded into the weights on the driver, the pass multiplies basis columns only, and the
+gradient is mapped back by the root. Tasks can have different maps (one a fold).
 
 Objective per class k: (1/n) sum_i w_i L(y_ik z_ik) + lambda R(w_k), with
 y_ik = +-1, z = w.x + b, R = 1/2 ||w||^2 (l2) or ||w||_1 (l1); the intercept
-is not penalised. ``alpha`` (SGD) maps to lambda directly, ``C`` (SVC) to
+is not penalised. The loss ``softmax`` couples the classes: (1/n) sum_i w_i (logsumexp z_i - z_iy).
+``alpha`` (SGD) maps to lambda directly, ``C`` (SVC) to
 lambda = 1/(C n). L2 tasks are minimised by L-BFGS with Armijo backtracking, L1 tasks
 by OWL-QN (its orthant-wise variant); the first step is scaled by 1/L, where L
 comes from the exact largest eigenvalue of the task's standardised Gram matrix
@@ -33,11 +39,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_matrix, arrow_vector, cached, labelled, map_probabilities, partial_sums
+from .base import arrow_matrix, arrow_vector, cached, labelled, map_probabilities, partial_sums, softmax
 
 # Fits run to their tolerance; this many passes end one that does not get there (flagged, with a warning).
 MAX_PASSES = 2_000
-CURVATURE = {"log": 0.25, "modified_huber": 2.0, "squared_hinge": 2.0}
+CURVATURE = {"log": 0.25, "softmax": 0.5, "modified_huber": 2.0, "squared_hinge": 2.0}
+STACKED = 8  # tasks whose margins a batch holds at once
 
 
 def loss_grad(loss: str, m: np.ndarray, mu: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +77,7 @@ class LinearTask:
     C: float | None = None          # if set, lambda = 1 / (C * n_train)
     mu: float = 0.1                 # hinge smoothing band at the start
     mu_final: float = 0.01          # band after continuation (shrunk 10x per stage)
+    feature_map: int = 0            # which of the given feature maps, if there are several
 
     def describe(self) -> dict:
         return {"loss": self.loss, "alpha": self.alpha, "C": self.C, "penalty": self.penalty,
@@ -90,11 +98,26 @@ class GroupStats:
         return self.n[g].sum(), self.nk[g].sum(0), self.sx[g].sum(0), self.sxx[g].sum(0)
 
 
+def _maps(featurize) -> list:
+    return list(featurize) if isinstance(featurize, (list, tuple)) else [featurize]
+
+
+def bounded(featurize) -> bool:
+    """Feature maps that bound their rows' squared norm and have a root: no moments are needed for them."""
+    return all(hasattr(m, "root") and hasattr(m, "norm_bound") for m in _maps(featurize))
+
+
 def group_stats(df: DataFrame, cols: list[str], n_classes: int, n_groups: int, label="label",
                 grp="grp", featurize=None, dim: int | None = None) -> GroupStats:
     """Per-group moments of the (optionally featurized) inputs; ``dim`` = output width of ``featurize``."""
     d, K, G = (dim or len(cols)), n_classes, n_groups
     df = labelled(df, label)
+    if bounded(featurize):
+        rows = df.groupBy(grp, label).count().collect()  # groups x classes
+        nk = np.zeros((G, K))
+        for r in rows:
+            nk[r[grp], r[label]] += r["count"]
+        return GroupStats(nk.sum(1), nk, np.zeros((G, 1)), np.zeros((G, 1, 1)), np.zeros(d))
     if featurize is None:
         shift = np.nan_to_num(np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(),
                                        dtype=float))
@@ -141,6 +164,8 @@ class FittedTask:
     converged: bool = True            # False if the pass limit ended the fit (a warning says so)
 
     def decision(self, X: np.ndarray) -> np.ndarray:
+        if bounded(self.featurize) and not self.mean.any():
+            return self.featurize.basis(X) @ (self.W @ self.featurize.root).T + self.b
         if self.featurize is not None:
             X = self.featurize(X)
         Xs = np.nan_to_num((X - self.mean) / self.scale)
@@ -149,6 +174,8 @@ class FittedTask:
     def probabilities(self, X: np.ndarray) -> np.ndarray:
         Z = self.decision(X)
         K = Z.shape[1]
+        if self.calib is None and self.task.loss == "softmax":
+            return softmax(Z)
         if self.calib is not None:
             P = 1.0 / (1.0 + np.exp(-(self.calib[:, 0] * Z + self.calib[:, 1])))
         elif self.task.loss == "log":
@@ -168,7 +195,7 @@ def fit_tasks(df: DataFrame, cols: list[str], n_classes: int, tasks: list[Linear
     """Fit every task; ``df`` must hold ``cols``, ``label`` (0..K-1) and ``grp`` (0..G-1).
 
     ``featurize`` maps raw input rows to model inputs inside each pass (recomputed,
-    never materialised); ``standardize=False`` skips the per-task scaler;
+    never materialised); a list of maps serves tasks by their ``feature_map``; ``standardize=False`` skips the per-task scaler;
     ``persist`` caches the projected input for the iterations (off when the
     caller already holds it cached).
     """
@@ -194,7 +221,10 @@ def _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol,
         cov = sxx / max(n, 1) - np.outer(mu_s, mu_s)
         sd = np.sqrt(np.maximum(np.diag(cov), 0))
         scale = np.where(sd > 0, sd, 1.0)
-        if standardize:
+        if bounded(featurize) and not standardize:
+            mu_s, scale = np.zeros(d), np.ones(d)
+            lam_max = _maps(featurize)[t.feature_map].norm_bound + (1.0 if t.fit_intercept else 0.0)
+        elif standardize:
             corr = cov / np.outer(scale, scale)
             # centred, unit-variance inputs: the intercept direction is orthogonal
             lam_max = max(np.linalg.eigvalsh(corr).max(), 1.0 if t.fit_intercept else 0.0)
@@ -222,37 +252,68 @@ def _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol,
     means_a, scales_a, cws_a, masks_a = np.array(means), np.array(scales), np.array(cws), np.array(masks)
     losses = [t.loss for t in tasks]
     mus = [t.mu for t in tasks]
+    maps = _maps(featurize)
+    fold_root = bounded(featurize) and not standardize
     for it in range(max_iter):
         if not active:
             break
         act = list(active)
         pts = np.array([solvers[t].point() for t in act])   # (A, K, d+1)
+        if fold_root:
+            for a, t in enumerate(act):
+                pts[a, :, :d] = pts[a, :, :d] @ maps[tasks[t].feature_map].root
         width = K * (d + 2)
+        views: dict = {}                                    # tasks that see the same rows, scaled alike
+        for a, t in enumerate(act):
+            views.setdefault((masks_a[t].tobytes(), tasks[t].feature_map), []).append((a, t))
 
-        def part(b, act=act, pts=pts):
-            X = arrow_matrix(b, cols)
-            if featurize is not None:
-                X = featurize(X)
+        def part(b, act=act, pts=pts, views=views):
+            raw = arrow_matrix(b, cols)
             y = arrow_vector(b, label, np.int64)
             g = arrow_vector(b, grp, np.int64)
             out = np.zeros((len(act), K, d + 2))
-            for a, t in enumerate(act):
-                rows = masks_a[t][g]
+            inputs: dict = {}
+            for (_, m), own in views.items():
+                first = own[0][1]
+                rows = masks_a[first][g]
                 if not rows.any():
                     continue
-                Xs = np.nan_to_num((X[rows] - means_a[t]) / scales_a[t])
+                if m not in inputs:
+                    f = maps[m] if len(maps) > 1 else maps[0]
+                    inputs[m] = raw if f is None else f.basis(raw) if fold_root else f(raw)
+                Xs = inputs[m][rows]
+                if not fold_root:
+                    Xs = np.nan_to_num((Xs - means_a[first]) / scales_a[first])
                 ys = y[rows]
-                Y = np.where(ys[:, None] == np.arange(K)[None, :], 1.0, -1.0)
-                Z = Xs @ pts[a, :, :d].T + pts[a, :, d]
-                lv, dl = loss_grad(losses[t], Y * Z, mus[t])
-                w = cws_a[t][ys][:, None]
-                G = Y * dl * w
-                out[a, :, :d] = G.T @ Xs
-                out[a, :, d] = G.sum(axis=0)
-                out[a, :, d + 1] = (lv * w).sum(axis=0)
+                hot = ys[:, None] == np.arange(K)[None, :]
+                Y = np.where(hot, 1.0, -1.0)
+                for at in range(0, len(own), STACKED):
+                    some = own[at:at + STACKED]
+                    P = pts[[a for a, _ in some]]
+                    Z = (Xs @ P[:, :, :d].reshape(-1, d).T).reshape(len(ys), len(some), K) + P[:, :, d]
+                    G = np.empty_like(Z)
+                    for j, (a, t) in enumerate(some):
+                        w = cws_a[t][ys][:, None]
+                        if losses[t] == "softmax":
+                            z = Z[:, j] - Z[:, j].max(axis=1, keepdims=True)
+                            e = np.exp(z)
+                            total = e.sum(axis=1, keepdims=True)
+                            G[:, j] = (e / total - hot) * w
+                            out[a, 0, d + 1] = ((np.log(total[:, 0]) - z[hot]) * w[:, 0]).sum()
+                        else:
+                            lv, dl = loss_grad(losses[t], Y * Z[:, j], mus[t])
+                            G[:, j] = Y * dl * w
+                            out[a, :, d + 1] = (lv * w).sum(axis=0)
+                    G = G.reshape(len(ys), -1)
+                    GX, GB = (G.T @ Xs).reshape(len(some), K, d), G.sum(axis=0).reshape(len(some), K)
+                    for j, (a, _) in enumerate(some):
+                        out[a, :, :d], out[a, :, d] = GX[j], GB[j]
             return out.ravel()
 
         res = partial_sums(data, len(act) * width, part).reshape(len(act), K, d + 2)
+        if fold_root:
+            for a, t in enumerate(act):
+                res[a, :, :d] = res[a, :, :d] @ maps[tasks[t].feature_map].root.T
         still = []
         for a, t in enumerate(act):
             n = max(tasks[t]._n, 1)
@@ -267,7 +328,7 @@ def _fit_tasks(data, cols, K, d, T, tasks, n_groups, label, grp, max_iter, tol,
     if active:
         warnings.warn(f"{len(active)} of {T} linear fits ended at the limit of {max_iter} passes", RuntimeWarning, stacklevel=3)
     return [FittedTask(t, means[i], scales[i], solvers[i].x[:, :d].copy(), solvers[i].x[:, d].copy(),
-                       solvers[i].n_iter, featurize=featurize, converged=i not in active) for i, t in enumerate(tasks)]
+                       solvers[i].n_iter, featurize=maps[t.feature_map] if len(maps) > 1 else maps[0], converged=i not in active) for i, t in enumerate(tasks)]
 
 
 class _Solver:
@@ -480,7 +541,6 @@ class SoftmaxModel:
     scale: np.ndarray
 
     def predict_proba(self, X: np.ndarray) -> np.ndarray:
-        from .base import softmax
         Xs = np.nan_to_num((X - self.mean) / self.scale)
         return softmax(Xs @ self.coef.T + self.intercept)
 

@@ -55,12 +55,14 @@ def cross_val_score(df: DataFrame, fold_cols: list[str], fit: Callable[[DataFram
 def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_classes: int,
                        grid: list[LinearTask], n_splits: int = 2, calibrated: bool = False, cv_inner: int = 2,
                        label: str = "label", key: str = "Id", seed: int = SEED, max_iter: int = MAX_PASSES,
-                       tol: float = 1e-4) -> DataFrame:
+                       tol: float = 1e-4, feature_map: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """Every parameter set x fold (x inner calibration fold) fitted in shared passes.
 
     Returns ``(params, mean_test_score, passes, converged, rank_test_score)`` with scores =
     -log loss on the held-out fold, averaged over folds, the passes of the longest fit of the
-    setting, and whether all of its fits reached the tolerance; no refit.
+    setting, and whether all of its fits reached the tolerance; no refit. ``feature_map`` fits a map on
+    the rows of an outer training fold (scaler and landmarks never see the held-out fold); the map
+    replaces the scaler.
     """
     data = stratified_folds(labelled(df, label), n_splits, seed, label, key=key, out="fold")
     G = n_splits
@@ -72,7 +74,11 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
         data = data.withColumn("grp", F.col("fold"))
     data = cached(data.select(*[F.col(f"`{c}`") for c in cols], label, "grp", key), key)
     try:
-        stats = group_stats(data, cols, n_classes, G, label, "grp")
+        inner = cv_inner if calibrated else 1
+        maps = None if feature_map is None else [
+            feature_map(data.where(F.floor(F.col("grp") / inner) != f)) for f in range(n_splits)]
+        dim = maps[0].dim if maps else None
+        stats = group_stats(data, cols, n_classes, G, label, "grp", maps, dim)
         tasks, index = [], []
         for p, base in enumerate(grid):
             for f in range(n_splits):
@@ -80,12 +86,13 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
                     for i in range(cv_inner):
                         groups = [fo * cv_inner + ii for fo in range(n_splits) for ii in range(cv_inner)
                                   if fo != f and ii != i]
-                        tasks.append(dataclasses.replace(base, train_groups=groups))
+                        tasks.append(dataclasses.replace(base, train_groups=groups, feature_map=f if maps else 0))
                         index.append((p, f, i))
                 else:
-                    tasks.append(dataclasses.replace(base, train_groups=[fo for fo in range(n_splits) if fo != f]))
+                    tasks.append(dataclasses.replace(base, train_groups=[fo for fo in range(n_splits) if fo != f],
+                                                     feature_map=f if maps else 0))
                     index.append((p, f, 0))
-        fitted = fit_tasks(data, cols, n_classes, tasks, G, label, "grp", max_iter, tol, stats, persist=False)
+        fitted = fit_tasks(data, cols, n_classes, tasks, G, label, "grp", max_iter, tol, stats, maps, dim, maps is None, persist=False)
         if calibrated:
             calib = [[fo * cv_inner + i for fo in range(n_splits) if fo != f] for (_, f, i) in index]
             platt(data, cols, n_classes, fitted, calib, G, stats, label, "grp")
@@ -94,7 +101,6 @@ def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_cl
         for (p, f, _), m in zip(index, fitted):
             members.setdefault((p, f), []).append(m)
         keys = sorted(members)
-        inner = cv_inner if calibrated else 1
 
         def part(b):
             X = arrow_matrix(b, cols)

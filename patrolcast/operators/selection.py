@@ -71,6 +71,8 @@ def _cut_points(df: DataFrame, strata: list[str], key: str, seeds: list[int], ra
     """{(seed number, stratum): [(hash, key) at each of the ``ranks(n)``, in their order]}."""
     spark = df.sparkSession
     counts = df.groupBy(*strata).agg(F.count("*").alias("n"), F.count(key).alias("keys")).limit(MAX_CUTS + 1).collect()
+    if len(counts) > MAX_CUTS:  # strata of one row have no cut point, but they count
+        raise ValueError("too many strata")
     if any(r["n"] != r["keys"] for r in counts):
         raise ValueError(f"NULL {key}: rows need a key before they can be split")
     state, answers, rank = {}, {}, {}

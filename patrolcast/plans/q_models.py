@@ -380,6 +380,50 @@ def j3b_grid_search_calibrated(spark, sf):
         return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True))
 
 
+@register("j3c_grid_search_modified_huber")
+def j3c_grid_search_modified_huber(spark, sf):
+    """Modified Huber one-vs-rest: 1 setting x 2 folds."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("modified_huber", alpha=[1e-2], fit_intercept=[False])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid))
+
+
+@register("j3d_grid_search_hinge")
+def j3d_grid_search_hinge(spark, sf):
+    """Calibrated hinge one-vs-rest: 1 setting x 2 folds x 2 inner folds."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("hinge", alpha=[1.0], fit_intercept=[True])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True))
+
+
+@register("j3e_grid_search_squared_hinge")
+def j3e_grid_search_squared_hinge(spark, sf):
+    """Calibrated squared hinge: C x class_weight x intercept (16 settings x 2 folds x 2 inner folds)."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("squared_hinge", C=[1e-3, 1e-2, 1e-1, 1.0], class_weight=[None, "balanced"], fit_intercept=[True, False])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True))
+
+
+@register("j3f_grid_search_rbf")
+def j3f_grid_search_rbf(spark, sf):
+    """Calibrated hinge on a Nystroem map fitted in each fold: alpha x class_weight x intercept (12 settings)."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        lin, _, _ = _sets(fit)
+        grid = linear_grid("hinge", alpha=[1e-4, 1e-3, 1e-2], class_weight=[None, "balanced"], fit_intercept=[True, False])
+        return finish(grid_search_linear(spark, trl, lin, voc.size, grid, calibrated=True, feature_map=lambda d: _nystroem(d, lin)))
+
+
+@register("j3g_grid_search_multinomial")
+def j3g_grid_search_multinomial(spark, sf):
+    """Multinomial logistic on all features: C in three settings x 2 folds."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        return finish(grid_search_linear(spark, trl, allf, voc.size, linear_grid("softmax", C=[1e-2, 1e-1, 1.0])))
+
+
 def _boost_cv(spark, trl, allf, voc):
     return boost_cv(spark, trl, allf, voc.size, BoostParams(n_rounds=4, max_depth=4, eta=0.3,
                                                              early_stopping_rounds=2))
