@@ -3,23 +3,22 @@ leaf-wise, K14 symmetric), with k-fold training in the same passes (J4).
 
 Data plan
 ---------
-* Features are binned once: ``approxQuantile`` cut points (one job for all
-  columns), then each row stores small-int bin codes; the binned table
-  ``(Id, label, grp, b0..bd, margins)`` is cached.
-* One round grows one tree per class (softmax objective, g = p - y,
-  h = max(2p(1-p), 1e-16)). Each tree **level** is one pass: every task emits
-  partial gradient histograms only for the (tree, open node, feature) cells it
-  touched; ``groupBy(tree, node)`` sums them (map-side combine) and a batch
-  scan next to the data picks the best split, so the driver receives one split
-  per node, never histograms (small volumes are summed on the driver instead).
-  Only the smaller child of each split is histogrammed; its sibling is
-  ``parent - small`` (subtraction on the driver or by a join on the cluster),
-  which halves the histogram work and traffic per level. Open nodes are
-  processed in chunks (``max_cells_per_pass``) to bound each pass.
+* Features are binned once: ``approxQuantile`` cut points (one job for all columns), then each row
+  stores one byte a feature; the binned table ``(Id, label, grp, bins, margins)`` is cached.
+* One round grows one tree per class (softmax objective, g = p - y, h = max(2p(1-p), 1e-16)). The
+  class probabilities of a round's sampled rows are computed once and cached; every level reads them.
+* A tree **level** is one pass and one exchange by (tree, node). A task sends what it holds of an open
+  node in the smaller form: up to ``RAW_ROWS`` rows as they are (one byte a feature, g and h), more as
+  sums per (feature, bin), kept over the batches of the task within a bound. So deep levels cost a few dozen bytes for
+  each row and tree, whatever the number of nodes, and shallow levels one histogram a node and task.
+  The receiving task adds up its nodes in blocks of ``SLOT_CELLS`` cells and picks the best splits there
+  (all nodes of a tree together under symmetric growth); only splits reach the driver.
 * After a round the margins are advanced by a narrow ``mapInArrow`` over the
   cached table; every ``checkpoint_every`` rounds the table is checkpointed to
   the shared checkpoint folder, so lineage stays short and survives lost
   executors.
+* Feature draws and row samples are functions of (seed, round), so a fit that starts from the first rounds
+  of another (``init``, e.g. loaded from its tables) goes on exactly as that one would have.
 * k-fold CV (``n_models`` > 1) trains model m on rows with ``grp != m`` and
   evaluates it on ``grp == m`` in the same passes.
 
@@ -31,22 +30,24 @@ Leaf value: -eta T(G)/(H+lambda). Ties go to the lowest feature, then bin.
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.selection import P31, key_hash_np
 from ..session import cut_lineage
-from .base import (DIRECT_LIMIT, arrow_list_matrix, arrow_matrix, arrow_vector, cached, labelled, list_array, map_probabilities,
-                   partial_sums, softmax)
+from .base import (arrow_list_matrix, arrow_matrix, arrow_vector, cached, labelled, list_array, map_probabilities, partial_sums,
+                   softmax)
+
+RAW_ROWS = 512  # rows of a node that a task sends as they are; more are added up first
+HELD_CELLS = 4_000_000  # cells of added-up nodes that a task holds between batches
+SLOT_CELLS = 2_000_000  # dense cells that a split search holds at once
 
 
 @dataclass
@@ -67,7 +68,6 @@ class BoostParams:
     early_stopping_rounds: int | None = None
     min_child_samples: int = 0
     checkpoint_every: int = 10
-    max_cells_per_pass: int = 8_000_000
 
 
 @dataclass
@@ -174,207 +174,312 @@ class BoostModel:
     params: BoostParams
     rounds: list = field(default_factory=list)   # per round: list of K trees (model 0)
 
+    def arrays(self, n_rounds: int | None = None) -> list:
+        """Every tree of every round as arrays, built once for scoring."""
+        return [[t.arrays() for t in trees] for trees in self.rounds[:n_rounds]]
+
     def margins(self, X: np.ndarray, n_rounds: int | None = None) -> np.ndarray:
-        B = self.binner.bins(X)
-        Z = np.zeros((X.shape[0], self.n_classes))
-        for trees in self.rounds[:n_rounds]:
-            for k, t in enumerate(trees):
-                arrs = t.arrays()
-                Z[:, k] += arrs[4][descend(arrs, B)]
-        return Z
+        return add_margins(self.arrays(n_rounds), self.binner.bins(X), np.zeros((X.shape[0], self.n_classes)))
 
     def predict_proba(self, X: np.ndarray) -> np.ndarray:
         return softmax(self.margins(X))
 
-    def transform(self, df: DataFrame, keep=("Id",)) -> DataFrame:
-        return map_probabilities(df, self.cols, [k for k in keep if k in df.columns], self.predict_proba)
-
-    def to_json(self) -> dict:
-        return {"cols": self.cols, "cuts": self.binner.cuts, "n_classes": self.n_classes,
-                "params": self.params.__dict__,
-                "rounds": [[t.__dict__ for t in trees] for trees in self.rounds]}
+    def transform(self, df: DataFrame, keep=("Id",), output: str = "probability") -> DataFrame:
+        """Probabilities, or ``rawPrediction``: the margins. The trees are sent once to an executor."""
+        sent = df.sparkSession.sparkContext.broadcast((self.arrays(), self.binner, self.n_classes))
+
+        def score(X):
+            arrays, binner, K = sent.value
+            Z = add_margins(arrays, binner.bins(X), np.zeros((X.shape[0], K)))
+            return softmax(Z) if output == "probability" else Z
+
+        return map_probabilities(df, self.cols, [k for k in keep if k in df.columns], score, output=output)
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """The node table ``round, class, node, feature, bin, cut, left, right, value``; leaves have no feature."""
+        rows = [(r, k, n, self.cols[f] if f >= 0 else None, t.thr[n] if f >= 0 else None,
+                 float(self.binner.cuts[f][t.thr[n]]) if f >= 0 and t.thr[n] < len(self.binner.cuts[f]) else None,
+                 t.left[n] if f >= 0 else None, t.right[n] if f >= 0 else None, float(t.value[n]))
+                for r, trees in enumerate(self.rounds) for k, t in enumerate(trees) for n, f in enumerate(t.feat)]
+        return spark.createDataFrame(rows, _NODES)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Two tables: the nodes, and the features with their cut points and the settings."""
+        self.nodes(spark).write.mode("overwrite").parquet(f"{path}/nodes")
+        meta = json.dumps({"n_classes": self.n_classes, "rounds": len(self.rounds), "params": self.params.__dict__})
+        rows = [(i, c, [float(x) for x in cuts], meta) for i, (c, cuts) in enumerate(zip(self.cols, self.binner.cuts))]
+        spark.createDataFrame(rows, "place int, feature string, cuts array<double>, settings string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/features")
 
     @classmethod
-    def from_json(cls, d: dict) -> "BoostModel":
-        m = cls(d["cols"], Binner(d["cols"], d["cuts"]), d["n_classes"], BoostParams(**d["params"]))
-        m.rounds = [[Tree(**t) for t in trees] for trees in d["rounds"]]
-        return m
-
-
-_SPLIT_COLS = ["tree", "node", "G", "H", "feat", "bin", "gain", "GL", "HL", "N", "CL"]
-_SPLIT_SCHEMA = ("tree int, node int, G double, H double, feat int, bin int, gain double, "
-                 "GL double, HL double, N double, CL double")
+    def load(cls, spark: SparkSession, path: str) -> "BoostModel":
+        rows = sorted(spark.read.parquet(f"{path}/features").collect(), key=lambda r: r["place"])
+        meta, cols = json.loads(rows[0]["settings"]), [r["feature"] for r in rows]
+        place = {c: i for i, c in enumerate(cols)}
+        model = cls(cols, Binner(cols, [list(r["cuts"]) for r in rows]), meta["n_classes"], BoostParams(**meta["params"]))
+        model.rounds = [[Tree([], [], [], [], [], []) for _ in range(meta["n_classes"])] for _ in range(meta["rounds"])]
+        table = spark.read.parquet(f"{path}/nodes").sort("round", "class", "node").toArrow().to_pydict()
+        for r, k, c, b, left, right, value in zip(*(table[n] for n in ("round", "class", "feature", "bin", "left", "right", "value"))):
+            t = model.rounds[r][k]
+            t.feat.append(-1 if c is None else place[c])
+            t.thr.append(0 if c is None else b)
+            t.left.append(-1 if c is None else left)
+            t.right.append(-1 if c is None else right)
+            t.value.append(value)
+        for trees in model.rounds:
+            for t in trees:
+                t.depth = [0] * len(t.feat)
+                for n, f in enumerate(t.feat):
+                    if f >= 0:
+                        t.depth[t.left[n]] = t.depth[t.right[n]] = t.depth[n] + 1
+        return model
+
+
+_NODES = ("round int, class int, node int, feature string, bin int, cut double, left int, right int, value double")
+_PARTS = "tree int, node int, bins binary, g array<double>, h array<double>, c array<double>"
+_SPLITS = ("tree int, node int, G double, H double, feat int, bin int, gain double, GL double, HL double, N double, CL double")
+_SPLIT_NAMES = ["tree", "node", "G", "H", "feat", "bin", "gain", "GL", "HL", "N", "CL"]
+
+
+def add_margins(arrays: list, B: np.ndarray, Z: np.ndarray) -> np.ndarray:
+    """Adds the leaf values of every round's trees to the margins ``Z``."""
+    for trees in arrays:
+        for k, a in enumerate(trees):
+            Z[:, k] += a[4][descend(a, B)]
+    return Z
 
 
 def _score(G, H, p: BoostParams):
     return _soft(G, p.reg_alpha) ** 2 / (H + p.reg_lambda)
 
 
-def _node_split(tree: int, node: int, hist: np.ndarray, mask: np.ndarray, p: BoostParams) -> list:
-    """Best (feat, bin) of one node; ``hist`` is (d, 3 nb) = gradient | hessian | row count per bin."""
-    nb = hist.shape[1] // 3
-    g, h, c = hist[:, :nb], hist[:, nb:2 * nb], hist[:, 2 * nb:]
-    G, H, N = g[0].sum(), h[0].sum(), c[0].sum()
-    GL, HL = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
-    CL = np.cumsum(c, axis=1)[:, :-1]
-    gain = 0.5 * (_score(GL, HL, p) + _score(G - GL, H - HL, p) - _score(G, H, p)) - p.gamma
-    ok = ((HL >= p.min_child_weight) & (H - HL >= p.min_child_weight) & (CL >= p.min_child_samples)
-          & (N - CL >= p.min_child_samples) & mask[:, None])
-    gain = np.where(ok, gain, -np.inf)
-    best = int(np.argmax(gain)) if gain.size else 0
-    if gain.size == 0 or not np.isfinite(gain.flat[best]) or gain.flat[best] <= 0:
-        return [tree, node, G, H, -1, 0, 0.0, 0.0, 0.0, N, 0.0]
-    fi, bi = divmod(best, gain.shape[1])
-    return [tree, node, G, H, fi, bi, float(gain[fi, bi]), GL[fi, bi], HL[fi, bi], N, CL[fi, bi]]
-
-
-def _tree_split(tree: int, nodes: list, hists: list, mask: np.ndarray, p: BoostParams) -> list:
-    """Symmetric growth: one (feat, bin) shared by every open node of the tree."""
-    total, valid, stats = None, None, []
-    for hist in hists:
-        nb = hist.shape[1] // 3
-        g, h, c = hist[:, :nb], hist[:, nb:2 * nb], hist[:, 2 * nb:]
-        G, H, N = g[0].sum(), h[0].sum(), c[0].sum()
-        GL, HL = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
-        CL = np.cumsum(c, axis=1)[:, :-1]
-        gain = 0.5 * (_score(GL, HL, p) + _score(G - GL, H - HL, p) - _score(G, H, p))
-        ok = ((HL >= p.min_child_weight) & (H - HL >= p.min_child_weight) & (CL >= p.min_child_samples)
-              & (N - CL >= p.min_child_samples))
-        total = gain if total is None else total + gain
-        valid = ok if valid is None else valid & ok
-        stats.append((G, H, GL, HL, N, CL))
-    total = np.where(valid & mask[:, None], total - p.gamma * len(nodes), -np.inf)
-    best = int(np.argmax(total))
-    fi, bi = divmod(best, total.shape[1])
-    good = np.isfinite(total[fi, bi]) and total[fi, bi] > 0
-    return [[tree, n, G, H, fi if good else -1, bi if good else 0, float(total[fi, bi]) if good else 0.0,
-             GL[fi, bi] if good else 0.0, HL[fi, bi] if good else 0.0, N, CL[fi, bi] if good else 0.0]
-            for n, (G, H, GL, HL, N, CL) in zip(nodes, stats)]
-
-
-def _sum_direct(hist: DataFrame) -> dict:
-    """Collect per-task partial histograms (Arrow) and add them up: (tree, node) -> vector."""
-    acc: dict = {}
-    tbl = hist.toArrow()
-    if tbl.num_rows:
-        trees = tbl.column("tree").to_numpy()
-        nodes = tbl.column("node").to_numpy()
-        vecs = tbl.column("vec").combine_chunks().flatten().to_numpy().reshape(tbl.num_rows, -1)
-        for i, key in enumerate(zip(trees.tolist(), nodes.tolist())):
-            acc[key] = acc[key] + vecs[i] if key in acc else vecs[i].copy()
-    return acc
-
-
-def _sum_cluster(hist: DataFrame) -> DataFrame:
-    """Partial histograms summed on the cluster (map-side combine): ``(tree, node, vec)``."""
-    return hist.groupBy("tree", "node").agg(vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("vec"))
-
-
-def _derive_direct(acc: dict, prev: dict, pairs: list, width: int) -> None:
-    """Sibling histograms by subtraction: big = parent - small (in place)."""
-    for t, parent, small, big in pairs:
-        acc[(t, big)] = prev[(t, parent)] - acc.get((t, small), np.zeros(width))
-
-
-def _derive_cluster(spark, summed: DataFrame, prev: DataFrame, pairs: list) -> DataFrame:
-    """Sibling histograms by subtraction on the cluster; ``pairs`` is a small driver list."""
-    if not pairs:
-        return summed
-    rel = spark.createDataFrame([(int(t), int(pa_), int(sm), int(bg)) for t, pa_, sm, bg in pairs],
-                                "tree int, parent int, small int, big int")
-    par = prev.select("tree", F.col("node").alias("parent"), F.col("vec").alias("pv"))
-    sm = summed.select("tree", F.col("node").alias("small"), F.col("vec").alias("sv"))
-    big = (rel.join(par, ["tree", "parent"]).join(sm, ["tree", "small"], "left")
-           .select("tree", F.col("big").alias("node"),
-                   F.when(F.col("sv").isNull(), F.col("pv"))
-                   .otherwise(F.zip_with("pv", "sv", lambda a, b: a - b)).alias("vec")))
-    return summed.unionByName(big)
-
-
-def _scan_direct(acc: dict, p: BoostParams, d: int, colmask: np.ndarray, symmetric: bool) -> pd.DataFrame:
-    rows = []
-    if symmetric:
-        by_tree: dict = {}
-        for (t, n), v in sorted(acc.items()):
-            by_tree.setdefault(t, []).append((n, v.reshape(d, -1)))
-        for t, items in by_tree.items():
-            rows += _tree_split(t, [n for n, _ in items], [v for _, v in items], colmask[t], p)
-    else:
-        for (t, n), v in sorted(acc.items()):
-            rows.append(_node_split(t, n, v.reshape(d, -1), colmask[t], p))
-    return pd.DataFrame(rows, columns=_SPLIT_COLS)
-
-
-def _scan_cluster(summed: DataFrame, p: BoostParams, d: int, colmask: np.ndarray, symmetric: bool) -> pd.DataFrame:
-    """Split search next to the data: only one split row per node reaches the driver."""
-    if symmetric:
-        def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("node")
-            t = int(pdf["tree"].iloc[0])
-            return pd.DataFrame(_tree_split(t, pdf["node"].tolist(),
-                                            [np.asarray(v).reshape(d, -1) for v in pdf["vec"]], colmask[t], p),
-                                columns=_SPLIT_COLS)
-        return summed.groupBy("tree").applyInPandas(per_tree, _SPLIT_SCHEMA).toPandas()
-
-    def per_node(batches):
+def _gains(g: np.ndarray, h: np.ndarray, c: np.ndarray, p: BoostParams):
+    """Of sums (nodes, features, bins): node totals, left sums and gain of every cut, and which cuts are allowed."""
+    G, H, N = (x[:, 0].sum(axis=1) for x in (g, h, c))
+    GL, HL, CL = (np.cumsum(x, axis=2)[:, :, :-1] for x in (g, h, c))
+    G_, H_, N_ = (x[:, None, None] for x in (G, H, N))
+    gain = 0.5 * (_score(GL, HL, p) + _score(G_ - GL, H_ - HL, p) - _score(G_, H_, p))
+    ok = (HL >= p.min_child_weight) & (H_ - HL >= p.min_child_weight) & (CL >= p.min_child_samples) & (N_ - CL >= p.min_child_samples)
+    return (G, H, N), (GL, HL, CL), gain, ok
+
+
+def _rows_of(trees, nodes, totals, lefts, feat, cut, gain) -> pa.RecordBatch:
+    """One row for each node; feat -1 and no left sums where nothing may be split."""
+    at, good = np.arange(len(nodes)), feat >= 0
+    f = np.maximum(feat, 0)
+    GL, HL, CL = (np.where(good, x[at, f, cut], 0.0) if x.shape[2] else np.zeros(len(nodes)) for x in lefts)
+    G, H, N = totals
+    out = [trees, nodes, G, H, feat, np.where(good, cut, 0), np.where(good, gain, 0.0), GL, HL, N, CL]
+    kinds = [pa.int32() if n in ("tree", "node", "feat", "bin") else pa.float64() for n in _SPLIT_NAMES]
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=_SPLIT_NAMES)
+
+
+def _search(keys: np.ndarray, dense, d: int, colmask: np.ndarray, p: BoostParams):
+    """Best split of every node: the allowed cut of greatest gain; ties go to the lowest feature, then bin."""
+    g, h, c = dense(0, len(keys))
+    trees, nodes = keys >> 32, keys & 0xFFFFFFFF
+    totals, lefts, gain, ok = _gains(g, h, c, p)
+    gain = np.where(ok & colmask[trees][:, :, None], gain - p.gamma, -np.inf).reshape(len(keys), -1)
+    if not gain.shape[1]:
+        return _rows_of(trees, nodes, totals, lefts, np.full(len(keys), -1), np.zeros(len(keys), int), np.zeros(len(keys)))
+    best = gain.argmax(axis=1)
+    top = gain[np.arange(len(keys)), best]
+    feat, cut = np.divmod(best, lefts[0].shape[2])
+    return _rows_of(trees, nodes, totals, lefts, np.where(top > 0, feat, -1), cut, top)
+
+
+def _search_tree(keys: np.ndarray, dense, d: int, colmask: np.ndarray, p: BoostParams, step: int):
+    """Symmetric growth: the one cut, allowed in every open node of the tree, with the greatest gain over all of them."""
+    tree = int(keys[0] >> 32)
+    total, valid = None, None
+    for a in range(0, len(keys), step):
+        _, _, gain, ok = _gains(*dense(a, min(a + step, len(keys))), p)
+        total = gain.sum(axis=0) if total is None else total + gain.sum(axis=0)
+        valid = ok.all(axis=0) if valid is None else valid & ok.all(axis=0)
+    total = np.where(valid & colmask[tree][:, None], total - p.gamma * len(keys), -np.inf)
+    feat, cut = divmod(int(np.argmax(total)), total.shape[1]) if total.size else (0, 0)
+    good = bool(total.size) and total[feat, cut] > 0
+    for a in range(0, len(keys), step):
+        z = min(a + step, len(keys))
+        totals, lefts, _, _ = _gains(*dense(a, z), p)
+        yield _rows_of(keys[a:z] >> 32, keys[a:z] & 0xFFFFFFFF, totals, lefts, np.full(z - a, feat if good else -1),
+                       np.full(z - a, cut), np.full(z - a, total[feat, cut] if good else 0.0))
+
+
+def _bins_of(batch: pa.RecordBatch, d: int) -> np.ndarray:
+    col = batch.column(batch.schema.names.index("bins"))
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(batch.num_rows, d)
+
+
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.float64()))
+
+
+def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int, K: int, p: BoostParams, colmask: np.ndarray, cv: bool) -> list:
+    """Best splits of all open nodes: one pass over the round's rows, one exchange."""
+    sent = []
+    for t, nodes in open_nodes.items():
+        if nodes:
+            is_open = np.zeros(len(trees[t].feat), bool)
+            is_open[nodes] = True
+            sent.append((t, trees[t].arrays()[:4], is_open))
+    held = data.sparkSession.sparkContext.broadcast(sent)
+    cells = d * nb
+    raw_rows, held_cells, slot_cells = RAW_ROWS, HELD_CELLS, SLOT_CELLS
+
+    def added(sums: dict) -> pa.RecordBatch:
+        ends = np.arange(len(sums) + 1) * cells
+        cols = [np.concatenate([v[j] for v in sums.values()]) for j in range(3)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([t for t, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32()), pa.nulls(len(sums), pa.binary()),
+             *[_lists(ends, c) for c in cols]], names=["tree", "node", "bins", "g", "h", "c"])
+
+    def count(batches):
+        sums: dict = {}
         for b in batches:
-            trees = arrow_vector(b, "tree", np.int64)
-            nodes = arrow_vector(b, "node", np.int64)
-            H = arrow_list_matrix(b, "vec")
-            rows = [_node_split(int(t), int(n), H[i].reshape(d, -1), colmask[t], p)
-                    for i, (t, n) in enumerate(zip(trees, nodes))]
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=_SPLIT_COLS).astype(
-                {"tree": "int32", "node": "int32", "feat": "int32", "bin": "int32"}), preserve_index=False)
-    return summed.mapInArrow(per_node, _SPLIT_SCHEMA).toPandas()
-
-
-def _prepare(df: DataFrame, cols: list[str], binner: Binner, n_models: int, n_classes: int,
-             label: str, grp: str | None) -> DataFrame:
+            if not b.num_rows:
+                continue
+            bins, y, grp = _bins_of(b, d), arrow_vector(b, "label", np.int64), arrow_vector(b, "grp", np.int64)
+            P = arrow_list_matrix(b, "probs")
+            for t, arrs, is_open in held.value:
+                m, k = divmod(t, K)
+                rows = np.flatnonzero(grp != m) if cv else np.arange(len(y))
+                node = descend(arrs, bins[rows])
+                use = is_open[node]
+                if not use.any():
+                    continue
+                rows, node = rows[use], node[use]
+                order = np.argsort(node, kind="stable")
+                rows, node = rows[order], node[order]
+                g = P[rows, t] - (y[rows] == k)
+                h = np.maximum(2 * P[rows, t] * (1 - P[rows, t]), 1e-16)
+                nodes, starts = np.unique(node, return_index=True)
+                ends = np.append(starts[1:], len(node))
+                many = ends - starts > raw_rows
+                for n, a, z in zip(nodes[many].tolist(), starts[many].tolist(), ends[many].tolist()):
+                    at = (np.arange(d) * nb + bins[rows[a:z]]).ravel()
+                    new = [np.bincount(at, weights=np.repeat(x[a:z], d), minlength=cells) for x in (g, h)] + \
+                        [np.bincount(at, minlength=cells).astype(float)]
+                    sums[t, n] = [x + v for x, v in zip(sums[t, n], new)] if (t, n) in sums else new
+                    if len(sums) * 3 * cells > held_cells:
+                        yield added(sums)
+                        sums = {}
+                if not many.all():
+                    few = np.repeat(~many, ends - starts)
+                    size = (ends - starts)[~many]
+                    at = np.append(0, np.cumsum(size))
+                    data_ = bins[rows[few]].tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(size), t), pa.int32()), pa.array(nodes[~many], pa.int32()),
+                         pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((at * d).astype(np.int32).tobytes()), pa.py_buffer(data_)]),
+                         _lists(at, g[few]), _lists(at, h[few]), pa.nulls(len(size), pa.list_(pa.float64()))],
+                        names=["tree", "node", "bins", "g", "h", "c"])
+        if sums:
+            yield added(sums)
+
+    def choose(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts).combine_chunks()
+        col = {c: table.column(c).combine_chunks() for c in table.column_names}
+        keys, slot = np.unique(col["tree"].to_numpy().astype(np.int64) << 32 | col["node"].to_numpy(), return_inverse=True)
+        as_rows = col["c"].is_null().to_numpy(zero_copy_only=False)
+        one = lambda c, which: np.asarray(col[c].filter(pa.array(which)).flatten())
+        sizes = col["g"].value_lengths().to_numpy()[as_rows]
+        row_slot = np.repeat(slot[as_rows], sizes)
+        B = np.frombuffer(b"".join(col["bins"].filter(pa.array(as_rows)).to_pylist()), np.uint8).reshape(-1, d)
+        g, h = one("g", as_rows), one("h", as_rows)
+        order = np.argsort(row_slot, kind="stable")
+        row_slot, B, g, h = row_slot[order], B[order], g[order], h[order]
+        sum_slot = slot[~as_rows]
+        sums = [one(c, ~as_rows).reshape(-1, cells) for c in ("g", "h", "c")]
+
+        def dense(a: int, z: int, base: int = 0):
+            """The sums of slots base + a to base + z."""
+            lo, hi = np.searchsorted(row_slot, [base + a, base + z])
+            at = (((row_slot[lo:hi] - base - a)[:, None] * d + np.arange(d)) * nb + B[lo:hi]).ravel()
+            size = (z - a) * cells
+            out = [np.bincount(at, weights=np.repeat(x[lo:hi], d), minlength=size).astype(float).reshape(-1, cells) for x in (g, h)]
+            out.append(np.bincount(at, minlength=size).astype(float).reshape(-1, cells))
+            which = np.flatnonzero((sum_slot >= base + a) & (sum_slot < base + z))
+            for x, s in zip(out, sums):
+                np.add.at(x, sum_slot[which] - base - a, s[which])
+            return [x.reshape(z - a, d, nb) for x in out]
+
+        step = max(1, slot_cells // cells)
+        if p.growth == "symmetric":
+            for t in np.unique(keys >> 32):
+                lo, hi = np.searchsorted(keys >> 32, [t, t + 1])
+                yield from _search_tree(keys[lo:hi], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, p, step)
+        else:
+            for lo in range(0, len(keys), step):
+                yield _search(keys[lo:lo + step], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, p)
+
+    by = ["tree"] if p.growth == "symmetric" else ["tree", "node"]
+    n = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that small levels are not merged into one task
+    found = data.mapInArrow(count, _PARTS).repartition(n, *by).mapInArrow(choose, _SPLITS).toPandas()
+    held.unpersist()
+    return list(found.itertuples(index=False))
+
+
+def _prepare(df: DataFrame, cols: list[str], binner: Binner, n_models: int, n_classes: int, label: str, grp: str | None, init: list) -> DataFrame:
+    """``Id, label, grp, bins, margins``; margins are those of the rounds in ``init``."""
     d = len(cols)
-    src = labelled(df, label).select("Id", F.col(label).cast("int").alias("label"),
-                    (F.col(grp).cast("int") if grp else F.lit(0)).alias("grp"),
-                    *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    fields = [T.StructField("Id", T.LongType()), T.StructField("label", T.IntegerType()),
-              T.StructField("grp", T.IntegerType())]
-    fields += [T.StructField(f"b{i}", T.ShortType()) for i in range(d)]
-    fields += [T.StructField("margins", T.ArrayType(T.DoubleType()))]
-    schema = T.StructType(fields)
-    width = n_models * n_classes
+    src = labelled(df, label).select("Id", F.col(label).cast("int").alias("label"), (F.col(grp).cast("int") if grp else F.lit(0)).alias("grp"),
+                                     *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    names = ["Id", "label", "grp", "bins", "margins"]
+    sent = src.sparkSession.sparkContext.broadcast([m.arrays() for m in init])
     xcols = [f"x{i}" for i in range(d)]
 
     def run(batches):
         for b in batches:
-            B = binner.bins(arrow_matrix(b, xcols))
-            arrays = [b.column(0), b.column(1), b.column(2)]
-            arrays += [pa.array(B[:, i], pa.int16()) for i in range(d)]
-            arrays.append(list_array(np.zeros((b.num_rows, width))))
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(
-                [("Id", pa.int64()), ("label", pa.int32()), ("grp", pa.int32())]
-                + [(f"b{i}", pa.int16()) for i in range(d)] + [("margins", pa.list_(pa.float64()))]))
+            B = binner.bins(arrow_matrix(b, xcols)).astype(np.uint8)
+            Z = np.zeros((b.num_rows, n_models * n_classes))
+            for m, arrays in enumerate(sent.value):
+                add_margins(arrays, B, Z[:, m * n_classes:(m + 1) * n_classes])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([r.tobytes() for r in B], pa.binary()), list_array(Z)], names=names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, "Id long, label int, grp int, bins binary, margins array<double>")
+
+
+def _probabilities(data: DataFrame, K: int, M: int, rnd: int, p: BoostParams) -> DataFrame:
+    """``label, grp, bins, probs`` of the rows that the round samples: what all its levels read."""
+    def run(batches):
+        for b in batches:
+            use = pa.array(_row_sample(arrow_vector(b, "Id", np.int64), p.seed, rnd, p.subsample))
+            b = b.filter(use)
+            Z = arrow_list_matrix(b, "margins").reshape(b.num_rows, M * K)
+            P = np.concatenate([softmax(Z[:, m * K:(m + 1) * K]) for m in range(M)], axis=1) if b.num_rows else Z
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(c)) for c in ("label", "grp", "bins")), list_array(P)],
+                                             names=["label", "grp", "bins", "probs"])
+
+    return data.mapInArrow(run, "label int, grp int, bins binary, probs array<double>").cache()
 
 
 def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParams, label: str = "label",
               grp: str | None = None, n_models: int = 1, binner: Binner | None = None,
-              round_log: list | None = None) -> list[BoostModel]:
+              round_log: list | None = None, init: list[BoostModel] | None = None) -> list[BoostModel]:
     """Fit ``n_models`` boosters (one per fold when ``grp`` is given; model m skips rows with grp == m).
 
-    ``round_log`` (if given) receives ``(model, round, holdout_loss)`` tuples (CV only).
+    ``round_log`` (if given) receives ``(model, round, holdout_loss)`` tuples (CV only). ``init``: models of the same
+    settings whose rounds are kept and continued, up to ``n_rounds`` in all.
     Returns the models, truncated to the best round when early stopping is on.
     """
     K, d, M, p = n_classes, len(cols), n_models, params
-    binner = binner or Binner.fit(df, cols, p.max_bins)
+    if p.max_bins > 256:
+        raise ValueError("a feature has 256 bins at most")
+    init = init or []
+    binner = init[0].binner if init else binner or Binner.fit(df, cols, p.max_bins)
     nb = binner.n_bins
-    data = cached(_prepare(df, cols, binner, M, K, label, grp))
-    n_parts = data.rdd.getNumPartitions()
-    bcols = [f"b{i}" for i in range(d)]
-    models = [BoostModel(list(cols), binner, K, p) for _ in range(M)]
+    data = cached(_prepare(df, cols, binner, M, K, label, grp, init))
+    models = [BoostModel(list(cols), binner, K, p, [list(r) for r in m.rounds]) for m in init] or \
+        [BoostModel(list(cols), binner, K, p) for _ in range(M)]
     cv = grp is not None and M > 1
     best = (math.inf, 0)
-    rng = np.random.RandomState(p.seed)
-    for rnd in range(p.n_rounds):
+    for rnd in range(len(models[0].rounds), p.n_rounds):
         ntree = M * K
+        rng = np.random.RandomState((p.seed * 7919 + rnd) % (1 << 32))
         colmask = np.ones((ntree, d), dtype=bool)
         if p.colsample < 1.0:
             for t in range(ntree):
@@ -384,50 +489,10 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
         trees = [Tree() for _ in range(ntree)]
         open_nodes = {t: [0] for t in range(ntree)}
         info: list[dict] = [{} for _ in range(ntree)]    # leaf-wise: best split of every node examined
-        pairs: list = []            # (tree, parent, small child, big child) of the last level's splits
-        prev = None                 # ("direct", dict) or ("cluster", cached DataFrame) of the last level
-        width = d * 3 * nb
+        rows = _probabilities(data, K, M, rnd, p)
         while any(open_nodes.values()):
-            flat = [(t, n) for t, ns in open_nodes.items() for n in ns]
-            derived = {(t, big) for t, _, _, big in pairs}
-            todo = [tn for tn in flat if tn not in derived]
-            mode = "direct" if n_parts * len(todo) * width <= DIRECT_LIMIT else "cluster"
-            if prev is None or prev[0] != mode:
-                todo, use_pairs = flat, []          # no stored parents in this mode: histogram every node
-            else:
-                use_pairs = pairs
-            # chunk the histogrammed nodes so one pass holds a bounded number of cells
-            per_pass = max(1, p.max_cells_per_pass // width)
-            parts = []
-            for c0 in range(0, len(todo), per_pass):
-                chunk = todo[c0:c0 + per_pass]
-                slot: dict = {}
-                for t, n in chunk:
-                    slot.setdefault(t, {})[n] = len(slot.get(t, {}))
-                tree_arrs = {t: trees[t].arrays() for t in slot}
-                hist = _hist_pass(data, bcols, K, M, nb, rnd, p, slot, tree_arrs, cv)
-                parts.append(_sum_direct(hist) if mode == "direct" else _sum_cluster(hist))
-            if mode == "direct":
-                acc: dict = {}
-                for part in parts:
-                    acc.update(part)
-                _derive_direct(acc, prev[1] if use_pairs else {}, use_pairs, width)
-                res = _scan_direct(acc, p, d, colmask, p.growth == "symmetric")
-                store = ("direct", acc)
-            else:
-                summed = parts[0]
-                for part in parts[1:]:
-                    summed = summed.unionByName(part)
-                summed = _derive_cluster(data.sparkSession, summed, prev[1] if use_pairs else None, use_pairs)
-                summed = summed.persist()
-                res = _scan_cluster(summed, p, d, colmask, p.growth == "symmetric")
-                store = ("cluster", summed)
-            if prev is not None and prev[0] == "cluster":
-                prev[1].unpersist()
-            prev = store
-            decided = {(int(r.tree), int(r.node)): r for r in res.itertuples(index=False)}
-            new_open = {t: [] for t in range(ntree)}
-            pairs = []
+            decided = {(int(r.tree), int(r.node)): r for r in _level(rows, trees, open_nodes, d, nb, K, p, colmask, cv)}
+            open_nodes = {t: [] for t in range(ntree)}
             for (t, n), r in decided.items():
                 trees[t].value[n] = float(-p.eta * _soft(r.G, p.reg_alpha) / (r.H + p.reg_lambda))
                 info[t][n] = r
@@ -443,19 +508,14 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
                 tr.value[lid] = float(-p.eta * _soft(r.GL, p.reg_alpha) / (r.HL + p.reg_lambda))
                 tr.value[rid] = float(-p.eta * _soft(r.G - r.GL, p.reg_alpha) / (r.H - r.HL + p.reg_lambda))
                 if tr.depth[lid] < p.max_depth:
-                    new_open[t] += [lid, rid]
-                    if (t, n) in decided:    # the parent's histogram is at hand: sum only the smaller child
-                        small, big = (lid, rid) if r.CL <= r.N - r.CL else (rid, lid)
-                        pairs.append((t, n, small, big))
-            open_nodes = new_open
-        if prev is not None and prev[0] == "cluster":
-            prev[1].unpersist()
+                    open_nodes[t] += [lid, rid]
+        rows.unpersist()
         if p.growth == "leafwise":
             for t, tr in enumerate(trees):
                 tr.prune(set(best_first(tr, info[t], p.num_leaves, p.max_depth)))
         for m in range(M):
             models[m].rounds.append(trees[m * K:(m + 1) * K])
-        data = _advance(data, bcols, K, M, trees, rnd, p)
+        data = _advance(data, d, trees, rnd, p)
         if cv:
             losses = _holdout_loss(data, K, M)
             for m in range(M):
@@ -473,80 +533,18 @@ def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParam
     return models
 
 
-def _hist_pass(data: DataFrame, bcols, K, M, nb, rnd, p: BoostParams, slot: dict, tree_arrs: dict,
-               cv: bool) -> DataFrame:
-    d = len(bcols)
-
-    def run(batches):
-        acc = {t: np.zeros((len(s), d, 3 * nb)) for t, s in slot.items()}
-        for b in batches:
-            if not b.num_rows:
-                continue
-            B = arrow_matrix(b, bcols).astype(np.int64)
-            y = arrow_vector(b, "label", np.int64)
-            g_ = arrow_vector(b, "grp", np.int64)
-            ids = arrow_vector(b, "Id", np.int64)
-            Zall = arrow_list_matrix(b, "margins")
-            samp = _row_sample(ids, p.seed, rnd, p.subsample)
-            probs = {}
-            for t, s in slot.items():
-                m, k = divmod(t, K)
-                if m not in probs:
-                    probs[m] = softmax(Zall[:, m * K:(m + 1) * K])
-                P = probs[m][:, k]
-                yk = (y == k).astype(float)
-                g = P - yk
-                h = np.maximum(2 * P * (1 - P), 1e-16)
-                node = descend(tree_arrs[t], B)
-                sl = np.array([s.get(int(x), -1) for x in range(len(tree_arrs[t][0]))])[node]
-                use = samp & (sl >= 0)
-                if cv:
-                    use &= g_ != m
-                if not use.any():
-                    continue
-                rows = np.nonzero(use)[0]
-                ns = len(s)
-                # one bincount per channel over the combined (feature, node, bin) index
-                idx = (np.arange(d)[None, :] * (ns * nb) + (sl[rows] * nb)[:, None] + B[rows]).ravel()
-                size = d * ns * nb
-                gh = np.empty((3, size))
-                gh[0] = np.bincount(idx, weights=np.repeat(g[rows], d), minlength=size)
-                gh[1] = np.bincount(idx, weights=np.repeat(h[rows], d), minlength=size)
-                gh[2] = np.bincount(idx, minlength=size)
-                # (3, d, ns, nb) -> (ns, d, 3 * nb)
-                acc[t] += gh.reshape(3, d, ns, nb).transpose(2, 1, 0, 3).reshape(ns, d, 3 * nb)
-        tl, nl, vl = [], [], []
-        for t, sl_ in slot.items():
-            inv = {v: n for n, v in sl_.items()}
-            for si in range(len(sl_)):
-                hist = acc[t][si]
-                if hist[:, 2 * nb:].any():
-                    tl.append(t); nl.append(inv[si]); vl.append(hist.reshape(-1))
-        if tl:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tl, pa.int32()), pa.array(nl, pa.int32()), list_array(np.array(vl))],
-                names=["tree", "node", "vec"])
-
-    return data.mapInArrow(run, "tree int, node int, vec array<double>")
-
-
-def _advance(data: DataFrame, bcols, K, M, trees, rnd, p: BoostParams) -> DataFrame:
-    arrs = [t.arrays() for t in trees]
-    schema = data.schema
+def _advance(data: DataFrame, d: int, trees: list[Tree], rnd: int, p: BoostParams) -> DataFrame:
+    sent = data.sparkSession.sparkContext.broadcast([[t.arrays() for t in trees]])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 yield b
                 continue
-            B = arrow_matrix(b, bcols).astype(np.int64)
-            Z = arrow_list_matrix(b, "margins").copy()
-            for t, a in enumerate(arrs):
-                Z[:, t] += a[4][descend(a, B)]
-            cols = [b.column(i) for i in range(b.num_columns - 1)] + [list_array(Z)]
-            yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
-
-    new = data.mapInArrow(run, schema)
+            Z = add_margins(sent.value, _bins_of(b, d), arrow_list_matrix(b, "margins").copy())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], list_array(Z)], schema=b.schema)
+
+    new = data.mapInArrow(run, data.schema)
     if (rnd + 1) % p.checkpoint_every == 0:
         new = cut_lineage(new)
     else:

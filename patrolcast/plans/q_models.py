@@ -301,21 +301,21 @@ SYMMETRIC = dict(growth="symmetric", max_depth=6, eta=0.01, reg_lambda=5, seed=S
 def k12_boosted_trees_depthwise(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=1, **DEPTHWISE))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=5, **DEPTHWISE))[0], te, voc)
 
 
 @register("k13_boosted_trees_leafwise")
 def k13_boosted_trees_leafwise(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, **LEAFWISE))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=5, **LEAFWISE))[0], te, voc)
 
 
 @register("k14_boosted_trees_symmetric")
 def k14_boosted_trees_symmetric(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
-        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=3, **SYMMETRIC))[0], te, voc)
+        return _wide(fit_boost(trl, allf, voc.size, BoostParams(n_rounds=10, **SYMMETRIC))[0], te, voc)
 
 
 @register("k15_predict_outputs")
@@ -324,8 +324,7 @@ def k15_predict_outputs(spark, sf):
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
         model = fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]
-        from ..models.base import map_probabilities
-        raw_scores = map_probabilities(te, allf, ["Id"], model.margins, output="rawPrediction")
+        raw_scores = model.transform(te, keep=("Id",), output="rawPrediction")
         top = F.array_max("rawPrediction")
         expd = F.transform("rawPrediction", lambda x: F.exp(x - top))
         total = F.aggregate(expd, F.lit(0.0), lambda acc, x: acc + x)
@@ -535,15 +534,13 @@ def j9_chained_fit(spark, sf):
 
 @register("a5_save_load")
 def a5_save_load(spark, sf):
-    """Boosted model persisted as JSON in the shared folder, reloaded, used to score."""
+    """Boosted model written as node and feature tables in the shared folder, reloaded, used to score."""
     with _labelled(spark, sf) as (trl, te, fit, voc):
         _, _, allf = _sets(fit)
         model = fit_boost(trl, allf, voc.size, BoostParams(n_rounds=2, max_depth=3, eta=0.3))[0]
     path = staging_dir(spark, "model")
-    spark.createDataFrame([(json.dumps(model.to_json()),)], "model string").coalesce(1).write.mode("overwrite").text(path)
-    text = spark.read.text(path).first()[0]
-    again = BoostModel.from_json(json.loads(text))
-    return _wide(again, te, voc)
+    model.save(spark, path)
+    return _wide(BoostModel.load(spark, path), te, voc)
 
 
 @register("m1_train_and_score")

@@ -1,5 +1,6 @@
 """The code paths that only trigger on large data, forced on small data and
 compared with the small-data paths."""
+import tempfile
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -114,21 +115,34 @@ def test_partial_sums_shuffle_path_equals_direct(spark, monkeypatch):
     assert direct[0] == pytest.approx(sum(range(10000)))
 
 
-def test_booster_distributed_split_search_equals_direct(spark, monkeypatch):
+@pytest.mark.parametrize("growth", ["depthwise", "symmetric", "leafwise"])
+def test_booster_forms_of_exchange_do_not_matter(spark, monkeypatch, growth):
+    """Rows as they are, sums, small blocks and flushes give the same trees; a fit goes on from saved tables as if uncut."""
     import patrolcast.models.boost as boost
     rng = np.random.RandomState(3)
     X = rng.randn(600, 4)
     y = (X[:, 0] + 0.5 * X[:, 1] > 0).astype(int) + (X[:, 2] > 1).astype(int)
     rows = [(i, int(y[i]), *map(float, X[i])) for i in range(600)]
-    df = spark.createDataFrame(rows, "Id long, label int, a double, b double, c double, d double")
+    df = spark.createDataFrame(rows, "Id long, label int, a double, b double, c double, d double").repartition(3)
     cols = ["a", "b", "c", "d"]
-    for growth in ("depthwise", "symmetric"):
-        p = boost.BoostParams(n_rounds=2, max_depth=3, eta=0.3, growth=growth)
-        m1 = boost.fit_boost(df, cols, 3, p)[0]
+    p = boost.BoostParams(n_rounds=3, max_depth=4, eta=0.3, growth=growth, num_leaves=6, subsample=1.0 if growth == "leafwise" else 0.8, colsample=0.75)
+    m1 = boost.fit_boost(df, cols, 3, p)[0]
+    for name, value in (("RAW_ROWS", 0), ("RAW_ROWS", 10 ** 6), ("SLOT_CELLS", 1), ("HELD_CELLS", 1)):
         with monkeypatch.context() as mp:
-            mp.setattr(boost, "DIRECT_LIMIT", 0)
+            mp.setattr(boost, "RAW_ROWS", 20)
+            mp.setattr(boost, name, value)
             m2 = boost.fit_boost(df, cols, 3, p, binner=m1.binner)[0]
         assert np.allclose(m1.predict_proba(X), m2.predict_proba(X), atol=1e-9)
+    path = tempfile.mkdtemp(prefix="patrolcast-test-")
+    first = boost.fit_boost(df, cols, 3, boost.BoostParams(**{**p.__dict__, "n_rounds": 1}), binner=m1.binner)[0]
+    first.save(spark, path)
+    again = boost.BoostModel.load(spark, path)
+    assert [[t.arrays()[i].tolist() for t in r for i in range(5)] for r in again.rounds] == \
+        [[t.arrays()[i].tolist() for t in r for i in range(5)] for r in first.rounds]
+    (on,) = boost.fit_boost(df, cols, 3, p, init=[again])
+    assert len(on.rounds) == 3 and np.allclose(on.predict_proba(X), m1.predict_proba(X), atol=1e-9)
+    got = {r.Id: r.probability for r in m1.transform(df).collect()}
+    assert np.allclose([got[i] for i in range(600)], m1.predict_proba(X))
 
 
 def test_repair_without_address_broadcast_equals_default(spark, monkeypatch):
