@@ -1,6 +1,6 @@
 """Licence scans with a trained paragraph classifier (DataFrame operations and MLlib only).
 
-A paragraph is a line with a word; words are runs of letters and digits (with inner dots), in
+A paragraph is a block of lines between blank ones (however it is wrapped); words are runs of letters and digits (with inner dots), in
 lower case. The classifier is a multinomial logistic regression with L1 weights over word
 1- to 3-grams, one class per licence family and one for unknown text.
 
@@ -17,12 +17,20 @@ Calibration: the log odds of the best family against unknown, each training row'
 fitted on the other folds, fit a one-feature logistic regression, whose output is the
 probability that the paragraph is a licence at all; below 0.5 it is unknown.
 
-Confirmation: a prediction counts if the paragraph holds at least ``CONFIRM`` of the word
-pairs of one of its family's templates, or these make up ``CONFIRM`` of its own pairs.
+A paragraph is judged in windows of ``WINDOW`` words, half a window apart, so a notice inside a long paragraph is seen
+like one that stands alone; each line of a paragraph of several lines is judged as well (a list of notices).
+A window or line without a key term is settled as above.
+
+Confirmation: how far a template covers a window is the share of the template's word pairs that the window holds, or of
+the window's own pairs (two at least) that the template has, whichever is more; a family has its best
+template's. A prediction counts if its family covers ``CONFIRM`` and every other family less than it does. So a
+fragment that several families share confirms none of them, and a notice is not confirmed for a sister
+family that shares most of its words.
 
 Defined results: null and wordless texts have no paragraph and no licence; copies of a text
 and repeated rows get the same result; a licence named twice in a text is listed once; without any
-document there is nothing to train on and the result is empty.
+document there is nothing to train on and the result is empty; if the calibration would call an empty
+paragraph a licence, its shift is lowered until it does not (``lowered`` on the classifier says so).
 """
 
 from __future__ import annotations
@@ -43,6 +51,7 @@ SAMPLE_CHARS = 1_000
 PART = 8
 CONFIRM = 0.6
 FOLDS = 3
+WINDOW = 60
 UNKNOWN = "unknown"
 
 # Short notices of the licence families, as they stand in source files and on pages.
@@ -118,7 +127,7 @@ def _array_sql(values) -> str:
 
 
 def _confirmed_by(family: str) -> str:
-    """SQL: a template of the family shares ``CONFIRM`` of its word pairs, or of the paragraph's, in ``pairs``."""
+    """SQL: a template of the family shares ``CONFIRM`` of its word pairs, or of the window's, in ``pairs``."""
     tests = []
     for theirs in (sorted(set(runs(template_words(said), 2))) for f, said in TEMPLATES if f == family):
         both = f"size(array_intersect(pairs, {_array_sql(theirs)}))"
@@ -126,9 +135,34 @@ def _confirmed_by(family: str) -> str:
     return "(" + " OR ".join(tests) + ")"
 
 
+def covers() -> Column:
+    """How far each template, in the fixed order, covers the row's ``pairs``."""
+    parts = []
+    for _, said in TEMPLATES:
+        theirs = sorted(set(runs(template_words(said), 2)))
+        both = f"size(array_intersect(pairs, {_array_sql(theirs)}))"
+        parts.append(f"greatest({both} / {len(theirs)}D, CASE WHEN {both} >= 2 THEN {both} / CAST(size(array_distinct(pairs)) AS DOUBLE) ELSE 0D END)")
+    return F.expr("array(" + ", ".join(parts) + ")")
+
+
 def confirmed() -> Column:
-    """True if the row's ``family`` has a template that confirms its ``pairs``."""
-    return F.expr("CASE family " + " ".join(f"WHEN '{f}' THEN {_confirmed_by(f)}" for f in FAMILIES) + " ELSE false END")
+    """True if the row's ``family`` covers enough of its window by ``cover`` and every other family covers less."""
+    of = {f: [i for i, (g, _) in enumerate(TEMPLATES) if g == f] for f in FAMILIES}
+    best = lambda places: "array_max(array(" + ", ".join(f"cover[{i}]" for i in places) + "))"
+    tests = [f"WHEN '{f}' THEN {best(of[f])} >= {CONFIRM} AND {best(of[f])} > {best([i for g in FAMILIES if g != f for i in of[g]])}" for f in FAMILIES]
+    return F.expr("CASE family " + " ".join(tests) + " ELSE false END")
+
+
+def paragraphs_of(text: Column) -> Column:
+    """Blocks of lines between blank ones."""
+    return F.split(text, r"\n[ \t\r\x0B\f]*(?:\n[ \t\r\x0B\f]*)+")
+
+
+def windows(w: Column) -> Column:
+    """A paragraph's words in windows, half a window apart; a short one is one window."""
+    half = WINDOW // 2
+    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - half - 1, F.lit(0)), F.lit(half))
+    return F.transform(starts, lambda i: F.slice(w, i + 1, WINDOW))
 
 
 def paragraph_sample(paragraphs: DataFrame) -> DataFrame:
@@ -189,8 +223,10 @@ class Classifier:
             VectorAssembler(inputCols=["odds"], outputCol="features").transform(odds))
         self.slope, self.shift = float(self.calibration.coefficients[0]), float(self.calibration.intercept)
         intercepts = self.model.interceptVector.toArray()
-        if intercepts.argmax() != 0 or self.slope * (max(intercepts[1:]) - intercepts[0]) + self.shift >= 0:
-            raise ValueError("the classifier does not call an empty paragraph unknown")
+        empty = self.slope * float(max(intercepts[1:]) - intercepts[0]) + self.shift  # log odds of a paragraph without a feature
+        self.lowered = empty >= 0
+        if self.lowered:
+            self.shift -= empty + 1e-6
 
     def _fit(self, data: DataFrame):
         return LogisticRegression(family="multinomial", weightCol="weight", elasticNetParam=1.0, regParam=1e-3,
@@ -217,17 +253,21 @@ class Classifier:
         best = F.element_at(F.expr(_array_sql(FAMILIES)), F.array_position(known, F.array_max(known)).cast("int"))
         chance = 1 / (1 + F.exp(-(F.lit(self.slope) * self._odds(F.col("rawPrediction")) + F.lit(self.shift))))
         out = raw.withColumn("probability", chance).withColumn("family", F.when(chance >= 0.5, best).otherwise(F.lit(UNKNOWN)))
-        return out.withColumn("pairs", grams(F.col("w"), 2)).withColumn("confirmed", confirmed()) \
-            .drop("pairs", "grams", "features", "rawPrediction", "prediction")
+        return out.withColumn("pairs", grams(F.col("w"), 2)).withColumn("cover", covers()).withColumn("confirmed", confirmed()) \
+            .drop("pairs", "cover", "grams", "features", "rawPrediction", "prediction")
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Licence paragraphs of every distinct text: k1, k2, line (from 0), family, probability, confirmed."""
-    lines = docs.where(F.col("text").isNotNull()).select(
-        *text_key(F.col("text")), F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    found = Classifier(lines.where(F.col("said").rlike(r"[\p{L}\p{N}]")).select("said"))
-    cand = lines.select("k1", "k2", "line", words(F.col("said")).alias("w")) \
-        .where(F.arrays_overlap("w", found.key_array())).dropDuplicates(["k1", "k2", "line"])
+    """Licence windows and lines of every distinct text: k1, k2, paragraph and part (from 0: its windows, then its lines),
+    family, probability, confirmed."""
+    blocks = docs.where(F.col("text").isNotNull()).select(
+        *text_key(F.col("text")), F.posexplode(paragraphs_of(F.col("text"))).alias("paragraph", "said"))
+    found = Classifier(blocks.where(F.col("said").rlike(r"[\p{L}\p{N}]")).select("said"))
+    lines = F.when(F.contains("said", F.lit("\n")), F.transform(F.split("said", "\n"), words)).otherwise(F.array().cast("array<array<string>>"))
+    cand = blocks.select("k1", "k2", "paragraph", "said", words(F.col("said")).alias("w")) \
+        .where(F.arrays_overlap("w", found.key_array())).dropDuplicates(["k1", "k2", "paragraph"]) \
+        .select("k1", "k2", "paragraph", F.posexplode(F.concat(windows(F.col("w")), lines)).alias("part", "w")) \
+        .where(F.arrays_overlap("w", found.key_array()))
     return found.predict(cand).where(F.col("family") != UNKNOWN).drop("w")
 
 

@@ -42,6 +42,55 @@ def test_odd_rows(spark, odd_documents, table_dir):
     assert kept.columns == odd_documents.columns and kept.count() == 7
 
 
+FOREIGN = {
+    "pl": "Język polski należy do grupy zachodniosłowiańskiej języków indoeuropejskich. Jest językiem urzędowym w Polsce oraz jednym "
+          "z języków Unii Europejskiej, a mówi nim około czterdziestu milionów ludzi na całym świecie dzisiaj, także poza krajem.",
+    "ru": "Русский язык является одним из восточнославянских языков, национальным языком русского народа. " * 3,
+    "no": "kjh3 xq9z wvv0 zzqk " * 20}
+
+
+def test_stage_fills_languages_and_rejects_strange_texts(spark):
+    given = table(spark, SF_MID, "documents")
+    fresh = given.where("length(text) > 300").limit(40).withColumn("true", F.col("lang")).withColumn("lang", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(-i, t, None, "x", len(t), k) for i, (k, t) in enumerate(FOREIGN.items(), 1)] +
+                                [(-9, "kurz", None, "x", 4, "short"), (-8, "123 !", None, "x", 5, "und"), (-7, FOREIGN["pl"], "pl", "x", 9, "pl")], fresh.schema)
+    got = {r.doc_id: r for r in L.stage(spark, fresh.unionByName(odd), SF_MID).collect()}
+    assert set(got) - {-9} == {r.doc_id for r in fresh.collect()} and -9 in got  # short texts are never strange
+    assert sum(r.lang == r.true for r in got.values()) >= 38 and all(r.lang for r in got.values())
+    kept = L.stage(spark, given, SF_MID)
+    assert kept.columns == given.columns and kept.join(given, ["doc_id", "text", "lang"]).count() == kept.count() >= 0.99 * given.count()
+
+
+def test_low_score_is_no_reason_to_go(spark):
+    """Two languages that share a text's words score near 0; the text stays."""
+    samples = dict.fromkeys("ab", "the cat and the dog sat on the mat " * 60)
+    df = spark.createDataFrame([(1, "the cat and the dog sat on the mat " * 10)], "doc_id long, text string")
+    r = L.identify(df, samples, F.col(f"{ROW}.text")).first()
+    assert r.score == 0 and r.strange < 1.5 and r.lang_pred == "a"
+
+
+def test_stage_without_labels_passes_rows_through(spark, odd_documents, table_dir):
+    none = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    out = L.stage(spark, none, table_dir(documents=none))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, none.collect()), key=repr)
+
+
+def test_own_bits_are_those_of_plain_parsing():
+    text = "".join(np.random.default_rng(2).choice(list("abcd efg"), 6000))
+    model = L.CrossParser({"x": text, "y": "too short"})
+    said = L.fold(text)
+    half = len(said) // 2
+    rest, known, phrases = said[half:], said[:half], 0
+    for at in range(0, len(rest), L.LANE):
+        part, i = rest[at:at + L.LANE], 0
+        while i < len(part):
+            n = 1
+            while i + n < len(part) and part[i:i + n + 1] in known:
+                n += 1
+            i, phrases = i + n, phrases + 1
+    assert np.isclose(model.usual[0], phrases * np.log2(half + 2) / len(rest), rtol=1e-3) and model.usual[1] == np.inf
+
+
 def test_empty_and_unlabelled(spark, odd_documents, table_dir):
     d = table_dir(documents=odd_documents.limit(0))
     assert L.op3_language_id(spark, d).count() == 0
