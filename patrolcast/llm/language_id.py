@@ -46,7 +46,7 @@ LANE = 1_024
 BLOCK_CHARS = 1_000_000
 OWN_CHARS = 500  # half a sample must hold as many to tell what its language usually needs
 STRANGE_CHARS = 200  # shorter texts are never strange
-MAX_STRANGE = 2.2  # measured: 0.05 % of the given texts, all of them junk, lie above; texts of other languages do
+MAX_STRANGE = 2.2  # measured: 26 of 10,000 given texts (1 of 51,282 in a larger set) lie above, shouted or symbol-laden junk; other languages do
 LETTER = re.compile(r"[^\W\d_]")
 MISS = 1 << 30
 
