@@ -1,8 +1,7 @@
 """Fixed values that must equal the studied scripts for the results to agree.
 
 Everything here is a constant of the problem (map coordinates, station
-positions, district names, column names, published scores); no logic lives
-in this module.
+positions, district names, column names, seed); no logic lives in this module.
 """
 
 # --- fixed values: in-bounds box of the city (lon X, lat Y), inclusive ---
