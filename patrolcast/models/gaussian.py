@@ -4,7 +4,8 @@ One data pass (``partial_sums``) yields per-class counts, sums and scatter
 matrices for all classes at once; the d x d algebra happens on the driver
 (K x d x d numbers, independent of the row count); scoring is a numpy batch
 map. Data are shifted by a global mean before the products are summed so the
-scatter does not lose precision to cancellation.
+scatter does not lose precision to cancellation. ``FoldMoments`` keeps the same
+sums per fold: the fit of every training side follows from them by subtraction.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .base import arrow_matrix, arrow_vector, map_probabilities, partial_sums, softmax
 
+RANK_TOL = 1e-4   # singular values below this share of the largest are cut
+
 
 @dataclass
 class ClassMoments:
@@ -30,11 +33,7 @@ class ClassMoments:
                 centered: bool = False) -> "ClassMoments":
         """``centered=True`` (inputs already standardised) skips the job that finds the shift."""
         d, K = len(cols), n_classes
-        if centered:
-            shift = np.zeros(d)
-        else:
-            shift = np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(), dtype=float)
-            shift = np.nan_to_num(shift)
+        shift = np.zeros(d) if centered else _shift(df, cols)
         size = K * (1 + d + d * d)
 
         def part(b):
@@ -64,6 +63,92 @@ class ClassMoments:
         return self.scatter[k] / max(self.n[k] - 1, 1)
 
 
+def _shift(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Column means, about which products are summed; 0 for a column without values."""
+    return np.nan_to_num(np.array(df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first(), dtype=float))
+
+
+@dataclass
+class FoldMoments:
+    """Moments per (repeat, fold), each about ``shift``, from one scan of rows with fold columns.
+
+    Of every repeat all folds but the last are summed, and the whole table once; the last fold is the rest.
+    ``training(r, f)`` is what a fit on the rows outside fold f of repeat r needs: the scaler (over the values that
+    are not NULL, as ``StandardScaler``) and the class moments of the scaled rows (over complete rows with a class).
+    """
+    cols: list
+    n_classes: int
+    n_splits: int
+    shift: np.ndarray
+    whole: np.ndarray    # one vector of sums: class counts, class sums, class products, column counts, sums, squares
+    held: np.ndarray     # (repeats, folds, the same)
+
+    @classmethod
+    def compute(cls, df: DataFrame, cols: list[str], n_classes: int, fold_cols: list[str], n_splits: int,
+                label: str = "label") -> "FoldMoments":
+        d, K, R, S = len(cols), n_classes, len(fold_cols), n_splits
+        shift = _shift(df, cols)
+        a, b = K, K + K * d                      # starts of the class sums and products
+        c = b + K * d * d                        # start of the column sums
+        size = c + 3 * d
+
+        def add(out, X, y, known):
+            """Adds rows of one class (``y``; None: the column sums of all rows)."""
+            if y is None:
+                Z = np.where(known, X, 0.0)
+                out[c:c + d] += known.sum(0)
+                out[c + d:c + 2 * d] += Z.sum(0)
+                out[c + 2 * d:] += (Z * Z).sum(0)
+            else:
+                out[y] += len(X)
+                out[a + y * d:a + (y + 1) * d] += X.sum(0)
+                out[b + y * d * d:b + (y + 1) * d * d] += (X.T @ X).ravel()
+
+        def part(batch):
+            X = arrow_matrix(batch, cols) - shift
+            folds = [arrow_vector(batch, f, np.int64) for f in fold_cols]
+            y = batch.column(batch.schema.names.index(label)).fill_null(-1).to_numpy(zero_copy_only=False)
+            known = ~np.isnan(X)
+            out = np.zeros((1 + R * (S - 1), size))
+            usable = known.all(axis=1) & (y >= 0) & (y < K)
+            groups = [(None, np.arange(len(y)))] + [(int(k), np.flatnonzero(usable & (y == k))) for k in np.unique(y[usable])]
+            for k, rows in groups:
+                add(out[0], X[rows], k, known[rows])
+                for r in range(R):
+                    for f in range(S - 1):
+                        own = rows[folds[r][rows] == f]
+                        if len(own):
+                            add(out[1 + r * (S - 1) + f], X[own], k, known[own])
+            return out.ravel()
+
+        v = partial_sums(df.select(*[F.col(f"`{x}`") for x in cols], label, *fold_cols), (1 + R * (S - 1)) * size, part)
+        v = v.reshape(-1, size)
+        first = v[1:].reshape(R, S - 1, size)
+        held = np.concatenate([first, (v[0] - first.sum(axis=1))[:, None]], axis=1)
+        return cls(list(cols), K, S, shift, v[0], held)
+
+    def training(self, repeat: int, fold: int) -> tuple[np.ndarray, np.ndarray, ClassMoments]:
+        """Scaler mean, scaler scale and scaled class moments of the rows outside the fold."""
+        d, K = len(self.cols), self.n_classes
+        v = self.whole - self.held[repeat, fold]
+        n = np.rint(v[:K])
+        sums = v[K:K + K * d].reshape(K, d)
+        raw = v[K + K * d:K + K * d + K * d * d].reshape(K, d, d)
+        count, s1, s2 = v[-3 * d:].reshape(3, d)
+        count = np.maximum(np.rint(count), 1)
+        var = np.maximum(s2 / count - (s1 / count) ** 2, 0)
+        allc, all1, all2 = self.whole[-3 * d:].reshape(3, d)
+        total = np.maximum(all2 / np.maximum(allc, 1) - (all1 / np.maximum(allc, 1)) ** 2, 0)
+        mean = self.shift + s1 / count
+        # what subtraction leaves of a column that is constant on this side is rounding, not spread
+        constant = (var <= 1e-12 * total) | (var <= 1e-24 * mean ** 2)
+        scale = np.where(constant, 1.0, np.sqrt(np.where(constant, 1.0, var)))
+        mu = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], 0.0)
+        scatter = (raw - n[:, None, None] * np.einsum("ki,kj->kij", mu, mu)) / np.outer(scale, scale)
+        scatter[n < 2] = 0.0
+        return mean, scale, ClassMoments(self.cols, n, (mu + self.shift - mean) / scale, scatter)
+
+
 @dataclass
 class LDA:
     """Linear discriminant: shared (pooled) covariance, class means, priors -> softmax."""
@@ -72,10 +157,13 @@ class LDA:
     intercept: np.ndarray
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4,
+    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = RANK_TOL,
             centered: bool = False) -> "LDA":
-        m = ClassMoments.compute(df, cols, n_classes, label, centered)
-        n, K = m.n.sum(), n_classes
+        return cls.from_moments(ClassMoments.compute(df, cols, n_classes, label, centered), tol)
+
+    @classmethod
+    def from_moments(cls, m: ClassMoments, tol: float = RANK_TOL) -> "LDA":
+        n, K = m.n.sum(), len(m.n)
         pooled = m.scatter.sum(axis=0) / max(n - K, 1)
         # rank tolerance in correlation space (features on any scale): singular values of the
         # data are cut at ``tol`` of the largest, hence eigenvalues at its square
@@ -88,7 +176,7 @@ class LDA:
         coef = m.mean @ inv
         intercept = -0.5 * np.einsum("kd,kd->k", coef, m.mean) + np.log(prior)
         intercept[m.n == 0] = -np.inf
-        return cls(list(cols), coef, intercept)
+        return cls(list(m.cols), coef, intercept)
 
     def predict_proba(self, X: np.ndarray) -> np.ndarray:
         return softmax(np.nan_to_num(X) @ self.coef.T + self.intercept)
@@ -99,33 +187,44 @@ class LDA:
 
 @dataclass
 class QDA:
-    """Quadratic discriminant: one covariance per class.
-
-    The quadratic feature set holds exact linear combinations of X and Y, so
-    class covariances are rank-deficient; eigenvalues are floored at
-    ``tol * largest`` so that every class density lives in the full space.
+    """Quadratic discriminant: one covariance per class, cut to its rank.
+
+    The quadratic feature set holds exact linear combinations of X and Y, so class covariances are rank-deficient.
+    A class keeps the axes whose singular values (of its centred rows) exceed ``tol`` times its largest; ``ranks``
+    says how many. Densities of classes are comparable only over one space, which is the span of the pooled scatter,
+    cut by the same rule: along those of its axes in which a class has no spread of its own (constant columns, fewer
+    rows than axes) the class takes the pooled variance. Where all classes have the pooled rank nothing is borrowed,
+    and the result is the truncated singular value form. A class without rows gets probability 0.
     """
     cols: list
     means: np.ndarray      # (K, d)
-    rotations: np.ndarray  # (K, d, d) eigenvectors
-    scales: np.ndarray     # (K, d) floored eigenvalues
+    rotations: np.ndarray  # (K, d, r): axes of the density, r the pooled rank
+    scales: np.ndarray     # (K, r) variances along them, the class's own first, largest first
     log_prior: np.ndarray  # (K,)
+    ranks: np.ndarray      # (K,) axes of the class's own
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = 1e-4,
+    def fit(cls, df: DataFrame, cols: list[str], n_classes: int, label: str = "label", tol: float = RANK_TOL,
             centered: bool = False) -> "QDA":
-        m = ClassMoments.compute(df, cols, n_classes, label, centered)
-        K, d = n_classes, len(cols)
-        rots, scales = np.zeros((K, d, d)), np.ones((K, d))
+        return cls.from_moments(ClassMoments.compute(df, cols, n_classes, label, centered), tol)
+
+    @classmethod
+    def from_moments(cls, m: ClassMoments, tol: float = RANK_TOL) -> "QDA":
+        K, n = len(m.n), m.n.sum()
+        var, base = _axes(m.scatter.sum(axis=0) / max(n - K, 1), tol)
+        r = len(var)
+        rots, scales, ranks = np.zeros((K, len(m.cols), r)), np.ones((K, r)), np.zeros(K, dtype=np.int64)
         for k in range(K):
-            s, V = np.linalg.eigh(m.covariance(k))
-            s = np.maximum(s, tol * max(s.max(), 1e-300))
-            rots[k], scales[k] = V, s
-        # note: callers standardise first (pipeline I1 -> K2), so the floor is relative to unit scale
-        prior = m.n / m.n.sum()
+            own, V = _axes(base.T @ m.covariance(k) @ base, tol)
+            ranks[k] = q = len(own)
+            # the rest of the pooled span, with the pooled variances along it
+            rest = np.linalg.svd(V, full_matrices=True)[0][:, q:] if q else np.eye(r)
+            lent, U = np.linalg.eigh(rest.T @ (var[:, None] * rest))
+            rots[k] = base @ np.concatenate([V, rest @ U], axis=1)
+            scales[k] = np.concatenate([own, lent])
         with np.errstate(divide="ignore"):
-            lp = np.log(prior)
-        return cls(list(cols), m.mean, rots, scales, lp)
+            lp = np.log(m.n / n)
+        return cls(list(m.cols), m.mean, rots, scales, lp, ranks)
 
     def predict_proba(self, X: np.ndarray) -> np.ndarray:
         X = np.nan_to_num(X)
@@ -138,3 +237,11 @@ class QDA:
 
     def transform(self, df: DataFrame, keep=("Id",)) -> DataFrame:
         return map_probabilities(df, self.cols, [k for k in keep if k in df.columns], self.predict_proba)
+
+
+def _axes(cov: np.ndarray, tol: float) -> tuple[np.ndarray, np.ndarray]:
+    """Variances (largest first) and axes of a covariance; those whose root is at most ``tol`` times the largest are cut."""
+    s, V = np.linalg.eigh(cov)
+    s, V = s[::-1], V[:, ::-1]
+    keep = s > (tol ** 2 * s[0] if len(s) and s[0] > 0 else np.inf)
+    return s[keep], V[:, keep]

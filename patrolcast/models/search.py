@@ -21,6 +21,7 @@ from ..sources.sinks import append_trial
 from .base import arrow_matrix, arrow_vector, cached, labelled, partial_sums
 from .boost import BoostParams, fit_boost
 from .calibration import platt
+from .gaussian import FoldMoments
 from .linear import MAX_PASSES, LinearTask, fit_tasks, group_stats
 
 
@@ -52,6 +53,36 @@ def cross_val_score(df: DataFrame, fold_cols: list[str], fit: Callable[[DataFram
     return out
 
 
+def cross_val_moments(df: DataFrame, fold_cols: list[str], cols: list[str], n_classes: int, model,
+                      n_splits: int = 2, label: str = "label") -> list[tuple[int, int, float]]:
+    """J2 for models that follow from class moments (``model``: LDA or QDA), scaler and model refitted in each fold.
+
+    Beside the aggregate that finds the shift there are two scans, whatever the number of repeats and folds: one sums the
+    moments of all folds, one scores the held-out rows of all. Returns ``(repeat, fold, -log_loss)``.
+    """
+    moments = FoldMoments.compute(df, cols, n_classes, fold_cols, n_splits, label)
+    fits = []
+    for r in range(len(fold_cols)):
+        for f in range(n_splits):
+            mean, scale, scaled = moments.training(r, f)
+            fits.append((r, f, mean, scale, model.from_moments(scaled)))
+
+    def part(batch):
+        X = arrow_matrix(batch, cols)
+        y = batch.column(batch.schema.names.index(label)).fill_null(-1).to_numpy(zero_copy_only=False)
+        folds = [arrow_vector(batch, c, np.int64) for c in fold_cols]
+        out = np.zeros((len(fits), 2))
+        for j, (r, f, mean, scale, m) in enumerate(fits):
+            rows = np.flatnonzero((folds[r] == f) & (y >= 0))
+            if len(rows):
+                p = m.predict_proba((X[rows] - mean) / scale)[np.arange(len(rows)), y[rows]]
+                out[j] = -np.log(np.clip(p, 1e-15, 1 - 1e-15)).sum(), len(rows)
+        return out.ravel()
+
+    v = partial_sums(df.select(*[F.col(f"`{c}`") for c in cols], label, *fold_cols), 2 * len(fits), part).reshape(-1, 2)
+    return [(r, f, float(-loss / n) if n else float("nan")) for (r, f, *_), (loss, n) in zip(fits, v)]
+
+
 def grid_search_linear(spark: SparkSession, df: DataFrame, cols: list[str], n_classes: int,
                        grid: list[LinearTask], n_splits: int = 2, calibrated: bool = False, cv_inner: int = 2,
                        label: str = "label", key: str = "Id", seed: int = SEED, max_iter: int = MAX_PASSES,

@@ -28,7 +28,8 @@ from ..models.gaussian import LDA, QDA, ClassMoments
 from ..models.kernel import Nystroem
 from ..models.linear import LinearTask, fit_ova, fit_softmax
 from ..models.prior import ClassPrior
-from ..models.search import Chain, boost_cv, cross_val_score, grid_search_linear, linear_grid, random_search
+from ..models.search import Chain, boost_cv, cross_val_moments, grid_search_linear, linear_grid, random_search
+from ..models.store import load_model, save_model
 from ..operators.encode import Vocabulary, balanced_weight, class_counts, feature_set
 from ..operators.features import feature_columns
 from ..operators.selection import (P31, best_round, key_hash_sql, log_loss, rank_trials, repeated_folds,
@@ -347,20 +348,30 @@ def i2_nystroem(spark, sf):
 
 # ---------------------------------------------------------------- selection (rows check)
 
-@register("j2_cross_val_score")
-def j2_cross_val_score(spark, sf):
-    """LDA chain (scaler refitted inside each fold), 2 folds x 5 repeats."""
+def _cross_val(spark, sf, which, model):
+    """Scaler and model refitted inside each fold, 2 folds x 5 repeats, all in two scans."""
     with _labelled(spark, sf) as (trl, _, fit, voc):
-        lin, _, _ = _sets(fit)
-        data = cached(repeated_folds(trl, 2, N_REPEATS, SEED, "label"))
+        cols = _sets(fit)[which]
+        data = cached(repeated_folds(trl.select(*cols, "label", "Id"), 2, N_REPEATS, SEED, "label"))
         try:
-            res = cross_val_score(data, [f"fold_{r}" for r in range(N_REPEATS)],
-                                  lambda d: Chain.fit(d, lin, lambda s: LDA.fit(s, lin, voc.size, centered=True)))
+            res = cross_val_moments(data, [f"fold_{r}" for r in range(N_REPEATS)], cols, voc.size, model)
         finally:
             data.unpersist()
     return finish(spark.createDataFrame(res, "repeat int, fold int, score double"))
 
 
+@register("j2_cross_val_score")
+def j2_cross_val_score(spark, sf):
+    """LDA on the linear features."""
+    return _cross_val(spark, sf, 0, LDA)
+
+
+@register("j2c_cross_val_score_qda")
+def j2c_cross_val_score_qda(spark, sf):
+    """QDA on the quadratic features."""
+    return _cross_val(spark, sf, 1, QDA)
+
+
 @register("j3_grid_search")
 def j3_grid_search(spark, sf):
     """Logistic one-vs-rest grid: penalty x intercept x alpha (16 settings x 2 folds in shared passes)."""
@@ -543,6 +554,39 @@ def a5_save_load(spark, sf):
     return _wide(BoostModel.load(spark, path), te, voc)
 
 
+def _reloaded_equals(spark, fitted: dict, te):
+    """One row per model: rows scored, and the largest difference a reload from its table makes to a probability."""
+    out = []
+    for name, model in fitted.items():
+        path = staging_dir(spark, "model")
+        save_model(spark, model, path)
+        again = load_model(spark, path).transform(te, keep=("Id",)).withColumnRenamed("probability", "reloaded")
+        gap = F.array_max(F.zip_with("probability", "reloaded", lambda a, b: F.abs(a - b)))
+        row = model.transform(te, keep=("Id",)).join(again, "Id").agg(F.count("*"), F.max(gap)).first()
+        out.append((name, int(row[0]), float(row[1])))
+    return spark.createDataFrame(out, "model string, rows long, largest_gap double")
+
+
+@register("a5c_save_load_linear", S.with_ctes() + (
+    "SELECT unnest(['logistic', 'softmax', 'hinge calibrated', 'RBF calibrated']) AS model, (SELECT count(*) FROM test) AS rows, "
+    "CAST(0 AS DOUBLE) AS largest_gap"))
+def a5c_save_load_linear(spark, sf):
+    """One-vs-rest, softmax, Platt and Nystroem models as tables of arrays: the reload scores every test row alike."""
+    with _labelled(spark, sf) as (trl, te, fit, voc):
+        lin, _, _ = _sets(fit)
+        te = cached(te)
+        try:
+            ny = _nystroem(trl, lin, 300)
+            return _reloaded_equals(spark, {
+                "logistic": fit_ova(trl, lin, voc.size, LinearTask("log", alpha=0.1)),
+                "softmax": fit_softmax(trl, lin, voc.size, C=0.1),
+                "hinge calibrated": calibrated_fit(trl, lin, voc.size, LinearTask("hinge", alpha=1.0)),
+                "RBF calibrated": calibrated_fit(trl, lin, voc.size, LinearTask("hinge", alpha=1.0), featurize=ny, dim=ny.dim, standardize=False),
+            }, te)
+        finally:
+            te.unpersist()
+
+
 @register("m1_train_and_score")
 def m1_train_and_score(spark, sf):
     """The driver script end to end: repair, features, depth-12 boosted trees, wide probabilities."""
