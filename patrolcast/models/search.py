@@ -19,7 +19,7 @@ from ..operators.encode import StandardScaler
 from ..operators.selection import log_loss, rank_trials, stratified_folds
 from ..sources.sinks import append_trial
 from .base import arrow_matrix, arrow_vector, cached, labelled, partial_sums
-from .boost import BoostParams, fit_boost
+from .boost import Binner, BoostParams, fit_boost
 from .calibration import platt
 from .gaussian import FoldMoments
 from .linear import MAX_PASSES, LinearTask, fit_tasks, group_stats
@@ -37,6 +37,11 @@ class Chain:
         sc = StandardScaler.fit(df, cols)
         return cls(list(cols), sc, fit_model(sc.transform(df)))
 
+    def predict_proba(self, X: np.ndarray) -> np.ndarray:
+        """For a model that scores matrices."""
+        scale = np.array([s if s and s > 0 else 1.0 for s in self.scaler.std], dtype=float)
+        return self.model.predict_proba((X - np.array(self.scaler.mean, dtype=float)) / scale)
+
     def transform(self, df: DataFrame, keep=("Id",)) -> DataFrame:
         return self.model.transform(self.scaler.transform(df), keep=keep)
 
@@ -169,11 +174,12 @@ def linear_grid(loss: str, **axes) -> list[LinearTask]:
 
 
 def boost_cv(spark: SparkSession, df: DataFrame, cols: list[str], n_classes: int, params: BoostParams,
-             n_folds: int = 2, label: str = "label", key: str = "Id", seed: int = SEED) -> DataFrame:
-    """``(fold, round, loss)`` hold-out loss per boosting round, all folds in shared passes."""
+             n_folds: int = 2, label: str = "label", key: str = "Id", seed: int = SEED, binner: Binner | None = None) -> DataFrame:
+    """``(fold, round, loss)`` hold-out loss per boosting round, all folds in shared passes.
+    ``binner``: given cut points (else quantiles of the features)."""
     data = stratified_folds(df, n_folds, seed, label, key=key, out="fold")
     log: list = []
-    fit_boost(data, cols, n_classes, params, label=label, grp="fold", n_models=n_folds, round_log=log)
+    fit_boost(data, cols, n_classes, params, label=label, grp="fold", n_models=n_folds, round_log=log, binner=binner)
     return spark.createDataFrame([(int(m), int(r), float(l)) for m, r, l in log], "fold int, round int, loss double")
 
 

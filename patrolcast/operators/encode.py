@@ -1,13 +1,15 @@
 """Encoders: label vocabulary (E6), standard scaler (I1), feature sets (C3),
 column helpers (C1, C2, C7, C8), class weights (K16).
 
-Fitted state is small and size-checked (a vocabulary of at most ``MAX_VOCAB``
-levels, two numbers per feature); applying it is a projection with literal maps,
-so no join and no shuffle happens at transform time.
+Fitted state is small (two numbers per feature, a vocabulary of at most ``MAX_LITERAL`` levels); applying it is a
+projection with literal maps, so no join and no shuffle happens at transform time. A larger vocabulary is a table of
+(level, code) in the shared folder and is applied by an equi-join, so neither the driver nor the plan grows with it.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import LINEAR_DROP, QUADRATIC_DROP
+from ..session import checkpoint_dir
 
-MAX_VOCAB = 1_000_000
+MAX_LITERAL = 4096  # levels; a larger vocabulary is a table
 
 
 def drop_columns(df: DataFrame, cols) -> DataFrame:
@@ -47,29 +50,51 @@ def columns_by_type(df: DataFrame, exclude=("Id", "Category", "label")) -> list[
 class Vocabulary:
     """Sorted distinct levels -> 0-based codes; NULL or unseen -> -1."""
     column: str
-    levels: list
+    levels: list | None              # None: they are in ``table``
+    table: DataFrame | None = None   # level, code
+    n: int = 0                       # levels of the table
 
     @classmethod
-    def fit(cls, df: DataFrame, column: str) -> "Vocabulary":
-        rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-                .limit(MAX_VOCAB + 1).collect())
-        if len(rows) > MAX_VOCAB:
-            raise ValueError(f"vocabulary of {column} exceeds {MAX_VOCAB} levels")
-        return cls(column, sorted(r[0] for r in rows))
+    def fit(cls, df: DataFrame, column: str, max_literal: int = MAX_LITERAL) -> "Vocabulary":
+        distinct = df.select(F.col(f"`{column}`").alias("level")).where("level IS NOT NULL").distinct()
+        rows = distinct.limit(max_literal + 1).collect()
+        if len(rows) <= max_literal:
+            return cls(column, sorted(r[0] for r in rows))
+        # ranges of levels in order, each numbered by itself; what was written is what the offsets count
+        path = os.path.join(checkpoint_dir(df.sparkSession), "staging", f"levels-{uuid.uuid4().hex[:12]}")
+        part = F.spark_partition_id()
+        distinct.repartitionByRange("level").sortWithinPartitions("level").select(
+            "level", part.alias("part"), (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)).alias("place")) \
+            .write.parquet(path)
+        written = df.sparkSession.read.parquet(path)
+        begins, total = [], 0
+        for r in sorted(written.groupBy("part").count().collect()):  # a row for each range, at most spark.sql.shuffle.partitions
+            begins += [F.lit(r["part"]), F.lit(total)]
+            total += r["count"]
+        code = (F.create_map(*begins)[F.col("part")] + F.col("place")).cast("int")
+        return cls(column, None, written.select("level", code.alias("code")), total)
 
     def code(self, col: str | None = None, base: int = 0) -> Column:
+        """The code as an expression; only a vocabulary that is not a table has one."""
+        if self.levels is None:
+            raise ValueError(f"the {self.n} levels of {self.column} are a table: use transform")
         kv = []
         for i, v in enumerate(self.levels):
             kv += [F.lit(v), F.lit(i + base)]
         m = F.create_map(*kv) if kv else F.create_map().cast("map<string,int>")
         return F.coalesce(m[F.col(col or self.column)], F.lit(-1)).cast("int")
 
-    def transform(self, df: DataFrame, output: str = "label") -> DataFrame:
-        return df.withColumn(output, self.code())
+    def transform(self, df: DataFrame, output: str = "label", base: int = 0) -> DataFrame:
+        if self.levels is not None:
+            return df.withColumn(output, self.code(base=base))
+        rows, table = df.alias("_rows"), self.table.select(F.col("level").alias("_level"), F.col("code").alias("_code"))
+        kept = [F.col(f"_rows.`{c}`") for c in df.columns if c != output]
+        return rows.join(table, F.col(f"_rows.`{self.column}`") == F.col("_level"), "left").select(
+            *kept, F.coalesce(F.col("_code") + base, F.lit(-1)).cast("int").alias(output))
 
     @property
     def size(self) -> int:
-        return len(self.levels)
+        return self.n if self.levels is None else len(self.levels)
 
 
 @dataclass

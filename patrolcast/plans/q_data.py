@@ -289,7 +289,15 @@ def e5_distinct_index(spark, sf):
 def e6_factorize(spark, sf):
     tr = train_rows(raw(spark, sf))
     voc = Vocabulary.fit(tr, "Category")
-    return tr.select("Id", "Category", voc.code().alias("code"))
+    return voc.transform(tr.select("Id", "Category"), "code")
+
+
+@register("e6b_factorize_addresses", _sql(
+    "SELECT Id, Address, CAST(CASE WHEN Address IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY Address NULLS LAST) - 1 END AS INTEGER) AS code FROM train"))
+def e6b_factorize_addresses(spark, sf):
+    """A column of many levels: the vocabulary is a table at any size and codes come from a join."""
+    tr = train_rows(raw(spark, sf)).select("Id", "Address")
+    return Vocabulary.fit(tr, "Address", max_literal=0).transform(tr, "code")
 
 
 # ---------------------------------------------------------------- 2.G scalar functions
@@ -347,7 +355,7 @@ _g("g11_isnan", lambda: [F.isnan(F.sqrt(F.col("X") + 122.42)).alias("x_nan"), F.
     "SELECT Id, Category, CAST(dense_rank() OVER (ORDER BY Category) AS INTEGER) AS factor FROM train"))
 def g12_factor(spark, sf):
     tr = train_rows(raw(spark, sf))
-    return tr.select("Id", "Category", Vocabulary.fit(tr, "Category").code(base=1).alias("factor"))
+    return Vocabulary.fit(tr, "Category").transform(tr.select("Id", "Category"), "factor", base=1)
 
 
 # ---------------------------------------------------------------- 2.H feature operators

@@ -14,7 +14,6 @@ from __future__ import annotations
 import contextlib
 import json
 import math
-import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -22,12 +21,13 @@ from pyspark.sql import functions as F
 from ..fixed import SEED
 from ..models.base import cached
 from ..models.boost import BoostModel, BoostParams, fit_boost
-from ..models.calibration import calibrated_fit
+from ..models.calibration import calibrated_fit, calibrated_fits
 from ..models.forest import bootstrap_seed, fit_forest, oob_votes, out_of_bag_rows
 from ..models.gaussian import LDA, QDA, ClassMoments
 from ..models.kernel import Nystroem
-from ..models.linear import LinearTask, fit_ova, fit_softmax
+from ..models.linear import LinearOVA, LinearTask, fit_ova, fit_softmax, fit_tasks
 from ..models.prior import ClassPrior
+from ..models.report import loss_report
 from ..models.search import Chain, boost_cv, cross_val_moments, grid_search_linear, linear_grid, random_search
 from ..models.store import load_model, save_model
 from ..operators.encode import Vocabulary, balanced_weight, class_counts, feature_set
@@ -576,7 +576,7 @@ def a5c_save_load_linear(spark, sf):
         lin, _, _ = _sets(fit)
         te = cached(te)
         try:
-            ny = _nystroem(trl, lin, 300)
+            ny = _nystroem(trl, lin, 100)
             return _reloaded_equals(spark, {
                 "logistic": fit_ova(trl, lin, voc.size, LinearTask("log", alpha=0.1)),
                 "softmax": fit_softmax(trl, lin, voc.size, C=0.1),
@@ -596,36 +596,55 @@ def m1_train_and_score(spark, sf):
 
 # ---------------------------------------------------------------- reports
 
-def _model_scores(spark, sf):
-    """Measured validation log loss and fit time of several models on fold 1 (trained on fold 0)."""
-    out = []
+def report(spark, sf, fit_models):
+    """Train (fold 0) and validation (fold 1) log loss of the models that ``fit_models(train rows, feature fit,
+    vocabulary)`` returns by name, scored on one scan of both folds; worst on validation first."""
     with _labelled(spark, sf) as (trl, _, fit, voc):
-        lin, quad, allf = _sets(fit)
         data = cached(stratified_folds(trl, 2, SEED, "label"))
-        trn, val = data.filter("fold = 0"), data.filter("fold = 1")
-        fits = [
-            ("Class prior", lambda: ClassPrior.fit(trn, voc.size)),
-            ("LDA", lambda: Chain.fit(trn, lin, lambda d: LDA.fit(d, lin, voc.size, centered=True))),
-            ("QDA", lambda: Chain.fit(trn, quad, lambda d: QDA.fit(d, quad, voc.size, centered=True))),
-            ("Boosted trees", lambda: fit_boost(trn, allf, voc.size, BoostParams(n_rounds=2, max_depth=4, eta=0.3))[0]),
-        ]
-        for name, fn in fits:
-            t0 = time.time()
-            m = fn()
-            secs = time.time() - t0
-            p = m.transform(val) if isinstance(m, ClassPrior) else m.transform(val, keep=("Id", "label"))
-            out.append((name, float(log_loss(p)), float(secs)))
-        data.unpersist()
-    return out
+        try:
+            models = fit_models(data.where("fold = 0"), fit, voc)
+            res = loss_report(data, models, "fold", 2)
+        finally:
+            data.unpersist()
+    rows = [(name, res[name, 0][1], res[name, 1][1]) for name in models]
+    df = spark.createDataFrame(rows, "model string, train_loss double, validation_loss double")
+    return finish(df.orderBy(F.desc("validation_loss"), "model"))
+
+
+def closed_form_models(trn, cols_lda, cols_qda, voc) -> dict:
+    return {"Class prior": ClassPrior.fit(trn, voc.size),
+            "LDA": Chain.fit(trn, cols_lda, lambda d: LDA.fit(d, cols_lda, voc.size, centered=True)),
+            "QDA": Chain.fit(trn, cols_qda, lambda d: QDA.fit(d, cols_qda, voc.size, centered=True))}
+
+
+def _every_family(trn, fit, voc):
+    """One fit of every model family; the linear ones share passes where they have the same columns and map."""
+    lin, quad, allf = _sets(fit)
+    K = voc.size
+    models = closed_form_models(trn, lin, quad, voc)
+    plain = fit_tasks(trn.withColumn("grp", F.lit(0)), lin, K,
+                      [LinearTask("log", alpha=0.1), LinearTask("modified_huber", alpha=0.01, fit_intercept=False)])
+    models["Logistic one-vs-rest"], models["Modified Huber one-vs-rest"] = (LinearOVA(lin, [m]) for m in plain)
+    models["Hinge one-vs-rest"], models["Linear SVC, hinge"], models["Linear SVC, squared hinge"] = calibrated_fits(trn, lin, K, [
+        LinearTask("hinge", alpha=1.0), LinearTask("hinge", C=0.1, fit_intercept=False, class_weight="balanced"),
+        LinearTask("squared_hinge", C=0.01)])
+    ny = _nystroem(trn, lin, 100)
+    models["RBF SVM"] = calibrated_fit(trn, lin, K, LinearTask("hinge", alpha=1e-3), featurize=ny, dim=ny.dim, standardize=False)
+    models["Multinomial logistic"] = fit_softmax(trn, allf, K, C=0.1)
+    models["Random forest"] = fit_forest(trn, allf, K, n_trees=20, max_depth=10, min_leaf=7)
+    for name, growth in (("depth-wise", DEPTHWISE), ("leaf-wise", {**LEAFWISE, "num_leaves": 31}), ("symmetric", SYMMETRIC)):
+        params = BoostParams(n_rounds=2, **{**growth, "max_depth": 4})
+        models[f"Boosted trees, {name}"] = fit_boost(trn, allf, K, params)[0]
+    return models
 
 
 @register("f4_order_models")
 def f4_order_models(spark, sf):
-    df = spark.createDataFrame(_model_scores(spark, sf), "model string, log_loss double, time double")
-    return finish(df.orderBy(F.desc("log_loss")))
+    """The closed-form models on their full feature sets, worst first."""
+    return report(spark, sf, lambda trn, fit, voc: closed_form_models(trn, *_sets(fit)[:2], voc))
 
 
 @register("l1_model_report")
 def l1_model_report(spark, sf):
-    df = spark.createDataFrame(_model_scores(spark, sf), "model string, log_loss double, time double")
-    return finish(df.withColumn("log_time", F.log("time")).orderBy(F.desc("log_loss")))
+    """A row for every model family; both losses of all come from one scan."""
+    return report(spark, sf, _every_family)
