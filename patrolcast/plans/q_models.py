@@ -629,7 +629,7 @@ def _every_family(trn, fit, voc):
         LinearTask("hinge", alpha=1.0), LinearTask("hinge", C=0.1, fit_intercept=False, class_weight="balanced"),
         LinearTask("squared_hinge", C=0.01)])
     ny = _nystroem(trn, lin, 100)
-    models["RBF SVM"] = calibrated_fit(trn, lin, K, LinearTask("hinge", alpha=1e-3), featurize=ny, dim=ny.dim, standardize=False)
+    models["RBF SVM"] = calibrated_fit(trn, lin, K, LinearTask("hinge", alpha=1e-2), featurize=ny, dim=ny.dim, standardize=False)
     models["Multinomial logistic"] = fit_softmax(trn, allf, K, C=0.1)
     models["Random forest"] = fit_forest(trn, allf, K, n_trees=20, max_depth=10, min_leaf=7)
     for name, growth in (("depth-wise", DEPTHWISE), ("leaf-wise", {**LEAFWISE, "num_leaves": 31}), ("symmetric", SYMMETRIC)):
