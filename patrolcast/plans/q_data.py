@@ -16,8 +16,9 @@ from ..operators.features import date_parts_matrix, feature_columns
 from ..operators.profile import describe
 from ..operators.repair import (OutlierFit, district_means, out_of_bounds, repair_by_address,
                                 repair_by_district)
-from ..sources.files import read_incidents, stage_incidents, write_csv
+from ..sources.files import read_incidents, read_zipped_csv, stage_incidents, write_csv
 from ..sources.incidents import test_rows, train_rows
+from ..sources.zips import write_zip_csv
 from . import sqlparts as S
 from .common import featured, finish, raw, register, repaired, staging_dir
 
@@ -64,6 +65,14 @@ def a1b_stage_incidents(spark, sf):
                   .unionByName(test.select(F.lit("test").alias("kind"), F.col("Id").alias("given_id"), keyed, *rest)))
 
 
+@register("a1c_read_zipped", _sql("SELECT * FROM incidents", ["X", "Y"]))
+def a1c_read_zipped(spark, sf):
+    """Archives of CSV members, written by one job and scanned member by member."""
+    path = staging_dir(spark, "incidents-zip")
+    write_zip_csv(raw(spark, sf), path, "incidents.csv")
+    return finish(read_zipped_csv(spark, path, "incidents.csv"))
+
+
 @register("a2_read_features", _sql("SELECT * FROM tr_feat", DOUBLE_FEATURES, FEAT))
 def a2_read_features(spark, sf):
     tr, _, _ = featured(spark, sf)

@@ -1,16 +1,14 @@
 """A1/A2 typed scans: CSV or Parquet with an explicit schema (never inferred),
-and zip-archive staging done by a Spark job (one task per archive)."""
+and CSV members of zip archives through the ``zipcsv`` data source."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .incidents import nan_to_null
+from .zips import read_zip_csv
 
 INCIDENT_SCHEMA = T.StructType([
     T.StructField("Id", T.LongType()),
@@ -85,37 +83,8 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return spark.read.schema(schema).options(**_CSV_OPTS).csv(path)
 
 
-def read_zipped_csv(spark: SparkSession, path_glob: str, member: str,
-                    schema: T.StructType = INCIDENT_SCHEMA, batch_rows: int = 50_000) -> DataFrame:
-    """CSV member of zip archives. Spark has no zip codec, so each archive is one
-    task: ``binaryFile`` hands the bytes to ``mapInPandas``, which parses the member
-    in bounded batches with the explicit schema (an archive must fit one task)."""
-    import pandas as pd
-
-    names = [f.name for f in schema.fields]
-    kinds = {f.name: f.dataType for f in schema.fields}
-
-    def parse(batches):
-        for pdf in batches:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    if member not in zf.namelist():
-                        continue
-                    with zf.open(member) as fh:
-                        for chunk in pd.read_csv(fh, chunksize=batch_rows, dtype=str, keep_default_na=False,
-                                                 na_values=[""]):
-                            out = pd.DataFrame({n: chunk[n] if n in chunk.columns else None for n in names})
-                            for n in names:
-                                t = kinds[n]
-                                if isinstance(t, (T.LongType, T.IntegerType)):
-                                    out[n] = pd.to_numeric(out[n]).astype("Int64")
-                                elif isinstance(t, T.DoubleType):
-                                    txt = out[n].astype("string")
-                                    nan = txt.str.lower().isin(["nan", "-nan"]).fillna(False)
-                                    out[n] = pd.to_numeric(txt.mask(nan, None)).astype("float64")
-                                elif isinstance(t, (T.TimestampNTZType, T.TimestampType)):
-                                    out[n] = pd.to_datetime(out[n])
-                            yield out
-
-    files = spark.read.format("binaryFile").load(path_glob).select("content")
-    return nan_to_null(files.mapInPandas(parse, schema))
+def read_zipped_csv(spark: SparkSession, path: str, member: str,
+                    schema: T.StructType = INCIDENT_SCHEMA) -> DataFrame:
+    """A1 over zip archives (a folder, a name pattern in a folder, or one archive): one partition per CSV member,
+    streamed (``zips.py``). Columns are found by their header names; NaN coordinates become NULL."""
+    return nan_to_null(read_zip_csv(spark, path, schema, member))

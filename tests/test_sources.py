@@ -1,14 +1,17 @@
 """Typed scans and sinks: CSV round trip, zip staging, wide probabilities, trial log."""
+import glob
 import io
 import os
 import tempfile
 import zipfile
 
 import pytest
+from pyspark.sql import types as T
 
 from patrolcast.sources.files import read_incidents, read_zipped_csv, stage_incidents, write_csv
 from patrolcast.sources.incidents import incidents
 from patrolcast.sources.sinks import append_trial, long_to_wide, read_trials, to_long, to_wide
+from patrolcast.sources.zips import ZipCsvReader, read_zip_csv, write_zip_csv
 
 from conftest import SF_SMALL
 
@@ -73,6 +76,56 @@ def test_zip_member_is_read_by_a_spark_job(spark):
     assert rows[0].X is None and rows[0].Address is None
 
 
+def zip_of(path, **members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in members.items():
+            z.writestr(f"{name}.csv", text)
+
+
+def test_zip_source_layouts(spark, tmp_path):
+    zip_of(tmp_path / "a.zip", one="k,v,when\n1,x,2015-01-02 03:04:05.25\n2,,\n", two='extra,v,k\nzzz,"line\nbreak, ""q""",3\n', three="k,v\n", four="")
+    zip_of(tmp_path / "b.zip", one='v,k\n"",4\n')
+    (tmp_path / "c.txt").write_text("no archive")
+    schema = T.StructType.fromDDL("k long, v string, when timestamp_ntz")
+    df = read_zip_csv(spark, str(tmp_path), schema)
+    assert df.rdd.getNumPartitions() == 4  # every member with bytes is a task of its own
+    rows = {r.k: (r.v, r.when and r.when.isoformat()) for r in df.collect()}
+    assert rows == {1: ("x", "2015-01-02T03:04:05.250000"), 2: (None, None), 3: ('line\nbreak, "q"', None), 4: ("", None)}
+    assert sorted(r.k for r in read_zip_csv(spark, f"file:{tmp_path}/*.zip", schema, "one.csv").collect()) == [1, 2, 4]
+    assert [r.k for r in read_zip_csv(spark, str(tmp_path / "b.zip"), schema).collect()] == [4]
+    (tmp_path / "none").mkdir()
+    assert read_zip_csv(spark, str(tmp_path / "none"), schema).count() == 0
+    zip_of(tmp_path / "none" / "bad.zip", one="k\nseven\n")
+    with pytest.raises(Exception, match="seven"):
+        read_zip_csv(spark, str(tmp_path / "none"), schema).collect()
+
+
+def test_zip_member_is_streamed(tmp_path):
+    text = "k,v\n" + "".join(f"{i},{'x' * 50}\n" for i in range(40_000))
+    zip_of(tmp_path / "a.zip", one=text)
+    reader = ZipCsvReader(T.StructType.fromDDL("k long, v string"), {"path": str(tmp_path), "blockBytes": str(1 << 16)})
+    (part,) = reader.partitions()
+    sizes, keys = [], []
+    for batch in reader.read(part):
+        sizes.append(batch.nbytes)
+        keys += batch.column(0).to_pylist()
+    assert keys == list(range(40_000)) and len(sizes) > 20 and max(sizes) < 1 << 18
+
+
+def test_zip_sink_commits_whole_jobs(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, concat('a \"', id, '\",\n')) AS v", "id / 8 AS x", "timestamp_ntz'2020-01-01' AS t")
+    write_zip_csv(df.repartition(3), path)
+    back = read_zip_csv(spark, path, df.schema)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    write_zip_csv(df.where("id < 10").coalesce(1), path, mode="overwrite")
+    back = read_zip_csv(spark, path, df.schema)
+    assert back.count() == 10 and len(glob.glob(f"{path}/*.zip")) == 1
+    with pytest.raises(Exception, match="USER_RAISED"):
+        write_zip_csv(df.coalesce(1).selectExpr("id", "if(id = 500, raise_error('stop'), 'y') AS v"), path)
+    assert back.count() == 10 and not glob.glob(f"{path}/_temporary/*")
+
+
 def test_long_and_wide_round_trip(spark):
     df = spark.createDataFrame([(1, [0.2, 0.8]), (2, [0.5, 0.5])], "Id long, probability array<double>")
     wide = to_wide(df, ["A", "B"])
