@@ -21,6 +21,9 @@ Data plan
   of another (``init``, e.g. loaded from its tables) goes on exactly as that one would have.
 * k-fold CV (``n_models`` > 1) trains model m on rows with ``grp != m`` and
   evaluates it on ``grp == m`` in the same passes.
+* Several settings (``trials``) are cross-validated in the same passes too: a model is a (trial, fold), every number
+  of a setting but ``growth``, ``max_bins`` and ``checkpoint_every`` is looked up by model, and a
+  trial that stopped sends nothing any more. A row carries trials x folds x classes margins, so callers bound the trials of a run.
 
 Split gain (regularised, L1 by soft threshold T):
   1/2 [T(GL)^2/(HL+lambda) + T(GR)^2/(HR+lambda) - T(G)^2/(H+lambda)] - gamma
@@ -249,17 +252,21 @@ def add_margins(arrays: list, B: np.ndarray, Z: np.ndarray) -> np.ndarray:
     return Z
 
 
-def _score(G, H, p: BoostParams):
-    return _soft(G, p.reg_alpha) ** 2 / (H + p.reg_lambda)
+def _limits(models: list[BoostParams]) -> np.ndarray:
+    """What a split search needs of every model's setting, a row each."""
+    return np.array([[p.reg_alpha, p.reg_lambda, p.min_child_weight, p.min_child_samples, p.gamma] for p in models], dtype=float)
 
 
-def _gains(g: np.ndarray, h: np.ndarray, c: np.ndarray, p: BoostParams):
-    """Of sums (nodes, features, bins): node totals, left sums and gain of every cut, and which cuts are allowed."""
+def _gains(g: np.ndarray, h: np.ndarray, c: np.ndarray, limits: np.ndarray):
+    """Of sums (nodes, features, bins): node totals, left sums and gain of every cut, and which cuts are allowed.
+    ``limits``: the nodes' rows of ``_limits``."""
     G, H, N = (x[:, 0].sum(axis=1) for x in (g, h, c))
     GL, HL, CL = (np.cumsum(x, axis=2)[:, :, :-1] for x in (g, h, c))
     G_, H_, N_ = (x[:, None, None] for x in (G, H, N))
-    gain = 0.5 * (_score(GL, HL, p) + _score(G_ - GL, H_ - HL, p) - _score(G_, H_, p))
-    ok = (HL >= p.min_child_weight) & (H_ - HL >= p.min_child_weight) & (CL >= p.min_child_samples) & (N_ - CL >= p.min_child_samples)
+    alpha, lam, weight, samples = (x[:, None, None] for x in limits.T[:4])
+    score = lambda G, H: _soft(G, alpha) ** 2 / (H + lam)
+    gain = 0.5 * (score(GL, HL) + score(G_ - GL, H_ - HL) - score(G_, H_))
+    ok = (HL >= weight) & (H_ - HL >= weight) & (CL >= samples) & (N_ - CL >= samples)
     return (G, H, N), (GL, HL, CL), gain, ok
 
 
@@ -274,12 +281,13 @@ def _rows_of(trees, nodes, totals, lefts, feat, cut, gain) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=_SPLIT_NAMES)
 
 
-def _search(keys: np.ndarray, dense, d: int, colmask: np.ndarray, p: BoostParams):
+def _search(keys: np.ndarray, dense, d: int, colmask: np.ndarray, limits: np.ndarray, K: int):
     """Best split of every node: the allowed cut of greatest gain; ties go to the lowest feature, then bin."""
     g, h, c = dense(0, len(keys))
     trees, nodes = keys >> 32, keys & 0xFFFFFFFF
-    totals, lefts, gain, ok = _gains(g, h, c, p)
-    gain = np.where(ok & colmask[trees][:, :, None], gain - p.gamma, -np.inf).reshape(len(keys), -1)
+    own = limits[trees // K]
+    totals, lefts, gain, ok = _gains(g, h, c, own)
+    gain = np.where(ok & colmask[trees][:, :, None], gain - own[:, 4, None, None], -np.inf).reshape(len(keys), -1)
     if not gain.shape[1]:
         return _rows_of(trees, nodes, totals, lefts, np.full(len(keys), -1), np.zeros(len(keys), int), np.zeros(len(keys)))
     best = gain.argmax(axis=1)
@@ -288,20 +296,21 @@ def _search(keys: np.ndarray, dense, d: int, colmask: np.ndarray, p: BoostParams
     return _rows_of(trees, nodes, totals, lefts, np.where(top > 0, feat, -1), cut, top)
 
 
-def _search_tree(keys: np.ndarray, dense, d: int, colmask: np.ndarray, p: BoostParams, step: int):
+def _search_tree(keys: np.ndarray, dense, d: int, colmask: np.ndarray, limits: np.ndarray, K: int, step: int):
     """Symmetric growth: the one cut, allowed in every open node of the tree, with the greatest gain over all of them."""
     tree = int(keys[0] >> 32)
+    own = limits[[tree // K]]
     total, valid = None, None
     for a in range(0, len(keys), step):
-        _, _, gain, ok = _gains(*dense(a, min(a + step, len(keys))), p)
+        _, _, gain, ok = _gains(*dense(a, min(a + step, len(keys))), own)
         total = gain.sum(axis=0) if total is None else total + gain.sum(axis=0)
         valid = ok.all(axis=0) if valid is None else valid & ok.all(axis=0)
-    total = np.where(valid & colmask[tree][:, None], total - p.gamma * len(keys), -np.inf)
+    total = np.where(valid & colmask[tree][:, None], total - own[0, 4] * len(keys), -np.inf)
     feat, cut = divmod(int(np.argmax(total)), total.shape[1]) if total.size else (0, 0)
     good = bool(total.size) and total[feat, cut] > 0
     for a in range(0, len(keys), step):
         z = min(a + step, len(keys))
-        totals, lefts, _, _ = _gains(*dense(a, z), p)
+        totals, lefts, _, _ = _gains(*dense(a, z), own)
         yield _rows_of(keys[a:z] >> 32, keys[a:z] & 0xFFFFFFFF, totals, lefts, np.full(z - a, feat if good else -1),
                        np.full(z - a, cut), np.full(z - a, total[feat, cut] if good else 0.0))
 
@@ -315,8 +324,9 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.float64()))
 
 
-def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int, K: int, p: BoostParams, colmask: np.ndarray, cv: bool) -> list:
-    """Best splits of all open nodes: one pass over the round's rows, one exchange."""
+def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int, K: int, models: list[BoostParams], folds: list,
+           rnd: int, colmask: np.ndarray) -> list:
+    """Best splits of all open nodes: one pass over the round's rows, one exchange. ``folds``: the fold that a model leaves out (None: none)."""
     sent = []
     for t, nodes in open_nodes.items():
         if nodes:
@@ -326,6 +336,9 @@ def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int
     held = data.sparkSession.sparkContext.broadcast(sent)
     cells = d * nb
     raw_rows, held_cells, slot_cells = RAW_ROWS, HELD_CELLS, SLOT_CELLS
+    limits, symmetric = _limits(models), models[0].growth == "symmetric"
+    samples = [(p.seed, p.subsample) for p in models]
+    several = len(set(samples)) > 1  # else the rows hold the one sample only
 
     def added(sums: dict) -> pa.RecordBatch:
         ends = np.arange(len(sums) + 1) * cells
@@ -341,9 +354,15 @@ def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int
                 continue
             bins, y, grp = _bins_of(b, d), arrow_vector(b, "label", np.int64), arrow_vector(b, "grp", np.int64)
             P = arrow_list_matrix(b, "probs")
+            ids = arrow_vector(b, "Id", np.int64)
+            drawn = {s: _row_sample(ids, s[0], rnd, s[1]) for s in set(samples)} if several else {}
+            own: dict = {}  # a model's rows of the batch
             for t, arrs, is_open in held.value:
                 m, k = divmod(t, K)
-                rows = np.flatnonzero(grp != m) if cv else np.arange(len(y))
+                if m not in own:
+                    use = drawn[samples[m]] if several else np.ones(len(y), bool)
+                    own = {m: np.flatnonzero(use if folds[m] is None else use & (grp != folds[m]))}
+                rows = own[m]
                 node = descend(arrs, bins[rows])
                 use = is_open[node]
                 if not use.any():
@@ -408,15 +427,15 @@ def _level(data: DataFrame, trees: list[Tree], open_nodes: dict, d: int, nb: int
             return [x.reshape(z - a, d, nb) for x in out]
 
         step = max(1, slot_cells // cells)
-        if p.growth == "symmetric":
+        if symmetric:
             for t in np.unique(keys >> 32):
                 lo, hi = np.searchsorted(keys >> 32, [t, t + 1])
-                yield from _search_tree(keys[lo:hi], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, p, step)
+                yield from _search_tree(keys[lo:hi], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, limits, K, step)
         else:
             for lo in range(0, len(keys), step):
-                yield _search(keys[lo:lo + step], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, p)
+                yield _search(keys[lo:lo + step], lambda a, z, lo=lo: dense(a, z, lo), d, colmask, limits, K)
 
-    by = ["tree"] if p.growth == "symmetric" else ["tree", "node"]
+    by = ["tree"] if symmetric else ["tree", "node"]
     n = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that small levels are not merged into one task
     found = data.mapInArrow(count, _PARTS).repartition(n, *by).mapInArrow(choose, _SPLITS).toPandas()
     held.unpersist()
@@ -443,93 +462,114 @@ def _prepare(df: DataFrame, cols: list[str], binner: Binner, n_models: int, n_cl
     return src.mapInArrow(run, "Id long, label int, grp int, bins binary, margins array<double>")
 
 
-def _probabilities(data: DataFrame, K: int, M: int, rnd: int, p: BoostParams) -> DataFrame:
-    """``label, grp, bins, probs`` of the rows that the round samples: what all its levels read."""
+def _probabilities(data: DataFrame, K: int, rnd: int, models: list[BoostParams]) -> DataFrame:
+    """``Id, label, grp, bins, probs`` of the rows that some model samples in the round: what all its levels read."""
+    M, samples = len(models), {(p.seed, p.subsample) for p in models}
+
     def run(batches):
         for b in batches:
-            use = pa.array(_row_sample(arrow_vector(b, "Id", np.int64), p.seed, rnd, p.subsample))
-            b = b.filter(use)
+            ids = arrow_vector(b, "Id", np.int64)
+            b = b.filter(pa.array(np.logical_or.reduce([_row_sample(ids, seed, rnd, rate) for seed, rate in samples])))
             Z = arrow_list_matrix(b, "margins").reshape(b.num_rows, M * K)
             P = np.concatenate([softmax(Z[:, m * K:(m + 1) * K]) for m in range(M)], axis=1) if b.num_rows else Z
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(c)) for c in ("label", "grp", "bins")), list_array(P)],
-                                             names=["label", "grp", "bins", "probs"])
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(c)) for c in ("Id", "label", "grp", "bins")), list_array(P)],
+                                             names=["Id", "label", "grp", "bins", "probs"])
 
-    return data.mapInArrow(run, "label int, grp int, bins binary, probs array<double>").cache()
+    return data.mapInArrow(run, "Id long, label int, grp int, bins binary, probs array<double>").cache()
 
 
 def fit_boost(df: DataFrame, cols: list[str], n_classes: int, params: BoostParams, label: str = "label",
               grp: str | None = None, n_models: int = 1, binner: Binner | None = None,
-              round_log: list | None = None, init: list[BoostModel] | None = None) -> list[BoostModel]:
+              round_log: list | None = None, init: list[BoostModel] | None = None,
+              trials: list[BoostParams] | None = None) -> list[BoostModel]:
     """Fit ``n_models`` boosters (one per fold when ``grp`` is given; model m skips rows with grp == m).
 
     ``round_log`` (if given) receives ``(model, round, holdout_loss)`` tuples (CV only). ``init``: models of the same
-    settings whose rounds are kept and continued, up to ``n_rounds`` in all.
-    Returns the models, truncated to the best round when early stopping is on.
+    settings whose rounds are kept and continued, up to ``n_rounds`` in all. ``trials``: several settings in place of
+    ``params``, each with ``n_models`` models, ordered by trial and then fold; each ends by its own ``n_rounds`` and early stopping.
+    Returns the models, truncated to the best round of their setting when early stopping is on.
     """
-    K, d, M, p = n_classes, len(cols), n_models, params
-    if p.max_bins > 256:
+    K, d, settings = n_classes, len(cols), trials or [params]
+    shared = settings[0]
+    if any((p.growth, p.max_bins, p.checkpoint_every) != (shared.growth, shared.max_bins, shared.checkpoint_every) for p in settings):
+        raise ValueError("trials of one run share growth, max_bins and checkpoint_every")
+    if shared.max_bins > 256:
         raise ValueError("a feature has 256 bins at most")
+    if init and trials:
+        raise ValueError("only a single setting can be continued")
+    cv = grp is not None and n_models > 1
+    own = [p for p in settings for _ in range(n_models)]
+    folds = [f if cv else None for _ in settings for f in range(n_models)]
     init = init or []
-    binner = init[0].binner if init else binner or Binner.fit(df, cols, p.max_bins)
+    binner = init[0].binner if init else binner or Binner.fit(df, cols, shared.max_bins)
     nb = binner.n_bins
-    data = cached(_prepare(df, cols, binner, M, K, label, grp, init))
-    models = [BoostModel(list(cols), binner, K, p, [list(r) for r in m.rounds]) for m in init] or \
-        [BoostModel(list(cols), binner, K, p) for _ in range(M)]
-    cv = grp is not None and M > 1
-    best = (math.inf, 0)
-    for rnd in range(len(models[0].rounds), p.n_rounds):
-        ntree = M * K
-        rng = np.random.RandomState((p.seed * 7919 + rnd) % (1 << 32))
+    ntree = len(own) * K
+    data = cached(_prepare(df, cols, binner, len(own), K, label, grp, init))
+    models = [BoostModel(list(cols), binner, K, p, [list(r) for r in m.rounds]) for m, p in zip(init, own)] or \
+        [BoostModel(list(cols), binner, K, p) for p in own]
+    best = [(math.inf, 0)] * len(settings)
+    stopped = [False] * len(settings)
+    for rnd in range(len(models[0].rounds), max(p.n_rounds for p in settings)):
+        live = [not stop and rnd < p.n_rounds for p, stop in zip(settings, stopped)]
+        if not any(live):
+            break
         colmask = np.ones((ntree, d), dtype=bool)
-        if p.colsample < 1.0:
-            for t in range(ntree):
-                keep = max(1, int(round(p.colsample * d)))
-                colmask[t] = False
-                colmask[t, rng.choice(d, keep, replace=False)] = True
+        for j, p in enumerate(settings):
+            if p.colsample < 1.0:
+                rng = np.random.RandomState((p.seed * 7919 + rnd) % (1 << 32))
+                for t in range(j * n_models * K, (j + 1) * n_models * K):
+                    keep = max(1, int(round(p.colsample * d)))
+                    colmask[t] = False
+                    colmask[t, rng.choice(d, keep, replace=False)] = True
         trees = [Tree() for _ in range(ntree)]
-        open_nodes = {t: [0] for t in range(ntree)}
+        open_nodes = {t: [0] if live[t // (n_models * K)] else [] for t in range(ntree)}
         info: list[dict] = [{} for _ in range(ntree)]    # leaf-wise: best split of every node examined
-        rows = _probabilities(data, K, M, rnd, p)
+        rows = _probabilities(data, K, rnd, own)
         while any(open_nodes.values()):
-            decided = {(int(r.tree), int(r.node)): r for r in _level(rows, trees, open_nodes, d, nb, K, p, colmask, cv)}
+            decided = {(int(r.tree), int(r.node)): r for r in _level(rows, trees, open_nodes, d, nb, K, own, folds, rnd, colmask)}
             open_nodes = {t: [] for t in range(ntree)}
             for (t, n), r in decided.items():
+                p = own[t // K]
                 trees[t].value[n] = float(-p.eta * _soft(r.G, p.reg_alpha) / (r.H + p.reg_lambda))
                 info[t][n] = r
-            if p.growth == "leafwise":
-                chosen = {t: best_first(trees[t], info[t], p.num_leaves, p.max_depth) for t in {t for t, _ in decided}}
+            if shared.growth == "leafwise":
+                chosen = {t: best_first(trees[t], info[t], own[t // K].num_leaves, own[t // K].max_depth) for t in {t for t, _ in decided}}
                 to_split = [(t, n) for t, ns in sorted(chosen.items()) for n in ns if trees[t].feat[n] < 0]
             else:
                 to_split = [(t, n) for (t, n), r in sorted(decided.items(), key=lambda kv: (-kv[1].gain, kv[0]))
-                            if r.feat >= 0 and trees[t].depth[n] < p.max_depth]
+                            if r.feat >= 0 and trees[t].depth[n] < own[t // K].max_depth]
             for t, n in to_split:
-                tr, r = trees[t], info[t][n]
+                tr, r, p = trees[t], info[t][n], own[t // K]
                 lid, rid = tr.split(n, int(r.feat), int(r.bin))
                 tr.value[lid] = float(-p.eta * _soft(r.GL, p.reg_alpha) / (r.HL + p.reg_lambda))
                 tr.value[rid] = float(-p.eta * _soft(r.G - r.GL, p.reg_alpha) / (r.H - r.HL + p.reg_lambda))
                 if tr.depth[lid] < p.max_depth:
                     open_nodes[t] += [lid, rid]
         rows.unpersist()
-        if p.growth == "leafwise":
+        if shared.growth == "leafwise":
             for t, tr in enumerate(trees):
-                tr.prune(set(best_first(tr, info[t], p.num_leaves, p.max_depth)))
-        for m in range(M):
-            models[m].rounds.append(trees[m * K:(m + 1) * K])
-        data = _advance(data, d, trees, rnd, p)
+                tr.prune(set(best_first(tr, info[t], own[t // K].num_leaves, own[t // K].max_depth)))
+        for m, model in enumerate(models):
+            if live[m // n_models]:
+                model.rounds.append(trees[m * K:(m + 1) * K])
+        data = _advance(data, d, trees, rnd, shared)
         if cv:
-            losses = _holdout_loss(data, K, M)
-            for m in range(M):
+            losses = _holdout_loss(data, K, folds)
+            for j, p in enumerate(settings):
+                if not live[j]:
+                    continue
+                mine = losses[j * n_models:(j + 1) * n_models]
                 if round_log is not None:
-                    round_log.append((m, rnd, float(losses[m])))
-            mean = float(np.mean(losses))
-            if mean < best[0]:
-                best = (mean, rnd)
-            elif p.early_stopping_rounds and rnd - best[1] >= p.early_stopping_rounds:
-                break
+                    round_log += [(j * n_models + f, rnd, float(loss)) for f, loss in enumerate(mine)]
+                mean = float(np.mean(mine))
+                if mean < best[j][0]:
+                    best[j] = (mean, rnd)
+                elif p.early_stopping_rounds and rnd - best[j][1] >= p.early_stopping_rounds:
+                    stopped[j] = True
     data.unpersist()
-    if cv and p.early_stopping_rounds:
-        for m in models:
-            m.rounds = m.rounds[:best[1] + 1]
+    for m, model in enumerate(models):
+        if cv and own[m].early_stopping_rounds:
+            model.rounds = model.rounds[:best[m // n_models][1] + 1]
     return models
 
 
@@ -554,14 +594,16 @@ def _advance(data: DataFrame, d: int, trees: list[Tree], rnd: int, p: BoostParam
     return new
 
 
-def _holdout_loss(data: DataFrame, K: int, M: int) -> np.ndarray:
+def _holdout_loss(data: DataFrame, K: int, folds: list) -> np.ndarray:
+    M = len(folds)
+
     def part(b):
         y = arrow_vector(b, "label", np.int64)
         g = arrow_vector(b, "grp", np.int64)
         Z = arrow_list_matrix(b, "margins")
         out = np.zeros(2 * M)
         for m in range(M):
-            rows = g == m
+            rows = g == folds[m]
             if rows.any():
                 P = softmax(Z[rows, m * K:(m + 1) * K])
                 out[m] = -np.log(np.clip(P[np.arange(rows.sum()), y[rows]], 1e-15, 1)).sum()

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from ..fixed import SEED
 from ..operators.encode import StandardScaler
 from ..operators.selection import log_loss, rank_trials, stratified_folds
-from ..sources.sinks import append_trial
+from ..sources.sinks import append_trials
 from .base import arrow_matrix, arrow_vector, cached, labelled, partial_sums
 from .boost import Binner, BoostParams, fit_boost
 from .calibration import platt
+from .forest import oob_losses
 from .gaussian import FoldMoments
 from .linear import MAX_PASSES, LinearTask, fit_tasks, group_stats
 
@@ -202,17 +203,52 @@ def sample_space(space: dict, rng: np.random.RandomState) -> dict:
     return out
 
 
-def random_search(spark: SparkSession, space: dict, n_trials: int, objective: Callable[[dict], tuple],
-                  log_path: str, seed: int = SEED) -> dict:
-    """Seeded sampling of ``space``; each trial's fits run on Spark and one row
-    ``(loss, params, iteration, estimators)`` is appended to the trial log (A4).
-    Returns the best setting (lowest loss)."""
+def random_search(spark: SparkSession, space: dict, n_trials: int, objective: Callable[[list[dict]], list[tuple]],
+                  log_path: str, seed: int = SEED, together: int = 10) -> dict:
+    """Seeded sampling of ``space``, ``together`` settings at a time fitted in shared passes on Spark by ``objective``,
+    which returns ``(loss, estimators)`` for each; one row ``(loss, params, iteration, estimators)`` a trial goes into the trial log (A4).
+    Returns the best setting (lowest loss, the first of equals). The settings do not depend on ``together``."""
     rng = np.random.RandomState(seed)
+    settings = [sample_space(space, rng) for _ in range(n_trials)]
     best = None
-    for it in range(1, n_trials + 1):
-        params = sample_space(space, rng)
-        loss, estimators = objective(params)
-        append_trial(spark, log_path, loss, params, it, estimators)
-        if best is None or loss < best[0]:
-            best = (loss, params)
+    for first in range(0, n_trials, together):
+        block = settings[first:first + together]
+        results = objective(block)
+        append_trials(spark, log_path, [(loss, p, first + i + 1, n) for i, (p, (loss, n)) in enumerate(zip(block, results))])
+        for p, (loss, _) in zip(block, results):
+            if best is None or loss < best[0]:
+                best = (loss, p)
     return best[1] if best else {}
+
+
+def boost_objective(df: DataFrame, cols: list[str], n_classes: int, base: BoostParams, n_folds: int = 2, label: str = "label",
+                    grp: str = "fold", binner: Binner | None = None) -> Callable[[list[dict]], list[tuple]]:
+    """Cross-validated loss of the best round, and its number, of several booster settings (the fields of ``base`` that a
+    setting names are replaced): every trial and fold in the same passes over rows with their fold in ``grp``."""
+    binner = binner or Binner.fit(df, cols, base.max_bins)
+
+    def objective(settings: list[dict]) -> list[tuple]:
+        log: list = []
+        fit_boost(df, cols, n_classes, base, label, grp, n_folds, binner, log, trials=[dataclasses.replace(base, **p) for p in settings])
+        out = []
+        for j in range(len(settings)):
+            rounds = {}
+            for m, r, loss in log:
+                if m // n_folds == j:
+                    rounds.setdefault(r, []).append(loss)
+            means = {r: float(np.mean(v)) for r, v in rounds.items()}
+            best = min(means, key=means.get)
+            out.append((means[best], best + 1))
+        return out
+
+    return objective
+
+
+def forest_objective(df: DataFrame, cols: list[str], n_classes: int, n_trees: int = 100, min_leaf: int = 1, label: str = "label",
+                     binner: Binner | None = None) -> Callable[[list[dict]], list[tuple]]:
+    """Out-of-bag loss of forests that differ in ``max_depth``, all cut from one growth."""
+    def objective(settings: list[dict]) -> list[tuple]:
+        losses = oob_losses(df, cols, n_classes, [p["max_depth"] for p in settings], n_trees, min_leaf, label, binner=binner)
+        return [(losses[p["max_depth"]], n_trees) for p in settings]
+
+    return objective

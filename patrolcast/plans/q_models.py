@@ -28,7 +28,8 @@ from ..models.kernel import Nystroem
 from ..models.linear import LinearOVA, LinearTask, fit_ova, fit_softmax, fit_tasks
 from ..models.prior import ClassPrior
 from ..models.report import loss_report
-from ..models.search import Chain, boost_cv, cross_val_moments, grid_search_linear, linear_grid, random_search
+from ..models.search import (Chain, boost_cv, boost_objective, cross_val_moments, forest_objective, grid_search_linear, linear_grid,
+                             random_search)
 from ..models.store import load_model, save_model
 from ..operators.encode import Vocabulary, balanced_weight, class_counts, feature_set
 from ..operators.features import feature_columns
@@ -453,51 +454,66 @@ def e4_best_round(spark, sf):
         return finish(best_round(cached(_boost_cv(spark, trl, allf, voc))))
 
 
+# The studied scripts' search spaces (names are those of this library's settings) and numbers of trials.
 DEPTHWISE_SPACE = {
-    "max_depth": ("choice", [2, 3, 4]),
+    "max_depth": ("choice", [11, 12, 13, 14]),
     "subsample": ("quniform", 0.6, 0.8, 0.05),
     "colsample": ("quniform", 0.7, 0.9, 0.05),
-    "eta": ("quniform", 0.2, 0.4, 0.05),
+    "eta": ("quniform", 0.04, 0.06, 0.01),
     "min_child_weight": ("quniform", 2, 4, 1),
-    "reg_alpha": ("quniform", 0, 1, 0.5),
-    "gamma": ("quniform", 0.0, 0.5, 0.05),
+    "reg_alpha": ("quniform", 4, 6, 1),
+    "gamma": ("quniform", 0.5, 1, 0.05),
     "reg_lambda": ("quniform", 1.5, 2, 0.1),
 }
+FOREST_SPACE = {"max_depth": ("choice", [11, 12, 13, 14])}
+LEAFWISE_SPACE = {
+    "colsample": ("uniform", 0.6, 1.0),
+    "max_depth": ("choice", list(range(1, 20))),
+    "eta": ("quniform", 0.1, 0.3, 0.01),
+    "min_child_samples": ("quniform", 20, 250, 5),
+    "reg_alpha": ("quniform", 0.0, 10, 1),
+    "reg_lambda": ("uniform", 0, 10),
+    "min_child_weight": ("quniform", 1, 20, 1),
+}
+DEPTHWISE_TRIALS, FOREST_TRIALS, LEAFWISE_TRIALS = 50, 2, 7
+SEARCH_ROUNDS = (1, 3)  # rounds of the registered depth-wise and leaf-wise searches (not the scripts': 700 and 1000)
 
 
-def _search(spark, sf, log_path):
+def _boost_search(spark, sf, log_path, space, trials, base, together):
     with _labelled(spark, sf) as (trl, _, fit, voc):
         _, _, allf = _sets(fit)
         data = cached(stratified_folds(trl, 2, SEED, "label"))
-
-        def objective(params):
-            log = []
-            fit_boost(data, allf, voc.size, BoostParams(n_rounds=3, early_stopping_rounds=2, **params),
-                      grp="fold", n_models=2, round_log=log)
-            per_round = {}
-            for _, r, l in log:
-                per_round.setdefault(r, []).append(l)
-            means = {r: float(np.mean(v)) for r, v in per_round.items()}
-            r_best = min(means, key=means.get)
-            return means[r_best], r_best + 1
-
         try:
-            return random_search(spark, DEPTHWISE_SPACE, 2, objective, log_path)
+            return random_search(spark, space, trials, boost_objective(data, allf, voc.size, base), log_path, together=together)
         finally:
             data.unpersist()
 
 
+def _best_params(spark, best):
+    return spark.createDataFrame([(json.dumps(best, sort_keys=True),)], "best_params string")
+
+
 @register("j5_random_search")
 def j5_random_search(spark, sf):
-    path = staging_dir(spark, "trials")
-    best = _search(spark, sf, path)
-    return spark.createDataFrame([(json.dumps(best, sort_keys=True),)], "best_params string")
+    """Depth-wise boosting: 50 settings x 2 folds, ten settings in the same passes."""
+    base = BoostParams(n_rounds=SEARCH_ROUNDS[0], early_stopping_rounds=50)
+    return _best_params(spark, _boost_search(spark, sf, staging_dir(spark, "trials"), DEPTHWISE_SPACE, DEPTHWISE_TRIALS, base, 10))
+
+
+@register("j5b_random_search_forest")
+def j5b_random_search_forest(spark, sf):
+    """Forest depth by out-of-bag loss: 2 settings of 100 trees, one growth."""
+    with _labelled(spark, sf) as (trl, _, fit, voc):
+        _, _, allf = _sets(fit)
+        return _best_params(spark, random_search(spark, FOREST_SPACE, FOREST_TRIALS, forest_objective(trl, allf, voc.size), staging_dir(spark, "trials")))
 
 
 @register("a4_trial_log")
 def a4_trial_log(spark, sf):
+    """Leaf-wise boosting: 7 settings x 2 folds in the same passes; every trial's row."""
     path = staging_dir(spark, "trials")
-    _search(spark, sf, path)
+    base = BoostParams(n_rounds=SEARCH_ROUNDS[1], early_stopping_rounds=100, growth="leafwise")
+    _boost_search(spark, sf, path, LEAFWISE_SPACE, LEAFWISE_TRIALS, base, LEAFWISE_TRIALS)
     return read_trials(spark, path)
 
 

@@ -53,9 +53,14 @@ TRIAL_SCHEMA = T.StructType([
 def append_trial(spark: SparkSession, path: str, loss: float, params: dict, iteration: int,
                  estimators: int | None = None) -> None:
     """A4: append one trial row to a Parquet trial log."""
-    row = [(float(loss), {k: json.dumps(v) for k, v in params.items()}, int(iteration),
-            None if estimators is None else int(estimators))]
-    spark.createDataFrame(row, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    append_trials(spark, path, [(loss, params, iteration, estimators)])
+
+
+def append_trials(spark: SparkSession, path: str, trials: list[tuple]) -> None:
+    """A4 for the trials of one run: ``(loss, params, iteration, estimators)`` each, appended together."""
+    rows = [(float(loss), {k: json.dumps(v) for k, v in params.items()}, int(iteration),
+             None if estimators is None else int(estimators)) for loss, params, iteration, estimators in trials]
+    spark.createDataFrame(rows, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_trials(spark: SparkSession, path: str) -> DataFrame:
