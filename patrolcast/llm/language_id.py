@@ -231,19 +231,39 @@ def fold(text: str) -> str:
     return " ".join(text.lower().split())
 
 
+def lowest_pieces(rows: DataFrame, wanted: int) -> dict[str, list[str]]:
+    """Of ``rows`` (lang, h, piece): every language's pieces of its ``wanted`` smallest different hashes, in that order.
+
+    A hash bound for a few times as many comes first, from an approximate count of a language's hashes, so what
+    is ranked does not grow with the rows or the tasks; it is raised for languages in which too few passed, so the
+    pieces are the same as without it."""
+    share = {r["lang"]: min(1.0, 4 * wanted / max(1, r["n"])) for r in
+             rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    found: dict[str, list[str]] = {}
+    bound = T.StructType([rows.schema["lang"], T.StructField("bound", T.LongType())])
+    w = Window.partitionBy("lang").orderBy("h")
+    while share:
+        bounds = rows.sparkSession.createDataFrame(
+            [(k, (1 << 63) - 1 if v >= 1 else int(v * (1 << 64)) - (1 << 63)) for k, v in share.items()], bound)
+        some = rows.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("bound")).select("lang", "h", "piece")
+        lowest = some.select("lang", "h").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= wanted)
+        picked = some.join(F.broadcast(lowest), ["lang", "h"]).groupBy("lang", "r").agg(F.min("piece").alias("piece"))
+        got: dict[str, list[str]] = {}
+        for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
+            got.setdefault(r["lang"], []).append(r["piece"])
+        done = [k for k, v in share.items() if v >= 1 or len(got.get(k, [])) == wanted]
+        found.update({k: got.get(k, []) for k in done})
+        share = {k: min(1.0, 8 * v) for k, v in share.items() if k not in done}
+    return dict(sorted(found.items()))
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang: int = DOCS_PER_LANG,
           chars_per_doc: int = CHARS_PER_DOC, chars_per_lang: int = CHARS_PER_LANG) -> dict[str, str]:
     """The bounded sample per language (at most ``chars_per_lang`` characters each reach the driver)."""
     piece = F.substring(F.col(text), 1, chars_per_doc)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.xxhash64(piece).alias("h"), piece.alias("piece"))
-    w = Window.partitionBy("lang").orderBy("h")
-    lowest = rows.select("lang", "h").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
-    picked = rows.join(F.broadcast(lowest), ["lang", "h"]).groupBy("lang", "r").agg(F.min("piece").alias("piece"))
-    pieces: dict[str, list[str]] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
-        pieces.setdefault(r["lang"], []).append(fold(r["piece"]))
-    samples = {k: " ".join(v)[:chars_per_lang] for k, v in pieces.items()}
+    samples = {k: " ".join(map(fold, v))[:chars_per_lang] for k, v in lowest_pieces(rows, docs_per_lang).items()}
     return {k: v for k, v in samples.items() if LETTER.search(v)}
 
 

@@ -103,6 +103,20 @@ def test_sample_is_bounded(spark, bound):
     assert len(s) == 4 and all(len(v) <= bound for v in s.values())
 
 
+def test_lowest_pieces_do_not_depend_on_the_bound(spark):
+    """Even hashes, hashes in the top of the range only (the bound is raised until enough pass), few rows, many copies."""
+    top = (1 << 63) - 1
+    rows = [("en", -(1 << 63) + i * (1 << 54), f"e{i}") for i in range(900)] + [("de", top - i, f"d{i}") for i in range(900)] + \
+        [("fr", i, f"f{i}") for i in range(3)] + [("fr", 1, "f1")] * 500 + [("es", 7, "x")] * 2000
+    df = spark.createDataFrame(rows, "lang string, h long, piece string").repartition(5)
+    for wanted in (1, 20, 5000):
+        want = {}
+        for lang, h, piece in sorted(set(rows)):
+            want.setdefault(lang, []).append(piece)
+        assert L.lowest_pieces(df, wanted) == {k: v[:wanted] for k, v in want.items()}
+    assert L.lowest_pieces(df.where("false"), 5) == {}
+
+
 def test_copies_count_once(spark):
     texts = ["one text of many copies", "a second text", "and a third one"]
     df = spark.createDataFrame([(t, "en") for t in texts for _ in range(20)], "text string, lang string")
