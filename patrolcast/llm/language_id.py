@@ -245,9 +245,9 @@ def lowest_pieces(rows: DataFrame, wanted: int) -> dict[str, list[str]]:
     while share:
         bounds = rows.sparkSession.createDataFrame(
             [(k, (1 << 63) - 1 if v >= 1 else int(v * (1 << 64)) - (1 << 63)) for k, v in share.items()], bound)
-        some = rows.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("bound")).select("lang", "h", "piece")
-        lowest = some.select("lang", "h").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= wanted)
-        picked = some.join(F.broadcast(lowest), ["lang", "h"]).groupBy("lang", "r").agg(F.min("piece").alias("piece"))
+        some = rows.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("bound"))
+        picked = some.groupBy("lang", "h").agg(F.min("piece").alias("piece")) \
+            .withColumn("r", F.row_number().over(w)).where(F.col("r") <= wanted)
         got: dict[str, list[str]] = {}
         for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
             got.setdefault(r["lang"], []).append(r["piece"])
