@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import patrolcast.models.base as base
 from patrolcast.operators.profile import describe, exact_quantiles
-from patrolcast.operators.selection import (P31, key_hash, key_hash_np, key_hash_sql, stratified_folds,
-                                            train_test_split)
+from patrolcast.operators.selection import (P31, key_hash, key_hash_np, key_hash_sql, repeated_folds, stratified_folds,
+                                            train_test_split, with_key_hashes)
 
 
 def _folds_by_sorting(rows, n_splits, seed):
@@ -162,3 +162,18 @@ def test_landmarks_equal_global_ordered_limit(spark):
     got = [r["Id"] for r in _smallest_by_hash(df, ["a"], "Id", 2019, 300)]
     want = [r["Id"] for r in df.select("Id", key_hash("Id", 2019).alias("_h")).orderBy("_h", "Id").limit(300).collect()]
     assert got == want
+
+
+def test_fold_hashes_are_computed_once(spark):
+    """The plan holds each step of a key's hash a few times, not a copy for every use of a use."""
+    df = spark.range(0, 500).withColumnRenamed("id", "Id").withColumn("Category", (F.col("Id") % 3).cast("string"))
+    for got, seeds in ((stratified_folds(df, 3), 1), (repeated_folds(df, 2, 5), 5)):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("2147483647") <= 20 * seeds
+    one = df.select(key_hash().alias("h"))._jdf.queryExecution().optimizedPlan().toString()
+    assert one.split("\n")[0].count("2147483647") <= 20
+    keys = [0, 1, P31 - 1, P31, -1, -P31 - 3, 2**62, 2**63 - 1]
+    near = spark.createDataFrame([(k,) for k in keys], "Id long")
+    want = [key_hash_np(np.array(keys), s).tolist() for s in (3, 2019)]
+    got = with_key_hashes(near, "Id", {"a": 3, "b": 2019}).collect()
+    assert [[r.a for r in got], [r.b for r in got]] == want and [r[0] for r in near.select(key_hash("Id", 3)).collect()] == want[0]
