@@ -125,3 +125,39 @@ def test_strata_without_cut_points_count(spark, monkeypatch):
     monkeypatch.setattr(selection, "MAX_CUTS", 200)
     got = stratified_folds(many, 2, label="label").groupBy("label", "fold").count().collect()
     assert sum(r["count"] == 5 for r in got) == 60
+
+
+@pytest.mark.parametrize("loss", ["log", "hinge", "squared_hinge", "modified_huber"])
+@pytest.mark.parametrize("weighted", [False, True])
+def test_losses_in_place_equal_the_plain_ones(loss, weighted):
+    from patrolcast.models.linear import add_loss, loss_grad
+
+    rng = np.random.RandomState(1)
+    z, y = rng.randn(200, 5) * 3, rng.randint(0, 5, 200)
+    z[:20] = np.rint(z[:20])  # margins at the kinks
+    w = rng.rand(200) * 2 if weighted else None
+    Y = np.where(y[:, None] == np.arange(5), 1.0, -1.0)
+    value, der = loss_grad(loss, Y * z, 0.1)
+    each = np.ones(200) if w is None else w
+    work = np.empty((2, 5, 200))
+    total = add_loss(loss, np.ascontiguousarray(z.T), (y, np.arange(200)), w, 0.1, *work)
+    assert np.isclose(total, (value * each[:, None]).sum(), rtol=1e-12)
+    assert np.allclose(work[1].T, Y * der * each[:, None], atol=1e-12)
+
+
+def test_calibration_keeps_no_margins(df, monkeypatch):
+    """A grid's margins are rows x settings x classes: the passes read packed rows and nothing else is held."""
+    import patrolcast.models.base as base
+    from patrolcast.models.calibration import calibrated_fits
+
+    seen, plain = [], base.partial_sums
+    def spy(data, *a, **k):
+        seen.append((set(data.columns), data.sparkSession.sparkContext._jsc.sc().getPersistentRDDs().size()))
+        return plain(data, *a, **k)
+    monkeypatch.setattr(base, "partial_sums", spy)
+    rows = df.withColumn("Id", F.monotonically_increasing_id()).drop("grp")
+    before = df.sparkSession.sparkContext._jsc.sc().getPersistentRDDs().size()
+    settings = [LinearTask("squared_hinge", alpha=a) for a in (1e-2, 1e-1)]
+    models = calibrated_fits(rows, COLS, K, settings, max_iter=3)
+    assert all(c == {"grp", "whole", "y", "x"} and n <= before + 1 for c, n in seen) and len(seen) > 4
+    assert all(np.isfinite(m.calib).all() for model in models for m in model.members)
