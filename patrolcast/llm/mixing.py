@@ -13,7 +13,7 @@ a document of its target.
 When: a source's weight over training time ``t`` in [0, 1] is piecewise linear
 (``SCHEDULES``, by weight class). Its integral is the source's cumulative token demand; a
 copy whose middle is at fraction ``u`` of the target is due where the integral reaches
-``u``. Copies are range-sorted by that position.
+``u``. Copies (``curriculum``) and documents (``mix``, by their first copy) are range-sorted by that position.
 
 Running sums of a source never need its rows in one task: rows fall into ranges of the
 hash, sized by the row count alone; sums of ranges are added up on two levels, and only the
@@ -85,7 +85,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
                         F.col("level_all") * F.col("weight")).otherwise(F.col("cap").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, schedules=SCHEDULES,
+def placed_copies(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, schedules=SCHEDULES,
         size: str | None = None) -> DataFrame:
     """Every row of ``docs`` (in ``_row``) with size, source_size, target and ``positions``: the training time
     of each copy taken (an empty array if none). ``size`` names a column that holds the sizes, so that rows need no text.
@@ -119,9 +119,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
     return placed.select(ROW, "source", "size", "source_size", "target", F.array_compact(F.array(*copies)).alias("positions"))
 
 
+def mix(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``placed_copies`` in training order: range-sorted by the position of the first copy, rows that are not
+    taken last."""
+    first = F.try_element_at("positions", F.lit(1))
+    return placed_copies(docs, **settings).orderBy(first.asc_nulls_last(), F.col(ROW)["doc_id"])
+
+
 def curriculum(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: one row per copy (``_row``, copy, position), range-sorted by position."""
-    flat = mix(docs, **settings).select(ROW, F.posexplode("positions").alias("copy", "position"))
+    """The mix copy by copy (``_row``, copy, position), range-sorted by position."""
+    flat = placed_copies(docs, **settings).select(ROW, F.posexplode("positions").alias("copy", "position"))
     return flat.orderBy("position", F.col(ROW)["doc_id"], "copy")
 
 

@@ -83,3 +83,16 @@ def test_rows_without_an_id_follow_each_other(spark):
     sized = df.select("doc_id", "source", M.word_count(F.col("text")).alias("n"))
     assert sorted((r.source, r.size, r.taken) for r in got) == sorted(
         (r.source, r.size, r.taken) for r in M.mix(sized, size="n").select("source", "size", (F.size("positions") * F.col("size")).alias("taken")).collect())
+
+
+def test_query_rows_come_in_training_order(spark, tmp_path):
+    """The query takes the method's last step too: the mix is range-sorted by position."""
+    from patrolcast.llm.mixing import op9_mixing
+
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 23)) if i % 9 else None, f"s{i % 4}") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_mixing(spark, str(tmp_path))
+    assert "rangepartitioning" in got._jdf.queryExecution().executedPlan().toString()
+    at = [r.position for r in got.collect()]
+    taken = [p for p in at if p is not None]
+    assert len(at) == 400 and taken == sorted(taken) and at[:len(taken)] == taken
