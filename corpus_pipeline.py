@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from patrolcast.llm import decontaminate, language_id, line_dedup, mixing, simhash
-from patrolcast.llm.common import LlmQuery, checkpoint_dir, table
+from patrolcast.llm.common import LlmQuery, checkpoint_dir, released, table
 
 STAGES = [
     ("language_id", language_id.stage),
@@ -32,7 +32,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, function) in enumerate(STAGES):
         path = f"{base}/{number}-{name}"
-        function(spark, docs, sf_dir).write.parquet(path)
+        with released():  # a stage's cached tables end with it
+            function(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 

@@ -80,3 +80,10 @@ def test_registered(spark):
     names = entry.queries()
     assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert {q.split("_")[0] for q in entry.oracle_sql() if q.startswith("op")} >= {"op4", "op5", "op9"}
+
+
+def test_a_stage_lets_go_of_what_it_cached(spark):
+    held = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    before = held()
+    assert corpus_pipeline.run(spark, SF_SMALL).count() > 0
+    assert held() <= before
