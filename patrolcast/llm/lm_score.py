@@ -565,9 +565,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             extra += np.bincount(doc[is_hot], weights=hot_gain[at[is_hot]], minlength=block.n_docs)
             place = (key & U(mask)).astype(np.int64)
             maybe = ~is_hot & ((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) > 0)
-            u, v, d = ctx[maybe], tok[maybe], doc[maybe]
-            for p, (ku, kv), per, d, c in _entries([u, v], d, pair_part(u, v, n, t.split)):
-                out.append((p, _PAIRS + 10, number, pack(np.array([block.n_docs]), ku, kv, per, d, c)))
+            for p, (key,), per, d, c in _entries([key[maybe]], doc[maybe], pair_part(ctx[maybe], tok[maybe], n, t.split)):
+                out.append((p, _PAIRS + 10, number, pack(np.array([block.n_docs]), ("sorted", key), per, d, c)))
             ids = rows.column("doc_id")
             out.append((number % n, _DOCS, number, pack(
                 ids.fill_null(0).to_numpy().astype(np.int64).view(U), ids.is_null().to_numpy().astype(U),
@@ -598,8 +597,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     n_ * np.repeat(totals.log_p(count), per), n_ * np.repeat(hit, per),
                     n_ * np.repeat(np.where(hit, a[at] if len(a) else 0.0, 0.0), per)])))
             elif kind == _PAIRS + 10:
-                n_docs, ku, kv, per, d, n_ = unpack(blob)
-                at, hit = look_up(pair_key(ku, kv), key)
+                n_docs, k, per, d, n_ = unpack(blob)
+                at, hit = look_up(k, key)
                 gain = np.where(hit, g[at] if len(g) else 0.0, 0.0)
                 zero = np.zeros(len(d))
                 out.append((block, _SUMS, _dense(int(n_docs[0]), d.astype(np.int64), [
