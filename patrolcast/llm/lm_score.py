@@ -17,9 +17,12 @@ Execution: nothing that grows with the corpus reaches the driver or a broadcast.
 * Each task sorts the tokens of a block of texts and sends, per part, one packed run of distinct
   keys with counts; parts merge the runs (words first, then pairs).
 * Parts of the pair table ask the parts of the word table for the counts of the second
-  words and compute the weights. The model is written as tables partitioned by part.
+  words and compute the weights. The model is written as tables partitioned by part: words with
+  counts and back-off weights, pairs with their counts and the second word's, which give the gains.
 * To score, a block sends each part the distinct words and pairs it holds with the documents
   they are in; the part returns one sum per document, and the block's sums are added up.
+* Texts are scored in ``ROUNDS`` rounds and each step's shuffle files go when it ends (``tidy``): the
+  disk holds the model, its shuffle and a share of the asks at once.
 * Words and pairs with at least ``1 / HOT`` of all tokens (at most ``HOT`` of each, a proven
   bound) are broadcast and scored in the block, and pairs after a word that would fill a
   part by itself are dealt by pair: no key, however common, gathers its rows in one task.
@@ -35,6 +38,7 @@ count is zero and ``p`` is 1 for the one unknown type; equal rows score alike.
 
 from __future__ import annotations
 
+import functools
 import struct
 import uuid
 
@@ -47,7 +51,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint_dir, key_bitmap, materialise, register, table
+from .common import checkpoint_dir, key_bitmap, materialise, register, table, tidy
 from .suffix_dedup import prefix_sums, string_hash
 
 MIN_COUNT = 1
@@ -57,6 +61,7 @@ HOT = 1 << 16
 BLOCK_TOKENS = 1_200_000
 BLOCK_DOCS = 60_000
 PARTS_PER_TASK = 2
+ROUNDS = 4
 PART_BYTES = 4 << 20
 CHUNK = 1 << 19
 START, END = 0, 1
@@ -230,7 +235,7 @@ def unpack_pairs(blob: bytes) -> list[np.ndarray]:
 
 _RUN = T.StructType([T.StructField("part", T.LongType()), T.StructField("kind", T.LongType()),
                      T.StructField("block", T.LongType()), T.StructField("blob", T.BinaryType())])
-_WORDS, _PAIRS, _ASK, _DOCS, _TABLE, _SUMS = range(6)
+_WORDS, _PAIRS, _ASK, _DOCS, _HOT, _SUMS = range(6)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -374,10 +379,27 @@ _MODEL = T.StructType([*_RUN.fields, T.StructField("u", T.LongType()), T.StructF
                        T.StructField("lower", T.DoubleType())])
 
 
-def weigh(words: DataFrame, pairs: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
-    """Per part a ``_WORDS`` row (word, count, log10 of the back-off weight) and a ``_PAIRS`` row (pair, log10 of
-    its probability over that of its back-off path, without a(u) for split words); rows (u, mass, lower) add up
-    to the sums of the split words."""
+def probabilities(totals: Totals, w: np.ndarray, c: np.ndarray, u: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """P(v | u) of seen pairs with counts ``n``, from the words and counts of their part."""
+    if not len(u):
+        return np.zeros(0)
+    start = totals.hot_count[look_up(np.array([END], dtype=U), totals.hot)[0]]  # a start for every end
+    own = c[look_up(u, w)[0]].astype(np.float64) if len(c) else 0
+    cu = np.where(u == START, start, np.where(member(u, totals.split), totals.hot_count[look_up(u, totals.hot)[0]], own))
+    return totals.d(n) * n / (cu + PSEUDO)
+
+
+def gains(totals: Totals, w: np.ndarray, c: np.ndarray, a: np.ndarray, u: np.ndarray, n: np.ndarray, cv: np.ndarray) -> np.ndarray:
+    """log10 of seen pairs' probabilities over those of their back-off paths, without a(u) for split words; ``a``: log10 of
+    the back-off weights of the part's words."""
+    own = a[look_up(u, w)[0]] if len(a) else np.zeros(len(u))
+    return np.log10(probabilities(totals, w, c, u, n)) - totals.log_p(cv) - np.where(member(u, totals.split), 0.0, own)
+
+
+def weigh(words: DataFrame, pairs: DataFrame, answers: DataFrame, totals: Totals, least: int) -> DataFrame:
+    """Per part a ``_WORDS`` row (word, count, log10 of the back-off weight) and a ``_PAIRS`` row (pair, count, count of its
+    second word); rows (u, mass, lower) add up to the sums of the split words. Pairs with ``least`` or more also come as
+    rows of their own, with their ``gains``."""
     def run(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()
         found = _blobs(t, _WORDS)
@@ -391,12 +413,7 @@ def weigh(words: DataFrame, pairs: DataFrame, answers: DataFrame, totals: Totals
         at, _ = look_up(v, kv[order])
         cv = kc[order][at] if len(v) else np.zeros(0)
         is_split = member(u, totals.split)
-        at_w, at_hot = look_up(u, w)[0], look_up(u, totals.hot)[0]
-        cu = np.zeros(len(u))
-        if len(u):
-            start = totals.hot_count[look_up(np.array([END], dtype=U), totals.hot)[0]]  # a start for every end
-            cu = np.where(u == START, start, np.where(is_split, totals.hot_count[at_hot], c[at_w].astype(np.float64) if len(c) else 0))
-        p = totals.d(n) * n / (cu + PSEUDO)
+        p = probabilities(totals, w, c, u, n)
         lower = 10.0 ** totals.log_p(cv)
         head = heads(u)
         mass, below = sums_of(p, head), sums_of(lower, head)
@@ -405,16 +422,17 @@ def weigh(words: DataFrame, pairs: DataFrame, answers: DataFrame, totals: Totals
         log_alpha = np.zeros(len(w))
         mine = ~is_split[head]
         log_alpha[look_up(u[head][mine], w)[0]] = alpha[mine]
-        gain = np.log10(p) - totals.log_p(cv) - np.repeat(alpha, np.diff(np.append(head, len(u))))
-        s = np.flatnonzero(~mine)
-        size = 2 + len(s)
-        empty = [None] * len(s)
+        s, often = np.flatnonzero(~mine), np.flatnonzero(n >= least)
+        gain = gains(totals, w, c, log_alpha, u[often], n[often], cv[often])
+        size = 2 + len(s) + len(often)
+        own = lambda x: x.astype(np.int64).tolist()
         return pa.table({
-            "part": [part] * size, "kind": [_WORDS, _PAIRS, *[_SUMS] * len(s)], "block": [0] * size,
-            "blob": pa.array([pack(("sorted", w), c, log_alpha), pack_pairs(u, v, n, gain), *empty], pa.binary()),
-            "u": pa.array([None, None, *u[head][s].astype(np.int64).tolist()], pa.int64()),
-            "mass": pa.array([None, None, *mass[s].tolist()], pa.float64()),
-            "lower": pa.array([None, None, *below[s].tolist()], pa.float64())})
+            "part": [part] * size, "kind": [_WORDS, _PAIRS, *[_SUMS] * len(s), *[_HOT] * len(often)],
+            "block": [0] * (2 + len(s)) + own(v[often]),
+            "blob": pa.array([pack(("sorted", w), c, log_alpha), pack_pairs(u, v, n, cv.astype(U)), *[None] * (size - 2)], pa.binary()),
+            "u": pa.array([None, None, *own(u[head][s]), *own(u[often])], pa.int64()),
+            "mass": pa.array([None, None, *mass[s].tolist(), *gain.tolist()], pa.float64()),
+            "lower": pa.array([None, None, *below[s].tolist(), *[None] * len(often)], pa.float64())})
 
     rows = words.select(*_RUN.names).unionByName(pairs.select(*_RUN.names)).unionByName(answers)
     return rows.groupBy("part").applyInArrow(run, _MODEL)
@@ -443,34 +461,29 @@ class Model:
         self.totals = Totals(tokens, types, discounts(list(seen)), hot, hot_count, split)
         spark = docs.sparkSession
         told = spark.sparkContext.broadcast(self.totals)
-        weighed = weigh(words, pairs, second_words(words, pairs, parts, hot), _Told(told))
+        weighed = weigh(words, pairs, second_words(words, pairs, parts, hot), _Told(told), max(1, -(-tokens // HOT)))
         weighed.write.partitionBy("part").parquet(path)
         model = spark.read.schema("kind long, block long, blob binary, u long, mass double, lower double, part long").parquet(path)
         sums = model.where(F.col("kind") == _SUMS).groupBy("u").agg(F.sum("mass").alias("m"), F.sum("lower").alias("l")).collect()
-        self.tables = model.where(F.col("kind") != _SUMS).select(*_RUN.names)
+        self.tables = model.where(F.col("kind").isin(_WORDS, _PAIRS)).select(*_RUN.names)
         alpha = {r["u"]: np.log10((1 - r["m"]) / (1 - r["l"])) for r in sums}  # at most 4 parts + 2 words
         self.split_alpha = np.array([alpha.get(int(x), 0.0) for x in split])
-        self.hot_alpha, self.hot_pairs, self.hot_gain = self._hot_rows(told, max(1, -(-tokens // HOT)))
+        self.hot_alpha, self.hot_pairs, self.hot_gain = self._hot_rows(told, model.where(F.col("kind") == _HOT))
         self.bitmap, self.mask = key_bitmap(self._pair_keys(), "k")
 
-    def _hot_rows(self, told, least: int):
-        """Back-off weights of the hot words; the pairs with ``least`` or more and their gains (at most ``HOT``)."""
+    def _hot_rows(self, told, pairs: DataFrame):
+        """Back-off weights of the hot words; the hot pairs and their gains (at most ``HOT``)."""
         def run(batches):
             t = told.value
             for b in batches:
-                for kind, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    if kind == _WORDS:
-                        w, _, a = unpack(blob)
-                        own = member(w, t.hot)
-                        yield _three(np.zeros(own.sum(), dtype=np.int64), w[own], w[own], a[own])
-                    else:
-                        u, v, n, g = unpack_pairs(blob)
-                        own = n >= least
-                        yield _three(np.ones(own.sum(), dtype=np.int64), u[own], v[own], g[own])
-
-        rows = self.tables.select("kind", "blob").mapInArrow(run, "k long, u long, v long, x double").collect()
-        alpha = {r["u"]: r["x"] for r in rows if r["k"] == 0}
-        pairs = sorted((r["u"], r["v"], r["x"]) for r in rows if r["k"] == 1)
+                for blob in b.column(0).to_pylist():
+                    w, _, a = unpack(blob)
+                    own = member(w, t.hot)
+                    yield pa.RecordBatch.from_arrays([pa.array(w[own].astype(np.int64)), pa.array(a[own])], names=["w", "x"])
+
+        words = self.tables.where(F.col("kind") == _WORDS).select("blob").mapInArrow(run, "w long, x double")
+        alpha = {r["w"]: r["x"] for r in words.collect()}
+        pairs = sorted((r["u"], r["block"], r["mass"]) for r in pairs.select("u", "block", "mass").collect())
         hot_alpha = np.array([alpha.get(int(x), 0.0) for x in self.totals.hot])
         u, v = (np.array([p[i] for p in pairs], dtype=U) for i in (0, 1))
         key = pair_key(u, v)
@@ -506,11 +519,6 @@ class _Told:
         return _Told, (self.__dict__["_b"],)
 
 
-def _three(k, u, v, x) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(k), pa.array(u.astype(np.int64)), pa.array(v.astype(np.int64)), pa.array(x)],
-                                      names=["k", "u", "v", "x"])
-
-
 def _count_of(words: DataFrame, word: int) -> float:
     def run(batches):
         for b in batches:
@@ -536,7 +544,8 @@ def _entries(keys: list[np.ndarray], doc: np.ndarray, part: np.ndarray):
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row (doc_id, text, held)."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row (doc_id, text, held), in rounds
+    dealt by a hash of the id; a round's tasks read the rows of several others', so that blocks stay large."""
     n = model.parts
     sc = docs.sparkSession.sparkContext
     told = sc.broadcast((model.totals, model.split_alpha, model.hot_alpha, model.hot_pairs, model.hot_gain, model.bitmap))
@@ -577,7 +586,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         totals, split_alpha = told.value[:2]
         found = {k: _blobs(t, k) for k in (_WORDS, _PAIRS)}
         w, c, a = unpack(found[_WORDS][0]) if found[_WORDS] else (np.zeros(0, dtype=U), np.zeros(0, dtype=U), np.zeros(0))
-        u, v, _, g = unpack_pairs(found[_PAIRS][0]) if found[_PAIRS] else (np.zeros(0, dtype=U),) * 3 + (np.zeros(0),)
+        u, v, seen, cv = unpack_pairs(found[_PAIRS][0]) if found[_PAIRS] else (np.zeros(0, dtype=U),) * 4
+        g = gains(totals, w, c, a, u, seen, cv)
         key = pair_key(u, v)
         order = np.argsort(key)
         key, u, g = key[order], u[order], g[order]
@@ -621,10 +631,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             "train_tokens": pa.array(np.full(len(ids), told.value[0].tokens, dtype=np.int64)),
             "base_score": pa.array(base), "score": pa.array(base + extra)})
 
-    asked = docs.mapInArrow(send, _RUN).unionByName(model.tables)
-    sums = asked.groupBy("part").applyInArrow(resolve, "block long, kind long, blob binary")
-    return sums.groupBy("block").applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def round_of(some: DataFrame) -> DataFrame:
+        asked = some.mapInArrow(send, _RUN).unionByName(model.tables)
+        sums = asked.groupBy("part").applyInArrow(resolve, "block long, kind long, blob binary")
+        return sums.groupBy("block").applyInArrow(
+            finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+    tasks = docs.rdd.getNumPartitions()
+    fewer = min(tasks, max(sc.defaultParallelism, -(-tasks // ROUNDS)))
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS))
+    rounds = [materialise(round_of(docs.where(dealt == r).coalesce(max(1, fewer)))) for r in range(ROUNDS)]
+    return functools.reduce(DataFrame.unionByName, rounds)
 
 
 def _dense(size: int, doc: np.ndarray, values: list[np.ndarray]) -> bytes:
@@ -647,7 +664,8 @@ def katz(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = parts_of(docs)
     path = f"{checkpoint_dir(spark)}/katz-{uuid.uuid4().hex}"
-    return score(docs, Model(docs.select("text", "held"), path, parts))
+    with tidy(spark):
+        return score(docs, Model(docs.select("text", "held"), path, parts))
 
 
 @register("op8_katz_lm_scoring")

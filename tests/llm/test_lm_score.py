@@ -126,3 +126,16 @@ def test_parts_follow_the_text(spark, monkeypatch):
     monkeypatch.setattr(K.Model, "__init__", lambda self, docs, path, parts: (made.append(parts), before(self, docs, path, parts))[1])
     check(run(spark, rows), rows)
     assert made == [-(-sum(len(t) + 1 for _, t in rows) // 100)] and made[0] > 2 * 8  # not the session's setting
+
+
+def test_rounds_leave_no_shuffles(spark, monkeypatch):
+    """Equal scores for any number of rounds; within the query no shuffle file outlives its step."""
+    rows = [(i, f"a{i % 7} b{i % 3} c{i} a{i % 5} b") for i in range(60)] + [(None, "a1 b2"), (3, None)]
+    files, plain = [], K.materialise
+    where = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    monkeypatch.setattr(K, "materialise", lambda df: (files.append(where.getAllFiles().size()), plain(df))[1])
+    for n in (1, 4):
+        monkeypatch.setattr(K, "ROUNDS", n)
+        check(run(spark, rows), rows)
+        assert len(files) == 2 + n and max(files) <= files[0]  # before, the counts' and the model's stayed
+        files.clear()
