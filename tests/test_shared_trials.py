@@ -82,3 +82,22 @@ def test_search_logs_every_trial(spark, rows, tmp_path):
     forest = forest_objective(rows, COLS, K, n_trees=4, binner=binner)
     (a, n), (b, _), (c, _) = forest([{"max_depth": 3}, {"max_depth": 1}, {"max_depth": 3}])
     assert a == c != b and n == 4
+
+
+def test_registered_search_has_the_rounds_of_the_script(spark, monkeypatch):
+    from patrolcast.plans import q_models as q
+
+    asked = []
+    monkeypatch.setattr(q, "_boost_search", lambda spark, sf, path, space, trials, base, together: asked.append((trials, base)) or {})
+    q.j5_random_search(spark, "")
+    (trials, base), = asked
+    assert (trials, base.n_rounds, base.early_stopping_rounds) == (50, 700, 50)
+
+
+def test_a_search_keeps_losses_and_no_trees(rows):
+    binner, p = Binner.fit(rows, COLS, 16), BoostParams(n_rounds=3, max_depth=2, max_bins=16, checkpoint_every=2)
+    logs: list = [[], []]
+    for log, keep in zip(logs, (True, False)):
+        models = fit_boost(rows, COLS, K, p, grp="fold", n_models=2, binner=binner, round_log=log, keep=keep)
+        assert [len(m.rounds) for m in models] == [3 * keep] * 2
+    assert logs[0] == logs[1] and len(logs[0]) == 6
