@@ -83,3 +83,26 @@ def test_small_and_empty_vocabularies(spark):
         assert sorted(r.label for r in v.transform(df).collect()) == [-1, 0, 0, 1]
     empty = Vocabulary.fit(df.where("false"), "name", max_literal=0)
     assert empty.size == 0 and {r.label for r in empty.transform(df).collect()} == {-1}
+
+
+def test_report_fits_every_family_at_its_final_setting(monkeypatch):
+    from types import SimpleNamespace
+
+    from patrolcast.plans import q_models as q
+
+    seen: dict = {}
+    monkeypatch.setattr(q, "_sets", lambda fit: (["a"], ["a"], ["a"]))
+    monkeypatch.setattr(q, "closed_form_models", lambda *a: {})
+    monkeypatch.setattr(q, "fit_tasks", lambda *a: [None, None])
+    monkeypatch.setattr(q, "calibrated_fits", lambda *a: [None] * 3)
+    monkeypatch.setattr(q, "fit_softmax", lambda *a, **k: None)
+    monkeypatch.setattr(q, "calibrated_fit", lambda trn, lin, n, task, **k: seen.update(alpha=task.alpha, landmarks=k["dim"]))
+    monkeypatch.setattr(q, "Nystroem", SimpleNamespace(fit=lambda *a, n_components, **k: SimpleNamespace(dim=n_components)))
+    monkeypatch.setattr(q, "fit_forest", lambda *a, **k: seen.update(k))
+    monkeypatch.setattr(q, "fit_boost", lambda trn, cols, n, p: seen.update({p.growth: (p.n_rounds, p.max_depth, p.num_leaves)}) or [None])
+    monkeypatch.setattr(q.F, "lit", lambda x: x)
+    models = q._every_family(SimpleNamespace(withColumn=lambda *a: None), None, SimpleNamespace(size=3))
+    assert len(models) == 11  # and the three of closed form
+    assert (seen["alpha"], seen["landmarks"]) == (1e-3, 1000)
+    assert (seen["n_trees"], seen["max_depth"], seen["min_leaf"]) == (1000, 17, 7)
+    assert (seen["depthwise"], seen["leafwise"], seen["symmetric"]) == ((505, 12, 31), (100, 64, 150), (10_000, 6, 31))
