@@ -38,7 +38,7 @@ class ClassMoments:
 
         def part(b):
             X = arrow_matrix(b, cols) - shift
-            y = arrow_vector(b, label, np.int64)
+            y = b.column(b.schema.names.index(label)).fill_null(-1).to_numpy(zero_copy_only=False)  # NaN as an integer differs by machine
             ok = ~np.isnan(X).any(axis=1) & (y >= 0) & (y < K)
             X, y = X[ok], y[ok]
             cnt = np.bincount(y, minlength=K).astype(float)
